@@ -24,10 +24,10 @@ def with_slices(df: DataFrame, order: str, slices: int, descending: bool = False
     cuts = sorted(set(df.approxQuantile(order, probabilities, 1.0 / (4 * slices)))) or [0.0]
     cut_table = [-math.inf, *cuts, math.inf]
     bucketed = Bucketizer(
-        splits=cut_table, inputCol="_order", outputCol=SLICE, handleInvalid="keep"
-    ).transform(df.withColumn("_order", F.col(order).cast("double")))
+        splits=cut_table, inputCol="_cut_value", outputCol=SLICE, handleInvalid="keep"
+    ).transform(df.withColumn("_cut_value", F.col(order).cast("double")))
     number = F.col(SLICE).cast("int")
-    return bucketed.drop("_order").withColumn(SLICE, -number if descending else number)
+    return bucketed.drop("_cut_value").withColumn(SLICE, -number if descending else number)
 
 
 def running(

@@ -6,6 +6,8 @@ from tallyloom.plans.registry import QUERIES, Query
 
 FAMILIES = [
     "panel_queries",
+    "linkage_queries",
+    "series_queries",
 ]
 
 
