@@ -8,6 +8,7 @@ FAMILIES = [
     "panel_queries",
     "linkage_queries",
     "series_queries",
+    "choice_queries",
 ]
 
 
