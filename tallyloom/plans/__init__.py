@@ -9,6 +9,7 @@ FAMILIES = [
     "linkage_queries",
     "series_queries",
     "choice_queries",
+    "statistics_queries",
 ]
 
 
