@@ -66,17 +66,19 @@ def pair_measures(scored: DataFrame, truth: str, probability: str, all_duplicate
     return f.withColumn("f1_hat", harmonic(F.col("f1"), F.col("f1_star")))
 
 
-def class_measures(scored: DataFrame, truth: str, predicted: str) -> DataFrame:
+def class_measures(scored: DataFrame, truth: str, predicted: str, keys: list[str] | None = None) -> DataFrame:
     """Accuracy and macro precision, recall and F1 over the classes of truth or prediction."""
-    confusion = scored.groupBy(truth, predicted).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    # classes x classes rows from here on
+    keys = keys or []
+    confusion = scored.groupBy(*keys, truth, predicted).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    # classes x classes rows per key from here on
     hit = F.when(F.col(truth) == F.col(predicted), F.col("n")).otherwise(0.0)
-    by_truth = confusion.groupBy(F.col(truth).alias("c")).agg(
+    by_truth = confusion.groupBy(*keys, F.col(truth).alias("c")).agg(
         F.sum(hit).alias("tp"), F.sum("n").alias("actual"))
-    by_guess = confusion.groupBy(F.col(predicted).alias("c")).agg(F.sum("n").alias("guessed"))
-    both = by_truth.join(by_guess, "c", "full").fillna(0.0)
+    by_guess = confusion.groupBy(*keys, F.col(predicted).alias("c")).agg(F.sum("n").alias("guessed"))
+    both = by_truth.join(by_guess, [*keys, "c"], "full").fillna(0.0, ["tp", "actual", "guessed"])
     per_class = both.select(
-        "tp", "actual", rate("tp", "guessed").alias("p"), rate("tp", "actual").alias("r"))
-    return per_class.agg(
+        *keys, "tp", "actual", rate("tp", "guessed").alias("p"), rate("tp", "actual").alias("r"))
+    measures = [
         rate(F.sum("tp"), F.sum("actual")).alias("accuracy"), F.avg("p").alias("precision"),
-        F.avg("r").alias("recall"), F.avg(harmonic(F.col("p"), F.col("r"))).alias("f1"))
+        F.avg("r").alias("recall"), F.avg(harmonic(F.col("p"), F.col("r"))).alias("f1")]
+    return per_class.groupBy(*keys).agg(*measures) if keys else per_class.agg(*measures)

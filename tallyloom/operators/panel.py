@@ -213,3 +213,11 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.expr(o) if isinstance(o, str) else o for o in order], F.struct(*rest).alias("r"))
     return df.groupBy(*keys).agg(F.min(row)["r"].alias("r")).select(*keys, "r.*").select(*df.columns)
+
+
+def nth_values(df: DataFrame, column: str, row: str, numbers: list[int]) -> DataFrame:
+    """Rows whose ``column`` is among the n-th distinct values in first-seen order (0-based)."""
+    first = df.groupBy(column).agg(F.min(row).alias("_first"))
+    # one row per distinct value
+    numbered = first.select(column, (F.row_number().over(Window.orderBy("_first")) - 1).alias(f"{column}_index"))
+    return df.join(numbered.filter(F.col(f"{column}_index").isin(numbers)), column)

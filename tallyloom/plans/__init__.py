@@ -10,6 +10,9 @@ FAMILIES = [
     "series_queries",
     "choice_queries",
     "statistics_queries",
+    "file_queries",
+    "scalar_queries",
+    "selection_queries",
 ]
 
 
