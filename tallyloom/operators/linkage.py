@@ -22,6 +22,7 @@ from tallyloom.operators.ordered import running
 from tallyloom.session import stage
 
 MAX_GROUP = 64
+HEAVY_GROUPS = 1000
 MAX_COUNTED_BANDS = 8
 
 
@@ -102,29 +103,34 @@ def pairs_within(
     # read four times below, and signatures or regexes may stand behind it: stored once
     rows = stage(
         df.select(*keys, F.col(id).alias("id"), *[F.col(c).alias("other") for c in other]), "members")
-    leads = _leads(rows, keys, bool(different))
-    sized = rows.join(leads, keys)
-
-    small = sized.filter(F.col("size") <= max_group).select(*rows.columns)
+    leads = stage(_leads(rows, keys, bool(different)), "leads")
+    # groups with over a thousandth of all rows: at most 1000 of them, so they may be
+    # broadcast, and their rows leave before any shuffle on the group keys
+    huge = max(rows.count() // HEAVY_GROUPS, max_group)
+    heavy = F.broadcast(leads.filter(F.col("size") > huge))
+    rest = rows.join(heavy.select(*keys), keys, "left_anti").join(leads, keys)
+
+    small = rest.filter(F.col("size") <= max_group).select(*rows.columns)
     a, b = small.alias("a"), small.alias("b")
     equal = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     rule = reduce(lambda x, y: x & y, [*equal, F.col("a.id") < F.col("b.id")])
     if different:
         rule = rule & (F.col("a.other") != F.col("b.other"))
     pairs = a.join(b, rule).select(
-        F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.lit("pair").alias("kind"))
+        F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.lit(1).alias("listed"))
 
     lead = F.when(F.col("other") != F.col("lead_other"), F.col("lead")).otherwise(
         F.col("second")) if different else F.col("lead")
+    large = rest.filter(F.col("size") > max_group).unionByName(rows.join(heavy, keys))
     links = (
-        sized.filter(F.col("size") > max_group)
-        .withColumn("_lead", lead)
+        large.withColumn("_lead", lead)
         .filter(F.col("_lead").isNotNull() & (F.col("_lead") != F.col("id")))
-        .select(
-            F.least("_lead", "id").alias("id_a"), F.greatest("_lead", "id").alias("id_b"),
-            F.lit("link").alias("kind"))
+        .select(F.least("_lead", "id").alias("id_a"), F.greatest("_lead", "id").alias("id_b"),
+                F.lit(0).alias("listed"))
     )
-    return pairs.unionByName(links).groupBy("id_a", "id_b").agg(F.max("kind").alias("kind"))
+    both = pairs.unionByName(links).groupBy("id_a", "id_b").agg(F.max("listed").alias("listed"))
+    kind = F.when(F.col("listed") == 1, F.lit("pair")).otherwise(F.lit("link"))
+    return both.select("id_a", "id_b", kind.alias("kind"))
 
 
 def _leads(rows: DataFrame, keys: list[str], different: bool) -> DataFrame:

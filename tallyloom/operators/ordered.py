@@ -1,8 +1,9 @@
-"""Global positions and running sums without sorting everything in one task.
+"""Global positions, running sums and exact quantiles without sorting everything in one task.
 
-An unpartitioned ``orderBy`` window sends all rows to one task. Here the order column
-is cut at approximate quantiles, each slice is numbered by itself and shifted by the
-totals of the slices before it, of which there are at most ``slices + 2``.
+An unpartitioned ``orderBy`` window sends all rows to one task. Here the order column is
+cut at approximate quantiles, each slice is numbered by itself and shifted by the totals of
+the slices before it. A value that fills more than one slice by itself is cut again along
+the tie column, so one frequent value does not become one long task either.
 """
 
 from __future__ import annotations
@@ -12,22 +13,45 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.session import stage
 
 SLICE = "_slice"
 
 
-def with_slices(df: DataFrame, order: str, slices: int, descending: bool = False) -> DataFrame:
-    """Add the slice number of ``order``; slices ascend in the wanted order."""
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.approxQuantile(order, probabilities, 1.0 / (4 * slices)))) or [0.0]
-    cut_table = [-math.inf, *cuts, math.inf]
+def _bucket(df: DataFrame, order: str, cuts: list[float]) -> DataFrame:
+    table = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
     bucketed = Bucketizer(
-        splits=cut_table, inputCol="_cut_value", outputCol=SLICE, handleInvalid="keep"
+        splits=table, inputCol="_cut_value", outputCol=SLICE, handleInvalid="keep"
     ).transform(df.withColumn("_cut_value", F.col(order).cast("double")))
-    number = F.col(SLICE).cast("int")
-    return bucketed.drop("_cut_value").withColumn(SLICE, -number if descending else number)
+    return bucketed.drop("_cut_value").withColumn(SLICE, F.col(SLICE).cast("long"))
+
+
+def with_slices(
+    df: DataFrame, order: str, slices: int, descending: bool = False, tie: str | None = None
+) -> DataFrame:
+    """Add the slice number of ``order``; slices ascend in the wanted order."""
+    probabilities = [i / slices for i in range(1, slices)]
+    cuts = df.approxQuantile(order, probabilities, 1.0 / (4 * slices))
+    frequent = sorted({c for c in cuts if cuts.count(c) > 2})  # fewer than slices / 2
+    sliced = _bucket(df, order, cuts)
+    width = slices + 2
+    number = (-F.col(SLICE) if descending else F.col(SLICE)) * width
+    numeric = tie is not None and isinstance(df.schema[tie].dataType, T.NumericType)
+    if not frequent or not numeric:
+        return sliced.withColumn(SLICE, number)
+    value = F.col(order).cast("double")
+    inner = {
+        row["v"]: sorted(set(row["cuts"]))
+        for row in df.filter(value.isin(frequent)).groupBy(value.alias("v")).agg(
+            F.percentile_approx(F.col(tie).cast("double"), probabilities, 4 * slices).alias("cuts")).collect()
+    }
+    inside = F.lit(-1 if descending else width - 1)  # rows of the slice with another value
+    for v, points in inner.items():
+        below = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda c: c < F.col(tie).cast("double")))
+        inside = F.when(value == F.lit(v), below).otherwise(inside)
+    return sliced.withColumn(SLICE, number + inside)
 
 
 def running(
@@ -48,11 +72,11 @@ def running(
     if staged:
         df = stage(df, "ordered")
     amounts = {name: F.expr(a) if isinstance(a, str) else a for name, a in (sums or {}).items()}
-    sliced = with_slices(df, order, slices, descending)
+    sliced = with_slices(df, order, slices, descending, ties[0] if ties else None)
     totals = sliced.groupBy(SLICE).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(a).alias(f"_sum_{n}") for n, a in amounts.items()]
     )
-    # at most slices + 2 rows
+    # a few rows per slice
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         SLICE,
@@ -70,3 +94,28 @@ def running(
     made = [(F.col("_rows") + F.col("_in_slice")).cast("long").alias(position)] if position else []
     made += [(F.col(f"_sum_{n}") + F.col(f"_in_{n}")).alias(n) for n in amounts]
     return numbered.select(*df.columns, *made)
+
+
+def quantiles(df: DataFrame, column: str, wanted: dict[str, float], slices: int = 64) -> DataFrame:
+    """One row of exact quantiles (linear between neighbours) of a whole column.
+
+    Equal values fold into one row with a count; the few rows around the wanted ranks are
+    picked by their running count, so the values never meet in one task.
+    """
+    folded = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(folded, column, [], {"_upto": "_n"}, position=None, slices=slices)
+    total = ranked.agg(F.sum("_n")).scalar()
+    at = ranked.withColumn("_total", total)
+    picks, results = [], []
+    for i, (name, p) in enumerate(wanted.items()):
+        place = (F.col("_total") - 1) * F.lit(p)
+        low, high = F.floor(place), F.ceil(place)
+
+        def holds(rank: Column) -> Column:
+            return (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+
+        picks += [F.max(F.when(holds(low), F.col(column))).alias(f"_lo{i}"),
+                  F.max(F.when(holds(high), F.col(column))).alias(f"_hi{i}"),
+                  F.max(place - low).alias(f"_part{i}")]
+        results.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")).alias(name))
+    return at.agg(*picks).select(*results)

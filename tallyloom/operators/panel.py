@@ -215,9 +215,11 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.groupBy(*keys).agg(F.min(row)["r"].alias("r")).select(*keys, "r.*").select(*df.columns)
 
 
-def nth_values(df: DataFrame, column: str, row: str, numbers: list[int]) -> DataFrame:
-    """Rows whose ``column`` is among the n-th distinct values in first-seen order (0-based)."""
+def nth_values(df: DataFrame, column: str, row: str, numbers: list[int] | None = None) -> DataFrame:
+    """Number the distinct values of ``column`` in first-seen order (0-based), keep the wanted ones."""
     first = df.groupBy(column).agg(F.min(row).alias("_first"))
     # one row per distinct value
     numbered = first.select(column, (F.row_number().over(Window.orderBy("_first")) - 1).alias(f"{column}_index"))
-    return df.join(numbered.filter(F.col(f"{column}_index").isin(numbers)), column)
+    if numbers is not None:
+        numbered = numbered.filter(F.col(f"{column}_index").isin(numbers))
+    return df.join(numbered, column)

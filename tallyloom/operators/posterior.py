@@ -118,10 +118,14 @@ def _chain(xx, xy, yy, n, draws, rng, bounded, bound, start):
         if bounded is not None:
             centre = (xy[bounded] - xx[bounded, free] @ beta[free]) / xx[bounded, bounded]
             spread = math.sqrt(sigma2 / xx[bounded, bounded])
-            # probability above the bound, by the upper tail so that a far bound stays exact
-            above = normal.cdf((centre - bound) / spread)
-            u = max(above * rng.uniform(), 1e-300)
-            beta[bounded] = max(centre - spread * normal.inv_cdf(min(u, 1 - 1e-16)), bound)
+            # probability above the bound, by erfc so that a far bound stays exact
+            above = 0.5 * math.erfc((bound - centre) / spread / math.sqrt(2))
+            if above > 1e-290:
+                u = max(above * rng.uniform(), 1e-300)
+                value = centre - spread * normal.inv_cdf(min(u, 1 - 1e-16))
+            else:  # so far out the tail is exponential
+                value = bound + spread * spread / (bound - centre) * rng.exponential()
+            beta[bounded] = max(value, bound)
         out[i, :k], out[i, k] = beta, sigma2
     return out
 

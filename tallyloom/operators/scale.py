@@ -126,11 +126,10 @@ class Chain:
         return df
 
 
-def moments(df: DataFrame, column: str) -> list[Column]:
-    """Mean, sample and population deviation and median of a column."""
+def moments(column: str) -> list[Column]:
+    """Mean, sample and population deviation of a column; for the median see ``quantiles``."""
     return [
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
         F.stddev_pop(column).alias("std_pop"),
-        F.median(column).alias("median"),
     ]

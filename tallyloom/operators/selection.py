@@ -72,7 +72,7 @@ def classifier(kind: str, h: dict, features: int, classes: int, rows: int, seed:
         scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
         model = LogisticRegression(
             featuresCol="scaled", labelCol="label", standardization=False,
-            elasticNetParam=h.get("alpha", 0.0), regParam=regularisation(h.get("lambda_inverse", 1.0), rows))
+            maxIter=h.get("iterations", 100), elasticNetParam=h.get("alpha", 0.0), regParam=regularisation(h.get("lambda_inverse", 1.0), rows))
         return Pipeline(stages=[scaled, model])
     if kind == "net":
         hidden = h.get("hidden", [128, 128, 128, 128])

@@ -116,7 +116,7 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 with w as (
   select cast(date_trunc('week', l_shipdate) as date) as week, p_brand as brand, sum(l_quantity) as sales,
          max(cast(l_discount > 0.09 as integer)) as displ, max(cast(l_tax > 0.07 as integer)) as coupon,
-         round(sum(cast(round(l_extendedprice * 100) as bigint)) / sum(l_quantity), 2) as price
+         cast(sum(cast(round(l_extendedprice * 100) as bigint)) as double) / sum(l_quantity) as price
   from lineitem join part on l_partkey = p_partkey group by 1, 2)
 select week, brand, sales, cast(displ as double) as displ, cast(coupon as double) as coupon, price,
        round(ln(sales), 6) as logsales, round(ln(price), 6) as logprice from w""")
@@ -130,7 +130,7 @@ def brand_files(spark, sf_dir):
         parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("week", "brand").agg(
         F.sum("l_quantity").alias("sales"), F.max((F.col("l_discount") > 0.09).cast("int")).alias("displ"),
         F.max((F.col("l_tax") > 0.07).cast("int")).alias("coupon"),
-        r(F.sum("cents") / F.sum("l_quantity"), 2).alias("price"))
+        (F.sum("cents") / F.sum("l_quantity")).alias("price"))
     folder = scratch_path(spark, "brands")
     paths = {name: f"{folder}/{name}" for name in ("sales", "displ", "coupon", "price")}
     for name, path in paths.items():

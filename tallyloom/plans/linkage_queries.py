@@ -42,8 +42,14 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signed_vectors(spark, sf_dir, bands: int, seed: int = SEED) -> DataFrame:
-    v = vectors(spark, sf_dir)
-    return lk.signatures(v, "vector", bands, LENGTH, v.count(), seed).drop("vector")
+    """(id, model, shop, brand, hashes): vectors are signed before the join and then dropped."""
+    embeddings = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model"))
+    points = table(spark, sf_dir, "embeddings").count()  # from the file footers
+    signed = lk.signatures(embeddings, "vector", bands, LENGTH, points, seed).drop("vector")
+    shops = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("shop"), F.col("lang").alias("brand"))
+    return signed.join(shops, "id")
 
 
 VECTORS_SQL = """
@@ -59,7 +65,7 @@ def signature_sql(bands: int, seed: int = SEED, name: str = "sig") -> str:
     literals = ", ".join(f"({j}, {plane}::double[])" for j, plane in enumerate(matrix))
     return f"""
 {name}_planes as (select * from (values {literals}) t(j, plane)
-  where j < (select ceil(log2(8 * count(*))) from vectors)),
+  where j < (select ceil(log2(8 * count(*))) from embeddings)),
 {name}_bands as (
   select id, model, shop, brand, b as band,
          list_transform(vector[b * {rows} + 1 : (b + 1) * {rows}], lambda x: cast(x as double)) as v
@@ -392,7 +398,7 @@ def _sweep_sql() -> str:
   select {bands} as bands, count(*) as candidates, count(*) filter (hit) as found from {name}_pairs""")
     return f"""
 with {','.join(parts)},
-truth as (select sum(n * (n - 1) / 2) as duplicates from (select count(*) as n from vectors group by model)),
+truth as (select sum(n * (n - 1) / 2) as duplicates from (select count(*) as n from embeddings group by label)),
 runs as ({' union all '.join(selects)}),
 q as (select bands, coalesce(found / nullif(candidates, 0), 0) as pq, found / duplicates as pc from runs, truth)
 select bands, round(power(1.0 / bands, 1.0 / ({LENGTH} / bands)), 6) as threshold, round(avg(pq), 8) as pair_quality,
@@ -403,9 +409,8 @@ from q group by bands"""
 
 @query("threshold_sweep", "D16 I2 I13", _sweep_sql())
 def threshold_sweep(spark, sf_dir):
-    from tallyloom.session import stage
-
-    stored = stage(vectors(spark, sf_dir), "vectors")
+    stored = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model"))
     points = stored.count()
     runs = []
     for bands, seed in SWEEP:

@@ -565,12 +565,16 @@ select count(price) as n, round(avg(price), 4) as mean, round(stddev_samp(price)
        round(min(price), 4) as low, round(max(price), 4) as high,
        round(quantile_cont(price, 0.25), 4) as q25, round(quantile_cont(price, 0.75), 4) as q75 from p""")
 def column_moments(spark, sf_dir):
-    prices = trade_cells(spark, sf_dir).select(unit_price("value", "quantity").alias("price"))
-    out = prices.agg(
-        F.count("price").alias("n"), *scale.moments(prices, "price"), F.min("price").alias("low"),
-        F.max("price").alias("high"), F.percentile("price", F.lit(0.25)).alias("q25"),
-        F.percentile("price", F.lit(0.75)).alias("q75"))
-    return out.select("n", *[r(c).alias(c) for c in out.columns if c != "n"])
+    from tallyloom.operators.ordered import quantiles
+    from tallyloom.session import stage
+
+    prices = stage(trade_cells(spark, sf_dir).select(unit_price("value", "quantity").alias("price")), "prices")
+    names = {"median": 0.5, "q25": 0.25, "q75": 0.75}
+    points = quantiles(prices, "price", names).select(F.struct(*names).alias("q")).scalar()
+    out = prices.agg(F.count("price").alias("n"), *scale.moments("price"), F.min("price").alias("low"),
+                     F.max("price").alias("high"))
+    return out.select("n", *[r(c).alias(c) for c in out.columns if c != "n"],
+                      *[r(points[n]).alias(n) for n in names])
 
 
 @query("population_join", "C18 C8", f"""
