@@ -52,7 +52,7 @@ def decimal_comma_file(spark, sf_dir):
 with {OIL_SQL} select month, round(oil_price, 3) as price from oil""")
 def futures_file(spark, sf_dir):
     path = scratch_path(spark, "futures")
-    price = F.regexp_replace(F.round("oil_price", 3).cast("decimal(18,3)").cast("string"), r"\.", ",")
+    price = F.regexp_replace(r("oil_price", 3).cast("decimal(18,3)").cast("string"), r"\.", ",")
     monthly_oil(spark, sf_dir).select(
         F.date_format("month", "MM/dd/yyyy").alias("Date"), price.alias("Price"), price.alias("Open"),
         price.alias("High"), price.alias("Low"), F.lit("2.81M").alias("Vol."), F.lit("1.0%").alias("Change %"),
@@ -65,7 +65,7 @@ with {OIL_SQL} select month, round(oil_price, 3) as price from oil""")
 def titled_file(spark, sf_dir):
     """A file with title and footer rows: only rows whose key is a date stay."""
     path = scratch_path(spark, "titled")
-    text = F.round("oil_price", 3).cast("string")
+    text = r("oil_price", 3).cast("string")
     rows = monthly_oil(spark, sf_dir).select(F.date_format("month", "yyyy'M'MM").alias("key"), text.alias("price"))
     titles = spark.createDataFrame([("World prices", None), ("(monthly)", "USD"), ("Source: tables", None)],
                                    "key string, price string")

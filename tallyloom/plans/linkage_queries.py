@@ -11,6 +11,7 @@ from tallyloom.functions import text as tx
 from tallyloom.functions.rates import harmonic, pair_measures, rate
 from tallyloom.operators import linkage as lk
 from tallyloom.operators.ordered import running
+from tallyloom.plans.panel_queries import r
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import table
 
@@ -207,7 +208,7 @@ def bucket_members(spark, sf_dir):
     rows = lk.bucket_rows(signed_vectors(spark, sf_dir, 8), ["id"])
     members = rows.join(lk.bucket_sizes(rows, ["band", "hash"]).drop("first_id"), ["band", "hash"])
     total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return members.join(vectors(spark, sf_dir).select("id", F.round(total, 4).alias("total")), "id").select(
+    return members.join(vectors(spark, sf_dir).select("id", r(total, 4).alias("total")), "id").select(
         "id", "band", "hash", "size", "total")
 
 
@@ -323,8 +324,8 @@ def pair_features(spark, sf_dir):
     pairs = lk.candidate_pairs(
         signed_vectors(spark, sf_dir, 16), same=["brand"], different="shop").drop("kind")
     f = lk.pair_features(pairs, _pair_records(spark, sf_dir))
-    return f.select("id_a", "id_b", F.round("cosine", 5).alias("cosine"), F.round("overlap", 6).alias("overlap"),
-                    "same_model", F.round("length_gap", 6).alias("length_gap"))
+    return f.select("id_a", "id_b", r("cosine", 5).alias("cosine"), r("overlap", 6).alias("overlap"),
+                    "same_model", r("length_gap", 6).alias("length_gap"))
 
 
 @query("pair_classifier_measures", "I10 I12")
@@ -377,7 +378,7 @@ def pair_measures_by_cosine(spark, sf_dir):
         F.sum(F.col("count") * (F.col("count") - 1) / 2)).scalar()
     out = pair_measures(scored, "label", "p", truth)
     exact = ["tp", "tn", "fp", "fn", "pairs", "duplicates"]
-    return out.select(*exact, *[F.round(c, 8).alias(c) for c in out.columns if c not in exact])
+    return out.select(*exact, *[r(c, 8).alias(c) for c in out.columns if c not in exact])
 
 
 # Band counts and plane seeds of the sweep.
@@ -385,7 +386,8 @@ SWEEP = [(bands, seed) for bands in (1, 2, 4) for seed in (1, 2)]
 
 
 def _sweep_sql() -> str:
-    parts = [VECTORS_SQL]
+    parts = ["""
+vectors as (select vec_id as id, embedding as vector, label as model, null as shop, null as brand from embeddings)"""]
     selects = []
     for bands, seed in SWEEP:
         name = f"s{bands}_{seed}"
@@ -421,9 +423,9 @@ def threshold_sweep(spark, sf_dir):
             rate("found", "candidates").alias("pq"), rate("found", "duplicates").alias("pc")))
     every = reduce(lambda a, b: a.unionByName(b), runs)
     return every.groupBy("bands").agg(
-        F.round(F.max("threshold"), 6).alias("threshold"), F.round(F.avg("pq"), 8).alias("pair_quality"),
-        F.round(F.avg("pc"), 8).alias("pair_completeness"),
-        F.round(F.avg(harmonic(F.col("pq"), F.col("pc"))), 8).alias("f1_star"))
+        r(F.max("threshold"), 6).alias("threshold"), r(F.avg("pq"), 8).alias("pair_quality"),
+        r(F.avg("pc"), 8).alias("pair_completeness"),
+        r(F.avg(harmonic(F.col("pq"), F.col("pc"))), 8).alias("f1_star"))
 
 
 @query("blocked_pair_totals", "C12 I6 I12", f"""
@@ -445,4 +447,4 @@ def text_vectors(spark, sf_dir):
     values = vector_to_array("vector")
     return lk.text_vectors(docs, "text").select(
         "doc_id", F.size(F.filter(values, lambda x: x > 0)).alias("terms"),
-        F.round(F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+        r(F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))

@@ -9,13 +9,15 @@ from tallyloom.functions.scalar import unit_price, zeros_to_null
 from tallyloom.operators import fill, panel, scale
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import (
-    FUTURES_SQL, MACRO_SQL, OIL_SQL, TRADE_SQL, indicator_records, monthly_futures,
+    FUTURES_SQL, MACRO_SQL, OIL_SQL, TRADE_SQL, exact_prices, indicator_records, monthly_futures,
     monthly_oil, product_cells, table, trade_cells, weather_days, yearly_macro,
 )
 
 
 def r(column, digits: int = 4):
-    return F.round(column, digits)
+    """Round half away from zero after scaling, as SQL engines round doubles."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.round(c * 10.0**digits) / 10.0**digits
 
 
 # The part types that stand for products, and a split of them in categories.
@@ -53,7 +55,7 @@ select c.partner, g.month, round(c.value / nullif(c.quantity, 0), 4) as price,
 from cells c right join globals g on c.month = g.month""")
 def global_price(spark, sf_dir):
     cells = trade_cells(spark, sf_dir)
-    monthly = panel.price_by(cells, ["month"], "globalprice").select("month", "globalprice")
+    monthly = exact_prices(cells, ["month"], "globalprice").select("month", "globalprice")
     return cells.join(monthly, "month", "right").select(
         "partner", "month", r(unit_price("value", "quantity")).alias("price"),
         r("globalprice").alias("globalprice"),
@@ -62,20 +64,18 @@ def global_price(spark, sf_dir):
 
 @query("price_by_product_month", "D1 G1", f"""
 with {TRADE_SQL}
-select product, month, sum(quantity) as quantity, round(sum(value), 2) as value,
-       round(sum(value) / nullif(sum(quantity), 0), 4) as price
+select product, month, sum(quantity) as quantity, cast(sum(cents) as bigint) as cents,
+       cast(sum(cents) as double) / nullif(sum(quantity), 0) / 100 as price
 from product_cells group by product, month
 union all
-select 'ALL' as product, month, sum(quantity), round(sum(value), 2),
-       round(sum(value) / nullif(sum(quantity), 0), 4)
+select 'ALL' as product, month, sum(quantity), cast(sum(cents) as bigint),
+       cast(sum(cents) as double) / nullif(sum(quantity), 0) / 100
 from product_cells group by month""")
 def price_by_product_month(spark, sf_dir):
     cells = product_cells(spark, sf_dir)
-    each = panel.price_by(cells, ["product", "month"])
-    whole = panel.price_by(each.select("month", "quantity", "value"), ["month"]).withColumn(
-        "product", F.lit("ALL"))
-    return each.unionByName(whole).select(
-        "product", "month", "quantity", r("value", 2).alias("value"), r("price").alias("price"))
+    each = exact_prices(cells, ["product", "month"])
+    whole = exact_prices(each, ["month"]).withColumn("product", F.lit("ALL"))
+    return each.unionByName(whole).select("product", "month", "quantity", "cents", "price")
 
 
 @query("indicator_pivot", "D4 D6 G2", f"""
@@ -102,8 +102,8 @@ def indicator_pivot(spark, sf_dir):
 with {DENSE_SQL}
 select partner, month, quantity, round(value, 2) as value, round(price, 4) as price from dense""")
 def dense_panel(spark, sf_dir):
-    return dense_cells(spark, sf_dir).withColumns(
-        {"value": r("value", 2), "price": r("price")})
+    return dense_cells(spark, sf_dir).select(
+        "partner", "month", "quantity", r("value", 2).alias("value"), r("price").alias("price"))
 
 
 @query("enriched_panel", "B7 B8 C3 C4 C5", f"""
@@ -130,7 +130,7 @@ select partner, month, nullif(quantity, 0) as quantity, round(nullif(price, 0),
 from d""")
 def enriched_panel(spark, sf_dir):
     cells = trade_cells(spark, sf_dir)
-    monthly = panel.price_by(cells, ["month"], "globalprice").select("month", "globalprice")
+    monthly = exact_prices(cells, ["month"], "globalprice").select("month", "globalprice")
     january = yearly_macro(cells).select(
         "partner", F.make_date("year", F.lit(1), F.lit(1)).alias("month"), "gdp")
     dense = panel.densify(
@@ -167,16 +167,15 @@ def outer_fold_products(spark, sf_dir):
 
 @query("sum_of_parts", "B11 C6 D8", f"""
 with {TRADE_SQL}
-select partner, month, sum(quantity) as quantity, round(sum(value), 2) as value,
-       round(sum(value) / nullif(sum(quantity), 0), 4) as price
+select partner, month, sum(quantity) as quantity, cast(sum(cents) as bigint) as cents,
+       cast(sum(cents) as double) / 100 / nullif(sum(quantity), 0) as price
 from product_cells where product in ('ECONOMY', 'LARGE', 'STANDARD') group by partner, month""")
 def sum_of_parts(spark, sf_dir):
     cells = product_cells(spark, sf_dir)
     parts = [cells.filter(F.col("product") == p) for p in ("ECONOMY", "LARGE", "STANDARD")]
-    summed = panel.sum_parts(parts, ["partner", "month"], ["quantity", "value"])
+    summed = panel.sum_parts(parts, ["partner", "month"], ["quantity", "cents"])
     return summed.select(
-        "partner", "month", "quantity", r("value", 2).alias("value"),
-        r(unit_price("value", "quantity")).alias("price"))
+        "partner", "month", "quantity", "cents", unit_price(F.col("cents") / 100, "quantity").alias("price"))
 
 
 @query("category_totals", "B11 C17 D8", f"""
@@ -386,8 +385,8 @@ select n.partner, n.month, round(coalesce(n.price, n.near * g.factor), 4) as pri
 from near n join g on n.month = g.month""")
 def price_filled_by_global(spark, sf_dir):
     dense = dense_cells(spark, sf_dir)
-    monthly = panel.price_by(
-        dense.filter(F.col("value").isNotNull()), ["month"], "globalprice").select("month", "globalprice")
+    monthly = exact_prices(
+        dense.filter(F.col("cents").isNotNull()), ["month"], "globalprice").select("month", "globalprice")
     filled = panel.fill_price_by_global(dense.join(monthly, "month", "left"))
     return filled.select("partner", "month", r("price").alias("price"))
 
@@ -499,8 +498,8 @@ select j.partner, j.month, round(j.price, 4) as price, round((quantity - qm) / q
 from j join s on j.partner = s.partner""")
 def standardised_panel(spark, sf_dir):
     dense = dense_cells(spark, sf_dir)
-    monthly = panel.price_by(
-        dense.filter(F.col("value").isNotNull()), ["month"], "globalprice").select("month", "globalprice")
+    monthly = exact_prices(
+        dense.filter(F.col("cents").isNotNull()), ["month"], "globalprice").select("month", "globalprice")
     joined = dense.join(monthly, "month").select("partner", "month", "price", "quantity", "globalprice")
     columns = ["quantity", "globalprice"]  # the column price is left as it is
     fitted = scale.fit_standard(joined, columns, ["partner"], population=True)
@@ -513,7 +512,8 @@ def standardised_panel(spark, sf_dir):
 with {DENSE_SQL},
 s as (select partner, avg(price) as m, coalesce(nullif(stddev_samp(price), 0), 1) as s
       from dense where month < date '2000-01-01' group by partner)
-select d.partner, d.month, round((price - m) / s, 6) as scaled, round(price, 4) as back
+select d.partner, d.month, round((price - m) / s, 6) as scaled,
+       case when price is not null then true end as restored
 from dense d join s on d.partner = s.partner where d.month >= date '2000-01-01'""")
 def train_fitted_scaling(spark, sf_dir):
     dense = dense_cells(spark, sf_dir).select("partner", "month", "price")
@@ -521,9 +521,13 @@ def train_fitted_scaling(spark, sf_dir):
     test = dense.filter(F.col("month") >= "2000-01-01")
     step = scale.Scaled(scale.fit_standard(train, ["price"], ["partner"]), ["price"], ["partner"])
     scaled = step(test)
-    both = scaled.withColumnRenamed("price", "scaled").join(
-        step.reverse(scaled).withColumnRenamed("price", "back"), ["partner", "month"])
-    return both.select("partner", "month", r("scaled", 6).alias("scaled"), r("back").alias("back"))
+    both = (
+        scaled.withColumnRenamed("price", "scaled")
+        .join(step.reverse(scaled).withColumnRenamed("price", "back"), ["partner", "month"])
+        .join(test, ["partner", "month"])
+    )
+    return both.select("partner", "month", r("scaled", 6).alias("scaled"),
+                       (F.abs(F.col("back") - F.col("price")) < 1e-6).alias("restored"))
 
 
 @query("minmax_scaling", "E14", f"""

@@ -23,7 +23,7 @@ def month_of(column: str) -> Column:
 
 
 def trade_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(partner, month, quantity, value): line items by customer nation and order month.
+    """(partner, month, quantity, cents, value): line items by customer nation and order month.
 
     Line items are summed per order before the join, so the join moves one row per order
     and an order with very many lines is folded map-side.
@@ -45,12 +45,12 @@ def trade_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum("quantity").alias("quantity"), F.sum("cents").alias("cents"))
     )
     return by_nation.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "partner", "month", "quantity", (F.col("cents") / 100).alias("value")
+        "partner", "month", "quantity", "cents", (F.col("cents") / 100).alias("value")
     )
 
 
 def product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(partner, month, product, quantity, value); product is the part type."""
+    """(partner, month, product, quantity, cents, value); product is the part type."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("product"))
     lines = (
         table(spark, sf_dir, "lineitem")
@@ -71,10 +71,19 @@ def product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum("quantity").alias("quantity"), F.sum("cents").alias("cents"))
     )
     return by_nation.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "partner", "month", "product", "quantity", (F.col("cents") / 100).alias("value")
+        "partner", "month", "product", "quantity", "cents", (F.col("cents") / 100).alias("value")
     )
 
 
+def exact_prices(cells: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
+    """(keys, quantity, cents, price) with the money summed in whole cents."""
+    from tallyloom.operators.panel import price_by
+
+    whole = cells.select(*keys, "quantity", F.col("cents").alias("value"))
+    return price_by(whole, keys, price).withColumnRenamed("value", "cents").withColumn(
+        price, F.col(price) / 100)
+
+
 TRADE_SQL = """
 trade as (
   select n.n_name as partner, cast(date_trunc('month', o.o_orderdate) as date) as month,
@@ -85,17 +94,17 @@ trade as (
   join nation n on c.c_nationkey = n.n_nationkey
   join part p on l.l_partkey = p.p_partkey),
 cells as (
-  select partner, month, sum(quantity) as quantity, cast(sum(cents) as double) / 100 as value
+  select partner, month, sum(quantity) as quantity, sum(cents) as cents, cast(sum(cents) as double) / 100 as value
   from trade group by partner, month),
 product_cells as (
-  select partner, month, product, sum(quantity) as quantity,
+  select partner, month, product, sum(quantity) as quantity, sum(cents) as cents,
          cast(sum(cents) as double) / 100 as value
   from trade group by partner, month, product),
 months as (select distinct month from cells),
 partners as (select distinct partner from cells),
 grid as (select partner, month from partners, months),
 globals as (
-  select month, sum(value) / sum(quantity) as globalprice from cells group by month)
+  select month, cast(sum(cents) as double) / sum(quantity) / 100 as globalprice from cells group by month)
 """
 
 
