@@ -112,13 +112,12 @@ def _everything():
     return Window.partitionBy()  # one row per alternative
 
 
-def derivatives(rows: DataFrame, theta: Column, k: int, keys: list[str] | None = None) -> DataFrame:
-    """Log-likelihood, gradient and information (upper triangle) in one aggregation.
+def derivative_step(k: int, keys: list[str]):
+    """Function from rows with ``_theta`` to one row per key: likelihood, gradient, information.
 
     Each occasion becomes one term per alternative, p_j x_j x_j', and one term for the mean,
-    -xbar xbar'. They are summed map-side.
+    -xbar xbar'. They are summed map-side. The columns are built once for all steps.
     """
-    scored = with_probabilities(rows, theta, log_p="_lp")
     mean = F.array(*[
         F.aggregate(F.zip_with("p", "x", lambda pj, v: pj * F.get(v, F.lit(i))), F.lit(0.0), lambda a, t: a + t)
         for i in range(k)
@@ -128,15 +127,27 @@ def derivatives(rows: DataFrame, theta: Column, k: int, keys: list[str] | None =
         F.get("p", j).alias("h"), F.lit(0.0).alias("l")))
     whole = F.array(F.struct(
         F.col("_mean").alias("v"), F.lit(-1.0).alias("g"), F.lit(-1.0).alias("h"), F.col("_lp").alias("l")))
-    flat = scored.withColumn("_mean", mean).select(*(keys or []), "w", F.inline(F.concat(terms, whole)))
-    flat = flat.select(*(keys or []), "w", "g", "h", "l", *[F.get("v", F.lit(i)).alias(f"v{i}") for i in range(k)])
+    split = F.inline(F.concat(terms, whole))
+    parts = [F.get("v", F.lit(i)).alias(f"v{i}") for i in range(k)]
     sums = [F.sum(F.col("w") * F.col("l")).alias("loglik")]
     sums += [F.sum(F.col("w") * F.col("g") * F.col(f"v{i}")).alias(f"g_{i}") for i in range(k)]
     sums += [
         F.sum(F.col("w") * F.col("h") * F.col(f"v{i}") * F.col(f"v{j}")).alias(f"h_{i}_{j}")
         for i, j in combinations_with_replacement(range(k), 2)
     ]
-    return flat.groupBy(*keys).agg(*sums) if keys else flat.agg(*sums)
+    theta = F.col("_theta")
+
+    def step(rows: DataFrame) -> DataFrame:
+        scored = with_probabilities(rows, theta, log_p="_lp").withColumn("_mean", mean)
+        flat = scored.select(*keys, "w", split).select(*keys, "w", "g", "h", "l", *parts)
+        return flat.groupBy(*keys).agg(*sums) if keys else flat.agg(*sums)
+
+    return step
+
+
+def derivatives(rows: DataFrame, theta: Sequence[float]) -> DataFrame:
+    """Log-likelihood, gradient and information (upper triangle) at ``theta``, one row."""
+    return derivative_step(len(theta), [])(rows.withColumn("_theta", literal(theta)))
 
 
 def _unpack(row, k: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -174,6 +185,7 @@ def fit_logit_groups(
     lost block is computed again from its source.
     """
     k = len(terms)
+    advance = derivative_step(k, [key])
     rows = rows.persist()
     try:
         keys = [r[0] for r in rows.select(key).distinct().collect()]  # one value per dataset
@@ -183,11 +195,10 @@ def fit_logit_groups(
         open_ = set(keys)
         taken = 0
         while open_ and taken < steps:
-            table = rows.sparkSession.createDataFrame(
-                [(g, [float(t) for t in theta[g]]) for g in sorted(open_)],
-                f"{key} {rows.schema[key].dataType.simpleString()}, _theta array<double>")
-            joined = rows.join(table, key)
-            for row in derivatives(joined, F.col("_theta"), k, [key]).collect():
+            # one short array per dataset still in work; others give null and leave
+            now = F.create_map(*[F.lit(c) for g in sorted(open_) for c in (g, np.asarray(theta[g], float))])
+            live = rows.withColumn("_theta", F.try_element_at(now, F.col(key))).filter(F.col("_theta").isNotNull())
+            for row in advance(live).collect():
                 g = row[key]
                 value, gradient, information = _unpack(row, k)
                 if g in best and value < best[g][0] - 1e-9 * abs(best[g][0]):

@@ -85,7 +85,8 @@ def stl(df: DataFrame, keys: list[str], time: str, value: str, period: int = 12,
         trend, season = _stl(y, period, seasonal_span)
         return ordered.assign(trend=trend, seasonal=season, residual=y - trend - season)
 
-    narrow = df.select(*keys, time, value)
+    # the grouping uses this partitioning, so a series is moved once
+    narrow = df.select(*keys, time, value).repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields)
     out = narrow.groupBy(*keys).applyInPandas(
         parts, f"{schema}, trend double, seasonal double, residual double")

@@ -145,7 +145,9 @@ def forecasts(windows: DataFrame, horizon: int, exogenous: bool = False) -> Data
             for y, a, b, c in zip(past, x, x_next, orders)])
 
     made = with_x("past", "x_past", "x_future", "config") if exogenous else plain("past", "config")
-    return windows.withColumn("predicted", made)
+    # fits cost far more than moving a short window: spread them over all cores
+    spread = windows.repartition(windows.sparkSession.sparkContext.defaultParallelism, "past", "config")
+    return spread.withColumn("predicted", made)
 
 
 def fitted_values(series: DataFrame) -> DataFrame:

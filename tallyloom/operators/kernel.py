@@ -25,30 +25,36 @@ def bounds(df: DataFrame, x1: str, x2: str) -> Column:
         F.min(x1).alias("a1"), F.max(x1).alias("b1"), F.min(x2).alias("a2"), F.max(x2).alias("b2"))).scalar()
 
 
-def _axis(lo: Column, hi: Column, m: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: lo + (hi - lo) * i / (m - 1))
+def _nodes(span: DataFrame, m: int) -> DataFrame:
+    """The m^2 grid nodes (i, j, g1, g2) of a one-row frame of bounds, in one array."""
+    def axis(lo: str, hi: str) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.col(lo) + (F.col(hi) - F.col(lo)) * i / (m - 1))
+
+    rows = F.transform(axis("a1", "b1"), lambda g1, i: F.transform(axis("a2", "b2"), lambda g2, j: F.struct(
+        i.alias("i"), j.alias("j"), g1.alias("g1"), g2.alias("g2"))))
+    return span.select(F.flatten(rows).alias("nodes"))
 
 
 def grid_density(df: DataFrame, x1: str, x2: str, bandwidth: np.ndarray, m: int, cls: str | None = None) -> DataFrame:
     """Product-kernel density on an m x m grid over the range of the data, per class if asked.
 
     Each row adds to every node of the fixed grid and the sums fold map-side, so the work is
-    rows x m^2 and the shuffle m^2 rows per task.
+    rows x m^2 and the shuffle m^2 rows per task. That work dwarfs a shuffle of the two
+    coordinates, so rows are first spread evenly over the cores.
     """
-    span = bounds(df, x1, x2)
     inverse, det = np.linalg.inv(bandwidth), float(np.linalg.det(bandwidth))
     keys = [cls] if cls else []
-    nodes = (
-        df.select(*keys, F.col(x1).alias("_x"), F.col(x2).alias("_y"), span.alias("s"))
-        .select(*keys, "_x", "_y", "s", F.posexplode(_axis(F.col("s.a1"), F.col("s.b1"), m)).alias("i", "g1"))
-        .select(*keys, "_x", "_y", "i", "g1", F.posexplode(_axis(F.col("s.a2"), F.col("s.b2"), m)).alias("j", "g2"))
-    )
+    grid = _nodes(df.agg(F.min(x1).alias("a1"), F.max(x1).alias("b1"), F.min(x2).alias("a2"), F.max(x2).alias("b2")), m)
+    rows = df.select(*keys, F.col(x1).alias("_x"), F.col(x2).alias("_y")).repartition(
+        df.sparkSession.sparkContext.defaultParallelism)
+    placed = rows.select(*keys, "_x", "_y", F.inline(grid.scalar()))
     d1, d2 = F.col("g1") - F.col("_x"), F.col("g2") - F.col("_y")
     u1 = d1 * float(inverse[0, 0]) + d2 * float(inverse[1, 0])
     u2 = d1 * float(inverse[0, 1]) + d2 * float(inverse[1, 1])
-    weight = F.exp(-0.5 * (u1 * u1 + u2 * u2)) / (2 * float(np.pi) * det)
-    return nodes.groupBy(*keys, "i", "j").agg(
-        F.max("g1").alias("g1"), F.max("g2").alias("g2"), F.avg(weight).alias("density"))
+    weight = F.exp(-0.5 * (u1 * u1 + u2 * u2))
+    density = placed.groupBy(*keys, "i", "j", "g1", "g2").agg(F.avg(weight).alias("_mean"))
+    return density.select(*keys, "i", "j", "g1", "g2", (F.col("_mean") / (2 * float(np.pi) * det)).alias("density"))
 
 
 def classify_grid(df: DataFrame, x1: str, x2: str, cls: str, bandwidth: np.ndarray, m: int) -> DataFrame:

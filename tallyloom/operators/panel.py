@@ -34,14 +34,18 @@ def price_by(df: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
     return sums.withColumn(price, unit_price("value", "quantity"))
 
 
-def densify(df: DataFrame, keys: list[str], month: str = "month", calendar: bool = False) -> DataFrame:
+def densify(
+    df: DataFrame, keys: list[str], month: str = "month", calendar: bool = False, staged: bool = True
+) -> DataFrame:
     """One row per (key, month) for all keys and all months seen.
 
     The months are one array (bounded by the calendar) exploded under each distinct key,
     so no cross join is planned. ``calendar`` takes every month from first to last.
-    The input is read three times (months, keys, cells), so it is staged first.
+    The input is read three times (months, keys, cells), so it is staged first unless it is
+    a stored table already.
     """
-    df = stage(df, "cells")
+    if staged:
+        df = stage(df, "cells")
     if calendar:
         ends = df.agg(F.struct(F.min(month).alias("a"), F.max(month).alias("b")).alias("e")).scalar()
         months = F.sequence(ends["a"], ends["b"], F.expr("interval 1 month"))

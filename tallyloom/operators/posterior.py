@@ -145,6 +145,8 @@ def regression_draws(
     tagged = sums.withColumns(
         {"_chain": F.explode(F.sequence(F.lit(0), F.lit(chains - 1))),
          "_seed": F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**31))})
+    # little data, much work: one chain is a unit, spread over all cores
+    tagged = tagged.repartition(tagged.sparkSession.sparkContext.defaultParallelism, *keys, "_chain")
 
     def each(batches):
         for batch in batches:

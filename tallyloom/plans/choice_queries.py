@@ -134,7 +134,7 @@ g as (select t.i, sum(coalesce(c.n, 0) * x.v[t.i] - m.n * x.p * x.v[t.i]) as g
 select ['const_AMERICA', 'const_ASIA', 'const_EUROPE', 'const_MIDDLE_EAST', 'price', 'dis', 'feature'][i] as term,
        round(g, 4) as gradient from g""")
 def logit_gradient(spark, sf_dir):
-    row = ch.derivatives(choice_rows(spark, sf_dir), ch.literal(THETA), len(TERMS))
+    row = ch.derivatives(choice_rows(spark, sf_dir), THETA)
     pairs = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"g_{i}").alias("gradient")) for i, t in enumerate(TERMS)])
     return row.select(F.inline(pairs)).withColumn("gradient", r("gradient"))
 

@@ -10,7 +10,7 @@ from tallyloom.operators import fill, panel, scale
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import (
     FUTURES_SQL, MACRO_SQL, OIL_SQL, TRADE_SQL, exact_prices, indicator_records, monthly_futures,
-    monthly_oil, product_cells, table, trade_cells, weather_days, yearly_macro,
+    monthly_oil, product_cells, stored_cells, stored_product_cells, table, trade_cells, weather_days, yearly_macro,
 )
 
 
@@ -25,8 +25,8 @@ PRODUCTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def dense_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = trade_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
-    return panel.densify(cells, ["partner"])
+    cells = stored_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
+    return panel.densify(cells, ["partner"], staged=False)
 
 
 DENSE_SQL = TRADE_SQL + """,
@@ -54,7 +54,7 @@ select c.partner, g.month, round(c.value / nullif(c.quantity, 0), 4) as price,
        round(g.globalprice, 4) as globalprice
 from cells c right join globals g on c.month = g.month""")
 def global_price(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir)
+    cells = stored_cells(spark, sf_dir)
     monthly = exact_prices(cells, ["month"], "globalprice").select("month", "globalprice")
     return cells.join(monthly, "month", "right").select(
         "partner", "month", r(unit_price("value", "quantity")).alias("price"),
@@ -72,7 +72,7 @@ select 'ALL' as product, month, sum(quantity), cast(sum(cents) as bigint),
        cast(sum(cents) as double) / nullif(sum(quantity), 0) / 100
 from product_cells group by month""")
 def price_by_product_month(spark, sf_dir):
-    cells = product_cells(spark, sf_dir)
+    cells = stored_product_cells(spark, sf_dir)
     each = exact_prices(cells, ["product", "month"])
     whole = exact_prices(each, ["month"]).withColumn("product", F.lit("ALL"))
     return each.unionByName(whole).select("product", "month", "quantity", "cents", "price")
@@ -129,13 +129,13 @@ select partner, month, nullif(quantity, 0) as quantity, round(nullif(price, 0),
        coalesce(nullif(quantity, 0), 0) as quantity_or_zero
 from d""")
 def enriched_panel(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir)
+    cells = stored_cells(spark, sf_dir)
     monthly = exact_prices(cells, ["month"], "globalprice").select("month", "globalprice")
     january = yearly_macro(cells).select(
         "partner", F.make_date("year", F.lit(1), F.lit(1)).alias("month"), "gdp")
     dense = panel.densify(
         cells.select("partner", "month", "quantity", unit_price("value", "quantity").alias("price")),
-        ["partner"])
+        ["partner"], staged=False)
     joined = (
         dense.join(monthly, "month", "right")
         .join(monthly_oil(spark, sf_dir), "month", "full")
@@ -157,7 +157,7 @@ s as (select partner, month, quantity as standard from product_cells where produ
 select partner, month, economy, large, standard
 from e full join l using (partner, month) full join s using (partner, month)""")
 def outer_fold_products(spark, sf_dir):
-    cells = product_cells(spark, sf_dir)
+    cells = stored_product_cells(spark, sf_dir)
     parts = [
         cells.filter(F.col("product") == p).select("partner", "month", F.col("quantity").alias(p.lower()))
         for p in ("ECONOMY", "LARGE", "STANDARD")
@@ -171,7 +171,7 @@ select partner, month, sum(quantity) as quantity, cast(sum(cents) as bigint) as
        cast(sum(cents) as double) / 100 / nullif(sum(quantity), 0) as price
 from product_cells where product in ('ECONOMY', 'LARGE', 'STANDARD') group by partner, month""")
 def sum_of_parts(spark, sf_dir):
-    cells = product_cells(spark, sf_dir)
+    cells = stored_product_cells(spark, sf_dir)
     parts = [cells.filter(F.col("product") == p) for p in ("ECONOMY", "LARGE", "STANDARD")]
     summed = panel.sum_parts(parts, ["partner", "month"], ["quantity", "cents"])
     return summed.select(
@@ -210,7 +210,7 @@ select partner, month, product, round(weight, 6) as weight,
        round(weight * quantity, 4) as weighted_quantity, round(weight * value, 3) as weighted_value
 from w""")
 def share_weighted_price(spark, sf_dir):
-    cells = product_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
+    cells = stored_product_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
     w = panel.share_weights(cells, ["month", "product"])
     return w.select(
         "partner", "month", "product", r("weight", 6).alias("weight"),
@@ -418,7 +418,7 @@ select coalesce(e.partner, l.partner) as partner, coalesce(e.month, l.month) as
        coalesce(e.price, l.price) as price
 from e full join l on e.partner = l.partner and e.month = l.month""")
 def combine_first_price(spark, sf_dir):
-    cells = product_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
+    cells = stored_product_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
     one = [cells.filter(F.col("product") == p).select("partner", "month", "price")
            for p in ("ECONOMY", "LARGE")]
     return panel.patch(one[0], one[1], ["partner", "month"], ["price"])
@@ -455,7 +455,7 @@ s as (select *, sum(quantity) over (order by quantity desc, partner rows unbound
 top as (select partner from s where before / total < 0.8)
 select partner, month, quantity from cells where partner in (select partner from top)""")
 def pareto_partners(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir)
+    cells = stored_cells(spark, sf_dir)
     inside = cells.filter(F.col("month").between("1996-01-01", "2022-10-01"))
     top = panel.top_partners(inside, "partner", "quantity", 0.8).select("partner")
     return cells.join(top, "partner", "left_semi").select("partner", "month", "quantity")
@@ -535,7 +535,7 @@ with {TRADE_SQL}, s as (select partner, min(quantity) as lo, max(quantity) as hi
 select c.partner, c.month, round((quantity - lo) / nullif(hi - lo, 0), 6) as quantity
 from cells c join s on c.partner = s.partner""")
 def minmax_scaling(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir).select("partner", "month", "quantity")
+    cells = stored_cells(spark, sf_dir).select("partner", "month", "quantity")
     fitted = scale.fit_minmax(cells, ["quantity"], ["partner"])
     return scale.apply_scale(cells, fitted, ["quantity"], ["partner"]).withColumn(
         "quantity", r("quantity", 6))
@@ -547,7 +547,7 @@ s as (select avg(price) as m, coalesce(nullif(stddev_samp(price), 0), 1) as s fr
 select p.partner, p.month, round((p.price - m) / s, 6) as scaled, true as restored
 from p, s""")
 def transform_chain(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
+    cells = stored_cells(spark, sf_dir).withColumn("price", unit_price("value", "quantity"))
     kept, logged = scale.Kept(["partner", "month", "price"]), scale.Logged(["price"], 10.0)
     prices = scale.Chain(kept, logged)(cells)
     chain = scale.Chain(logged, scale.Scaled(scale.fit_standard(prices, ["price"]), ["price"]))
@@ -592,7 +592,7 @@ union all
 select a.partner, a.year, a.gdp, null, true from a
 where not exists (select 1 from b where b.partner = a.partner and b.year = a.year)""")
 def population_join(spark, sf_dir):
-    macro = yearly_macro(trade_cells(spark, sf_dir))
+    macro = yearly_macro(stored_cells(spark, sf_dir))
     left = macro.select("partner", "year", "gdp")
     right = macro.filter(F.col("population") > 700000).select("partner", "year", "population")
     on = ["partner", "year"]
@@ -608,7 +608,7 @@ extra as (select partner, cast(unnest(generate_series(date '2030-01-01', date '2
           as month, cast(0 as double) as quantity from partners)
 select partner, month, quantity from cells union all select partner, month, quantity from extra""")
 def zero_rows_appended(spark, sf_dir):
-    cells = trade_cells(spark, sf_dir).select("partner", "month", "quantity")
+    cells = stored_cells(spark, sf_dir).select("partner", "month", "quantity")
     months = F.expr("sequence(date'2030-01-01', date'2030-10-01', interval 1 month)")
     extra = cells.select("partner").distinct().select(
         "partner", F.explode(months).alias("month"), F.lit(0.0).alias("quantity"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import stage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,6 +77,15 @@ def product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trade_cells`` written once, for queries that read them several times."""
+    return stage(trade_cells(spark, sf_dir), "cells")
+
+
+def stored_product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(product_cells(spark, sf_dir), "product-cells")
+
+
 def exact_prices(cells: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
     """(keys, quantity, cents, price) with the money summed in whole cents."""
     from tallyloom.operators.panel import price_by

@@ -188,7 +188,7 @@ select cast(i as integer) as i, cast(j as integer) as j, round(max(g1), 6) as g1
        round(sum(density * prior), 8) as density
 from density join prior using (cls) group by i, j""")
 def grid_density(spark, sf_dir):
-    out = kn.grid_density(points(spark, sf_dir), "x1", "x2", BANDWIDTH, GRID)
+    out = kn.grid_density(stage(points(spark, sf_dir), "points"), "x1", "x2", BANDWIDTH, GRID)
     return out.select("i", "j", r("g1", 6).alias("g1"), r("g2", 6).alias("g2"), r("density", 8).alias("density"))
 
 
@@ -204,7 +204,7 @@ def class_priors(spark, sf_dir):
 with {DENSITY_SQL}
 select cast(i as integer) as i, cast(j as integer) as j, cls, round(p, 7) as posterior from posterior""")
 def density_classes(spark, sf_dir):
-    out = kn.classify_grid(points(spark, sf_dir), "x1", "x2", "cls", BANDWIDTH, GRID)
+    out = kn.classify_grid(stage(points(spark, sf_dir), "points"), "x1", "x2", "cls", BANDWIDTH, GRID)
     return out.select("i", "j", "cls", r("posterior", 7).alias("posterior"))
 
 
@@ -216,7 +216,7 @@ hits as (select p.id, cast(p.cls = 'BUILDING' as integer) as y, cast(c.predicted
          from placed p join classes c on p.i = c.i and p.j = c.j)
 select id, y = 1 and z = 1 as tp, y = 0 and z = 0 as tn, y = 0 and z = 1 as fp, y = 1 and z = 0 as fn from hits""")
 def density_hit_flags(spark, sf_dir):
-    rows = kn.classify_rows(points(spark, sf_dir), "x1", "x2", "cls", BANDWIDTH, GRID)
+    rows = kn.classify_rows(stage(points(spark, sf_dir), "points"), "x1", "x2", "cls", BANDWIDTH, GRID)
     flags = rates.hit_flags(
         (F.col("cls") == "BUILDING").cast("int"), (F.col("predicted") == "BUILDING").cast("int"))
     return rows.select("id", *[c.alias(n) for n, c in flags.items()])
@@ -271,7 +271,7 @@ def best_bandwidth(spark, sf_dir):
 def single_index(spark, sf_dir):
     data = points(spark, sf_dir).join(
         table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey"), "id")
-    data = data.withColumn("x3", F.col("c_nationkey") / 10)
+    data = stage(data.withColumn("x3", F.col("c_nationkey") / 10), "points")
     return kn.single_index(data, "x1", "x3", "x2", [-2.0, -1.0, 0.0, 1.0, 2.0], 1.0, 20)
 
 
@@ -363,7 +363,7 @@ with {DRAWS_SQL}, s as (select min(value) as lo, max(value) as hi from draws)
 select param, cast(least(floor((value - lo) / (hi - lo) * 25) + 1, 25) as integer) as bin, count(*) as n
 from draws, s group by 1, 2""")
 def value_histogram(spark, sf_dir):
-    draws = daily_draws(spark, sf_dir)
+    draws = stage(daily_draws(spark, sf_dir), "draws")
     s = draws.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("s")).scalar()
     bin_ = F.least(F.floor(ratio(F.col("value") - s["lo"], s["hi"] - s["lo"]) * 25) + 1, F.lit(25)).cast("int")
     return draws.groupBy("param", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -65,7 +65,7 @@ def test_logit_fit(spark):
 def test_logit_gradient_is_the_slope(spark):
     rows = ch.occasions(choices(spark, 200), "choice", ALTS, ATTRS).persist()
     theta = np.array([0.1, 0.2, -0.3, 0.4])
-    row = ch.derivatives(rows, ch.literal(theta), 4).first()
+    row = ch.derivatives(rows, theta).first()
     for i in range(4):
         step = np.eye(4)[i] * 1e-5
         up, down = (ch.log_likelihood(rows, theta + s).first()["loglik"] for s in (step, -step))
