@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalar import ratio
+from tallyloom.operators.ordered import running
+from tallyloom.session import stage
 
 
 def _series(keys: list[str], time: str):
@@ -77,3 +79,16 @@ def year_to_months(
         month, F.explode(F.sequence(january, december, F.expr("interval 1 month")))
     ).withColumns({c: F.when(F.month(month) == 1, F.col(c).cast("double")) for c in columns})
     return interpolate(monthly.select(*keys, month, *columns), columns, keys, month)
+
+
+def down_the_file(df: DataFrame, label: str, row: str) -> DataFrame:
+    """Fill a label that stands only in the first row of its block, in file row order.
+
+    The block number is a running count of labels over slices of the row number; the label
+    of each block is then joined back, so a file of any length is never read in one task.
+    """
+    numbered = running(df, row, [], {"_block": F.col(label).isNotNull().cast("long")}, position=None)
+    numbered = stage(numbered, "blocks")
+    labels = numbered.filter(F.col(label).isNotNull()).select("_block", F.col(label).alias("_label"))
+    filled = numbered.join(labels, "_block", "left").withColumn(label, F.col("_label"))
+    return filled.select(*df.columns)

@@ -99,11 +99,14 @@ def pairs_within(
     ``max_group`` give spanning links (kind ``link``): every member is tied to the smallest
     member, or, with ``different``, to the smallest member that differs from it.
     """
-    other = [different] if different else []
-    # read four times below, and signatures or regexes may stand behind it: stored once
-    rows = stage(
-        df.select(*keys, F.col(id).alias("id"), *[F.col(c).alias("other") for c in other]), "members")
-    leads = stage(_leads(rows, keys, bool(different)), "leads")
+    other = F.col(different) if different else F.lit(None).cast("string")
+    # read several times below, and signatures or regexes may stand behind it: stored once
+    rows = stage(df.select(*keys, F.col(id).alias("id"), other.alias("other")), "members")
+    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead"))
+    # the value of ``other`` at the lead; the join key holds the unique id, so it is never hot
+    leads = groups.filter(F.col("size") > 1).join(
+        rows.select(*keys, F.col("id").alias("lead"), F.col("other").alias("lead_other")), [*keys, "lead"])
+    leads = stage(leads, "leads")
     # groups with over a thousandth of all rows: at most 1000 of them, so they may be
     # broadcast, and their rows leave before any shuffle on the group keys
     huge = max(rows.count() // HEAVY_GROUPS, max_group)
@@ -119,36 +122,29 @@ def pairs_within(
     pairs = a.join(b, rule).select(
         F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.lit(1).alias("listed"))
 
-    lead = F.when(F.col("other") != F.col("lead_other"), F.col("lead")).otherwise(
-        F.col("second")) if different else F.col("lead")
-    large = rest.filter(F.col("size") > max_group).unionByName(rows.join(heavy, keys))
-    links = (
-        large.withColumn("_lead", lead)
-        .filter(F.col("_lead").isNotNull() & (F.col("_lead") != F.col("id")))
-        .select(F.least("_lead", "id").alias("id_a"), F.greatest("_lead", "id").alias("id_b"),
-                F.lit(0).alias("listed"))
-    )
+    large = rest.filter(F.col("size") > max_group)
+    links = _spanning_links(large, keys, bool(different), few=False).unionByName(
+        _spanning_links(rows.join(heavy, keys), keys, bool(different), few=True))
     both = pairs.unionByName(links).groupBy("id_a", "id_b").agg(F.max("listed").alias("listed"))
     kind = F.when(F.col("listed") == 1, F.lit("pair")).otherwise(F.lit("link"))
     return both.select("id_a", "id_b", kind.alias("kind"))
 
 
-def _leads(rows: DataFrame, keys: list[str], different: bool) -> DataFrame:
-    """Group size, smallest id and, if asked, the smallest id with another ``other``."""
+def _spanning_links(rows: DataFrame, keys: list[str], different: bool, few: bool) -> DataFrame:
+    """Every row tied to the smallest id of its group, or to the smallest that differs.
+
+    ``few``: the groups are at most HEAVY_GROUPS, so what is known per group is broadcast.
+    """
     if not different:
-        return rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")
-        ).filter(F.col("size") > 1)
-    # one row per (group, value of other) before the window
-    values = rows.groupBy(*keys, "other").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("m"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("m"))
-    first, second = F.col("rank") == 1, F.col("rank") == 2
-    return values.withColumn("rank", rank).groupBy(*keys).agg(
-        F.sum("n").alias("size"),
-        F.max(F.when(first, F.col("m"))).alias("lead"),
-        F.max(F.when(first, F.col("other"))).alias("lead_other"),
-        F.max(F.when(second, F.col("m"))).alias("second"),
-    ).filter(F.col("size") > 1)
+        tied = rows.filter(F.col("id") != F.col("lead")).select("id", "lead")
+    else:
+        apart = rows.filter(F.col("other") != F.col("lead_other"))
+        seconds = apart.groupBy(*keys).agg(F.min("id").alias("second"))
+        alike = rows.filter(F.col("other") == F.col("lead_other")).join(
+            F.broadcast(seconds) if few else seconds, keys)
+        tied = apart.select("id", "lead").unionByName(alike.select("id", F.col("second").alias("lead")))
+    return tied.select(
+        F.least("lead", "id").alias("id_a"), F.greatest("lead", "id").alias("id_b"), F.lit(0).alias("listed"))
 
 
 def candidate_pairs(

@@ -133,3 +133,11 @@ def moments(column: str) -> list[Column]:
         F.stddev_samp(column).alias("std"),
         F.stddev_pop(column).alias("std_pop"),
     ]
+
+
+def histogram(df: DataFrame, column: str, bins: int, keys: list[str] | None = None) -> DataFrame:
+    """Rows per bin of equal width between the smallest and largest value of the column."""
+    ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("e")).scalar()
+    place = F.floor(ratio(F.col(column) - ends["lo"], ends["hi"] - ends["lo"]) * bins) + 1
+    number = F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int")
+    return df.groupBy(*(keys or []), number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -75,10 +75,18 @@ def supervised_windows(
     )
 
 
-def window_rows(windows: DataFrame, keys: list[str], role: str) -> DataFrame:
-    """One row per step of the ``inputs`` or ``labels`` of each window."""
-    steps = windows.select(*keys, "start", F.posexplode(role).alias("step", "_r"))
-    return steps.select(*keys, "start", F.lit(role).alias("role"), (F.col("step") + 1).alias("step"), "_r.*")
+def window_rows(windows: DataFrame, keys: list[str], roles: list[str]) -> DataFrame:
+    """One row per step of each role (``inputs``, ``labels``) of each window, in one pass.
+
+    The roles must hold the same columns.
+    """
+    steps = [
+        F.transform(role, lambda x, i: F.struct(
+            F.lit(role).alias("role"), (i + 1).alias("step"), x.alias("_r")))
+        for role in roles
+    ]
+    rows = windows.select(*keys, "start", F.inline(F.concat(*steps)))
+    return rows.select(*keys, "start", "role", "step", "_r.*")
 
 
 def sequences(df: DataFrame, keys: list[str], time: str, columns: list[str], n: int,

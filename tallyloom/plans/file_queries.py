@@ -60,7 +60,7 @@ def futures_file(spark, sf_dir):
     return readers.futures_csv(spark, path)
 
 
-@query("titled_file", "A7 B3 E6", f"""
+@query("titled_file", "A7 B3", f"""
 with {OIL_SQL} select month, round(oil_price, 3) as price from oil""")
 def titled_file(spark, sf_dir):
     """A file with title and footer rows: only rows whose key is a date stay."""
@@ -207,3 +207,28 @@ def forecasts_by_partner(spark, sf_dir):
     back = spark.read.schema(
         "config int, origin date, step long, prediction double, partner string").parquet(folder)
     return back.select("partner", "config", "origin", "step", r("prediction", 3).alias("prediction"))
+
+
+@query("blocks_filled_down", "A7 B3 E6", """
+select o_orderpriority as country, cast(date_trunc('month', o_orderdate) as date) as month,
+       cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) / 100 / count(*) as cpi
+from orders group by 1, 2""")
+def blocks_filled_down(spark, sf_dir):
+    """A price index file whose country stands only in the first row of each block."""
+    from tallyloom.operators import fill
+    from tallyloom.operators.ordered import running
+    from tallyloom.plans.standins import cents, month_of
+
+    path = scratch_path(spark, "blocks")
+    monthly = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_orderpriority").alias("country"), month_of("o_orderdate").alias("month")
+    ).agg((F.sum(cents("o_totalprice")) / 100 / F.count(F.lit(1))).alias("cpi"))
+    ranked = monthly.withColumn("place", F.substring("country", 1, 1).cast("int") * 100000 + F.unix_date("month"))
+    rows = running(ranked, "place", ["country"], position="row")
+    starts = rows.groupBy("country").agg(F.min("row").alias("start"))
+    rows.join(starts, "country").select(
+        "row", F.when(F.col("row") == F.col("start"), F.col("country")).alias("country"),
+        F.date_format("month", "MMM-yyyy").alias("time"), "cpi").write.option("header", True).csv(path)
+    raw = readers.comma_csv(spark, path, "row bigint, country string, time string, cpi double")
+    filled = fill.down_the_file(raw, "country", "row")
+    return readers.dated_rows(filled, "time", "month-name").select("country", "month", "cpi")

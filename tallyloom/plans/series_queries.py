@@ -9,7 +9,7 @@ from tallyloom.functions import rates
 from tallyloom.functions.scalar import log_base, pow_base
 from tallyloom.operators import decompose as dc
 from tallyloom.operators import fill, forecast as fc, windows as win
-from tallyloom.operators.scale import Scaled, fit_standard
+from tallyloom.operators.scale import Scaled, fit_standard, histogram
 from tallyloom.plans.panel_queries import DENSE_SQL, INTERPOLATE_SQL, dense_cells, r
 from tallyloom.plans.registry import query
 from tallyloom.session import stage
@@ -57,7 +57,7 @@ def supervised_windows(spark, sf_dir):
     inputs = win.input_columns(["price", "quantity"], ["quantity"])
     made = win.supervised_windows(
         price_series(spark, sf_dir), KEYS, "month", inputs, ["price"], 6, 2, 3)
-    both = win.window_rows(made, KEYS, "inputs").unionByName(win.window_rows(made, KEYS, "labels"))
+    both = win.window_rows(made, KEYS, ["inputs", "labels"])
     return both.withColumns({"price": r("price"), "step": F.col("step").cast("long")})
 
 
@@ -409,9 +409,12 @@ def residual_report(spark, sf_dir):
         fc.configs([1], [0], [1], trend=["c"])))
     rows = fitted.select("partner", F.explode(F.arrays_zip("months", "past", "fitted")).alias("z")).select(
         "partner", F.col("z.months").alias("month"), (F.col("z.past") - F.col("z.fitted")).alias("residual")).dropna()
+    rows = stage(rows, "residuals")
     summary = rows.groupBy("partner").agg(
         F.count("residual").alias("n"), F.avg("residual").alias("mean"), F.stddev_samp("residual").alias("std"),
         F.min("residual").alias("low"), F.max("residual").alias("high"))
     acf = dc.autocorrelation(rows, KEYS, "month", "residual", 5)
     both = dc.partial_autocorrelation(acf, KEYS)
-    return both.join(summary, "partner")
+    bars = histogram(rows, "residual", 25, KEYS).groupBy("partner").agg(
+        F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("histogram"))  # at most 25 bins
+    return both.join(summary, "partner").join(bars, "partner")

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import rates
-from tallyloom.functions.scalar import ratio
 from tallyloom.operators import decompose as dc
 from tallyloom.operators import kernel as kn
 from tallyloom.operators import leastsq as ls
 from tallyloom.operators import mixture as mx
 from tallyloom.operators import posterior as po
 from tallyloom.operators import windows as win
+from tallyloom.operators.scale import histogram
 from tallyloom.plans.panel_queries import r
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import cents, table
@@ -364,9 +364,7 @@ select param, cast(least(floor((value - lo) / (hi - lo) * 25) + 1, 25) as intege
 from draws, s group by 1, 2""")
 def value_histogram(spark, sf_dir):
     draws = stage(daily_draws(spark, sf_dir), "draws")
-    s = draws.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("s")).scalar()
-    bin_ = F.least(F.floor(ratio(F.col("value") - s["lo"], s["hi"] - s["lo"]) * 25) + 1, F.lit(25)).cast("int")
-    return draws.groupBy("param", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return histogram(draws, "value", 25, ["param"])
 
 
 @query("draw_autocorrelation", "E26 M3", f"""

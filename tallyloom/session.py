@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the setting is absent (tests on one machine) a folder is made here.
     """
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
         named = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set(CHECKPOINT_SETTING, named)

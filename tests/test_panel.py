@@ -124,3 +124,15 @@ def test_first_per_key_and_patch(spark):
     a = spark.createDataFrame([("A", None), ("B", 1.0)], "k string, v double")
     b = spark.createDataFrame([("A", 9.0), ("B", 8.0), ("C", 7.0)], "k string, v double")
     assert sorted(tuple(r) for r in panel.patch(a, b, ["k"], ["v"]).collect()) == [("A", 9.0), ("B", 1.0), ("C", 7.0)]
+
+
+def test_fill_down_a_file(spark):
+    rows = [(i, {0: None, 1: "A", 5: "B"}.get(i)) for i in range(8)]
+    df = spark.createDataFrame(rows, "row long, label string")
+    out = fill.down_the_file(df, "label", "row").orderBy("row").collect()
+    assert [r["label"] for r in out] == [None] + ["A"] * 4 + ["B"] * 3
+
+
+def test_histogram(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
+    assert {r["bin"]: r["n"] for r in scale.histogram(df, "x", 5).collect()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 3}
