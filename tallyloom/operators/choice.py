@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalar import ratio
@@ -96,20 +96,31 @@ def with_probabilities(rows: DataFrame, theta: Column, x: str = "x", p: str = "p
     return rows.withColumns(made).drop("_u", "_top", "_e", "_sum")
 
 
-def log_likelihood(rows: DataFrame, theta: Sequence[float]) -> DataFrame:
-    """Log-likelihood, its value with constants only, and McFadden's ratio."""
-    scored = with_probabilities(rows, literal(theta), log_p="lp")
-    counts = rows.groupBy("chosen").agg(F.sum("w").alias("n"))
-    total = F.sum("n").over(_everything())
-    null = counts.select((F.col("n") * F.log(F.col("n") / total)).alias("t")).agg(F.sum("t")).scalar()
-    return scored.agg(F.sum(F.col("w") * F.col("lp")).alias("loglik")).select(
-        "loglik", null.alias("loglik_null"), (1 - F.col("loglik") / null).alias("mcfadden"))
+def log_likelihood(rows: DataFrame, theta: Sequence[float] | Column, keys: list[str] | None = None) -> DataFrame:
+    """Log-likelihood, its value with constants only, and McFadden's ratio, per key."""
+    keys = keys or []
+    scored = with_probabilities(rows, _vector(theta), log_p="lp")
+    fitted = scored.groupBy(*keys).agg(F.sum(F.col("w") * F.col("lp")).alias("loglik"))
+    counts = rows.groupBy(*keys, "chosen").agg(F.sum("w").alias("n"))
+    # one row per alternative and key
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    terms = counts.select(*keys, (F.col("n") * F.log(F.col("n") / total)).alias("t"))
+    null = terms.groupBy(*keys).agg(F.sum("t").alias("loglik_null"))
+    both = fitted.join(null, keys) if keys else fitted.withColumn("loglik_null", null.scalar())
+    return both.select(*keys, "loglik", "loglik_null", (1 - F.col("loglik") / F.col("loglik_null")).alias("mcfadden"))
 
 
-def _everything():
-    from pyspark.sql import Window
+def _vector(theta: Sequence[float] | Column) -> Column:
+    return theta if isinstance(theta, Column) else literal(theta)
 
-    return Window.partitionBy()  # one row per alternative
+
+def by_dataset(values: dict, key: str) -> Column:
+    """The number or vector of each row's dataset, from one entry per dataset."""
+    pairs = [
+        F.lit(c) if not isinstance(c, np.ndarray) else F.lit(c.astype(float))
+        for g in sorted(values) for c in (g, values[g])
+    ]
+    return F.try_element_at(F.create_map(*pairs), F.col(key))
 
 
 def derivative_step(k: int, keys: list[str]):
@@ -196,8 +207,8 @@ def fit_logit_groups(
         taken = 0
         while open_ and taken < steps:
             # one short array per dataset still in work; others give null and leave
-            now = F.create_map(*[F.lit(c) for g in sorted(open_) for c in (g, np.asarray(theta[g], float))])
-            live = rows.withColumn("_theta", F.try_element_at(now, F.col(key))).filter(F.col("_theta").isNotNull())
+            now = by_dataset({g: theta[g] for g in open_}, key)
+            live = rows.withColumn("_theta", now).filter(F.col("_theta").isNotNull())
             for row in advance(live).collect():
                 g = row[key]
                 value, gradient, information = _unpack(row, k)
@@ -240,14 +251,18 @@ def predicted_class(p: str, alternatives: list[str]) -> Column:
     return F.element_at(labels, F.array_position(p, F.array_max(p)).cast("int"))
 
 
-def partial_effects(scored: DataFrame, alternatives: list[str], beta: float, p: str = "p") -> DataFrame:
+def partial_effects(
+    scored: DataFrame, alternatives: list[str], beta: float | Column, p: str = "p", keys: list[str] | None = None,
+) -> DataFrame:
     """Mean effect of alternative j's attribute on the share of i: beta p_i (1[i=j] - p_j)."""
+    keys = keys or []
     labels = F.array(*[F.lit(a) for a in alternatives])
-    one = scored.select("w", p, F.posexplode(p).alias("_i", "_pi"))
-    two = one.select("w", "_i", "_pi", F.posexplode(p).alias("_j", "_pj"))
-    effect = F.lit(beta) * F.col("_pi") * (F.when(F.col("_i") == F.col("_j"), 1.0).otherwise(0.0) - F.col("_pj"))
+    slope = beta if isinstance(beta, Column) else F.lit(float(beta))
+    one = scored.select(*keys, "w", p, slope.alias("_beta"), F.posexplode(p).alias("_i", "_pi"))
+    two = one.select(*keys, "w", "_beta", "_i", "_pi", F.posexplode(p).alias("_j", "_pj"))
+    effect = F.col("_beta") * F.col("_pi") * (F.when(F.col("_i") == F.col("_j"), 1.0).otherwise(0.0) - F.col("_pj"))
     return two.groupBy(
-        F.get(labels, F.col("_i")).alias("share_of"), F.get(labels, F.col("_j")).alias("changed")
+        *keys, F.get(labels, F.col("_i")).alias("share_of"), F.get(labels, F.col("_j")).alias("changed")
     ).agg((F.sum(F.col("w") * effect) / F.sum("w")).alias("effect"))
 
 
@@ -262,23 +277,27 @@ def effects_at_means(rows: DataFrame, theta: Sequence[float], alternatives: list
     return partial_effects(with_probabilities(means, literal(theta)), alternatives, beta)
 
 
-def scenario_effect(rows: DataFrame, theta: Sequence[float], alternatives: list[str], attribute: int,
-                    cleared: list[int], alternative: int) -> DataFrame:
+def scenario_effect(
+    rows: DataFrame, theta: Sequence[float] | Column, alternatives: list[str], attribute: int, cleared: list[int],
+    alternative: int, keys: list[str] | None = None,
+) -> DataFrame:
     """Mean change of every share when one alternative's flag goes 0 -> 1, all promotions cleared.
 
     ``attribute`` and ``cleared`` are positions in the attribute vector.
     """
+    keys = keys or []
+
     def with_flag(on: float) -> Column:
         return F.transform("x", lambda v, j: F.transform(v, lambda value, i: F.when(
             (j == alternative) & (i == attribute), F.lit(on)).when(i.isin(cleared), F.lit(0.0)).otherwise(value)))
 
-    beta = literal(theta)
+    beta = _vector(theta)
     both = rows.withColumns({"_x0": with_flag(0.0), "_x1": with_flag(1.0)})
     both = with_probabilities(with_probabilities(both, beta, "_x0", "_p0"), beta, "_x1", "_p1")
     labels = F.array(*[F.lit(a) for a in alternatives])
     gap = F.zip_with("_p1", "_p0", lambda a, b: a - b)
-    return both.select("w", F.posexplode(gap).alias("_j", "_gap")).groupBy(
-        F.get(labels, F.col("_j")).alias("alt")
+    return both.select(*keys, "w", F.posexplode(gap).alias("_j", "_gap")).groupBy(
+        *keys, F.get(labels, F.col("_j")).alias("alt")
     ).agg((F.sum(F.col("w") * F.col("_gap")) / F.sum("w")).alias("effect"))
 
 
@@ -322,8 +341,9 @@ def share_table(long: DataFrame, attributes: list[str]) -> DataFrame:
 def realisation_table(scored: DataFrame, actual: str, predicted: str, weight: str = "w") -> DataFrame:
     """Share of every (actual, predicted) cell and the hit rate (sum of the diagonal)."""
     cells = scored.groupBy(actual, predicted).agg(F.sum(weight).alias("n"))
-    total = F.sum("n").over(_everything())
-    hits = F.sum(F.when(F.col(actual) == F.col(predicted), F.col("n")).otherwise(0.0)).over(_everything())
+    # alternatives x alternatives rows
+    total = F.sum("n").over(Window.partitionBy())
+    hits = F.sum(F.when(F.col(actual) == F.col(predicted), F.col("n")).otherwise(0.0)).over(Window.partitionBy())
     return cells.select(actual, predicted, (F.col("n") / total).alias("share"), (hits / total).alias("hit_rate"))
 
 
@@ -368,3 +388,31 @@ def independence_test(full: LogitFit, subset: LogitFit) -> tuple[float, int, flo
     spread = subset.covariance[np.ix_(a, a)] - full.covariance[np.ix_(b, b)]
     value = float(gap @ np.linalg.pinv(spread, hermitian=True) @ gap)
     return value, len(shared), chi_square_tail(value, len(shared))
+
+
+def dataset_answers(
+    rows: DataFrame, key: str, fits: dict[object, LogitFit], subset_fits: dict[object, LogitFit],
+    alternatives: list[str], price: str, flag: str, flags: list[str], alternative: str,
+) -> DataFrame:
+    """One answer row per dataset: coefficients, errors, likelihood, effects, scenario, IIA test.
+
+    All datasets are scored together; what is known per dataset is a short vector each.
+    """
+    terms = next(iter(fits.values())).names
+    theta = by_dataset({g: f.theta for g, f in fits.items()}, key)
+    tests = {g: independence_test(f, subset_fits[g]) for g, f in fits.items() if g in subset_fits}
+    known = rows.sparkSession.createDataFrame(
+        [(g, [float(t) for t in f.theta], [float(e) for e in f.errors],
+          *(tests[g] if g in tests else (None, None, None))) for g, f in fits.items()],
+        f"{key} {rows.schema[key].dataType.simpleString()}, beta array<double>, se array<double>, "
+        "statistic double, degrees int, p_value double")
+    scored = with_probabilities(rows, theta)
+    slope = by_dataset({g: float(f.theta[terms.index(price)]) for g, f in fits.items()}, key)
+    # alternatives squared, and alternatives, rows per dataset
+    effects = partial_effects(scored, alternatives, slope, keys=[key]).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("share_of", "changed", "effect"))).alias("effects"))
+    scenario = scenario_effect(
+        rows, theta, alternatives, terms.index(flag), [terms.index(f) for f in flags], alternatives.index(alternative),
+        [key],
+    ).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("alt", "effect"))).alias("scenario"))
+    return known.join(log_likelihood(rows, theta, [key]), key).join(effects, key).join(scenario, key)

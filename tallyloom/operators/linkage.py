@@ -103,9 +103,11 @@ def pairs_within(
     # read several times below, and signatures or regexes may stand behind it: stored once
     rows = stage(df.select(*keys, F.col(id).alias("id"), other.alias("other")), "members")
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead"))
-    # the value of ``other`` at the lead; the join key holds the unique id, so it is never hot
-    leads = groups.filter(F.col("size") > 1).join(
-        rows.select(*keys, F.col("id").alias("lead"), F.col("other").alias("lead_other")), [*keys, "lead"])
+    leads = groups.filter(F.col("size") > 1)
+    if different:
+        # the value of ``other`` at the lead; the join key holds the unique id, so it is never hot
+        leads = leads.join(
+            rows.select(*keys, F.col("id").alias("lead"), F.col("other").alias("lead_other")), [*keys, "lead"])
     leads = stage(leads, "leads")
     # groups with over a thousandth of all rows: at most 1000 of them, so they may be
     # broadcast, and their rows leave before any shuffle on the group keys

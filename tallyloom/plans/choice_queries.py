@@ -264,21 +264,12 @@ def independence_test(spark, sf_dir):
     return spark.createDataFrame([(value, df, p)], "statistic double, df int, p double")
 
 
-@query("dataset_answers", "A8 J16")
+@query("dataset_answers", "A8 J5 J7 J9 J10 J11 J16")
 def dataset_answers(spark, sf_dir):
-    """One answer row per dataset: coefficients, errors, likelihoods and effects."""
+    key, some = "l_returnflag", REGIONS[:3]
     wide = stage(choice_table(spark, sf_dir), "occasions")
-    fits = ch.fit_logit_groups(
-        ch.occasions(wide, "choice", REGIONS, ATTRIBUTES, ["l_returnflag"], weight="n"), TERMS, "l_returnflag")
-    answers = None
-    for dataset, f in sorted(fits.items()):
-        rows = ch.occasions(wide.filter(F.col("l_returnflag") == dataset), "choice", REGIONS, ATTRIBUTES, weight="n")
-        scored = ch.with_probabilities(rows, ch.literal(f.theta))
-        effects = ch.partial_effects(scored, REGIONS, float(f.theta[TERMS.index("price")])).agg(
-            F.array_sort(F.collect_list(F.struct("share_of", "changed", "effect"))).alias("effects"))
-        likelihood = ch.log_likelihood(rows, f.theta)
-        one = likelihood.select(
-            F.lit(dataset).alias("dataset"), ch.literal(f.theta).alias("beta"), ch.literal(f.errors).alias("se"),
-            "loglik", "mcfadden", effects.scalar().alias("effects"))
-        answers = one if answers is None else answers.unionByName(one)
-    return answers
+    rows = ch.occasions(wide, "choice", REGIONS, ATTRIBUTES, [key], weight="n")
+    part = ch.occasions(wide.filter(F.col("choice").isin(some)), "choice", some, ATTRIBUTES, [key], weight="n")
+    fits = ch.fit_logit_groups(rows, TERMS, key)
+    subset = ch.fit_logit_groups(part, ch.names(some, ATTRIBUTES), key)
+    return ch.dataset_answers(rows, key, fits, subset, REGIONS, "price", "dis", ["dis", "feature"], "EUROPE")

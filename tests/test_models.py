@@ -86,6 +86,27 @@ def test_logit_by_dataset_and_folding(spark):
     assert set(both) == {0, 1} and both[1].theta == pytest.approx(alone.theta, abs=1e-6)
 
 
+def test_answers_of_many_datasets_equal_single_ones(spark):
+    df = choices(spark, 1500)
+    names = ch.names(ALTS, ATTRS)
+    rows = ch.occasions(df, "choice", ALTS, ATTRS, ["part"])
+    fits = ch.fit_logit_groups(rows, names, "part")
+    left = ch.occasions(df.filter("choice <> 'c'"), "choice", ALTS[:2], ATTRS, ["part"])
+    subset = ch.fit_logit_groups(left, ch.names(ALTS[:2], ATTRS), "part")
+    out = ch.dataset_answers(rows, "part", fits, subset, ALTS, "price", "dis", ["dis"], "b")
+    row = out.filter("part = 1").first()
+    alone = rows.filter("part = 1")
+    f = fits[1]
+    assert out.count() == 2 and row["beta"] == pytest.approx(list(f.theta))
+    assert row["loglik"] == pytest.approx(f.loglik)
+    effects = ch.partial_effects(ch.with_probabilities(alone, ch.literal(f.theta)), ALTS, f.theta[2]).collect()
+    want = {(r["share_of"], r["changed"]): r["effect"] for r in effects}
+    assert {(e["share_of"], e["changed"]): pytest.approx(e["effect"]) for e in row["effects"]} == want
+    scenario = ch.scenario_effect(alone, f.theta, ALTS, 3, [3], 1).collect()
+    assert [s["effect"] for s in row["scenario"]] == pytest.approx([r["effect"] for r in sorted(scenario)])
+    assert row["statistic"] == pytest.approx(ch.independence_test(f, subset[1])[0])
+
+
 def test_independence_test_and_chi_square(spark):
     df = choices(spark, 2000)
     full = ch.fit_logit(ch.occasions(df, "choice", ALTS, ATTRS), ch.names(ALTS, ATTRS))
