@@ -1 +1,8 @@
 """Panel, linkage, choice and forecasting analytics as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python helpers travel with their tasks, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

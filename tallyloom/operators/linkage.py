@@ -159,9 +159,12 @@ def candidate_pairs(
     return pairs_within(buckets, ["band", "hash", *(same or [])], id, different, max_group)
 
 
-def _choose_two(n: Column) -> Column:
-    wide = n.cast("decimal(38,0)")
-    return (wide * (wide - 1) / 2).cast("decimal(38,0)")
+def _twice_pairs(n: Column) -> Column:
+    """n (n - 1), twice the pairs of a group, null for a single row.
+
+    Decimal, so that no group is too large; sums are halved once at the end.
+    """
+    return F.when(n > 1, n.cast("decimal(19,0)") * (n - 1).cast("decimal(19,0)"))
 
 
 def pair_totals(
@@ -183,30 +186,39 @@ def pair_totals(
                  F.array(*[F.lit(b) for b in s]).alias("bands"))
         for i, s in enumerate(subsets)
     ])
-    other = [F.col(different).alias("_other")] if different else [F.lit(0).alias("_other")]
-    keyed = signed.select(*same, F.col(truth).alias("_truth"), *other, "hashes",
-                          F.explode(choices).alias("s")).select(
+    other = F.col(different) if different else F.lit(0)
+    # copies fold into one weighted row before every row is repeated per set of bands
+    folded = signed.groupBy(*same, F.col(truth).alias("_truth"), other.alias("_other"), "hashes").agg(
+        F.count(F.lit(1)).alias("n"))
+    keyed = folded.select(*same, "_truth", "_other", "n", "hashes", F.explode(choices).alias("s")).select(
         "s.no", "s.sign", F.transform("s.bands", lambda b: F.get("hashes", b)).alias("key"),
-        *same, "_truth", "_other")
+        *same, "_truth", "_other", "n")
     group = ["no", "sign", "key", *same]
-    cells = keyed.groupBy(*group, "_truth", "_other").agg(F.count(F.lit(1)).alias("n"))
-
-    def term(extra: list[str], measure: str, factor: int) -> DataFrame:
-        sizes = cells.groupBy(*group, *extra).agg(F.sum("n").alias("n"))
-        return sizes.agg(
-            F.lit(measure).alias("measure"),
-            (F.sum(F.col("sign") * _choose_two(F.col("n"))) * factor).alias("pairs"))
-
-    terms = [term([], "candidates", 1), term(["_truth"], "found", 1)]
+    cells = keyed.groupBy(*group, "_truth", "_other").agg(F.sum("n").alias("n"))
+
+    # one shuffle by group serves every sum below; a hot group has few rows left by now
+    spread = cells.repartition(*group)
+    n, sign = F.col("n"), F.col("sign")
+
+    def none(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0).cast("decimal(38,0)"))
+
+    by_truth = spread.groupBy(*group, "_truth").agg(
+        F.sum("n").alias("n"), F.sum(_twice_pairs(n)).alias("alike_both"))
+    by_group = by_truth.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.sum(_twice_pairs(n)).alias("found"), F.sum("alike_both").alias("alike_both"))
+    counted = [by_group.filter(n > 1).select(
+        (sign * none(_twice_pairs(n))).alias("candidates"),
+        (sign * (none(F.col("found")) - (none(F.col("alike_both")) if different else F.lit(0)))).alias("found"))]
     if different:  # take away the pairs that agree in it
-        terms += [term(["_other"], "candidates", -1), term(["_truth", "_other"], "found", -1)]
+        alike = spread.groupBy(*group, "_other").agg(F.sum("n").alias("n")).filter(n > 1)
+        counted.append(alike.select((-sign * _twice_pairs(n)).alias("candidates"), F.lit(0).alias("found")))
     models = signed.groupBy(truth).agg(F.count(F.lit(1)).alias("n"))
-    terms.append(models.agg(F.lit("duplicates").alias("measure"),
-                            F.sum(_choose_two(F.col("n"))).alias("pairs")))
-    every = reduce(lambda a, b: a.unionByName(b), terms)
+    duplicates = models.agg(F.sum(_twice_pairs(n))).scalar()
+    every = reduce(lambda a, b: a.unionByName(b), counted)
     return every.agg(*[
-        F.coalesce(F.sum(F.when(F.col("measure") == m, F.col("pairs"))), F.lit(0)).cast("bigint").alias(m)
-        for m in ("candidates", "found", "duplicates")
+        (none(c) / 2).cast("bigint").alias(name)
+        for name, c in (("candidates", F.sum("candidates")), ("found", F.sum("found")), ("duplicates", duplicates))
     ])
 
 
