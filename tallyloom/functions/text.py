@@ -21,15 +21,19 @@ def brand_of(features: Column, title: Column) -> Column:
 
 
 def model_id(title: Column) -> Column:
-    """Longest token mixing digits and other signs (the first of equals); null without one."""
-    tokens = F.regexp_extract_all(title, F.lit(MODEL_ID_PATTERN), F.lit(0))
+    """Longest token mixing digits and other signs (the first of equals); null without one.
+
+    A match holds a digit and neither comma nor blank, so the backtracking pattern only has to
+    run over the pieces with a digit, in their order.
+    """
+    pieces = F.filter(F.split(title, "[ ,]"), lambda piece: piece.rlike("[0-9]"))
+    found = F.regexp_extract_all(F.array_join(pieces, " "), F.lit(MODEL_ID_PATTERN), F.lit(0))
     longest = F.aggregate(
-        tokens, F.lit(""), lambda best, t: F.when(F.length(t) > F.length(best), t).otherwise(best)
-    )
-    cleaned = longest
+        found, F.lit(None).cast("string"),
+        lambda best, t: F.when(best.isNull() | (F.length(t) > F.length(best)), t).otherwise(best))
     for mark in MODEL_ID_NOISE:
-        cleaned = F.replace(cleaned, F.lit(mark), F.lit(""))
-    return F.when(F.size(tokens) > 0, cleaned)
+        longest = F.replace(longest, F.lit(mark), F.lit(""))
+    return longest
 
 
 def projected(descriptors: list[Column], features: Column | None = None,

@@ -329,12 +329,21 @@ def probability_curve(rows: DataFrame, theta: Sequence[float], alternatives: lis
         (beta * F.col("value") * (1 - F.col("probability"))).alias("elasticity_textbook"))
 
 
-def share_table(long: DataFrame, attributes: list[str]) -> DataFrame:
-    """Choice share of each alternative and attribute means, overall and where chosen."""
+def share_table(long: DataFrame, attributes: list[str], weight: str | None = None) -> DataFrame:
+    """Choice share of each alternative and attribute means, overall and where chosen.
+
+    ``weight`` counts the occasions a row stands for.
+    """
+    w = F.col(weight) if weight else F.lit(1)
+    hit = F.when(F.col("chosen"), w).otherwise(0)
+
+    def mean(a: str, share: Column) -> Column:
+        return ratio(F.sum(share * F.col(a)), F.sum(share))
+
     per = long.groupBy("alt").agg(
-        F.count_if("chosen").alias("n"), F.count(F.lit(1)).alias("rows"),
-        *[F.avg(a).alias(f"mean_{a}") for a in attributes],
-        *[F.avg(F.when(F.col("chosen"), F.col(a))).alias(f"chosen_{a}") for a in attributes])
+        F.sum(hit).alias("n"), F.sum(w).alias("rows"),
+        *[mean(a, w).alias(f"mean_{a}") for a in attributes],
+        *[mean(a, hit).alias(f"chosen_{a}") for a in attributes])
     return per.withColumn("share", 100 * ratio("n", "rows")).drop("rows")
 
 

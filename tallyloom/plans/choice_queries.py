@@ -104,10 +104,9 @@ select alt, count(*) filter (hit) as n, round(avg(price), 6) as mean_price, roun
        round(100.0 * count(*) filter (hit) / count(*), 6) as share
 from long group by alt""")
 def choice_share_table(spark, sf_dir):
-    lines = chosen_lines(spark, sf_dir).select("month", "choice")
-    wide = choice_table(spark, sf_dir).drop("choice", "l_returnflag", "n").distinct()
-    long = ch.wide_to_long(lines.join(wide, "month"), "month", "choice", REGIONS, ATTRIBUTES)
-    out = ch.share_table(long, ATTRIBUTES)
+    counted = choice_table(spark, sf_dir)
+    long = ch.wide_to_long(counted, "month", "choice", REGIONS, ATTRIBUTES, keep=["n"])
+    out = ch.share_table(long, ATTRIBUTES, "n")
     return out.select("alt", "n", *[r(c, 6).alias(c) for c in out.columns if c not in ("alt", "n")])
 
 

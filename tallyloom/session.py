@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,11 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set(CHECKPOINT_SETTING, named)
+        named = _own_folder()
     return named.rstrip("/")
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -124,3 +124,24 @@ def test_distinct_bucket_contents(spark):
     df = spark.createDataFrame(rows, "id long, band int, hash long")
     out = lk.distinct_bucket_contents(df).select("size", "first_id").collect()
     assert sorted(tuple(r) for r in out) == [(2, 1), (2, 1)]  # {1,2} once and {1,3}
+
+
+def test_no_records(spark):
+    df = spark.createDataFrame([], "id long, model int, hashes array<long>")
+    assert lk.candidate_pairs(df).count() == 0
+    assert tuple(lk.pair_totals(df, 2, "model").first()) == (0, 0, 0)
+
+
+def test_unequal_neighbours_in_one_hot_bucket(spark):
+    """A third of the rows in one bucket and one shop: links only to rows of other shops."""
+    n = 3000
+    df = spark.range(n).select(
+        "id", F.when(F.col("id") % 3 == 0, "s0").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("shop"),
+        F.array(F.when(F.col("id") % 3 < 2, F.lit(1)).otherwise(F.col("id"))).alias("hashes"))
+    out = lk.candidate_pairs(df, different="shop")
+    shops = {r["id"]: r["shop"] for r in df.collect()}
+    rows = out.collect()
+    assert len(rows) <= n and all(shops[r["id_a"]] != shops[r["id_b"]] for r in rows)
+    members = [r["id"] for r in df.filter("id % 3 < 2").collect()]
+    linked = {i for r in rows for i in (r["id_a"], r["id_b"])}
+    assert linked == set(members)

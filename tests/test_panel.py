@@ -136,3 +136,20 @@ def test_fill_down_a_file(spark):
 def test_histogram(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
     assert {r["bin"]: r["n"] for r in scale.histogram(df, "x", 5).collect()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 3}
+
+
+def test_empty_inputs(spark):
+    df = spark.createDataFrame([], "partner string, month date, x double")
+    assert ordered.running(df, "x", ["partner"]).count() == 0
+    assert ordered.quantiles(df, "x", {"a": 0.5}).first()["a"] is None
+    assert panel.top_partners(df, "partner", "x").count() == 0
+    assert fill.interpolate(df, ["x"], ["partner"], "month").count() == 0
+    assert scale.mask_outliers(df, ["x"]).count() == 0
+    assert scale.apply_scale(df, scale.fit_standard(df, ["x"]), ["x"]).count() == 0
+
+
+def test_one_row_series(spark):
+    df = series(spark, [4.0])
+    assert column(fill.interpolate(df, ["x"], ["partner"], "month"), "x") == [4.0]
+    assert column(scale.mask_outliers(df, ["x"]), "x") == [4.0]  # no deviation, so no outlier
+    assert ordered.quantiles(df, "x", {"a": 0.3}).first()["a"] == 4.0

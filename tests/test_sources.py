@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -63,15 +64,13 @@ def test_sinks(spark):
     assert pruned.count() == 33 and "PartitionFilters: [isnotnull(k" in pruned._jdf.queryExecution().toString()
 
 
-def test_shared_folder_is_read_from_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_dir(spark) == str(tmp_path)
-        stage(spark.range(3), "x")
-        assert any(p.name.startswith("x-") for p in tmp_path.iterdir())
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_is_read_from_the_session(spark):
+    def session(setting, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": setting}.get(key) or default),
+            sparkContext=SimpleNamespace(getCheckpointDir=lambda: folder))
+
+    assert shared_dir(session("hdfs://x/shared/", None)) == "hdfs://x/shared"
+    assert shared_dir(session(None, "hdfs://x/set")) == "hdfs://x/set"
+    assert shared_dir(session(None, None)) == shared_dir(session(None, None))
+    assert stage(spark.range(3), "x").count() == 3
