@@ -177,7 +177,7 @@ def appended_results(spark, sf_dir):
     for run in (1, 2):
         sinks.append_results(errors.withColumn("run", F.lit(run)), folder)
     back = spark.read.schema("config int, step int, mae double, run int").parquet(folder)
-    return back.groupBy("config", "step").agg(
+    return back.groupBy("config", F.col("step").cast("long").alias("step")).agg(
         r(F.avg("mae"), 3).alias("mae"), F.count(F.lit(1)).cast("int").alias("runs"))
 
 

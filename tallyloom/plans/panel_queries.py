@@ -599,7 +599,8 @@ def population_join(spark, sf_dir):
     joined = left.join(right, on, "left").withColumn("missing", F.lit(False))
     report = left.join(right, on, "left_anti").withColumns(
         {"population": F.lit(None).cast("double"), "missing": F.lit(True)})
-    return joined.unionByName(report).withColumn("population", r("population", 2))
+    return joined.unionByName(report).withColumns(
+        {"population": r("population", 2), "year": F.col("year").cast("long")})
 
 
 @query("zero_rows_appended", "G1 B8", f"""
