@@ -418,3 +418,76 @@ def residual_report(spark, sf_dir):
     bars = histogram(rows, "residual", 25, KEYS).groupBy("partner").agg(
         F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("histogram"))  # at most 25 bins
     return both.join(summary, "partner").join(bars, "partner")
+
+
+@query("first_order_forecasts", "N3 N5 N11", f"""
+with {SERIES_SQL},
+n as (select partner, month, ln(price + 1e-8) as y, row_number() over (partition by partner order by month) as rn,
+             count(*) over (partition by partner) as total from series),
+s as (select partner, month as origin, rn from n where rn > 24 and rn + 5 <= total),
+pairs as (select s.partner, s.origin, s.rn, a.y as y, b.y as x from s
+          join n a on a.partner = s.partner and a.rn between s.rn - 23 and s.rn - 1
+          join n b on b.partner = a.partner and b.rn = a.rn - 1),
+fit as (select partner, origin, rn, regr_slope(y, x) as f, regr_intercept(y, x) as c from pairs group by 1, 2, 3),
+path as (select fit.partner, origin, h as step, f, c, n.y as last, fit.rn from fit
+         join n on n.partner = fit.partner and n.rn = fit.rn - 1, (select unnest(range(1, 7)) as h))
+select path.partner, origin, step, n.month as target, round(n.y, 6) as label,
+       round(pow(f, step) * last + c * (pow(f, step) - 1) / (f - 1), 6) as prediction
+from path join n on n.partner = path.partner and n.rn = path.rn + step - 1""")
+def first_order_forecasts(spark, sf_dir):
+    windows = win.origins(_logged(spark, sf_dir), KEYS, "month", "price", 24, 6)
+    paths = fc.forecasts(fc.with_configs(windows, fc.configs([1], [0], [0], trend=["c"])), 6)
+    rows = fc.forecast_rows(paths, KEYS)
+    return rows.select("partner", "origin", F.col("step").cast("long").alias("step"), "target",
+                       r("label", 6).alias("label"), r("prediction", 6).alias("prediction"))
+
+
+@query("seasonal_difference_forecasts", "N1 N3 N5", f"""
+with {SERIES_SQL},
+n as (select partner, month, ln(price + 1e-8) as y, row_number() over (partition by partner order by month) as rn,
+             count(*) over (partition by partner) as total from series),
+s as (select partner, month as origin, rn from n where rn > 24 and rn + 5 <= total)
+select s.partner, s.origin, n.rn - s.rn + 13 as step, round(n.y, 6) as prediction
+from s join n on n.partner = s.partner and n.rn between s.rn - 12 and s.rn - 7""")
+def seasonal_difference_forecasts(spark, sf_dir):
+    windows = win.origins(_logged(spark, sf_dir), KEYS, "month", "price", 24, 6)
+    grid = fc.configs([0], [0], [0], [0], [1], [0], [12], ["n"])
+    rows = fc.forecast_rows(fc.forecasts(fc.with_configs(windows, grid), 6), KEYS)
+    return rows.select("partner", "origin", F.col("step").cast("long").alias("step"),
+                       r("prediction", 6).alias("prediction"))
+
+
+@query("partial_autocorrelation_three", "E27", f"""
+with {SERIES_SQL},
+x as (select *, price - avg(price) over (partition by partner) as d,
+             row_number() over (partition by partner order by month) as rn from series),
+v as (select partner, sum(d * d) as v from x group by partner),
+k as (select x.partner, l.lag, sum(x.d * y.d) as c from x, (select unnest(range(1, 4)) as lag) l, x y
+      where y.partner = x.partner and y.rn = x.rn - l.lag group by x.partner, l.lag),
+r as (select k.partner, max(case when lag = 1 then c / v end) as r1, max(case when lag = 2 then c / v end) as r2,
+             max(case when lag = 3 then c / v end) as r3 from k join v on k.partner = v.partner group by k.partner)
+select partner, round(r1, 6) as p1, round((r2 - r1 * r1) / (1 - r1 * r1), 6) as p2,
+       round((r3 * (1 - r1 * r1) + r1 * r1 * r1 + r1 * r2 * r2 - 2 * r1 * r2)
+             / (1 - 2 * r1 * r1 - r2 * r2 + 2 * r1 * r1 * r2), 6) as p3 from r""")
+def partial_autocorrelation_three(spark, sf_dir):
+    acf = dc.autocorrelation(price_series(spark, sf_dir), KEYS, "month", "price", 3)
+    pacf = dc.partial_autocorrelation(acf, KEYS)
+    return pacf.groupBy("partner").agg(
+        *[r(F.max(F.when(F.col("lag") == i, F.col("pacf"))), 6).alias(f"p{i}") for i in (1, 2, 3)])
+
+
+@query("unit_root_one_lag", "D18 E21 N9", f"""
+with {SERIES_SQL},
+d as (select partner, month, price / 1000 - lag(price / 1000) over w as dy, lag(price / 1000) over w as x from series
+      window w as (partition by partner order by month)),
+e as (select *, lag(dy) over (partition by partner order by month) as z from d),
+m as (select partner, count(*) as n, regr_sxx(dy, x) as xx, regr_sxx(dy, z) as zz, regr_syy(dy, x) as yy,
+             regr_sxy(dy, x) as xy, regr_sxy(dy, z) as zy, regr_sxy(x, z) as xz
+      from e where dy is not null and z is not null group by partner),
+b as (select *, xx * zz - xz * xz as det, (xy * zz - zy * xz) / (xx * zz - xz * xz) as bx,
+             (zy * xx - xy * xz) / (xx * zz - xz * xz) as bz from m)
+select partner, n, round(bx / sqrt((yy - bx * xy - bz * zy) / (n - 3) * zz / det), 4) as t from b""")
+def unit_root_one_lag(spark, sf_dir):
+    series = price_series(spark, sf_dir).withColumn("price", F.col("price") / 1000)
+    out = fc.unit_root(series, KEYS, "month", "price", 1)
+    return out.select("partner", "n", r("t", 4).alias("t"))
