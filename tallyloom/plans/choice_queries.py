@@ -272,3 +272,15 @@ def dataset_answers(spark, sf_dir):
     fits = ch.fit_logit_groups(rows, TERMS, key)
     subset = ch.fit_logit_groups(part, ch.names(some, ATTRIBUTES), key)
     return ch.dataset_answers(rows, key, fits, subset, REGIONS, "price", "dis", ["dis", "feature"], "EUROPE")
+
+
+@query("logit_constants_only", "J5 J6 J7", f"""
+with {CHOICE_SQL}, k as (select alt, sum(n) as n from chosen group by alt),
+b as (select n as base from k where alt = 'AFRICA')
+select 'const_' || alt as term, round(ln(n / base), 6) as beta, round(sqrt(1 / n + 1 / base), 6) as se,
+       round((select sum(n * ln(n / (select sum(n) from k))) from k), 3) as loglik
+from k, b where alt <> 'AFRICA'""")
+def logit_constants_only(spark, sf_dir):
+    rows = ch.occasions(choice_table(spark, sf_dir), "choice", REGIONS, [], weight="n")
+    fits = _fit_frame(spark, {"all": ch.fit_logit(rows, ch.names(REGIONS, []))})
+    return fits.select("term", r("beta", 6).alias("beta"), r("se", 6).alias("se"), r("loglik", 3).alias("loglik"))

@@ -97,6 +97,23 @@ def mixture_conditional_mean(spark, sf_dir):
     return out.select("id", r("x2_given", 6).alias("x2_given"))
 
 
+@query("mixture_single_segment", "K4 K5", f"""
+with {POINTS_SQL},
+m as (select avg(x1) as m1, avg(x2) as m2, var_pop(x1) as s11, covar_pop(x1, x2) as s12, var_pop(x2) as s22,
+             count(*) as n from points),
+l as (select *, -0.5 * n * (2 * ln(2 * pi()) + ln(s11 * s22 - s12 * s12) + 2) as loglik from m)
+select round(m1, 6) as m1, round(m2, 6) as m2, round(s11, 6) as s11, round(s12, 6) as s12, round(s22, 6) as s22,
+       round(loglik, 3) as loglik, round(5 * ln(n) - 2 * loglik, 3) as bic from l""")
+def mixture_single_segment(spark, sf_dir):
+    data = stage(points(spark, sf_dir), "points")
+    m, value, _ = mx.fit_em(data, "id", ["x1", "x2"], 1, restarts=2)
+    bic = m.parameters() * float(np.log(data.count())) - 2 * value
+    fitted = spark.createDataFrame(
+        [(*map(float, m.mu[0]), *(float(m.sigma[0][a]) for a in ((0, 0), (0, 1), (1, 1))), value, bic)],
+        "m1 double, m2 double, s11 double, s12 double, s22 double, loglik double, bic double")
+    return fitted.select(*[r(c, 3 if c in ("loglik", "bic") else 6).alias(c) for c in fitted.columns])
+
+
 @query("mixture_fit", "K4 K5")
 def mixture_fit(spark, sf_dir):
     data = stage(points(spark, sf_dir), "points")
@@ -267,12 +284,23 @@ def best_bandwidth(spark, sf_dir):
     return kn.best_score(scores, ["bandwidth", "neighbours"]).withColumn("score", r("score", 6))
 
 
-@query("single_index", "L8")
+@query("single_index", "L8", f"""
+with {POINTS_SQL},
+i as (select id, b as direction, x1 + b * (c_nationkey / 10) as v, x2 as y
+      from points join customer on c_custkey = id,
+      (values (-2.0::double), (-1.0), (0.0), (1.0), (2.0)) t(b)),
+d as (select a.direction, a.id, a.y, b.y as z, abs(a.v - b.v) as d,
+             rank() over (partition by a.direction, a.id order by abs(a.v - b.v)) as k
+      from i a join i b on a.direction = b.direction and a.id <> b.id),
+f as (select direction, id, y, sum(exp(-0.5 * d * d) * z) / sum(exp(-0.5 * d * d)) as p
+      from d where k <= 20 group by direction, id, y)
+select direction, round(avg((y - p) ** 2), 6) as score from f group by direction""")
 def single_index(spark, sf_dir):
     data = points(spark, sf_dir).join(
         table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey"), "id")
     data = stage(data.withColumn("x3", F.col("c_nationkey") / 10), "points")
-    return kn.single_index(data, "x1", "x3", "x2", [-2.0, -1.0, 0.0, 1.0, 2.0], 1.0, 20)
+    out = kn.single_index(data, "x1", "x3", "x2", [-2.0, -1.0, 0.0, 1.0, 2.0], 1.0, 20)
+    return out.withColumn("score", r("score", 6))
 
 
 def daily_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
