@@ -107,7 +107,7 @@ def cross_validate(
 
         tasks = [(i, fold) for i in range(len(configs)) for fold in range(k)]
         with ThreadPool(min(parallelism, len(tasks))) as pool:
-            parts = pool.map(inheritable_thread_target(fit_and_score), tasks)
+            parts = pool.map(inheritable_thread_target(data.sparkSession)(fit_and_score), tasks)
         every = reduce(lambda a, b: a.unionByName(b), parts)
         per_fold = class_measures(every, "label", "prediction", ["config", "fold"])
         means = per_fold.groupBy("config").agg(
