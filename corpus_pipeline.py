@@ -4,28 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, mixture
+from tallyloom.llm import decontaminate, mixture, quality, secretscan, simhash
 from tallyloom.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the trees."""
+    return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    return simhash.without_copies(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts masked."""
+    return secretscan.redact(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes: (doc_id, source, size, source_size, target, epochs, taken)."""
+    """How many words of each document the mix takes: (doc_id, size, source, source_size, target, epochs, taken)."""
     return mixture.mix(docs)
 
 
 STAGES = [
-    ("decontamination", decontamination),
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("secret_scan", secrets_masked),
     ("source_mix", source_mix),
 ]
 
-#: No stage with a trained model can be said in SQL; tests compare the stages with brute force.
+#: Stages with a trained model cannot be said in SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
