@@ -15,7 +15,7 @@ SHARE = 1.5
 #: Most epochs of one source.
 EPOCHS = 2
 #: Rows that one slice of a source holds on average.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
 
 
 def word_count(text: Column) -> Column:
