@@ -45,12 +45,16 @@ def hit_flags(truth: Column, predicted: Column) -> dict[str, Column]:
 
 
 def pair_measures(scored: DataFrame, truth: str, probability: str, all_duplicates: Column,
-                  threshold: float = 0.7) -> DataFrame:
-    """Precision, recall, F1, pair quality, completeness and their harmonic means."""
+                  threshold: float = 0.7, weight: Column | None = None) -> DataFrame:
+    """Precision, recall, F1, pair quality, completeness and their harmonic means.
+
+    ``weight`` is the number of pairs a row stands for, one unless given.
+    """
+    weight = F.lit(1) if weight is None else weight
     flags = hit_flags(F.col(truth), (F.col(probability) > threshold).cast("int"))
     counts = scored.agg(
-        *[F.count_if(c).cast("double").alias(n) for n, c in flags.items()],
-        F.count(F.lit(1)).cast("double").alias("pairs"),
+        *[F.coalesce(F.sum(F.when(c, weight)), F.lit(0)).cast("double").alias(n) for n, c in flags.items()],
+        F.coalesce(F.sum(weight), F.lit(0)).cast("double").alias("pairs"),
     ).withColumn("duplicates", all_duplicates.cast("double"))
     f = counts.select(
         "*",

@@ -1,10 +1,9 @@
 """Entity resolution: banded random hyperplanes, candidate pairs, labels, exact pair counts.
 
-Candidate pairs are kept as bucket membership, whose size grows with the rows. Pairs are
-written out only for groups up to ``max_group`` members (at most max_group/2 pairs per
-row). A larger group gives its spanning links instead, each of them a true candidate pair,
-and its remaining pairs stay implied by the membership. Pair quality and completeness never
-need the pairs: ``pair_totals`` counts all of them exactly from group sizes.
+Records that are alike in all that matters fold into one class with a count. Candidate pairs are
+pairs of classes, each standing for a known number of record pairs, and a class of several
+copies also pairs with itself; so every pair of records is there, at any size, and copies are
+never expanded. Truth is membership with group sizes, never a list of pairs.
 """
 
 from __future__ import annotations
@@ -21,19 +20,22 @@ from pyspark.sql import functions as F
 from tallyloom.operators.ordered import running
 from tallyloom.session import stage
 
-MAX_GROUP = 64
-HEAVY_GROUPS = 1000
 MAX_COUNTED_BANDS = 8
+#: Classes of a bucket above which it is cut into tiles; every pair of tiles is compared by itself.
+TILE = 1000
 
 
 def choose_bands(length: int, target: float) -> tuple[int, int, float]:
-    """(bands, rows, threshold): most bands first, first threshold (1/b)^(1/r) above target."""
-    for bands in sorted((d for d in range(1, length + 1) if length % d == 0), reverse=True):
-        rows = length // bands
-        threshold = (1.0 / bands) ** (1.0 / rows)
-        if threshold > target:
-            return bands, rows, threshold
-    return 1, length, 1.0
+    """(bands, rows, threshold): of all ways to cut the signature, the one of the least threshold above ``target``.
+
+    The threshold of a cut is (1 / bands) ** (1 / rows); where none is above, one band of all rows.
+    """
+    cuts = [(b, length // b) for b in range(1, length + 1) if length % b == 0]
+    above = [((1.0 / b) ** (1.0 / r), b, r) for b, r in cuts if (1.0 / b) ** (1.0 / r) > target]
+    if not above:
+        return 1, length, 1.0
+    threshold, bands, rows = min(above)
+    return bands, rows, threshold
 
 
 def plane_count(points: int) -> int:
@@ -89,74 +91,61 @@ def distinct_bucket_contents(buckets: DataFrame, minimum: int = 2) -> DataFrame:
     return prints.filter(F.col("size") >= minimum).select("size", "first_id", "x", "y").distinct()
 
 
-def pairs_within(
-    df: DataFrame, keys: list[str], id: str = "id", different: str | None = None,
-    max_group: int = MAX_GROUP,
-) -> DataFrame:
-    """(id_a, id_b, kind): unordered pairs of rows equal in ``keys``, smaller id first.
+def truth_groups(df: DataFrame, key: str, id: str = "id") -> DataFrame:
+    """(key, id, size, pairs): membership of every group of two records or more, its size and its number of pairs.
 
-    ``different`` names a column in which the two rows must differ. Groups above
-    ``max_group`` give spanning links (kind ``link``): every member is tied to the smallest
-    member, or, with ``different``, to the smallest member that differs from it.
+    A null key is no group.
     """
-    other = F.col(different) if different else F.lit(None).cast("string")
-    # read several times below, and signatures or regexes may stand behind it: stored once
-    rows = stage(df.select(*keys, F.col(id).alias("id"), other.alias("other")), "members")
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead"))
-    leads = groups.filter(F.col("size") > 1)
-    if different:
-        # the value of ``other`` at the lead; the join key holds the unique id, so it is never hot
-        leads = leads.join(
-            rows.select(*keys, F.col("id").alias("lead"), F.col("other").alias("lead_other")), [*keys, "lead"])
-    leads = stage(leads, "leads")
-    # groups with over a thousandth of all rows: at most 1000 of them, so they may be
-    # broadcast, and their rows leave before any shuffle on the group keys
-    huge = max(rows.count() // HEAVY_GROUPS, max_group)
-    heavy = F.broadcast(leads.filter(F.col("size") > huge))
-    rest = rows.join(heavy.select(*keys), keys, "left_anti").join(leads, keys)
-
-    small = rest.filter(F.col("size") <= max_group).select(*rows.columns)
-    a, b = small.alias("a"), small.alias("b")
-    equal = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    rule = reduce(lambda x, y: x & y, [*equal, F.col("a.id") < F.col("b.id")])
-    if different:
-        rule = rule & (F.col("a.other") != F.col("b.other"))
-    pairs = a.join(b, rule).select(
-        F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.lit(1).alias("listed"))
+    rows = stage(df.select(F.col(key), F.col(id)).filter(F.col(key).isNotNull()), "members")
+    sizes = stage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
+    return rows.join(sizes, key).withColumn("pairs", (F.col("size") * (F.col("size") - 1) / 2).cast("long"))
 
-    large = rest.filter(F.col("size") > max_group)
-    links = _spanning_links(large, keys, bool(different), few=False).unionByName(
-        _spanning_links(rows.join(heavy, keys), keys, bool(different), few=True))
-    both = pairs.unionByName(links).groupBy("id_a", "id_b").agg(F.max("listed").alias("listed"))
-    kind = F.when(F.col("listed") == 1, F.lit("pair")).otherwise(F.lit("link"))
-    return both.select("id_a", "id_b", kind.alias("kind"))
 
-
-def _spanning_links(rows: DataFrame, keys: list[str], different: bool, few: bool) -> DataFrame:
-    """Every row tied to the smallest id of its group, or to the smallest that differs.
-
-    ``few``: the groups are at most HEAVY_GROUPS, so what is known per group is broadcast.
-    """
-    if not different:
-        tied = rows.filter(F.col("id") != F.col("lead")).select("id", "lead")
-    else:
-        apart = rows.filter(F.col("other") != F.col("lead_other"))
-        seconds = apart.groupBy(*keys).agg(F.min("id").alias("second"))
-        alike = rows.filter(F.col("other") == F.col("lead_other")).join(
-            F.broadcast(seconds) if few else seconds, keys)
-        tied = apart.select("id", "lead").unionByName(alike.select("id", F.col("second").alias("lead")))
-    return tied.select(
-        F.least("lead", "id").alias("id_a"), F.greatest("lead", "id").alias("id_b"), F.lit(0).alias("listed"))
+def classes(signed: DataFrame, id: str, alike: list[str]) -> DataFrame:
+    """(id, copies, alike columns): records equal in ``hashes`` and ``alike`` as one row, with their smallest id."""
+    return signed.groupBy("hashes", *alike).agg(F.min(id).alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
 def candidate_pairs(
     signed: DataFrame, id: str = "id", same: list[str] | None = None, different: str | None = None,
-    max_group: int = MAX_GROUP,
+    alike: list[str] | None = None, tile: int = TILE,
 ) -> DataFrame:
-    """Distinct pairs sharing a bucket in any band; blocking columns are part of the join key."""
-    keep = [id, *(same or []), *([different] if different else [])]
-    buckets = bucket_rows(signed, keep)
-    return pairs_within(buckets, ["band", "hash", *(same or [])], id, different, max_group)
+    """(id_a, id_b, pairs, same columns): pairs of classes that share a bucket in any band.
+
+    Records are of one class where they agree in ``hashes``, ``same``, ``different`` and
+    ``alike``; the smallest id names the class. The two records of a pair agree in ``same`` and
+    differ in ``different``. A pair of classes comes out once, in its first common band, and
+    stands for ``pairs`` pairs of records; a class of several copies comes out as a pair with
+    itself. Large buckets are cut into tiles, whose pairs are spread over tasks. Null ``same`` or
+    ``different`` values pair with nothing.
+    """
+    same, other = same or [], [different] if different else []
+    own = list(dict.fromkeys([*same, *other, *(alike or [])]))
+    folded = stage(classes(signed, id, own), "classes")
+    keys = ["band", "hash", *same]
+    buckets = folded.select("id", "copies", "hashes", *same, *other, F.posexplode("hashes").alias("band", "hash"))
+    sizes = stage(buckets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "buckets")
+    met = buckets.join(sizes, keys).withColumn("_tiles", F.ceil(F.col("_n") / F.lit(tile)).cast("int"))
+    met = met.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
+    a = met.withColumn("_ta", F.col("_own")).withColumn("_tb", every).alias("a")
+    b = met.withColumn("_tb", F.col("_own")).withColumn("_ta", every).alias("b")
+    rule = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_ta", "_tb"]])
+    rule = rule & (F.col("a.id") < F.col("b.id"))
+    if different:
+        rule = rule & (F.col(f"a.{different}") != F.col(f"b.{different}"))
+    agree = F.zip_with("a.hashes", "b.hashes", lambda x, y: x == y)
+    first = F.array_position(agree, True) - 1 == F.col("a.band")
+    pairs = a.join(b, rule).filter(first).select(
+        F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"),
+        (F.col("a.copies") * F.col("b.copies")).alias("pairs"), *[F.col(f"a.{c}").alias(c) for c in same])
+    if different:
+        return pairs
+    known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in same], F.lit(True))
+    inside = folded.filter((F.col("copies") > 1) & known).select(
+        F.col("id").alias("id_a"), F.col("id").alias("id_b"),
+        (F.col("copies") * (F.col("copies") - 1) / 2).cast("long").alias("pairs"), *same)
+    return pairs.unionByName(inside)
 
 
 def _twice_pairs(n: Column) -> Column:

@@ -1,57 +1,37 @@
 """Global positions, running sums and exact quantiles without sorting everything in one task.
 
-An unpartitioned ``orderBy`` window sends all rows to one task. Here the order column is
-cut at approximate quantiles, each slice is numbered by itself and shifted by the totals of
-the slices before it. A value that fills more than one slice by itself is cut again along
-the tie column, so one frequent value does not become one long task either.
+An unpartitioned ``orderBy`` window sends all rows to one task. Here the rows are range
+partitioned by the order column and the ties, each slice is numbered by itself and shifted by
+the totals of the slices before it. The slices follow Spark's own order of any type, nulls and
+NaN included, and their number follows the number of rows; a value that fills more than one
+slice is cut along the ties.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.session import stage
 
 SLICE = "_slice"
-
-
-def _bucket(df: DataFrame, order: str, cuts: list[float]) -> DataFrame:
-    table = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
-    bucketed = Bucketizer(
-        splits=table, inputCol="_cut_value", outputCol=SLICE, handleInvalid="keep"
-    ).transform(df.withColumn("_cut_value", F.col(order).cast("double")))
-    return bucketed.drop("_cut_value").withColumn(SLICE, F.col(SLICE).cast("long"))
+#: Rows of a slice, on average.
+SLICE_ROWS = 50_000
 
 
 def with_slices(
-    df: DataFrame, order: str, slices: int, descending: bool = False, tie: str | None = None
+    df: DataFrame, order: str, ties: list[str], descending: bool = False, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Add the slice number of ``order``; slices ascend in the wanted order."""
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts = df.approxQuantile(order, probabilities, 1.0 / (4 * slices))
-    frequent = sorted({c for c in cuts if cuts.count(c) > 2})  # fewer than slices / 2
-    sliced = _bucket(df, order, cuts)
-    width = slices + 2
-    number = (-F.col(SLICE) if descending else F.col(SLICE)) * width
-    numeric = tie is not None and isinstance(df.schema[tie].dataType, T.NumericType)
-    if not frequent or not numeric:
-        return sliced.withColumn(SLICE, number)
-    value = F.col(order).cast("double")
-    inner = {
-        row["v"]: sorted(set(row["cuts"]))
-        for row in df.filter(value.isin(frequent)).groupBy(value.alias("v")).agg(
-            F.percentile_approx(F.col(tie).cast("double"), probabilities, 4 * slices).alias("cuts")).collect()
-    }
-    inside = F.lit(-1 if descending else width - 1)  # rows of the slice with another value
-    for v, points in inner.items():
-        below = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda c: c < F.col(tie).cast("double")))
-        inside = F.when(value == F.lit(v), below).otherwise(inside)
-    return sliced.withColumn(SLICE, number + inside)
+    """Store the rows with the number of their slice; slices ascend in the wanted order.
+
+    The numbers come from a sample of the rows, so they are written down once and read from then on.
+    """
+    first = F.col(order).desc() if descending else F.col(order).asc()
+    slices = max(1, math.ceil(df.count() / slice_rows))
+    ranged = df.repartitionByRange(slices, first, *[F.col(t) for t in ties])
+    return stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def running(
@@ -61,22 +41,23 @@ def running(
     sums: dict[str, str | Column] | None = None,
     descending: bool = False,
     position: str | None = "position",
-    slices: int = 64,
+    slice_rows: int = SLICE_ROWS,
     staged: bool = True,
 ) -> DataFrame:
     """Add the 1-based global ``position`` and the running sums ``{new column: amount}``.
 
-    The input is read three times (cuts, slice totals, rows), so it is written to the
-    shared folder first unless the caller says it is already a stored table.
+    Null order values come first, descending last; NaN is above all numbers. Null amounts add
+    nothing. The input is read several times, so it is written to the shared folder first
+    unless the caller says it is already a stored table.
     """
     if staged:
         df = stage(df, "ordered")
     amounts = {name: F.expr(a) if isinstance(a, str) else a for name, a in (sums or {}).items()}
-    sliced = with_slices(df, order, slices, descending, ties[0] if ties else None)
+    sliced = with_slices(df, order, ties, descending, slice_rows)
     totals = sliced.groupBy(SLICE).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(a).alias(f"_sum_{n}") for n, a in amounts.items()]
     )
-    # a few rows per slice
+    # one row per slice
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         SLICE,
@@ -89,21 +70,21 @@ def running(
     numbered = sliced.select(
         "*",
         F.row_number().over(inside).alias("_in_slice"),
-        *[F.sum(a).over(upto).alias(f"_in_{n}") for n, a in amounts.items()],
+        *[F.coalesce(F.sum(a).over(upto), F.lit(0)).alias(f"_in_{n}") for n, a in amounts.items()],
     ).join(starts, SLICE)
     made = [(F.col("_rows") + F.col("_in_slice")).cast("long").alias(position)] if position else []
     made += [(F.col(f"_sum_{n}") + F.col(f"_in_{n}")).alias(n) for n in amounts]
     return numbered.select(*df.columns, *made)
 
 
-def quantiles(df: DataFrame, column: str, wanted: dict[str, float], slices: int = 64) -> DataFrame:
+def quantiles(df: DataFrame, column: str, wanted: dict[str, float], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row of exact quantiles (linear between neighbours) of a whole column.
 
     Equal values fold into one row with a count; the few rows around the wanted ranks are
     picked by their running count, so the values never meet in one task.
     """
     folded = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(folded, column, [], {"_upto": "_n"}, position=None, slices=slices)
+    ranked = running(folded, column, [], {"_upto": "_n"}, position=None, slice_rows=slice_rows)
     total = ranked.agg(F.sum("_n")).scalar()
     at = ranked.withColumn("_total", total)
     picks, results = [], []

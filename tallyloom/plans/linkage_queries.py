@@ -15,8 +15,9 @@ from tallyloom.plans.panel_queries import r
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import table
 
-# Vector length of the table, planes written into the SQL, pairs per group.
+# Vector length of the table, planes written into the SQL, bands of the pair queries.
 LENGTH = 64
+BANDS = 4
 SQL_PLANES = 40
 SEED = 1
 
@@ -34,29 +35,29 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors with their true model, shop and brand."""
+    """All vectors with their true model; shop, brand and text where a document has their id.
+
+    ``content`` is equal where vector and text are.
+    """
     shops = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("shop"), F.col("lang").alias("brand"))
-    return table(spark, sf_dir, "embeddings").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("shop"), F.col("lang").alias("brand"), F.md5("text").alias("text"))
+    joined = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model")
-    ).join(shops, "id")
+    ).join(shops, "id", "left")
+    parts = F.concat_ws(",", F.transform("vector", lambda x: x.cast("string")), F.coalesce("text", F.lit("-")))
+    return joined.select("id", "vector", "model", "shop", "brand", F.md5(parts).alias("content"))
 
 
 def signed_vectors(spark, sf_dir, bands: int, seed: int = SEED) -> DataFrame:
-    """(id, model, shop, brand, hashes): vectors are signed before the join and then dropped."""
-    embeddings = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model"))
+    """(id, model, shop, brand, content, hashes)"""
     points = table(spark, sf_dir, "embeddings").count()  # from the file footers
-    signed = lk.signatures(embeddings, "vector", bands, LENGTH, points, seed).drop("vector")
-    shops = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("shop"), F.col("lang").alias("brand"))
-    return signed.join(shops, "id")
+    return lk.signatures(vectors(spark, sf_dir), "vector", bands, LENGTH, points, seed).drop("vector")
 
 
 VECTORS_SQL = """
 vectors as (
-  select e.vec_id as id, e.embedding as vector, e.label as model, d.source as shop, d.lang as brand
-  from embeddings e join documents d on e.vec_id = d.doc_id)"""
+  select e.vec_id as id, e.embedding as vector, e.label as model, d.source as shop, d.lang as brand, d.text as content
+  from embeddings e left join documents d on e.vec_id = d.doc_id)"""
 
 
 def signature_sql(bands: int, seed: int = SEED, name: str = "sig") -> str:
@@ -68,38 +69,28 @@ def signature_sql(bands: int, seed: int = SEED, name: str = "sig") -> str:
 {name}_planes as (select * from (values {literals}) t(j, plane)
   where j < (select ceil(log2(8 * count(*))) from embeddings)),
 {name}_bands as (
-  select id, model, shop, brand, b as band,
+  select id, model, shop, brand, content, vector, b as band,
          list_transform(vector[b * {rows} + 1 : (b + 1) * {rows}], lambda x: cast(x as double)) as v
   from vectors, range({bands}) t(b)),
 {name} as (
-  select id, model, shop, brand, cast(band as integer) as band,
+  select id, model, shop, brand, content, vector, cast(band as integer) as band,
          cast(sum(case when list_dot_product(v, plane) >= 0 then 1 << j else 0 end) as bigint) as hash
-  from {name}_bands, {name}_planes group by id, model, shop, brand, band)"""
-
-
-def pairs_sql(source: str, keys: str, different: str | None = None, name: str = "linked") -> str:
-    """The pairs-or-spanning-links rule in SQL over ``source`` (id, keys, different)."""
-    equal = " and ".join(f"a.{k.strip()} = b.{k.strip()}" for k in keys.split(","))
-    other = different or "null"
-    differ = f" and a.{different} <> b.{different}" if different else ""
-    if different:
-        lead = f"""case when s.{different} <> s.lead_other then s.lead
-        else (select min(x.id) from {source} x where {' and '.join(f"x.{k.strip()} = s.{k.strip()}" for k in keys.split(','))}
-              and x.{different} <> s.{different}) end"""
-    else:
-        lead = "s.lead"
+  from {name}_bands, {name}_planes group by id, model, shop, brand, content, vector, band)"""
+
+
+def pairs_sql(source: str, same: str | None = None, different: str | None = None, alike: str = "model", name: str = "linked") -> str:
+    """Pairs of classes of ``source`` (id, band, hash, ...), the records they stand for counted."""
+    own = ", ".join(dict.fromkeys([*([same] if same else []), *([different] if different else []), *alike.split(", ")]))
+    rule = (f" and a.{same} = b.{same}" if same else "") + (f" and a.{different} <> b.{different}" if different else "")
+    inside = "" if different else f"""
+  union all select id, id, cast(copies * (copies - 1) / 2 as bigint) from {name}_classes where copies > 1
+    {f"and {same} is not null" if same else ""}"""
     return f"""
-{name}_sized as (
-  select *, count(*) over (partition by {keys}) as size, min(id) over (partition by {keys}) as lead,
-         first_value({other}) over (partition by {keys} order by id) as lead_other
-  from {source}),
-{name}_all as (
-  select a.id as id_a, b.id as id_b, 'pair' as kind from {name}_sized a join {name}_sized b
-    on {equal} and a.id < b.id{differ} where a.size <= {lk.MAX_GROUP}
-  union all
-  select least(l, id), greatest(l, id), 'link' from (
-    select s.id, {lead} as l from {name}_sized s where s.size > {lk.MAX_GROUP}) where l is not null and l <> id),
-{name} as (select id_a, id_b, max(kind) as kind from {name}_all group by id_a, id_b)"""
+{name}_records as (select id, {own}, list(band || ':' || hash order by band) as tags from {source} group by id, {own}),
+{name}_classes as (select min(id) as id, count(*) as copies, tags, {own} from {name}_records group by tags, {own}),
+{name} as (
+  select a.id as id_a, b.id as id_b, a.copies * b.copies as pairs from {name}_classes a join {name}_classes b
+    on a.id < b.id and list_has_any(a.tags, b.tags){rule}{inside})"""
 
 
 @query("offer_brand", "B14 U1", r"""
@@ -110,15 +101,16 @@ def offer_brand(spark, sf_dir):
     return o.select("id", tx.brand_of(F.col("features"), F.col("title")).alias("brand"))
 
 
-MODEL_ID_SQL = r"""
-found as (
-  select doc_id as id, text, regexp_extract_all(text, '[a-zA-Z0-9]*(([0-9]+[^0-9, ]+)|([^0-9, ]+[0-9]+))[a-zA-Z0-9]*', 0) as m
-  from documents),
-ids as (
-  select id, text, case when len(m) > 0 then replace(replace(replace(replace(
-      m[list_position(list_transform(m, lambda x: length(x)), list_max(list_transform(m, lambda x: length(x))))],
-      '1080p', ''), '720p', ''), '1080P', ''), '600Hz', '') end as model_id
-  from found)
+def _without(text: str, marks: list[str]) -> str:
+    for mark in marks:
+        text = f"replace({text}, '{mark}', '')"
+    return text
+
+
+_LONGEST = "m[list_position(list_transform(m, lambda x: length(x)), list_max(list_transform(m, lambda x: length(x))))]"
+MODEL_ID_SQL = f"""
+found as (select doc_id as id, text, regexp_extract_all(text, '{tx.MODEL_ID_PATTERN}', 0) as m from documents),
+ids as (select id, text, case when len(m) > 0 then {_without(_LONGEST, tx.MODEL_ID_NOISE)} end as model_id from found)
 """
 
 
@@ -159,20 +151,22 @@ def row_positions(spark, sf_dir):
     return running(orders, "o_totalprice", ["o_orderkey"], descending=True, staged=False).drop("o_totalprice")
 
 
-@query("true_pairs", "C9 I1", f"""
-with {VECTORS_SQL}, {pairs_sql("vectors", "model")}
-select id_a, id_b, kind from linked""")
+@query("true_pairs", "C9 I1", """
+select vec_id as id, label as model, count(*) over (partition by label) as size,
+       cast(count(*) over (partition by label) * (count(*) over (partition by label) - 1) / 2 as bigint) as pairs
+from embeddings qualify count(*) over (partition by label) > 1""")
 def true_pairs(spark, sf_dir):
-    return lk.pairs_within(vectors(spark, sf_dir).drop("vector"), ["model"])
+    return lk.truth_groups(vectors(spark, sf_dir), "model")
 
 
 @query("model_id_pairs", "C9 I1", f"""
-with {MODEL_ID_SQL}, named as (select id, model_id from ids where model_id is not null),
-{pairs_sql("named", "model_id")}
-select id_a, id_b, kind from linked""")
+with {MODEL_ID_SQL}
+select id, model_id, count(*) over (partition by model_id) as size,
+       cast(count(*) over (partition by model_id) * (count(*) over (partition by model_id) - 1) / 2 as bigint) as pairs
+from ids where model_id is not null qualify count(*) over (partition by model_id) > 1""")
 def model_id_pairs(spark, sf_dir):
     named = offers(spark, sf_dir).select("id", tx.model_id(F.col("title")).alias("model_id"))
-    return lk.pairs_within(named.dropna(), ["model_id"])
+    return lk.truth_groups(named, "model_id")
 
 
 @query("band_signatures", "B18 I3", f"""
@@ -213,35 +207,35 @@ def bucket_members(spark, sf_dir):
 
 
 @query("candidate_pairs", "I4", f"""
-with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", "band, hash")}
-select id_a, id_b, kind from linked""")
+with {VECTORS_SQL}, {signature_sql(BANDS)}, {pairs_sql("sig")}
+select id_a, id_b, pairs from linked""")
 def candidate_pairs(spark, sf_dir):
-    return lk.candidate_pairs(signed_vectors(spark, sf_dir, 8))
+    return lk.candidate_pairs(signed_vectors(spark, sf_dir, BANDS), alike=["model"])
 
 
 @query("blocked_pairs", "C12 I6", f"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash, brand", "shop")}
-select id_a, id_b, kind from linked""")
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", "brand", "shop")}
+select id_a, id_b, pairs, a.brand from linked join vectors a on a.id = id_a""")
 def blocked_pairs(spark, sf_dir):
-    return lk.candidate_pairs(signed_vectors(spark, sf_dir, 16), same=["brand"], different="shop")
+    return lk.candidate_pairs(signed_vectors(spark, sf_dir, 8), same=["brand"], different="shop", alike=["model"])
 
 
 @query("labelled_pairs", "C11 I7", f"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash")}
-select l.id_a, l.id_b, l.kind, cast(a.model = b.model as integer) as label
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig")}
+select l.id_a, l.id_b, l.pairs, cast(a.model = b.model as integer) as label
 from linked l join vectors a on a.id = l.id_a join vectors b on b.id = l.id_b""")
 def labelled_pairs(spark, sf_dir):
-    signed = signed_vectors(spark, sf_dir, 16)
-    return lk.label_pairs(lk.candidate_pairs(signed), vectors(spark, sf_dir), "model")
+    signed = signed_vectors(spark, sf_dir, 8)
+    return lk.label_pairs(lk.candidate_pairs(signed, alike=["model"]), vectors(spark, sf_dir), "model")
 
 
 @query("false_candidates", "C11 G5 I7", f"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash")}
-select l.id_a, l.id_b, 0 as label
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig")}
+select l.id_a, l.id_b, l.pairs, 0 as label
 from linked l join vectors a on a.id = l.id_a join vectors b on b.id = l.id_b where a.model <> b.model""")
 def false_candidates(spark, sf_dir):
-    signed = signed_vectors(spark, sf_dir, 16)
-    return lk.label_pairs(lk.candidate_pairs(signed), vectors(spark, sf_dir), "model", keep=0).drop("kind")
+    signed = signed_vectors(spark, sf_dir, 8)
+    return lk.label_pairs(lk.candidate_pairs(signed, alike=["model"]), vectors(spark, sf_dir), "model", keep=0)
 
 
 def _order_hash(a: str, b: str):
@@ -251,7 +245,7 @@ def _order_hash(a: str, b: str):
 
 
 @query("balanced_pairs", "I8", f"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash")},
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig")},
 labelled as (
   select l.id_a, l.id_b, cast(a.model = b.model as integer) as label,
          cast('0x' || substr(md5(l.id_a || '-' || l.id_b), 1, 8) as bigint) as h
@@ -264,8 +258,8 @@ timed as (
          else 1 end as times from ranked r, sizes)
 select id_a, id_b, label, cast(unnest(range(1, cast(times as bigint) + 1)) as integer) as copy from timed""")
 def balanced_pairs(spark, sf_dir):
-    signed = signed_vectors(spark, sf_dir, 16)
-    labelled = lk.label_pairs(lk.candidate_pairs(signed), vectors(spark, sf_dir), "model").drop("kind")
+    signed = signed_vectors(spark, sf_dir, 8)
+    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model"]), vectors(spark, sf_dir), "model").drop("pairs")
     return lk.balance(labelled, _order_hash("id_a", "id_b"), ["id_a", "id_b"])
 
 
@@ -304,11 +298,11 @@ def _pair_records(spark, sf_dir) -> DataFrame:
     texts = offers(spark, sf_dir).select(
         "id", tx.tokens(F.col("title")).alias("tokens"), tx.model_id(F.col("title")).alias("model_id"),
         F.length("title").alias("length"))
-    return vectors(spark, sf_dir).select("id", "vector").join(texts, "id")
+    return vectors(spark, sf_dir).select("id", "vector").join(texts, "id", "left")
 
 
 @query("pair_features", "I10", rf"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash, brand", "shop")}, {MODEL_ID_SQL},
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", "brand", "shop", "vector, content")}, {MODEL_ID_SQL},
 records as (
   select v.id, list_transform(v.vector, lambda x: cast(x as double)) as vector,
          list_filter(list_distinct(regexp_split_to_array(lower(i.text), '[ \n\r\t]+')), lambda w: w <> '') as tokens,
@@ -322,7 +316,7 @@ select l.id_a, l.id_b, round(list_cosine_similarity(a.vector, b.vector), 5) as c
 from linked l join records a on a.id = l.id_a join records b on b.id = l.id_b""")
 def pair_features(spark, sf_dir):
     pairs = lk.candidate_pairs(
-        signed_vectors(spark, sf_dir, 16), same=["brand"], different="shop").drop("kind")
+        signed_vectors(spark, sf_dir, 8), same=["brand"], different="shop", alike=["content"]).drop("brand")
     f = lk.pair_features(pairs, _pair_records(spark, sf_dir))
     return f.select("id_a", "id_b", r("cosine", 5).alias("cosine"), r("overlap", 6).alias("overlap"),
                     "same_model", r("length_gap", 6).alias("length_gap"))
@@ -332,30 +326,35 @@ def pair_features(spark, sf_dir):
 def pair_classifier_measures(spark, sf_dir):
     from tallyloom.session import stage
 
-    signed = signed_vectors(spark, sf_dir, 16)
+    signed = signed_vectors(spark, sf_dir, 8)
     records = vectors(spark, sf_dir)
-    labelled = lk.label_pairs(lk.candidate_pairs(signed), records, "model").drop("kind")
+    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model", "content"]), records, "model")
     features = stage(lk.pair_features(labelled, _pair_records(spark, sf_dir)), "features")
     model = lk.fit_pair_classifier(features)
     scored = lk.duplicate_probability(model, features)
     truth = records.groupBy("model").count().agg(
         F.sum(F.col("count") * (F.col("count") - 1) / 2)).scalar()
-    return pair_measures(scored, "label", "p", truth)
+    return pair_measures(scored, "label", "p", truth, weight=F.col("pairs"))
+
+
+#: Cosine above which two vectors count as one model. The models of the table lie close together, so it is low;
+#: all four counts are above zero there.
+SAME_MODEL = 0.2
 
 
 @query("pair_measures_by_cosine", "I12 G6", f"""
-with {VECTORS_SQL}, {signature_sql(16)}, {pairs_sql("sig", "band, hash")},
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", alike="model, vector, content")},
 scored as (
-  select cast(a.model = b.model as integer) as label,
+  select l.pairs as n, cast(a.model = b.model as integer) as label,
          list_cosine_similarity(list_transform(a.vector, lambda x: cast(x as double)),
                                 list_transform(b.vector, lambda x: cast(x as double))) as p
   from linked l join vectors a on a.id = l.id_a join vectors b on b.id = l.id_b),
 truth as (select sum(n * (n - 1) / 2) as duplicates from (select count(*) as n from vectors group by model)),
-c as (select cast(count(*) filter (label = 1 and p > 0.7) as double) as tp,
-             cast(count(*) filter (label = 0 and p <= 0.7) as double) as tn,
-             cast(count(*) filter (label = 0 and p > 0.7) as double) as fp,
-             cast(count(*) filter (label = 1 and p <= 0.7) as double) as fn,
-             cast(count(*) as double) as pairs, (select cast(duplicates as double) from truth) as duplicates from scored),
+c as (select cast(coalesce(sum(n) filter (label = 1 and p > {SAME_MODEL}), 0) as double) as tp,
+             cast(coalesce(sum(n) filter (label = 0 and p <= {SAME_MODEL}), 0) as double) as tn,
+             cast(coalesce(sum(n) filter (label = 0 and p > {SAME_MODEL}), 0) as double) as fp,
+             cast(coalesce(sum(n) filter (label = 1 and p <= {SAME_MODEL}), 0) as double) as fn,
+             cast(coalesce(sum(n), 0) as double) as pairs, (select cast(duplicates as double) from truth) as duplicates from scored),
 m as (select *, coalesce(tp / nullif(tp + fp, 0), 0) as precision, coalesce(tp / nullif(tp + fn, 0), 0) as recall,
         coalesce(tp / nullif(pairs, 0), 0) as pair_quality, coalesce(tp / nullif(duplicates, 0), 0) as pair_completeness
       from c),
@@ -367,62 +366,101 @@ select tp, tn, fp, fn, pairs, duplicates, round(precision, 8) as precision, roun
        round(coalesce(2 * f1 * f1_star / nullif(f1 + f1_star, 0), 0), 8) as f1_hat from f""")
 def pair_measures_by_cosine(spark, sf_dir):
     records = vectors(spark, sf_dir)
-    pairs = lk.candidate_pairs(signed_vectors(spark, sf_dir, 16)).drop("kind")
+    pairs = lk.candidate_pairs(signed_vectors(spark, sf_dir, 8), alike=["model", "content"])
     labelled = lk.label_pairs(pairs, records, "model")
     side = records.select("id", "vector")
     scored = (
         labelled.join(side.toDF("id_a", "va"), "id_a").join(side.toDF("id_b", "vb"), "id_b")
-        .select("label", lk.cosine(F.col("va"), F.col("vb")).alias("p"))
+        .select("label", "pairs", lk.cosine(F.col("va"), F.col("vb")).alias("p"))
     )
     truth = records.groupBy("model").count().agg(
         F.sum(F.col("count") * (F.col("count") - 1) / 2)).scalar()
-    out = pair_measures(scored, "label", "p", truth)
+    out = pair_measures(scored, "label", "p", truth, SAME_MODEL, F.col("pairs"))
     exact = ["tp", "tn", "fp", "fn", "pairs", "duplicates"]
     return out.select(*exact, *[r(c, 8).alias(c) for c in out.columns if c not in exact])
 
 
-# Band counts and plane seeds of the sweep.
-SWEEP = [(bands, seed) for bands in (1, 2, 4) for seed in (1, 2)]
+# Thresholds and plane seeds of the sweep.
+TARGETS = (0.0, 0.002, 0.07, 0.3, 0.6, 0.81, 0.92, 0.97, 0.99, 0.998)
+SEEDS = (1, 2, 3, 4, 5)
+
+
+def sweep_settings() -> list[tuple[float, int, int, float]]:
+    """(target, bands, rows, threshold) of every target; no row has below 8 numbers.
+
+    A band of fewer numbers has a number of cells that does not grow with the data, so its
+    candidates would come near all pairs.
+    """
+    chosen = [(t, *lk.choose_bands(LENGTH, t)) for t in TARGETS]
+    return [c for c in chosen if c[2] >= 8]
+
+
+@query("band_choice", "I2", f"""
+with cuts as (select cast(b as integer) as bands, cast({LENGTH} // b as integer) as rows,
+                     power(1.0 / b, 1.0 / ({LENGTH} // b)) as threshold
+              from range(1, {LENGTH} + 1) t(b) where {LENGTH} % b = 0),
+targets as (select unnest({list(TARGETS)}::double[]) as target),
+held as (select target, bands, rows, threshold, n, row_number() over (partition by target order by threshold) as k
+         from targets join cuts on threshold > target, (select count(*) as n from embeddings))
+select target, bands, rows, round(threshold, 9) as threshold, cast(ceil(log2(8 * n)) as integer) as planes from held where k = 1
+union all select target, 1, {LENGTH}, 1.0, cast(ceil(log2(8 * n)) as integer) from targets, (select count(*) as n from embeddings)
+where target not in (select target from held)""")
+def band_choice(spark, sf_dir):
+    planes = lk.plane_count(table(spark, sf_dir, "embeddings").count())
+    rows = [(t, *lk.choose_bands(LENGTH, t), planes) for t in TARGETS]
+    return spark.createDataFrame(rows, "target double, bands int, rows int, threshold double, planes int").withColumn(
+        "threshold", r("threshold", 9))
 
 
 def _sweep_sql() -> str:
     parts = ["""
-vectors as (select vec_id as id, embedding as vector, label as model, null as shop, null as brand from embeddings)"""]
-    selects = []
-    for bands, seed in SWEEP:
-        name = f"s{bands}_{seed}"
-        parts.append(signature_sql(bands, seed, name))
-        parts.append(f"""
+vectors as (select vec_id as id, embedding as vector, label as model, null as shop, null as brand, null as content from embeddings)"""]
+    selects, settings = [], sweep_settings()
+    for bands in sorted({c[1] for c in settings}):
+        for seed in SEEDS:
+            name = f"s{bands}_{seed}"
+            parts.append(signature_sql(bands, seed, name))
+            parts.append(f"""
 {name}_pairs as (
   select distinct a.id as id_a, b.id as id_b, a.model = b.model as hit from {name} a join {name} b
     on a.band = b.band and a.hash = b.hash and a.id < b.id)""")
-        selects.append(f"""
+            selects.append(f"""
   select {bands} as bands, count(*) as candidates, count(*) filter (hit) as found from {name}_pairs""")
+    rows = ", ".join(f"({t}::double, {b}, {th!r}::double)" for t, b, _, th in settings)
     return f"""
 with {','.join(parts)},
 truth as (select sum(n * (n - 1) / 2) as duplicates from (select count(*) as n from embeddings group by label)),
 runs as ({' union all '.join(selects)}),
+settings(target, bands, threshold) as (values {rows}),
 q as (select bands, coalesce(found / nullif(candidates, 0), 0) as pq, found / duplicates as pc from runs, truth)
-select bands, round(power(1.0 / bands, 1.0 / ({LENGTH} / bands)), 6) as threshold, round(avg(pq), 8) as pair_quality,
+select target, bands, round(max(threshold), 6) as threshold, round(avg(pq), 8) as pair_quality,
        round(avg(pc), 8) as pair_completeness,
        round(avg(coalesce(2 * pq * pc / nullif(pq + pc, 0), 0)), 8) as f1_star
-from q group by bands"""
+from q join settings using (bands) group by target, bands"""
 
 
 @query("threshold_sweep", "D16 I2 I13", _sweep_sql())
 def threshold_sweep(spark, sf_dir):
+    """All cuts and seeds are signed in one pass over the vectors and counted in one join."""
     stored = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model"))
-    points = stored.count()
-    runs = []
-    for bands, seed in SWEEP:
-        signed = lk.signatures(stored, "vector", bands, LENGTH, points, seed).drop("vector")
-        threshold = (1.0 / bands) ** (bands / LENGTH)
-        runs.append(lk.pair_totals(signed, bands, "model").select(
-            F.lit(bands).alias("bands"), F.lit(threshold).alias("threshold"),
-            rate("found", "candidates").alias("pq"), rate("found", "duplicates").alias("pc")))
-    every = reduce(lambda a, b: a.unionByName(b), runs)
-    return every.groupBy("bands").agg(
+    points, settings = stored.count(), sweep_settings()
+    runs = [(bands, seed) for bands in sorted({c[1] for c in settings}) for seed in SEEDS]
+    signed, columns = stored, []
+    for i, (bands, seed) in enumerate(runs):
+        signed = lk.signatures(signed, "vector", bands, LENGTH, points, seed).withColumnRenamed("hashes", f"h{i}")
+        columns.append(F.struct(F.lit(i).alias("run"), F.lit(bands).alias("bands"), F.col(f"h{i}").alias("hashes")))
+    every = signed.select("id", "model", F.explode(F.array(*columns)).alias("s")).select("id", "model", "s.*")
+    pairs = lk.label_pairs(lk.candidate_pairs(every, same=["run"], alike=["bands", "model"]), stored, "model")
+    by_run = pairs.groupBy("run").agg(
+        F.sum("pairs").alias("candidates"), F.sum(F.when(F.col("label") == 1, F.col("pairs")).otherwise(0)).alias("found"))
+    duplicates = stored.groupBy("model").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("duplicates")).scalar()
+    cuts = spark.createDataFrame([(i, bands) for i, (bands, _) in enumerate(runs)], "run int, bands int")
+    rates = cuts.join(by_run, "run", "left").fillna(0).select(
+        "bands", rate("found", "candidates").alias("pq"), rate(F.col("found"), duplicates).alias("pc"))
+    chosen = spark.createDataFrame([(t, b, th) for t, b, _, th in settings], "target double, bands int, threshold double")
+    return chosen.join(rates, "bands").groupBy("target", "bands").agg(
         r(F.max("threshold"), 6).alias("threshold"), r(F.avg("pq"), 8).alias("pair_quality"),
         r(F.avg("pc"), 8).alias("pair_completeness"),
         r(F.avg(harmonic(F.col("pq"), F.col("pc"))), 8).alias("f1_star"))

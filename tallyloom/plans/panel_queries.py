@@ -482,7 +482,7 @@ def product_ranking(spark, sf_dir):
 
     means = product_cells(spark, sf_dir).groupBy("product").agg(
         F.avg("value").alias("mean_value"), F.avg("quantity").alias("mean_quantity"))
-    ranked = running(means, "mean_value", ["product"], descending=True, position="rank", slices=4)
+    ranked = running(means, "mean_value", ["product"], descending=True, position="rank")
     return ranked.select("product", r("mean_value").alias("mean_value"),
                          r("mean_quantity", 6).alias("mean_quantity"), F.col("rank").cast("int").alias("rank"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -31,10 +32,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where the setting is absent (tests on one machine) a folder is made here.
+    Only where the setting is absent and all runs on this machine a folder is made here.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors reach")
         named = _own_folder()
     return named.rstrip("/")
 

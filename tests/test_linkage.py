@@ -52,39 +52,46 @@ def test_pair_counts_equal_brute_force(spark, blocked):
     assert row["duplicates"] == sum(c * (c - 1) // 2 for c in pdf.groupby("model").size())
 
 
+def expanded(pdf, out, alike):
+    """All record pairs that the class pairs stand for."""
+    members = {}
+    for r in pdf.to_dict("records"):
+        members.setdefault((tuple(r["hashes"]), *[r[c] for c in alike]), []).append(r["id"])
+    of = {min(m): m for m in members.values()}
+    pairs = []
+    for r in out:
+        a, b = of[r["id_a"]], of[r["id_b"]]
+        own = list(combinations(sorted(a), 2)) if r["id_a"] == r["id_b"] else [tuple(sorted((x, y))) for x in a for y in b]
+        assert r["pairs"] == len(own)
+        pairs += own
+    return pairs
+
+
+@pytest.mark.parametrize("tile", [1000, 7])
 @pytest.mark.parametrize("blocked", [False, True])
-def test_small_groups_list_all_pairs(spark, blocked):
-    df, pdf = table(spark, 200, 30)
-    kwargs = {"same": ["brand"], "different": "shop"} if blocked else {}
-    out = lk.candidate_pairs(df, **kwargs).collect()
-    assert {(r["id_a"], r["id_b"]) for r in out} == brute(pdf, blocked) and len(out) == len(brute(pdf, blocked))
-    assert {r["kind"] for r in out} == {"pair"}
-
-
-def components(pairs, n):
-    root = list(range(n))
+def test_all_pairs_come_out_once(spark, blocked, tile):
+    """A hot bucket, copies and tiles: the class pairs stand for every candidate pair, each once."""
+    df, pdf = table(spark)
+    copies = pdf.iloc[:60].assign(id=lambda x: x["id"] + 1000)
+    pdf = pd.concat([pdf, copies, copies.assign(id=copies["id"] + 1000)], ignore_index=True)
+    df = spark.createDataFrame(pdf, df.schema)
+    kwargs = {"same": ["brand"], "different": "shop"} if blocked else {"alike": ["model"]}
+    out = lk.candidate_pairs(df, tile=tile, **kwargs).collect()
+    pairs = expanded(pdf, out, ["brand", "shop"] if blocked else ["model"])
+    assert len(pairs) == len(set(pairs)) and set(pairs) == brute(pdf, blocked)
 
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
 
-    for a, b in pairs:
-        root[find(a)] = find(b)
-    return [find(i) for i in range(n)]
+def test_bucket_of_thousands(spark):
+    n = 1500
+    df = spark.range(n).select("id", F.array(F.lit(1), F.col("id")).alias("hashes"))
+    assert lk.candidate_pairs(df, tile=200).agg(F.sum("pairs"), F.count("*")).first()[:] == (n * (n - 1) // 2,) * 2
+    alike = spark.range(n).select("id", F.array(F.lit(1), F.lit(2)).alias("hashes"))
+    assert [tuple(r) for r in lk.candidate_pairs(alike).collect()] == [(0, 0, n * (n - 1) // 2)]
 
 
-@pytest.mark.parametrize("blocked", [False, True])
-def test_large_groups_give_true_spanning_links(spark, blocked):
-    df, pdf = table(spark)
-    kwargs = {"same": ["brand"], "different": "shop"} if blocked else {}
-    out = [(r["id_a"], r["id_b"], r["kind"]) for r in lk.candidate_pairs(df, max_group=20, **kwargs).collect()]
-    every = brute(pdf, blocked)
-    got = {(a, b) for a, b, _ in out}
-    assert got <= every and len(out) == len(got) and any(k == "link" for *_, k in out)
-    assert len(got) < len(every)
-    first, second = components(every, 300), components(got, 300)
-    assert len(set(zip(first, second))) == len(set(first)) == len(set(second))
+def test_truth_groups(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, None), (6, None)], "id long, model string")
+    assert sorted(tuple(r) for r in lk.truth_groups(df, "model").collect()) == [("a", i, 3, 3) for i in (1, 2, 3)]
 
 
 def test_equal_and_zero_vectors(spark):
@@ -95,7 +102,7 @@ def test_equal_and_zero_vectors(spark):
     signed = lk.signatures(df, "vector", 4, 16, 4)
     hashes = {r["id"]: r["hashes"] for r in signed.collect()}
     assert hashes[0] == hashes[1] and hashes[2] == [2 ** lk.plane_count(4) - 1] * 4
-    assert [(r["id_a"], r["id_b"]) for r in lk.candidate_pairs(signed).collect()] == [(0, 1)]
+    assert [tuple(r) for r in lk.candidate_pairs(signed).collect()] == [(0, 0, 1)]  # two copies, one pair
 
 
 def test_labels_balance_and_measures(spark):
@@ -132,16 +139,9 @@ def test_no_records(spark):
     assert tuple(lk.pair_totals(df, 2, "model").first()) == (0, 0, 0)
 
 
-def test_unequal_neighbours_in_one_hot_bucket(spark):
-    """A third of the rows in one bucket and one shop: links only to rows of other shops."""
-    n = 3000
-    df = spark.range(n).select(
-        "id", F.when(F.col("id") % 3 == 0, "s0").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("shop"),
-        F.array(F.when(F.col("id") % 3 < 2, F.lit(1)).otherwise(F.col("id"))).alias("hashes"))
-    out = lk.candidate_pairs(df, different="shop")
-    shops = {r["id"]: r["shop"] for r in df.collect()}
-    rows = out.collect()
-    assert len(rows) <= n and all(shops[r["id_a"]] != shops[r["id_b"]] for r in rows)
-    members = [r["id"] for r in df.filter("id % 3 < 2").collect()]
-    linked = {i for r in rows for i in (r["id_a"], r["id_b"])}
-    assert linked == set(members)
+def test_measures_are_not_empty(spark):
+    """At the registered threshold every one of the four counts is above zero."""
+    from tallyloom.plans import load_all
+
+    row = load_all()["pair_measures_by_cosine"].build(spark, "/root/testdata/sf0.01").first()
+    assert all(row[c] > 0 for c in ("tp", "tn", "fp", "fn"))

@@ -102,15 +102,47 @@ def test_running_with_a_hot_value(spark, descending):
     values = [7.0] * 400 + [float(v) for v in rng.integers(0, 50, 800)]
     pdf = pd.DataFrame({"id": rng.permutation(1200), "v": values, "w": rng.integers(1, 9, 1200)})
     df = spark.createDataFrame(pdf)
-    got = ordered.running(df, "v", ["id"], {"total": "w"}, descending, slices=16).toPandas().sort_values("position")
+    got = ordered.running(df, "v", ["id"], {"total": "w"}, descending, slice_rows=75).toPandas().sort_values("position")
     want = pdf.sort_values(["v", "id"], ascending=[not descending, True])
     assert got["id"].tolist() == want["id"].tolist()
     assert got["position"].tolist() == list(range(1, 1201))
     assert got["total"].tolist() == want["w"].cumsum().tolist()
-    sliced = ordered.with_slices(df, "v", 16, descending, "id").groupBy(ordered.SLICE).count()
+    sliced = ordered.with_slices(df, "v", ["id"], descending, 75).groupBy(ordered.SLICE).count()
     assert sliced.agg(F.max("count")).first()[0] < 250  # 400 equal values are cut up
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_keeps_nulls_and_nan(spark, descending):
+    values = [None, 5.0, float("nan"), None, 3.0, float("inf"), 3.0, None]
+    df = spark.createDataFrame([(i, v, None if i == 1 else i) for i, v in enumerate(values)], "id long, v double, w long")
+    got = ordered.running(df, "v", ["id"], {"total": "w"}, descending, slice_rows=2).collect()
+    order = [0, 3, 7, 4, 6, 1, 5, 2] if not descending else [2, 5, 1, 4, 6, 0, 3, 7]
+    assert [r["id"] for r in sorted(got, key=lambda r: r["position"])] == order
+    totals, own = [], 0
+    for i in order:
+        own += 0 if i == 1 else i
+        totals.append(own)
+    assert [r["total"] for r in sorted(got, key=lambda r: r["position"])] == totals
+
+
+def test_running_with_long_keys_and_a_text_tie(spark):
+    """Longs above 2^53 stay apart; one value in 90 % of the rows is cut along a text."""
+    big = [2**53 + i for i in (3, 1, 2, 0)]
+    df = spark.createDataFrame([(v,) for v in big], "v long")
+    assert [r["v"] for r in ordered.running(df, "v", [], slice_rows=1).orderBy("position").collect()] == sorted(big)
+    rows = [(f"k{i:05d}", 1.0 if i % 10 else float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = ordered.running(df, "v", ["k"], slice_rows=200).orderBy("position").collect()
+    assert [(r["k"], r["v"]) for r in got] == sorted(rows, key=lambda r: (r[1], r[0]))
+    assert ordered.with_slices(df, "v", ["k"], slice_rows=200).groupBy(ordered.SLICE).count().agg(F.max("count")).first()[0] < 1000
+
+
+def test_cumulative_share_with_a_null(spark):
+    df = spark.createDataFrame([("A", 5.0), ("B", 3.0), ("C", None)], "k string, x double")
+    got = {r["k"]: (r["position"], r["cumulative"]) for r in panel.cumulative_share(df, "k", "x").collect()}
+    assert got == {"A": (1, 5.0), "B": (2, 8.0), "C": (3, 8.0)}
+
+
 def test_exact_quantiles(spark):
     values = np.r_[np.full(300, 2.0), np.random.default_rng(0).normal(size=701)]
     df = spark.createDataFrame(pd.DataFrame({"x": values}))
