@@ -12,24 +12,16 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.operators import mixture
 from tallyloom.plans import load_all
-from tallyloom.plans.statistics_queries import points
-from tallyloom.session import local_session, stage
+from tallyloom.session import local_session
 
 HEADLINES = [
     "unit_price_monthly", "enriched_panel", "interpolated_panel", "outlier_mask", "pareto_partners",
     "supervised_windows", "grid_search_means", "additive_decomposition", "candidate_pairs", "threshold_sweep",
-    "minhash_values", "logit_likelihood", "logit_fit", "grid_density", "leave_one_out", "brand_posterior",
+    "minhash_values", "logit_likelihood", "logit_fit", "grid_density", "leave_one_out", "brand_posterior", "mixture_fit",
 ]
 
 
-def mixture_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = stage(points(spark, sf_dir), "points")
-    _, value, paths = mixture.fit_em(data, "id", ["x1", "x2"], 3, restarts=3)
-    return spark.createDataFrame([(value, max(map(len, paths)))], "loglik double, steps int")
-
-
 def shuffled_bytes(spark: SparkSession) -> int:
     """Bytes written to shuffles by all executors so far."""
     executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
@@ -54,7 +46,7 @@ def main() -> None:
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     registered = load_all()
-    builds = {name: registered[name].build for name in HEADLINES} | {"mixture_fit": mixture_fit}
+    builds = {name: registered[name].build for name in HEADLINES}
     details = {name: run(spark, build, sf_dir) for name, build in builds.items()}
     rows_in = {
         t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("lineitem", "orders", "embeddings", "documents")

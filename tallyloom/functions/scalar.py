@@ -34,10 +34,6 @@ def parse_date(text: Column | str, layout: str) -> Column:
     return F.try_to_date(_col(text), DATE_LAYOUTS[layout])
 
 
-def month_start(date: Column | str) -> Column:
-    return F.trunc(_col(date).cast("date"), "month")
-
-
 def next_month_start(date: Column | str) -> Column:
     """Month end plus one day."""
     return F.date_add(F.last_day(_col(date)), 1)

@@ -177,6 +177,7 @@ class LogitFit:
     loglik: float
     gradient: np.ndarray
     steps: int
+    converged: bool = True
 
     @property
     def errors(self) -> np.ndarray:
@@ -188,11 +189,12 @@ def _inverse(information: np.ndarray) -> np.ndarray:
 
 
 def fit_logit_groups(
-    rows: DataFrame, terms: list[str], key: str, steps: int = 25, tolerance: float = 1e-8
+    rows: DataFrame, terms: list[str], key: str, steps: int = 100, tolerance: float = 1e-8
 ) -> dict[object, LogitFit]:
     """Newton's method for all datasets at once: one job per step, k x k sums per dataset.
 
-    A step that lowers the likelihood is halved. The occasions are cached for the loop; a
+    A step that lowers the likelihood is halved. A fit still in work after ``steps`` steps is
+    marked as not converged. The occasions are cached for the loop; a
     lost block is computed again from its source.
     """
     k = len(terms)
@@ -226,7 +228,7 @@ def fit_logit_groups(
                     theta[g] = theta[g] + step[g]
             taken += 1
         return {
-            g: LogitFit(terms, b[3], _inverse(b[2]), b[0], b[1], taken) for g, b in best.items()
+            g: LogitFit(terms, b[3], _inverse(b[2]), b[0], b[1], taken, g not in open_) for g, b in best.items()
         }
     finally:
         rows.unpersist()

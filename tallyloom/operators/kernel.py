@@ -96,8 +96,6 @@ def classify_rows(df: DataFrame, x1: str, x2: str, cls: str, bandwidth: np.ndarr
 # either side of it, so sorted blocks with k values of overlap are enough. Rows with equal x
 # fold into one (count, sum, sum of squares) first, whatever their number.
 
-_FOLDED = "x double, n double, sy double, syy double, wanted boolean, position long, block long, home boolean"
-
 
 def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int) -> DataFrame:
     folded = points.groupBy("x").agg(
@@ -224,6 +222,3 @@ def nearest_with_ties(df: DataFrame, query: str, distance: str, k: int) -> DataF
     w = Window.partitionBy(query).orderBy(distance)
     return df.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
-
-def kernel_weight(distance: str, h: float) -> Column:
-    return normal_density(F.col(distance), h)

@@ -45,13 +45,15 @@ class Mixture:
         return Mixture(self.mu[:, :index], self.sigma[:, :index, :index], self.pi)
 
 
-def _packed(m: Mixture) -> list[float]:
-    """Per segment: constant of the log density, mean, inverse covariance."""
+def _packed(m: Mixture, k: int | None = None) -> list[float]:
+    """Per segment: constant of the log density, mean, inverse covariance; filled up to ``k`` with segments of no weight."""
     out: list[float] = []
     d = m.mu.shape[1]
     for mu, sigma, pi in zip(m.mu, m.sigma, m.pi):
         constant = math.log(max(pi, 1e-300)) - 0.5 * (d * math.log(2 * math.pi) + math.log(np.linalg.det(sigma)))
         out += [constant, *map(float, mu), *map(float, np.linalg.inv(sigma).ravel())]
+    for _ in range(m.size, k or m.size):
+        out += [-1e300] + [0.0] * (d + d * d)
     return out
 
 
@@ -133,7 +135,7 @@ def _updated(row, xs: list[str], m: Mixture) -> Mixture:
 
 
 def stepper(xs: list[str], k: int):
-    """A function that makes one E and M step for several starts in one aggregation.
+    """A function that makes one E and M step for several models of up to ``k`` segments in one aggregation.
 
     It returns, for each start, the log-likelihood under its model and the moved model. The
     parameters travel as one literal array exploded under each row, so that the generated
@@ -146,7 +148,7 @@ def stepper(xs: list[str], k: int):
 
     def step(data: DataFrame, models: dict[int, Mixture]) -> dict[int, tuple[float, Mixture]]:
         starts = F.array(*[
-            F.struct(F.lit(r).alias("_start"), F.lit(np.array(_packed(m))).alias("_p")) for r, m in models.items()])
+            F.struct(F.lit(r).alias("_start"), F.lit(np.array(_packed(m, k))).alias("_p")) for r, m in models.items()])
         # one row per start reaches the driver
         rows = data.select(*xs, F.inline(starts)).transform(add).groupBy("_start").agg(*sums).collect()
         return {row["_start"]: (row["ll"], _updated(row, xs, models[row["_start"]])) for row in rows}
@@ -154,55 +156,85 @@ def stepper(xs: list[str], k: int):
     return step
 
 
-def _starts(df: DataFrame, id: str, xs: list[str], k: int, restarts: int, seed: int) -> list[Mixture]:
-    """k data rows as means (smallest hashes of the id), unit covariances, Dirichlet weights."""
-    out = []
+def _starts(df: DataFrame, id: str, xs: list[str], sizes: list[int], restarts: int, seed: int) -> list[tuple[int, Mixture]]:
+    """(k, start): k data rows as means (smallest hashes of the id), unit covariances, Dirichlet weights.
+
+    The rows of all starts come from one job that keeps the few least hashes of each partition.
+    """
+    most, every = max(sizes), None
     for r in range(restarts):
-        rows = df.orderBy(F.xxhash64(F.lit(seed), F.lit(r), id), id).select(*xs).limit(k).collect()
-        weights = np.random.default_rng([seed, r]).dirichlet(np.ones(k))
-        out.append(Mixture([list(x) for x in rows], [np.eye(len(xs))] * k, weights))
+        place = F.xxhash64(F.lit(seed), F.lit(r), id)
+        drawn = df.orderBy(place, id).limit(most).select(F.lit(r).alias("_r"), place.alias("_h"), id, *xs)
+        every = drawn if every is None else every.unionAll(drawn)
+    rows: dict[int, list] = {}
+    for row in every.collect():  # restarts x most rows
+        rows.setdefault(row["_r"], []).append((row["_h"], row[id], [row[x] for x in xs]))
+    out = []
+    for k in sizes:
+        for r, drawn in sorted(rows.items()):
+            weights = np.random.default_rng([seed, r]).dirichlet(np.ones(k))
+            means = [x for *_, x in sorted(drawn, key=lambda d: d[:2])[:k]]
+            out.append((k, Mixture(means, [np.eye(len(xs))] * k, weights)))
     return out
 
 
-def fit_em(
-    df: DataFrame, id: str, xs: list[str], k: int, restarts: int = 10, tolerance: float = 1e-4,
-    seed: int = 0, relative: bool = True, limit: int = 200,
-) -> tuple[Mixture, float, list[list[float]]]:
-    """Best of several starts; stops at a small simple or relative gain of the likelihood.
-
-    Returns the model, its log-likelihood and the likelihood path of every start.
+@dataclass
+class Fit:
+    model: Mixture
+    value: float
+    paths: list[list[float]]  # log-likelihood by step, per start
+    converged: bool
+
+
+def fit_sizes(
+    df: DataFrame, id: str, xs: list[str], sizes: list[int], restarts: int = 10, tolerance: float = 1e-4,
+    seed: int = 0, relative: bool = True, limit: int | None = None,
+) -> dict[int, Fit]:
+    """Best of several starts for every number of segments; all starts of all sizes share one job per step.
+
+    A start ends at a small simple or relative gain of the likelihood, which EM always reaches,
+    or in a singular covariance. With a ``limit`` of steps a fit may end before; its
+    ``converged`` is false then.
     """
     data = df.select(id, *xs).persist()
-    step = stepper(xs, k)
+    step = stepper(xs, max(sizes))
     try:
-        models = dict(enumerate(_starts(data, id, xs, k, restarts, seed)))
-        paths: list[list[float]] = [[] for _ in models]
-        best: tuple[float, Mixture | None] = (-math.inf, None)
-        for _ in range(limit):
-            models = {r: m for r, m in models.items() if not m.singular}
-            if not models:
-                break
-            moved = step(data, models)
-            for r, (value, after) in moved.items():
+        starts = _starts(data, id, xs, sizes, restarts, seed)
+        of = {i: k for i, (k, _) in enumerate(starts)}
+        models = {i: m for i, (_, m) in enumerate(starts)}
+        paths: dict[int, list[float]] = {i: [] for i in models}
+        best: dict[int, tuple[float, int, Mixture]] = {}
+        ended: set[int] = set()
+        while models and (limit is None or max(map(len, paths.values())) < limit):
+            models = {i: m for i, m in models.items() if not m.singular}
+            moved = step(data, models) if models else {}
+            for i, (value, after) in moved.items():
                 gain = math.inf
-                if paths[r]:
-                    gain = value - paths[r][-1]
+                if paths[i]:
+                    gain = value - paths[i][-1]
                     if relative:
-                        gain = abs(gain / paths[r][-1])
-                paths[r].append(value)
-                if value > best[0]:
-                    best = (value, models[r])
+                        gain = abs(gain / paths[i][-1])
+                paths[i].append(value)
+                if of[i] not in best or value > best[of[i]][0]:
+                    best[of[i]] = (value, i, models[i])
                 if gain > tolerance:
-                    models[r] = after
+                    models[i] = after
                 else:
-                    del models[r]
-        if best[1] is None:
-            raise ValueError("every start ended in a singular covariance")
-        return best[1], best[0], paths
+                    ended.add(i)
+                    del models[i]
+        if missing := [k for k in sizes if k not in best]:
+            raise ValueError(f"every start ended in a singular covariance for {missing} segments")
+        return {k: Fit(m, value, [paths[j] for j in of if of[j] == k], i in ended) for k, (value, i, m) in best.items()}
     finally:
         data.unpersist()
 
 
+def fit_em(df: DataFrame, id: str, xs: list[str], k: int, **options) -> tuple[Mixture, float, list[list[float]]]:
+    """The model, its log-likelihood and the likelihood path of every start, for ``k`` segments."""
+    fit = fit_sizes(df, id, xs, [k], **options)[k]
+    return fit.model, fit.value, fit.paths
+
+
 def conditional_mean(df: DataFrame, xs: list[str], m: Mixture, index: int = 1) -> DataFrame:
     """Expected later columns given the first ``index`` ones, mixed by their responsibilities."""
     given, wanted = xs[:index], xs[index:]

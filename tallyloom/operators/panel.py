@@ -55,11 +55,6 @@ def densify(
     return grid.join(df, [*keys, month], "left").select(*df.columns)
 
 
-def complete_groups(df: DataFrame, keys: list[str], month: str = "month") -> DataFrame:
-    """Every group gets all its months; a missing one becomes a row of nulls."""
-    return densify(df, keys, month)
-
-
 def outer_fold(tables: list[DataFrame], on: list[str]) -> DataFrame:
     """Full outer join of many tables on one shared key."""
     return reduce(lambda a, b: a.join(b, on, "full"), tables)

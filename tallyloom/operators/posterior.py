@@ -49,19 +49,19 @@ def summary(draws: DataFrame, keys: list[str], value: str = "value") -> DataFram
 
 
 def shortest_interval(draws: DataFrame, keys: list[str], value: str, p: float) -> DataFrame:
-    """Shortest interval between order statistics i and n - nod + i, i from 2 to nod.
+    """Shortest interval between order statistics i and n - outside + i, for i from 2 to outside.
 
-    nod = round((1 - p) n) draws lie outside; the first of equal widths is taken.
+    round((1 - p) n) draws lie outside; the first of equal widths is taken.
     """
     w = Window.partitionBy(*keys).orderBy(value)
     size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     ranked = draws.select(
         *keys, F.col(value).alias("low"), F.row_number().over(w).alias("_rank"),
-        F.bround(size * F.lit(1 - p), 0).cast("int").alias("_nod"), size.cast("int").alias("_n"))
+        F.bround(size * F.lit(1 - p), 0).cast("int").alias("_outside"), size.cast("int").alias("_n"))
     upper = ranked.select(*keys, F.col("low").alias("high"),
-                          (F.col("_rank") - (F.col("_n") - F.col("_nod"))).alias("_rank"))
+                          (F.col("_rank") - (F.col("_n") - F.col("_outside"))).alias("_rank"))
     widths = (
-        ranked.filter((F.col("_rank") >= 2) & (F.col("_rank") <= F.col("_nod")) & (F.col("_nod") < F.col("_n") - 2))
+        ranked.filter((F.col("_rank") >= 2) & (F.col("_rank") <= F.col("_outside")) & (F.col("_outside") < F.col("_n") - 2))
         .join(upper, [*keys, "_rank"])
     )
     best = F.min(F.struct((F.col("high") - F.col("low")).alias("width"), "_rank", "low", "high"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,16 +142,26 @@ def origins(
 
 def rolling_apply(
     df: DataFrame, keys: list[str], time: str, value: str, width: int,
-    metric: Callable[[pd.Series], float],
+    metric: Callable[[Column], Column],
 ) -> DataFrame:
-    """Apply a function to each run of ``width`` values; null until the run is full."""
+    """Apply a column function to the array of each run of ``width`` values; null until the run is full.
+
+    A Python function over the values goes in as ``python_metric(function)``.
+    """
     w = Window.partitionBy(*keys).orderBy(time).rowsBetween(-(width - 1), 0)
+    runs = df.withColumn("_run", F.collect_list(value).over(w))
+    score = metric(F.when(F.size("_run") == width, F.col("_run")))
+    return runs.withColumn("score", F.nanvl(score, F.lit(None))).drop("_run")
+
+
+def python_metric(function: Callable[[np.ndarray], float]) -> Callable[[Column], Column]:
+    """A Python function of one run as a column function, called once per full run."""
 
     @F.pandas_udf("double")
     def score(runs: pd.Series) -> pd.Series:
-        return runs.map(lambda run: float(metric(run)) if len(run) == width else None).astype("float64")
+        return runs.map(lambda run: float(function(run)), na_action="ignore").astype("float64")
 
-    return df.withColumn("score", F.nanvl(score(F.collect_list(value).over(w)), F.lit(None)))
+    return score
 
 
 def ith_step(forecasts: DataFrame, labels: DataFrame, keys: list[str], step: int, time: str,

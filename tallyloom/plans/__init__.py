@@ -13,6 +13,7 @@ FAMILIES = [
     "file_queries",
     "scalar_queries",
     "selection_queries",
+    "closed_form_queries",
 ]
 
 

@@ -75,18 +75,18 @@ def titled_file(spark, sf_dir):
 
 
 @query("offers_file", "A5", """
-with k as (select lang || '-' || quality as product, count(*) as n
-           from documents join labels using (doc_id) group by 1 having count(*) >= 3)
-select lang || '-' || quality as product, cast(doc_id as varchar) as model_id, source as shop, md5(text) as title,
-       n_chars as chars
-from documents join labels using (doc_id) where lang || '-' || quality in (select product from k)""")
+with o as (select lang || '-' || coalesce(cast(quality as varchar), 'unlabelled') as product, d.*
+           from documents d left join labels using (doc_id)),
+k as (select product from o group by 1 having count(*) >= 3)
+select product, cast(doc_id as varchar) as model_id, source as shop, md5(text) as title, n_chars as chars
+from o where product in (select product from k)""")
 def offers_file(spark, sf_dir):
     path = scratch_path(spark, "offers")
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     offer = F.struct(
         F.col("doc_id").cast("string").alias("modelID"), F.col("source").alias("shop"), F.col("text").alias("title"),
         F.lit("").alias("url"), F.create_map(F.lit("chars"), F.col("n_chars").cast("string")).alias("featuresMap"))
-    product = F.concat_ws("-", "lang", "quality")
+    product = F.concat_ws("-", "lang", F.coalesce(F.col("quality").cast("string"), F.lit("unlabelled")))
     docs.select(F.to_json(F.create_map(product, F.array(offer))).alias("value")).write.text(path)
     offers = readers.offers_json(spark, path, minimum_duplicates=3)
     return offers.select(

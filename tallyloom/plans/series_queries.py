@@ -102,8 +102,10 @@ n as (select *, count(*) over w as c, avg(price) over w as m, max(price) over w
       window w as (partition by partner order by month rows between 11 preceding and current row))
 select partner, month, case when c = 12 then round(hi - m, 3) end as score from n""")
 def rolling_metric(spark, sf_dir):
-    scored = win.rolling_apply(
-        price_series(spark, sf_dir), KEYS, "month", "price", 12, lambda run: max(run) - sum(run) / len(run))
+    def peak_over_mean(run):
+        return F.array_max(run) - F.aggregate(run, F.lit(0.0), lambda a, x: a + x) / F.size(run)
+
+    scored = win.rolling_apply(price_series(spark, sf_dir), KEYS, "month", "price", 12, peak_over_mean)
     return scored.select("partner", "month", r("score", 3).alias("score"))
 
 

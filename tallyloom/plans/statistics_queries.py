@@ -116,14 +116,14 @@ def mixture_single_segment(spark, sf_dir):
 
 @query("mixture_fit", "K4 K5")
 def mixture_fit(spark, sf_dir):
+    """Two, three and four segments from ten starts each, to convergence."""
     data = stage(points(spark, sf_dir), "points")
     n = data.count()
-    rows = []
-    for k in (2, 3, 4):
-        model, value, paths = mx.fit_em(data, "id", ["x1", "x2"], k, restarts=3, limit=40)
-        rows.append((k, value, model.parameters() * float(np.log(n)) - 2 * value,
-                     [float(p) for p in model.pi], max(map(len, paths))))
-    return spark.createDataFrame(rows, "k int, loglik double, bic double, pi array<double>, steps int")
+    rows = [
+        (k, f.value, f.model.parameters() * float(np.log(n)) - 2 * f.value, [float(p) for p in f.model.pi],
+         max(map(len, f.paths)), f.converged)
+        for k, f in sorted(mx.fit_sizes(data, "id", ["x1", "x2"], [2, 3, 4]).items())]
+    return spark.createDataFrame(rows, "k int, loglik double, bic double, pi array<double>, steps int, converged boolean")
 
 
 @query("gram_sums", "B20 D18 L1", f"""

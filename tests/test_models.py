@@ -324,11 +324,10 @@ def test_draw_summaries(spark):
     v = rng.normal(size=1000)
     df = frame(spark, p=["a"] * 1000, iter=np.arange(1000), value=v)
     s = np.sort(v)
-    nod = round(0.05 * 1000)
-    lower, upper = s[1:nod], s[1000 - nod + 1:]
-    i = np.argmin(upper - lower)
+    # every pair of order statistics with 950 steps between them that leaves at least one draw below
+    widths = [(s[first + 950] - s[first], s[first], s[first + 950]) for first in range(1, 50)]
     row = po.shortest_interval(df, ["p"], "value", 0.95).first()
-    assert [row["low"], row["high"]] == pytest.approx([lower[i], upper[i]])
+    assert (row["low"], row["high"]) == pytest.approx(min(widths)[1:])
     assert po.order_statistic(df, ["p"], "value", 0.25).first()["value"] == s[round(250) - 1]
     g = po.stationarity(df, ["p"], "iter", "value").withColumn("pv", po.lower_tail(F.col("z"))).first()
     z = (v[:100].mean() - v[500:].mean()) / np.sqrt(v[:100].var() / 100 + v[500:].var() / 500)
@@ -344,6 +343,25 @@ def test_forecast_draws_follow_the_recursion(spark):
     assert [r["value"] for r in out] == pytest.approx([3.5, 1 + 0.5 * 3.5 + 0.25 * 4.0])
 
 
+def test_rolling_python_metric(spark):
+    from tallyloom.operators import windows as win
+
+    df = spark.createDataFrame([("A", i, float(i * i)) for i in range(6)], "g string, t int, v double")
+    got = win.rolling_apply(df, ["g"], "t", "v", 3, win.python_metric(max)).orderBy("t").collect()
+    assert [r["score"] for r in got] == [None, None, 4.0, 9.0, 16.0, 25.0]
+
+
+def test_mixture_fits_converge(spark):
+    rng = np.random.default_rng(5)
+    x = np.r_[rng.normal(-2, 0.5, (150, 2)), rng.normal(2, 0.7, (150, 2))]
+    df = frame(spark, id=np.arange(300), a=x[:, 0], b=x[:, 1])
+    fits = mx.fit_sizes(df, "id", ["a", "b"], [1, 2], restarts=3)
+    assert all(f.converged for f in fits.values()) and fits[2].value > fits[1].value
+    alone = mx.fit_em(df, "id", ["a", "b"], 2, restarts=3)
+    assert alone[1] == pytest.approx(fits[2].value)
+    assert not mx.fit_sizes(df, "id", ["a", "b"], [2], restarts=1, tolerance=0.0, limit=3)[2].converged
+
+
 # ---- model selection
 
 def test_folds_are_complete_and_balanced(spark):

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 from types import SimpleNamespace
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
@@ -65,12 +67,15 @@ def test_sinks(spark):
 
 
 def test_shared_folder_is_read_from_the_session(spark):
-    def session(setting, folder):
+    def session(setting, folder, master="local[4]"):
         return SimpleNamespace(
             conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": setting}.get(key) or default),
-            sparkContext=SimpleNamespace(getCheckpointDir=lambda: folder))
+            sparkContext=SimpleNamespace(getCheckpointDir=lambda: folder, master=master))
 
     assert shared_dir(session("hdfs://x/shared/", None)) == "hdfs://x/shared"
     assert shared_dir(session(None, "hdfs://x/set")) == "hdfs://x/set"
     assert shared_dir(session(None, None)) == shared_dir(session(None, None))
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError):
+            shared_dir(session(None, None, master))
     assert stage(spark.range(3), "x").count() == 3
