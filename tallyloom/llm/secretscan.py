@@ -17,6 +17,7 @@ import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -107,18 +108,27 @@ def cut(text: str) -> tuple[list[str], list[str]]:
     return parts[0::2], parts[1::2]
 
 
-class _Cached(dict):
-    """Bounded by the number of entries; a miss is worked out and kept."""
+class _Rows(dict):
+    """Key to the number of its row in ``matrix``; a miss is worked out. Begins anew above ``limit`` keys."""
 
-    def __init__(self, work, limit: int):
+    def __init__(self, work, width: int, limit: int):
         super().__init__()
         self.work, self.limit = work, limit
+        self.matrix = np.zeros((1024, width))
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        n = len(self)
+        if n == len(self.matrix):
+            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+        self.matrix[n] = self.work(key)
+        self[key] = n
+        return n
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        if len(self) > self.limit:
             self.clear()
-        value = self[key] = self.work(key)
-        return value
+        numbers = np.fromiter(map(self.__getitem__, keys), dtype=np.int64, count=len(keys))
+        return self.matrix[numbers]
 
 
 @dataclass
@@ -134,16 +144,17 @@ class Field:
         self.margin = 2 * (self.transitions.max() - self.transitions.min()) + 1e-9
         self.contexts = {side: np.array([of(f"{side}={c}") for c in CONTEXTS] + [nothing]) for side in ("before", "before2", "after")}
         self.gaps = {side: np.array([of(f"{side}={g}") for g in GAPS]) for side in ("gap", "behind")}
-        self.own = _Cached(lambda t: (*sum((of(f) for f in own_features(t)), nothing), CONTEXTS.index(context_class(t))), 100_000)
-        self.gap = _Cached(lambda g: GAPS.index(gap_class(g)), 20_000)
+        summed = cache(lambda names: sum((of(f) for f in names), nothing))  # few kinds of tokens, many tokens
+        self.own = _Rows(lambda t: (*summed(tuple(own_features(t))), CONTEXTS.index(context_class(t))), 4, 200_000)
+        self.gap = _Rows(lambda g: GAPS.index(gap_class(g)), 1, 20_000)
         self.of = of
 
     def emissions(self, gaps: list[str], tokens: list[str], file: list[str]) -> np.ndarray:
-        rows = np.array([self.own[t] for t in tokens])
+        rows = self.own.rows(tokens)
         context = rows[:, 3].astype(np.int64)
         none = len(CONTEXTS)
         padded = np.concatenate([[none, none], context, [none]])
-        between = np.fromiter((self.gap[g] for g in gaps), dtype=np.int64, count=len(gaps))
+        between = self.gap.rows(gaps)[:, 0].astype(np.int64)
         return (rows[:, :3] + self.contexts["before"][padded[1:-2]] + self.contexts["before2"][padded[:-3]]
                 + self.contexts["after"][padded[3:]] + self.gaps["gap"][between[:-1]] + self.gaps["behind"][between[1:]]
                 + sum((self.of(f) for f in file), np.zeros(3)))
