@@ -94,7 +94,8 @@ def classify_rows(df: DataFrame, x1: str, x2: str, cls: str, bandwidth: np.ndarr
 
 # Nearest neighbours on a line: the k nearest of a point are among the k distinct values on
 # either side of it, so sorted blocks with k values of overlap are enough. Rows with equal x
-# fold into one (count, sum, sum of squares) first, whatever their number.
+# fold into one (count, sum, sum of squares) first, whatever their number. A block with very many
+# queries between its points is cut into parts, each with all points of the block.
 
 
 def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int) -> DataFrame:
@@ -106,13 +107,19 @@ def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int) ->
                                F.lit(True).alias("wanted"))
         folded = folded.unionByName(asked).groupBy("x").agg(
             F.sum("n").alias("n"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"), F.max("wanted").alias("wanted"))
-    placed = running(folded, "x", [], {"position": (F.col("n") > 0).cast("long")}, position=None)
+    placed = running(
+        folded, "x", [], {"position": (F.col("n") > 0).cast("long"), "asked": (F.col("n") == 0).cast("long")}, position=None)
+    placed = placed.withColumn("part", F.floor(F.col("asked") / size)).drop("asked")
     block = F.explode(F.sequence(
         F.floor((F.col("position") - k - 1) / size), F.floor((F.col("position") + k + 1) / size)))
     home = F.floor(F.col("position") / size)
     copies = placed.withColumn("_home", home).withColumn("block", block)
     copies = copies.withColumn("home", F.col("block") == F.col("_home")).drop("_home")
-    return copies.filter((F.col("n") > 0) | F.col("home"))
+    copies = stage(copies.filter((F.col("n") > 0) | F.col("home")), "blocks")
+    parts = stage(copies.filter("home").groupBy("block").agg(F.min("part").alias("_from"), F.max("part").alias("_to")), "parts")
+    spread = copies.withColumnRenamed("part", "_own").join(parts, "block").withColumn(
+        "part", F.explode(F.when(F.col("n") > 0, F.sequence("_from", "_to")).otherwise(F.array("_own"))))
+    return spread.withColumn("home", F.col("home") & (F.col("part") == F.col("_own"))).drop("_own", "_from", "_to")
 
 
 def _near(block: pd.DataFrame, k: int):
@@ -160,7 +167,7 @@ def knn_regression(points: DataFrame, queries: DataFrame, h: float, k: int, bloc
         fitted = np.divide(top, bottom, out=np.full(len(top), np.nan), where=bottom > 0)
         return pd.DataFrame({"x": asked["x"].to_numpy(), "fitted": fitted})
 
-    out = _blocks(points, queries, k, block).groupBy("block").applyInPandas(fit, "x double, fitted double")
+    out = _blocks(points, queries, k, block).groupBy("block", "part").applyInPandas(fit, "x double, fitted double")
     return out.withColumn("fitted", F.nanvl("fitted", F.lit(None)))
 
 
@@ -194,7 +201,7 @@ def leave_one_out(points: DataFrame, bandwidths: list[float], neighbours: list[i
                 rows.append((h, kk, float(value.sum()), float(own_n.sum()), int((~good).sum())))
         return pd.DataFrame(rows, columns=["bandwidth", "neighbours", "error", "rows", "bad"])
 
-    parts = _blocks(points, None, k, block).groupBy("block").applyInPandas(
+    parts = _blocks(points, None, k, block).groupBy("block", "part").applyInPandas(
         score, "bandwidth double, neighbours int, error double, rows double, bad int")
     return parts.groupBy("bandwidth", "neighbours").agg(
         F.when(F.sum("bad") == 0, F.sum("error") / F.sum("rows")).alias("score"))

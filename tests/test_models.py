@@ -343,6 +343,21 @@ def test_forecast_draws_follow_the_recursion(spark):
     assert [r["value"] for r in out] == pytest.approx([3.5, 1 + 0.5 * 3.5 + 0.25 * 4.0])
 
 
+def test_very_many_queries_between_two_points(spark):
+    """Queries that all fall into one gap are spread over parts and answered as by brute force."""
+    points = spark.createDataFrame([(0.0, 1.0), (10.0, 5.0), (20.0, 2.0)], "x double, y double")
+    xs = [4 + i / 1000 for i in range(3000)]
+    queries = spark.createDataFrame([(x,) for x in xs], "x double")
+    blocks = kn._blocks(points, queries, 2, 100).groupBy("block", "part").count().agg(F.max("count")).first()[0]
+    assert blocks < 200
+    got = {r["x"]: r["fitted"] for r in kn.knn_regression(points, queries, 5.0, 2, block=100).collect()}
+    assert len(got) == 3000
+    for x in xs[::97]:
+        near = sorted([(abs(x - a), b) for a, b in ((0.0, 1.0), (10.0, 5.0), (20.0, 2.0))])[:2]
+        w = [math.exp(-0.5 * (d / 5) ** 2) for d, _ in near]
+        assert got[x] == pytest.approx(sum(a * y for a, (_, y) in zip(w, near)) / sum(w))
+
+
 def test_rolling_python_metric(spark):
     from tallyloom.operators import windows as win
 
