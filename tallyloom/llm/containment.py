@@ -9,7 +9,7 @@ that documents are cut into, which turns the containment bound into a Jaccard bo
 * Windows of ``2 run - 1`` shingles, one every ``run``, contain each such run whole. Window
   and run then have a Jaccard similarity of at least run / (2 run - 1) > 1/2.
 * Bands of one MinHash value each collide in at least one of ``bands`` with a probability of
-  ``1 - (1 - run / (2 run - 1)) ** bands``: at least 0.9998 here, and 1 where run is 1.
+  ``1 - (1 - run / (2 run - 1)) ** bands``: at least 0.9997 here, and 1 where run is 1.
   A longer passage has several runs and several windows, each with its own chance.
 
 What collides is verified by exact containment of the item's shingles in the whole document,
@@ -130,13 +130,13 @@ def search(
         met = found.join(F.broadcast(wanted), "value")
     else:
         # Only 16 bytes a value travel; the texts are read again for the pairs that collide.
-        pairs = found.select("value", "doc_id").distinct().join(table.select("value", "item_id").distinct(), "value") \
-            .select("doc_id", "item_id").distinct()
-        texts = ready.join(pairs, ready["doc_id"].eqNullSafe(pairs["doc_id"])).select(ready["doc_id"], "own", "item_id")
-        items_once = items.select(F.col(item).alias("item_id"), F.array_distinct(
+        pairs = found.select("value", F.col("doc_id").alias("_doc")).distinct().join(
+            table.select("value", F.col("item_id").alias("_item")).distinct(), "value")
+        pairs = stage(pairs.select("_doc", "_item").distinct(), "pairs")
+        once = items.select(F.col(item).alias("item_id"), F.array_distinct(
             shingles(text_or_empty(item_text))).alias("item_shingles"))
-        met = texts.join(items_once, texts["item_id"].eqNullSafe(items_once["item_id"])).select(
-            "doc_id", "own", texts["item_id"], "item_shingles")
+        met = ready.join(pairs, F.col("doc_id").eqNullSafe(F.col("_doc"))) \
+            .join(once, F.col("_item").eqNullSafe(F.col("item_id"))).select("doc_id", "own", "item_id", "item_shingles")
     scored = met.select(
         "doc_id", "item_id", F.size("item_shingles").alias("n_shingles"),
         F.size(F.array_intersect("item_shingles", "own")).alias("matched"))
