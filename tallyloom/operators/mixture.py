@@ -1,4 +1,4 @@
-"""Gaussian mixtures by EM: densities are column expressions, each step one aggregation.
+"""Gaussian mixtures by EM: densities are column expressions, each step of a fit one aggregation.
 
 All restarts share the step's job. Only sums of size K x d x d reach the driver.
 """
@@ -6,10 +6,12 @@ All restarts share the step's job. Only sums of size K x d x d reach the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,15 +47,13 @@ class Mixture:
         return Mixture(self.mu[:, :index], self.sigma[:, :index, :index], self.pi)
 
 
-def _packed(m: Mixture, k: int | None = None) -> list[float]:
-    """Per segment: constant of the log density, mean, inverse covariance; filled up to ``k`` with segments of no weight."""
+def _packed(m: Mixture) -> list[float]:
+    """Per segment: constant of the log density, mean, inverse covariance."""
     out: list[float] = []
     d = m.mu.shape[1]
     for mu, sigma, pi in zip(m.mu, m.sigma, m.pi):
         constant = math.log(max(pi, 1e-300)) - 0.5 * (d * math.log(2 * math.pi) + math.log(np.linalg.det(sigma)))
         out += [constant, *map(float, mu), *map(float, np.linalg.inv(sigma).ravel())]
-    for _ in range(m.size, k or m.size):
-        out += [-1e300] + [0.0] * (d + d * d)
     return out
 
 
@@ -102,56 +102,63 @@ def bic(df: DataFrame, xs: list[str], m: Mixture) -> DataFrame:
         (F.lit(float(m.parameters())) * F.log(F.count(F.lit(1))) - 2 * F.sum("ll")).alias("bic"))
 
 
-def _sums(xs: list[str], k: int, value) -> list[Column]:
-    """Weights, weighted gaps to the current mean and their products, per segment."""
-    d = len(xs)
-    out = [F.count(F.lit(1)).alias("n"), F.sum("ll").alias("ll")]
-    for i in range(k):
-        w = F.col(f"w_{i}")
-        gap = [F.col(x) - value(i * (1 + d + d * d) + 1 + a) for a, x in enumerate(xs)]
-        out.append(F.sum(w).alias(f"s_{i}"))
-        out += [F.sum(w * g).alias(f"s_{i}_{a}") for a, g in enumerate(gap)]
-        out += [F.sum(w * gap[a] * gap[b]).alias(f"s_{i}_{a}_{b}") for a in range(d) for b in range(a, d)]
-    return out
+def _sums(x: np.ndarray, m: Mixture) -> np.ndarray:
+    """Rows, log-likelihood, and per segment: weight, weighted gaps to the mean and their products."""
+    gap = x[:, None, :] - m.mu
+    d = x.shape[1]
+    constant = np.log(np.maximum(m.pi, 1e-300)) - 0.5 * (d * math.log(2 * math.pi) + np.log(np.linalg.det(m.sigma)))
+    logs = constant - 0.5 * np.einsum("nka,kab,nkb->nk", gap, np.linalg.inv(m.sigma), gap)
+    top = logs.max(axis=1, keepdims=True)
+    w = np.exp(logs - top)
+    total = w.sum(axis=1, keepdims=True)
+    w /= total
+    weighted = w[:, :, None] * gap
+    second = np.einsum("nka,nkb->kab", weighted, gap)
+    parts = np.concatenate([w.sum(axis=0)[:, None], weighted.sum(axis=0), second.reshape(m.size, d * d)], axis=1)
+    return np.concatenate([[len(x), float((top + np.log(total)).sum())], parts.ravel()])
 
 
-def _updated(row, xs: list[str], m: Mixture) -> Mixture:
+def _updated(sums: np.ndarray, m: Mixture) -> Mixture:
     """New means, covariances (around the new means) and shares."""
-    d = len(xs)
+    d = m.mu.shape[1]
     mu, sigma, pi = m.mu.copy(), m.sigma.copy(), np.zeros(m.size)
-    for i in range(m.size):
-        weight = row[f"s_{i}"]
-        pi[i] = weight / row["n"]
-        if weight <= 0:
+    for i, part in enumerate(sums[2:].reshape(m.size, 1 + d + d * d)):
+        pi[i] = part[0] / sums[0]
+        if part[0] <= 0:
             continue
-        shift = np.array([row[f"s_{i}_{a}"] for a in range(d)]) / weight
-        second = np.zeros((d, d))
-        for a in range(d):
-            for b in range(a, d):
-                second[a, b] = second[b, a] = row[f"s_{i}_{a}_{b}"] / weight
+        shift = part[1:1 + d] / part[0]
         mu[i] = m.mu[i] + shift
-        sigma[i] = second - np.outer(shift, shift)
+        sigma[i] = part[1 + d:].reshape(d, d) / part[0] - np.outer(shift, shift)
     return Mixture(mu, sigma, pi)
 
 
-def stepper(xs: list[str], k: int):
-    """A function that makes one E and M step for several models of up to ``k`` segments in one aggregation.
+def stepper(xs: list[str]):
+    """A function that makes one E and M step for several models of any sizes in one job.
 
-    It returns, for each start, the log-likelihood under its model and the moved model. The
-    parameters travel as one literal array exploded under each row, so that the generated
-    code is the same in every step and compiled once.
+    It returns, for each model, its log-likelihood and the moved model. A task adds up its
+    batches with numpy and hands on one array per model; the arrays are summed by model.
     """
-    def value(i: int) -> Column:
-        return F.get("_p", F.lit(i))
-
-    add, sums = _shares(xs, k, value), _sums(xs, k, value)
-
     def step(data: DataFrame, models: dict[int, Mixture]) -> dict[int, tuple[float, Mixture]]:
-        starts = F.array(*[
-            F.struct(F.lit(r).alias("_start"), F.lit(np.array(_packed(m, k))).alias("_p")) for r, m in models.items()])
-        # one row per start reaches the driver
-        rows = data.select(*xs, F.inline(starts)).transform(add).groupBy("_start").agg(*sums).collect()
-        return {row["_start"]: (row["ll"], _updated(row, xs, models[row["_start"]])) for row in rows}
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            totals: dict[int, np.ndarray] = {}
+            for batch in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                for i, m in models.items() if len(x) else ():
+                    totals[i] = totals.get(i, 0.0) + _sums(x, m)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals), pa.int32()), pa.array([t.tolist() for t in totals.values()], pa.list_(pa.float64()))],
+                names=["start", "sums"])
+
+        numbers = data.select(*[F.col(x).cast("double") for x in xs]).dropna()
+        width = max(2 + m.size * (1 + len(xs) + len(xs) ** 2) for m in models.values())
+        added = numbers.mapInArrow(sums, "start int, sums array<double>").groupBy("start").agg(
+            *[F.sum(F.get("sums", F.lit(j))).alias(f"s{j}") for j in range(width)])
+        out = {}
+        for row in added.collect():  # one row per model
+            m = models[row["start"]]
+            found = np.array([v for v in row[1:] if v is not None], dtype=float)
+            out[row["start"]] = (float(found[1]), _updated(found, m))
+        return out
 
     return step
 
@@ -197,7 +204,7 @@ def fit_sizes(
     ``converged`` is false then.
     """
     data = df.select(id, *xs).persist()
-    step = stepper(xs, max(sizes))
+    step = stepper(xs)
     try:
         starts = _starts(data, id, xs, sizes, restarts, seed)
         of = {i: k for i, (k, _) in enumerate(starts)}

@@ -76,7 +76,7 @@ select share.k, round(max(m.pi), 7) as pi, round(max(m.m1), 6) as m1, round(max(
        round(sum(w * (x2 - m.m2) ** 2) / max(s), 6) as s22
 from share join m on share.k = m.k group by share.k""")
 def mixture_step(spark, sf_dir):
-    (_, after), = mx.stepper(["x1", "x2"], 2)(points(spark, sf_dir), {0: MODEL}).values()
+    (_, after), = mx.stepper(["x1", "x2"])(points(spark, sf_dir), {0: MODEL}).values()
     rows = [
         (k, *(round(float(v), d) for v, d in (
             (after.pi[k], 7), (after.mu[k, 0], 6), (after.mu[k, 1], 6), (after.sigma[k, 0, 0], 6),
