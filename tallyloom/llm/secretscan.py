@@ -31,7 +31,7 @@ from tallyloom.llm.common import sample_ids
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
+HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ of at least 24 characters, without the short ones
 KINDS = ("assign", "access", "hex", "crf")
 
 #: Documents of the training sample, windows of one document, tokens of a window.
@@ -48,7 +48,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base patterns, leftmost and non-overlapping per kind."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 20]
-    found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text) if len(m[0]) >= 24]
+    found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     return found
 
 
@@ -58,8 +58,22 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
                   + [(s, e) for s, e, k in base_spans(text) if k != "assign"])
 
 
+_PLAIN = {kind: [f"plain={kind},{n}" for n in range(11)] for kind in ("a", "Aa", "A")}
+
+
+def plain_word(token: str) -> str | None:
+    """The kind of a word of letters, by case, with or without a full stop behind; null for any other token."""
+    word = token.rstrip(".")
+    if not word.isalpha():
+        return None
+    return "a" if word.islower() else "Aa" if word[1:].islower() else "A" if word.isupper() else None
+
+
 def own_features(token: str) -> list[str]:
-    """Features of a token by itself."""
+    """Features of a token by itself; a plain word has only its kind and length."""
+    kind = plain_word(token)
+    if kind and not _KEYWORD.search(token):
+        return [_PLAIN[kind][min(len(token) // 4, 10)]]
     runs = _RUNS.findall(token)
     classes = ["a" if r[0].islower() else "A" if r[0].isupper() else "0" if r[0].isdigit() else r[0] for r in runs]
     digits = sum(map(str.isdigit, token)) / len(token)
@@ -82,6 +96,8 @@ def context_class(token: str) -> str:
     """What a token is to its neighbours."""
     if _KEYWORD.search(token):
         return "keyword"
+    if plain_word(token):
+        return "word"
     if set(token) <= set("=:/.-+"):
         return "sign"
     return "number" if token.isdigit() else "mixed" if re.search(r"\d", token) else "word"
@@ -108,6 +124,14 @@ def cut(text: str) -> tuple[list[str], list[str]]:
     return parts[0::2], parts[1::2]
 
 
+def _described(token: str) -> tuple[tuple[str, ...], str]:
+    """Features and context class of a token."""
+    kind = plain_word(token)
+    if kind and not _KEYWORD.search(token):
+        return (_PLAIN[kind][min(len(token) // 4, 10)],), "word"
+    return tuple(own_features(token)), context_class(token)
+
+
 class _Rows(dict):
     """Key to the number of its row in ``matrix``; a miss is worked out. Begins anew above ``limit`` keys."""
 
@@ -144,8 +168,9 @@ class Field:
         self.margin = 2 * (self.transitions.max() - self.transitions.min()) + 1e-9
         self.contexts = {side: np.array([of(f"{side}={c}") for c in CONTEXTS] + [nothing]) for side in ("before", "before2", "after")}
         self.gaps = {side: np.array([of(f"{side}={g}") for g in GAPS]) for side in ("gap", "behind")}
-        summed = cache(lambda names: sum((of(f) for f in names), nothing))  # few kinds of tokens, many tokens
-        self.own = _Rows(lambda t: (*summed(tuple(own_features(t))), CONTEXTS.index(context_class(t))), 4, 200_000)
+        # many tokens, few kinds of them
+        row = cache(lambda names, context: (*sum((of(f) for f in names), nothing), CONTEXTS.index(context)))
+        self.own = _Rows(lambda t: row(*_described(t)), 4, 200_000)
         self.gap = _Rows(lambda g: GAPS.index(gap_class(g)), 1, 20_000)
         self.of = of
 
