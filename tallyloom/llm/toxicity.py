@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import sample_ids, text_or_empty
+from tallyloom.session import stage
 
 #: Hashed terms; the last place is the constant term.
 TERMS = 2**18
@@ -69,32 +70,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(*self.reduced(index, starts)).astype(float), -60, 60)))
 
 
-def telling(index: np.ndarray, starts: np.ndarray, labels: np.ndarray, size: int, most: int = MOST_TERMS,
-            least_z: float = LEAST_Z) -> np.ndarray:
-    """Which terms to use: those whose shares of rows differ most between the labels, and the constant term."""
-    row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(index))))
-    with_one, n = np.bincount(index, labels[row], size), np.bincount(index, minlength=size)
-    ones, zeros = labels.sum(), len(labels) - labels.sum()
-    share = (n + 1) / (len(labels) + 2)
-    z = np.abs(with_one / ones - (n - with_one) / zeros) / np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
-    z[n < 3] = -1
-    z[size - 1] = np.inf
-    return z >= max(least_z, np.sort(z)[-min(most, size)])
+def telling(sample: DataFrame, most: int = MOST_TERMS, least_z: float = LEAST_Z) -> list[int]:
+    """At most ``most`` terms of (label, terms) rows whose shares of rows differ most between the labels."""
+    rows = sample.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_label"), F.lit(0.0)).alias("ones")).first()
+    ones, zeros = float(rows["ones"]), float(rows["rows"] - rows["ones"])
+    if not ones or not zeros:
+        return []
+    counts = sample.select("_label", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.sum("_label").alias("ones"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    share = (F.col("n") + 1) / (ones + zeros + 2)
+    gap = F.abs(F.col("ones") / ones - (F.col("n") - F.col("ones")) / zeros)
+    z = gap / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
+    best = counts.withColumn("z", z).filter(F.col("z") >= least_z).orderBy(F.col("z").desc(), "term").limit(most)
+    return [r["term"] for r in best.select("term").collect()]
 
 
 def train(index: np.ndarray, starts: np.ndarray, labels: np.ndarray, epochs: int = 10, batch: int = 256, rate: float = 0.15,
-          ridge: float = 0.1, seed: int = 7, size: int = TERMS + 1, least_z: float = LEAST_Z) -> Machine:
-    """Adagrad on the logistic loss, rare label weighted up; terms that do not go with the label stay at zero."""
+          ridge: float = 0.1, seed: int = 7, size: int = TERMS + 1) -> Machine:
+    """Adagrad on the logistic loss, rare label weighted up; terms that the rows lack stay at zero and out of use."""
     random = np.random.default_rng(seed)
     positive = labels.sum()
-    one_sided = positive == 0 or positive == len(labels)
-    used = np.arange(size) == size - 1 if one_sided else telling(index, starts, labels, size, least_z=least_z)
-    machine = Machine(np.zeros(size, dtype=np.float32), np.zeros((size, FACTORS), dtype=np.float32), used)
-    if one_sided:
+    seen = np.union1d(index, [size - 1])
+    machine = Machine(np.zeros(size, dtype=np.float32), np.zeros((size, FACTORS), dtype=np.float32), np.zeros(size, dtype=bool))
+    machine.used[seen] = True
+    if positive == 0 or positive == len(labels):
+        machine.used[:size - 1] = False
         machine.weight[size - 1] = -6 if positive == 0 else 6
         return machine
-    index, starts = machine.reduced(index, starts)
-    seen = np.unique(index)
     machine.vector[seen] = random.normal(0, 0.01, (len(seen), FACTORS))
     squares_w, squares_v = np.full(size, 1e-2, dtype=np.float32), np.full((size, FACTORS), 1e-2, dtype=np.float32)
     heavy = min(10.0, float((len(labels) - positive) / positive))
@@ -132,8 +134,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Machine:
     chosen = known.join(F.broadcast(sample_ids(known, "doc_id", rows)), "doc_id") \
         .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("double").alias("_label"))
     met = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    sample = met.select("_id", "_label", terms(text_or_empty("text")).alias("terms")).groupBy("_id", "_label").agg(F.min("terms").alias("terms"))
-    got = sample.orderBy("_id").toArrow()
+    sample = stage(met.select("_id", "_label", terms(text_or_empty("text")).alias("terms")).groupBy("_id", "_label").agg(
+        F.min("terms").alias("terms")), "terms")
+    # Only the terms in use reach the driver.
+    used = F.lit([TERMS, *telling(sample)])
+    got = sample.select("_id", "_label", F.array_intersect("terms", used).alias("terms")).orderBy("_id").toArrow()
     lists = got.column("terms").combine_chunks()
     index = np.asarray(lists.flatten())
     starts = np.asarray(lists.offsets)[:-1] if len(lists) else np.zeros(0, dtype=int)

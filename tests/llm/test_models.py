@@ -82,7 +82,7 @@ def test_machine_learns_pairs():
         labels.append(float(a == b))
     index = np.concatenate(lists)
     starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]])
-    machine = toxicity.train(index, starts, np.array(labels), epochs=40, size=51, ridge=1e-4, least_z=0)
+    machine = toxicity.train(index, starts, np.array(labels), epochs=40, size=51, ridge=1e-4)
     guess = machine.score(index, starts) > 0.5
     assert np.mean(guess == np.array(labels)) > 0.95
     machine.vector[:] = 0
