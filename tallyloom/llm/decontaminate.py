@@ -18,9 +18,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose document holds no benchmark item; null keys are keys."""
+    """The rows of ``docs``, all columns, whose document holds no benchmark item; null keys are keys.
+
+    The list of leaking documents grows with the input, so it is never broadcast: both sides meet
+    by a merge join, at every size alike.
+    """
     hit = leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_leaked"]), "left_anti")
+    return docs.join(hit.hint("merge"), docs["doc_id"].eqNullSafe(hit["_leaked"]), "left_anti")
 
 
 LEAKS_SQL = containment.SEARCH_SQL.format(docs="documents", items="benchmark")

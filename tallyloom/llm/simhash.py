@@ -215,7 +215,8 @@ def without_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     found = near_duplicates(docs, radius)
     keep = stage(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("doc_id", "_id"), "kept")
     single, repeated = keep.filter("_n = 1"), keep.filter("_n > 1")
-    once = docs.join(single, docs["doc_id"] == single["_id"], "left_semi")
+    # The list of kept documents grows with the input: a merge join at every size, no broadcast.
+    once = docs.join(single.hint("merge"), docs["doc_id"] == single["_id"], "left_semi")
     often = docs.join(repeated, docs["doc_id"] == repeated["_id"], "left_semi")
     chosen = often.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(F.coalesce("text", F.lit("")))).alias("_row"))
     return once.unionAll(chosen.select("_row.*")).unionAll(docs.filter(F.col("doc_id").isNull()))
