@@ -3,8 +3,8 @@
 Besides a weight, each term has a short vector; the product of two vectors says what the two
 terms mean together, which a sum of weights cannot. Terms are words and their beginnings, so an
 inflected form that no labelled row has still counts by its stem. The machine is fitted on a
-bounded sample of labelled rows, on the terms that go with the label there; every text is scored
-whole.
+bounded sample of labelled rows, on the terms that go with the label there, be it alone or only
+together with another term; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -26,9 +26,12 @@ FACTORS = 8
 #: Most labelled rows that the machine is fitted on.
 SAMPLE_ROWS = 20_000
 PREDICT_AT = 0.7
-#: Lengths of the beginnings of words; terms kept at most, and how many standard errors they must stand out.
+#: Lengths of the beginnings of words; how many standard errors a term must stand out alone, and a pair of terms.
 STEMS = (4, 5, 6)
-MOST_TERMS, LEAST_Z = 4096, 4.0
+LEAST_Z, LEAST_PAIR_Z = 4.0, 6.0
+#: Rows with both, one or the other of a pair that are needed to judge it; tasks that share the pairs.
+LEAST_MET = 5
+PAIR_TASKS = 6
 
 
 def held_out(doc_id: Column) -> Column:
@@ -70,8 +73,8 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(*self.reduced(index, starts)).astype(float), -60, 60)))
 
 
-def telling(sample: DataFrame, most: int = MOST_TERMS, least_z: float = LEAST_Z) -> list[int]:
-    """At most ``most`` terms of (label, terms) rows whose shares of rows differ most between the labels."""
+def telling(sample: DataFrame, least_z: float = LEAST_Z) -> list[int]:
+    """Terms of (label, terms) rows whose shares of rows differ between the labels, or that stand out in a pair."""
     rows = sample.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_label"), F.lit(0.0)).alias("ones")).first()
     ones, zeros = float(rows["ones"]), float(rows["rows"] - rows["ones"])
     if not ones or not zeros:
@@ -81,8 +84,81 @@ def telling(sample: DataFrame, most: int = MOST_TERMS, least_z: float = LEAST_Z)
     share = (F.col("n") + 1) / (ones + zeros + 2)
     gap = F.abs(F.col("ones") / ones - (F.col("n") - F.col("ones")) / zeros)
     z = gap / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
-    best = counts.withColumn("z", z).filter(F.col("z") >= least_z).orderBy(F.col("z").desc(), "term").limit(most)
-    return [r["term"] for r in best.select("term").collect()]
+    best = counts.withColumn("z", z).filter(F.col("z") >= least_z).select("term")
+    return [r["term"] for r in best.unionAll(paired(sample)).distinct().orderBy("term").collect()]
+
+
+def paired(sample: DataFrame, tasks: int = PAIR_TASKS) -> DataFrame:
+    """(term): both terms of every pair that says more, or less, than its two terms add up to.
+
+    All pairs are looked at. Each of ``tasks`` groups holds the whole bounded sample and counts the
+    pairs of its own share of the terms.
+    """
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        lists = part.column("terms").combine_chunks()
+        found = joint(np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets)), part.column("_label").to_numpy(),
+                      key[0].as_py(), tasks)
+        return pa.table({"term": pa.array(found, pa.int32())})
+
+    shared = sample.select("_label", "terms", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("part"))
+    return shared.groupBy("part").applyInArrow(run, "term int")
+
+
+def joint(index: np.ndarray, lengths: np.ndarray, labels: np.ndarray, part: int = 0, parts: int = 1,
+          least_z: float = LEAST_PAIR_Z, least: int = LEAST_MET) -> np.ndarray:
+    """Terms of the pairs that stand out, among the pairs whose rarer term is of ``part``.
+
+    A pair is judged by the share of label 1 in the rows with both terms, one, the other and none. It
+    stands out where the gap that one term makes depends on the other by ``least_z`` standard errors, and
+    where each of the first three shares is as far from what the other shares add up to, by likelihood ratio.
+    """
+    n = np.bincount(index)
+    order = np.argsort(-n, kind="stable").astype(np.int32)
+    order = order[n[order] >= 2 * least]
+    rank = np.full(len(n), -1, dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    # rows as lists of ranks, the most frequent term first; sorted by parts, for memory
+    row, flat = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), rank[index]
+    row, flat = row[flat >= 0], flat[flat >= 0]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lengths)))])
+    for lo in range(0, len(lengths), 500):
+        of = slice(starts[lo], starts[min(lo + 500, len(lengths))])
+        flat[of] = np.sort(row[of].astype(np.int64) * max(1, len(order)) + flat[of]) % max(1, len(order))
+    positive = labels[row] == 1
+    n, ones = n[order].astype(float), np.bincount(flat[positive], minlength=len(order)).astype(float)
+    rows, total = float(len(labels)), float(labels.sum())
+    share, found = total / rows, []
+    places = np.flatnonzero(flat % parts == part)
+    places = places[np.argsort(flat[places], kind="stable")]
+    cuts = np.searchsorted(flat[places], np.arange(part, len(order) + parts, parts))
+    for term, lo, hi in zip(range(part, len(order), parts), cuts, cuts[1:]):
+        if not term:
+            continue
+        own = places[lo:hi]
+        ends, with_one = own.tolist(), positive[own]
+        begins = starts[row[own]].tolist()
+        met = np.bincount(np.concatenate([flat[s:e] for s, e in zip(begins, ends)]), minlength=term)
+        other = np.flatnonzero((met >= least) & (n[term] - met >= least) & (n[:term] - met >= least)
+                               & (rows - n[term] - n[:term] + met >= least))
+        if not len(other):
+            continue
+        toxic = [flat[s:e] for s, e, one in zip(begins, ends, with_one) if one]
+        both = np.bincount(np.concatenate(toxic), minlength=term)[other].astype(float) if toxic else np.zeros(len(other))
+        met = met[other].astype(float)
+        sizes = [met, n[term] - met, n[other] - met, rows - n[term] - n[other] + met]
+        held = [both, ones[term] - both, ones[other] - both, total - ones[term] - ones[other] + both]
+        rates = [k / m for k, m in zip(held, sizes)]
+        depends = rates[0] - rates[1] - rates[2] + rates[3]
+        good = depends**2 >= least_z**2 * share * (1 - share) * sum(1 / m for m in sizes)
+        for k, m, sign in zip(held[:3], sizes[:3], (1, -1, -1)):
+            k, m = k[good], m[good]
+            told = np.clip(k / m - sign * depends[good], 0.1 * share, 1 - 0.1 * (1 - share))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = 2 * (np.where(k > 0, k * np.log(k / m / told), 0) + np.where(k < m, (m - k) * np.log((1 - k / m) / (1 - told)), 0))
+            good[good] = ratio >= least_z**2
+        if good.any():
+            found += [order[[term]], order[other[good]]]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int32)
 
 
 def train(index: np.ndarray, starts: np.ndarray, labels: np.ndarray, epochs: int = 10, batch: int = 256, rate: float = 0.15,
@@ -137,8 +213,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Machine:
     sample = stage(met.select("_id", "_label", terms(text_or_empty("text")).alias("terms")).groupBy("_id", "_label").agg(
         F.min("terms").alias("terms")), "terms")
     # Only the terms in use reach the driver.
-    used = F.lit([TERMS, *telling(sample)])
-    got = sample.select("_id", "_label", F.array_intersect("terms", used).alias("terms")).orderBy("_id").toArrow()
+    used = np.zeros(TERMS + 1, dtype=bool)
+    used[[TERMS, *telling(sample)]] = True
+    shared = docs.sparkSession.sparkContext.broadcast(used)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(2)
+            offsets, index = np.asarray(lists.offsets), np.asarray(lists.values)
+            kept = shared.value[index]
+            before = np.concatenate([[0], np.cumsum(kept)])[offsets].astype(np.int32)
+            terms = pa.ListArray.from_arrays(pa.array(before), pa.array(index[kept]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), terms], names=["_id", "_label", "terms"])
+
+    got = sample.select("_id", "_label", "terms").mapInArrow(held, sample.select("_id", "_label", "terms").schema).orderBy("_id").toArrow()
     lists = got.column("terms").combine_chunks()
     index = np.asarray(lists.flatten())
     starts = np.asarray(lists.offsets)[:-1] if len(lists) else np.zeros(0, dtype=int)

@@ -89,6 +89,35 @@ def test_machine_learns_pairs():
     assert np.mean((machine.score(index, starts) > 0.5) == np.array(labels)) < 0.65
 
 
+def test_fit_learns_pairs(spark):
+    """The pair case through fit() as it runs: no term of a pair goes with the label by itself."""
+    r = random.Random(5)
+    fillers, docs, labels = [f"{c}{d}filler" for c in "abcdefgh" for d in "klmnop"], [], []
+    for i in range(4000):
+        a, b = r.random() < 0.5, r.random() < 0.5
+        docs.append((i, " ".join(r.sample(fillers, 20) + ["insult" if a else "praise", "group" if b else "person"])))
+        labels.append((i, int(a == b)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = [r for r in toxicity.scores(docs, labels).collect() if r["held_out"]]
+    assert len(rows) > 1000 and np.mean([(r["score"] > 0.5) == truth[r["doc_id"]] for r in rows]) > 0.95
+
+
+def test_joint_terms():
+    """Pairs are found whatever task has them; terms that add up, and copies of a term, are none."""
+    rng = np.random.default_rng(6)
+    lists, labels = [], []
+    for _ in range(4000):
+        a, b, c, d = rng.random(4) < 0.3
+        lists.append([*np.flatnonzero([a, b, c, d, c]), *(5 + np.flatnonzero(rng.random(40) < 0.2))])
+        labels.append(float(rng.random() < 0.1 + 0.7 * (a and b) + 0.15 * c))
+    index, lengths = np.concatenate(lists).astype(np.int32), np.array([len(x) for x in lists])
+    whole = toxicity.joint(index, lengths, np.array(labels))
+    split = [toxicity.joint(index, lengths, np.array(labels), k, 3) for k in range(3)]
+    assert whole.tolist() == [0, 1] and np.unique(np.concatenate(split)).tolist() == [0, 1]
+
+
 def test_toxicity_held_out(spark):
     rows = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1").collect()
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
