@@ -106,6 +106,18 @@ def classes(signed: DataFrame, id: str, alike: list[str]) -> DataFrame:
     return signed.groupBy("hashes", *alike).agg(F.min(id).alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
+def class_members(signed: DataFrame, id: str = "id", alike: list[str] | None = None) -> DataFrame:
+    """(id, representative, copies) of every record: the smallest id and the size of its class.
+
+    ``alike`` names what records of a class agree in besides ``hashes``: for the pairs of
+    ``candidate_pairs``, its ``same``, ``different`` and ``alike``. Nulls are equal.
+    """
+    own = ["hashes", *(alike or [])]
+    rows = stage(signed.select(F.col(id).alias("id"), *own), "signed")
+    folded = classes(rows, "id", own[1:]).select(F.col("id").alias("representative"), "copies", *[F.col(c).alias(f"_{c}") for c in own])
+    return rows.join(folded, [rows[c].eqNullSafe(folded[f"_{c}"]) for c in own]).select("id", "representative", "copies")
+
+
 def candidate_pairs(
     signed: DataFrame, id: str = "id", same: list[str] | None = None, different: str | None = None,
     alike: list[str] | None = None, tile: int = TILE,

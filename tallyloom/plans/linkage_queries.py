@@ -238,6 +238,42 @@ def false_candidates(spark, sf_dir):
     return lk.label_pairs(lk.candidate_pairs(signed, alike=["model"]), vectors(spark, sf_dir), "model", keep=0)
 
 
+def members_sql(own: str) -> str:
+    """Membership of the classes of ``pairs_sql`` with the same columns ``own``."""
+    return f"""
+select id, min(id) over (partition by tags, {own}) as representative, count(*) over (partition by tags, {own}) as copies
+from linked_records"""
+
+
+@query("candidate_members", "I4", f"""
+with {VECTORS_SQL}, {signature_sql(BANDS)}, {pairs_sql("sig")} {members_sql("model")}""")
+def candidate_members(spark, sf_dir):
+    """Who belongs to the classes of candidate_pairs."""
+    return lk.class_members(signed_vectors(spark, sf_dir, BANDS), alike=["model"])
+
+
+@query("labelled_members", "C11 I7", f"""
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig")} {members_sql("model")}""")
+def labelled_members(spark, sf_dir):
+    """Who belongs to the classes of labelled_pairs, false_candidates and balanced_pairs."""
+    return lk.class_members(signed_vectors(spark, sf_dir, 8), alike=["model"])
+
+
+@query("blocked_members", "C12 I6", f"""
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", "brand", "shop")} {members_sql("brand, shop, model")}""")
+def blocked_members(spark, sf_dir):
+    """Who belongs to the classes of blocked_pairs."""
+    return lk.class_members(signed_vectors(spark, sf_dir, 8), alike=["brand", "shop", "model"])
+
+
+@query("feature_members", "I10", f"""
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig", "brand", "shop", "vector, content")}
+{members_sql("brand, shop, vector, content")}""")
+def feature_members(spark, sf_dir):
+    """Who belongs to the classes of pair_features."""
+    return lk.class_members(signed_vectors(spark, sf_dir, 8), alike=["brand", "shop", "content"])
+
+
 def _order_hash(a: str, b: str):
     """Eight hex digits of an md5 as a number: the same in Spark and SQL."""
     joined = F.concat_ws("-", F.col(a).cast("string"), F.col(b).cast("string"))

@@ -81,6 +81,26 @@ def test_all_pairs_come_out_once(spark, blocked, tile):
     assert len(pairs) == len(set(pairs)) and set(pairs) == brute(pdf, blocked)
 
 
+def test_members_rebuild_every_pair(spark):
+    """Class pairs and membership give back all record pairs; a null is a value of its own."""
+    df, pdf = table(spark)
+    copies = pdf.iloc[:60].assign(id=lambda x: x["id"] + 1000)
+    pdf = pd.concat([pdf, copies], ignore_index=True)
+    df = spark.createDataFrame(pdf, df.schema)
+    members = {}
+    for r in lk.class_members(df, alike=["model"]).collect():
+        members.setdefault(r["representative"], []).append(r["id"])
+        assert r["copies"] == (2 if r["id"] % 1000 < 60 else 1)
+    assert sorted(i for m in members.values() for i in m) == sorted(pdf["id"]) and len(members) == 300
+    pairs = set()
+    for r in lk.candidate_pairs(df, alike=["model"]).collect():
+        a, b = members[r["id_a"]], members[r["id_b"]]
+        pairs |= {tuple(sorted((x, y))) for x in a for y in b if x != y}
+    assert pairs == brute(pdf, False)
+    gone = spark.createDataFrame([(1, None, [5]), (2, None, [5]), (3, "x", [5])], "id long, shop string, hashes array<long>")
+    assert sorted(tuple(r) for r in lk.class_members(gone, alike=["shop"]).collect()) == [(1, 1, 2), (2, 1, 2), (3, 3, 1)]
+
+
 def test_bucket_of_thousands(spark):
     n = 1500
     df = spark.range(n).select("id", F.array(F.lit(1), F.col("id")).alias("hashes"))
