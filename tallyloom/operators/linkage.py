@@ -257,6 +257,19 @@ def balance(labelled: DataFrame, order: Column, ties: list[str]) -> DataFrame:
     return many.unionByName(copies.drop("position")).drop("_order")
 
 
+def balance_weights(labelled: DataFrame) -> DataFrame:
+    """Add ``weight``: ``pairs`` times a factor of the label, so that both labels weigh as much as the larger has record pairs.
+
+    With one label only the weight is ``pairs``.
+    """
+    df = stage(labelled, "labelled")
+    sums = {row["label"]: row["n"] for row in df.groupBy("label").agg(F.sum("pairs").alias("n")).collect()}
+    if not sums.get(1) or not sums.get(0):
+        return df.withColumn("weight", F.col("pairs").cast("double"))
+    own = F.when(F.col("label") == 1, F.lit(sums[1])).otherwise(F.lit(sums[0]))
+    return df.withColumn("weight", F.col("pairs") * F.lit(float(max(sums[0], sums[1]))) / own)
+
+
 def bootstrap_split(df: DataFrame, id: str, draw: Column) -> DataFrame:
     """Add ``split``: n draws with replacement, drawn rows train, the others test.
 
@@ -316,15 +329,17 @@ PAIR_FEATURES = ["cosine", "overlap", "same_model", "length_gap"]
 
 
 def fit_pair_classifier(features: DataFrame, iterations: int = 50):
-    """Class-weighted logistic model of duplicate probability."""
+    """Class-weighted logistic model of duplicate probability; a row with ``pairs`` counts as that many pairs."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    shares = features.agg(F.struct(F.avg("label").alias("p")).alias("s")).scalar()["p"]
+    pairs = F.col("pairs").cast("double") if "pairs" in features.columns else F.lit(1.0)
+    share = F.try_divide(F.sum(F.col("label") * pairs), F.sum(pairs))
+    shares = features.agg(F.struct(share.alias("p")).alias("s")).scalar()["p"]
     weighted = features.withColumn(
         "weight",
-        F.coalesce(F.when(F.col("label") == 1, F.try_divide(F.lit(0.5), shares))
+        pairs * F.coalesce(F.when(F.col("label") == 1, F.try_divide(F.lit(0.5), shares))
                    .otherwise(F.try_divide(F.lit(0.5), 1 - shares)), F.lit(1.0)))
     return Pipeline(stages=[
         VectorAssembler(inputCols=PAIR_FEATURES, outputCol="features"),

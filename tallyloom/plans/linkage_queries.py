@@ -299,6 +299,22 @@ def balanced_pairs(spark, sf_dir):
     return lk.balance(labelled, _order_hash("id_a", "id_b"), ["id_a", "id_b"])
 
 
+@query("balanced_pair_weights", "I8", f"""
+with {VECTORS_SQL}, {signature_sql(8)}, {pairs_sql("sig")},
+labelled as (
+  select l.id_a, l.id_b, l.pairs, cast(a.model = b.model as integer) as label
+  from linked l join vectors a on a.id = l.id_a join vectors b on b.id = l.id_b),
+sizes as (select sum(pairs) filter (label = 1) as p, sum(pairs) filter (label = 0) as n from labelled)
+select id_a, id_b, cast(pairs as bigint) as pairs, label,
+       round(coalesce(pairs * cast(greatest(p, n) as double) / case when p > 0 and n > 0 then if(label = 1, p, n) end, pairs), 6) as weight
+from labelled, sizes""")
+def balanced_pair_weights(spark, sf_dir):
+    """Both labels with the same weight over record pairs; balanced_pairs balances the pairs of classes."""
+    pairs = lk.candidate_pairs(signed_vectors(spark, sf_dir, 8), alike=["model"])
+    weighed = lk.balance_weights(lk.label_pairs(pairs, vectors(spark, sf_dir), "model"))
+    return weighed.select("id_a", "id_b", "pairs", "label", r("weight", 6).alias("weight"))
+
+
 @query("bootstrap_split", "C8 G5 I9", """
 with n as (select count(*) as n from documents),
 indexed as (select doc_id, row_number() over (order by doc_id) as position from documents),

@@ -139,6 +139,22 @@ def test_labels_balance_and_measures(spark):
     assert row["precision"] == row["recall"] == row["f1_hat"] == 0.0
 
 
+def test_pairs_weigh_as_many_as_they_stand_for(spark):
+    pairs = spark.createDataFrame([(1, 2, 1000, 1), (3, 4, 1, 0), (5, 6, 3, 0)], "id_a long, id_b long, pairs long, label int")
+    weight = {r["id_a"]: r["weight"] for r in lk.balance_weights(pairs).collect()}
+    assert weight == {1: 1000.0, 3: 250.0, 5: 750.0}
+    assert {r["weight"] for r in lk.balance_weights(pairs.filter("label = 0")).collect()} == {1.0, 3.0}
+
+    rng = np.random.default_rng(2)
+    rows = [(float(x), float(rng.random()), float(rng.random() < 0.5), float(rng.random()), int(rng.random() < x),
+             int(rng.integers(1, 30))) for x in rng.random(200)]
+    folded = spark.createDataFrame(rows, "cosine double, overlap double, same_model double, length_gap double, label int, pairs long")
+    whole = folded.withColumn("pairs", F.explode(F.array_repeat(F.lit(1), F.col("pairs").cast("int"))))
+    a, b = (lk.fit_pair_classifier(df).stages[-1] for df in (folded, whole))
+    assert np.allclose(a.coefficients.toArray(), b.coefficients.toArray(), rtol=1e-3, atol=1e-3)
+    assert abs(a.intercept - b.intercept) < 1e-2
+
+
 def test_bootstrap_covers_every_row(spark):
     df = spark.range(500)
     draw = F.pmod(F.xxhash64(F.lit(3), F.col("k")), F.col("n"))
