@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    chat, decontaminate, licenses, mixture, quality, secretscan, simhash, tokencount, toxicity, warc,
+    chat, decontaminate, hmm, licenses, mixture, negatives, quality, secretscan, simhash, tokencount, toxicity, warc, whitening,
 )
+from tallyloom.llm.common import finite_vector
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,3 +103,22 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_source_mix", mixture.MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_hard_negatives", negatives.MINE_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings").filter(finite_vector("embedding")).select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda c: F.floor(F.lit(256.0) * c.cast("double"))).alias("x"))
+    return negatives.mine(given, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(whitening.scaled(table(spark, sf_dir, "embeddings")))
