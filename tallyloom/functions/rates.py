@@ -70,10 +70,14 @@ def pair_measures(scored: DataFrame, truth: str, probability: str, all_duplicate
     return f.withColumn("f1_hat", harmonic(F.col("f1"), F.col("f1_star")))
 
 
-def class_measures(scored: DataFrame, truth: str, predicted: str, keys: list[str] | None = None) -> DataFrame:
-    """Accuracy and macro precision, recall and F1 over the classes of truth or prediction."""
+def class_measures(scored: DataFrame, truth: str, predicted: str, keys: list[str] | None = None,
+                   weight: Column | None = None) -> DataFrame:
+    """Accuracy and macro precision, recall and F1 over the classes of truth or prediction.
+
+    ``weight`` is the number of rows that a row stands for, one unless given.
+    """
     keys = keys or []
-    confusion = scored.groupBy(*keys, truth, predicted).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    confusion = scored.groupBy(*keys, truth, predicted).agg(F.sum(F.lit(1) if weight is None else weight).cast("double").alias("n"))
     # classes x classes rows per key from here on
     hit = F.when(F.col(truth) == F.col(predicted), F.col("n")).otherwise(0.0)
     by_truth = confusion.groupBy(*keys, F.col(truth).alias("c")).agg(

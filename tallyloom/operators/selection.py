@@ -131,3 +131,20 @@ def predict(model, df: DataFrame, keep: list[str]) -> DataFrame:
     return model.transform(df).select(*keep, "prediction")
 
 
+def word_shares(docs: DataFrame, id: str, text: str, width: int = 32) -> DataFrame:
+    """(id, features): share of a text's words in each of ``width`` hash buckets, then the log of the number
+    of words and the mean length of a word.
+
+    Words are what lies between blanks, in lower case. A null or empty text has zeros only. Word
+    counts are summed before the shuffle, so a long text moves at most ``width`` rows a task.
+    """
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[ \\t-\\r]+"), lambda w: w != "")
+    per_word = docs.select(F.col(id).alias(id), F.explode_outer(words).alias("_w"))
+    buckets = per_word.groupBy(id, F.pmod(F.crc32(F.col("_w").cast("binary")), F.lit(width)).alias("_b")).agg(
+        F.count("_w").alias("_n"), F.sum(F.length("_w")).alias("_c"))
+    rows = buckets.groupBy(id).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_b", "_n")))).alias("_by"),
+        F.sum("_n").alias("_words"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_chars"))
+    safe = F.greatest(F.col("_words"), F.lit(1))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.coalesce(F.try_element_at("_by", k.cast("long")), F.lit(0)) / safe)
+    return rows.select(id, F.concat(shares, F.array(F.log1p(F.col("_words").cast("double")), F.col("_chars") / safe)).alias("features"))
