@@ -176,11 +176,17 @@ def pair_totals(
 
     A pair counts once however many bands it shares: inclusion and exclusion over the sets
     of bands, each term a sum of n(n-1)/2 over groups equal in those bands. Rows with the
-    same keys are summed map-side, so copies and hot buckets cost nothing extra.
+    same keys are summed map-side, so copies and hot buckets cost nothing extra. The sets double
+    with each band; above ``MAX_COUNTED_BANDS`` bands tiles of classes are compared instead.
     """
-    if bands > MAX_COUNTED_BANDS:
-        raise ValueError(f"exact counting is for up to {MAX_COUNTED_BANDS} bands")
     same = same or []
+    if bands > MAX_COUNTED_BANDS:
+        from tallyloom.operators.bandcount import any_band_totals
+
+        sums = any_band_totals(signed, truth, same, different)
+        every = signed.groupBy(truth).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(_twice_pairs(F.col("n"))) / 2)
+        return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("candidates", "found")]).select(
+            "candidates", "found", F.coalesce(every.scalar(), F.lit(0)).cast("bigint").alias("duplicates"))
     subsets = [c for k in range(1, bands + 1) for c in combinations(range(bands), k)]
     choices = F.array(*[
         F.struct(F.lit(i).alias("no"), F.lit(1 if len(s) % 2 else -1).alias("sign"),

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
 from tallyloom.functions.rates import harmonic, pair_measures, rate
+from tallyloom.operators import bandcount as bc
 from tallyloom.operators import linkage as lk
 from tallyloom.operators.ordered import running
 from tallyloom.plans.panel_queries import r
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import table
+from tallyloom.session import stage
 
 # Vector length of the table, planes written into the SQL, bands of the pair queries.
 LENGTH = 64
@@ -437,14 +439,13 @@ TARGETS = (0.0, 0.002, 0.07, 0.3, 0.6, 0.81, 0.92, 0.97, 0.99, 0.998)
 SEEDS = (1, 2, 3, 4, 5)
 
 
-def sweep_settings() -> list[tuple[float, int, int, float]]:
-    """(target, bands, rows, threshold) of every target; no row has below 8 numbers.
+#: Numbers of a band from which on its cells grow with the data.
+LONG_BAND = 8
 
-    A band of fewer numbers has a number of cells that does not grow with the data, so its
-    candidates would come near all pairs.
-    """
-    chosen = [(t, *lk.choose_bands(LENGTH, t)) for t in TARGETS]
-    return [c for c in chosen if c[2] >= 8]
+
+def sweep_settings() -> list[tuple[float, int, int, float]]:
+    """(target, bands, rows, threshold) of every target."""
+    return [(t, *lk.choose_bands(LENGTH, t)) for t in TARGETS]
 
 
 @query("band_choice", "I2", f"""
@@ -493,19 +494,22 @@ from q join settings using (bands) group by target, bands"""
 
 @query("threshold_sweep", "D16 I2 I13", _sweep_sql())
 def threshold_sweep(spark, sf_dir):
-    """All cuts and seeds are signed in one pass over the vectors and counted in one join."""
+    """All cuts and seeds are signed in one pass over the vectors.
+
+    Long bands are counted from the list of candidate pairs of classes. The few cells of short
+    bands bring nearly all pairs together; those are counted without being listed.
+    """
     stored = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("model"))
     points, settings = stored.count(), sweep_settings()
     runs = [(bands, seed) for bands in sorted({c[1] for c in settings}) for seed in SEEDS]
-    signed, columns = stored, []
-    for i, (bands, seed) in enumerate(runs):
-        signed = lk.signatures(signed, "vector", bands, LENGTH, points, seed).withColumnRenamed("hashes", f"h{i}")
-        columns.append(F.struct(F.lit(i).alias("run"), F.lit(bands).alias("bands"), F.col(f"h{i}").alias("hashes")))
-    every = signed.select("id", "model", F.explode(F.array(*columns)).alias("s")).select("id", "model", "s.*")
-    pairs = lk.label_pairs(lk.candidate_pairs(every, same=["run"], alike=["bands", "model"]), stored, "model")
+    short = [i for i, (bands, _) in enumerate(runs) if LENGTH // bands < LONG_BAND]
+    signed = stage(bc.all_signatures(stored, ["id", "model"], "vector", runs, LENGTH, points), "signed")
+    listed = signed.filter(~F.col("run").isin(short)).withColumn("bands", F.size("hashes"))
+    pairs = lk.label_pairs(lk.candidate_pairs(listed, same=["run"], alike=["bands", "model"]), stored, "model")
     by_run = pairs.groupBy("run").agg(
         F.sum("pairs").alias("candidates"), F.sum(F.when(F.col("label") == 1, F.col("pairs")).otherwise(0)).alias("found"))
+    by_run = by_run.unionByName(bc.any_band_totals(signed.filter(F.col("run").isin(short)), "model", ["run"]))
     duplicates = stored.groupBy("model").agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("duplicates")).scalar()
     cuts = spark.createDataFrame([(i, bands) for i, (bands, _) in enumerate(runs)], "run int, bands int")
@@ -518,6 +522,16 @@ def threshold_sweep(spark, sf_dir):
         r(F.avg(harmonic(F.col("pq"), F.col("pc"))), 8).alias("f1_star"))
 
 
+@query("many_band_totals", "C12 I2 I12", f"""
+with {VECTORS_SQL}, {signature_sql(32)},
+p as (select distinct a.id as id_a, b.id as id_b, a.brand as brand, a.model = b.model as hit from sig a join sig b
+      on a.band = b.band and a.hash = b.hash and a.brand = b.brand and a.shop <> b.shop and a.id < b.id)
+select brand, count(*) as candidates, count(*) filter (hit) as found from p group by brand""")
+def many_band_totals(spark, sf_dir):
+    """Exact counts over 32 short bands by brand, for pairs of different shops."""
+    return bc.any_band_totals(signed_vectors(spark, sf_dir, 32), "model", ["brand"], "shop").filter("candidates > 0")
+
+
 @query("blocked_pair_totals", "C12 I6 I12", f"""
 with {VECTORS_SQL}, {signature_sql(8)},
 p as (select distinct a.id as id_a, b.id as id_b, a.model = b.model as hit from sig a join sig b
