@@ -77,6 +77,67 @@ def running(
     return numbered.select(*df.columns, *made)
 
 
+def running_by(
+    df: DataFrame,
+    groups: list[str],
+    order: str,
+    ties: list[str],
+    sums: dict[str, str | Column] | None = None,
+    totals: dict[str, str | Column] | None = None,
+    descending: bool = False,
+    position: str | None = "position",
+    slice_rows: int = SLICE_ROWS,
+    staged: bool = True,
+) -> DataFrame:
+    """The same inside every group: 1-based ``position``, running sums, and the ``totals`` of the group.
+
+    Rows are range partitioned by group, order and ties, so a group of any size is cut into
+    slices, and each slice meets at most two groups that go on beyond it. Only those get the
+    totals of other slices, from a table of at most two rows a slice; what lies whole in one slice
+    is worked out there. Nulls form a group and come first in the order, descending last; null
+    amounts add nothing. The input is read several times, so it is written to the shared folder
+    first unless the caller says it is already a stored table.
+    """
+    if staged:
+        df = stage(df, "ordered")
+    amounts = {n: F.expr(a) if isinstance(a, str) else a for n, a in (sums or {}).items()}
+    wholes = {n: F.expr(a) if isinstance(a, str) else a for n, a in (totals or {}).items()}
+    first = F.col(order).desc() if descending else F.col(order).asc()
+    slices = max(1, math.ceil(df.count() / slice_rows))
+    ranged = df.repartitionByRange(slices, *[F.col(g) for g in groups], first, *[F.col(t) for t in ties])
+    sliced = stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    parts = sliced.groupBy(SLICE, *groups).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(a).alias(f"_sum_{n}") for n, a in amounts.items()],
+        *[F.sum(a).alias(f"_all_{n}") for n, a in wholes.items()])
+    group = Window.partitionBy(*groups)
+    before = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # a group has a row per slice here
+    spread = parts.select(
+        F.col(SLICE).alias("_in"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        F.count(F.lit(1)).over(group).alias("_parts"), F.sum("_rows").over(before).alias("_rows"),
+        *[F.sum(f"_sum_{n}").over(before).alias(f"_sum_{n}") for n in amounts],
+        *[F.sum(f"_all_{n}").over(group).alias(f"_all_{n}") for n in wholes]).filter("_parts > 1")
+    inside = Window.partitionBy(SLICE, *groups)
+    ranked = inside.orderBy(first, *[F.col(t) for t in ties])
+    upto = ranked.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = sliced.select(
+        "*", F.row_number().over(ranked).alias("_in_slice"),
+        *[F.sum(a).over(upto).alias(f"_in_{n}") for n, a in amounts.items()],
+        *[F.sum(a).over(inside).alias(f"_own_{n}") for n, a in wholes.items()])
+    rule = F.col(SLICE) == F.col("_in")
+    for i, g in enumerate(groups):
+        rule = rule & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    joined = numbered.join(spread, rule, "left")
+
+    def with_start(start: str, own: str) -> Column:
+        return F.coalesce(F.col(start), F.lit(0)) + F.coalesce(F.col(own), F.lit(0))
+
+    made = [with_start("_rows", "_in_slice").cast("long").alias(position)] if position else []
+    made += [with_start(f"_sum_{n}", f"_in_{n}").alias(n) for n in amounts]
+    made += [F.when(F.col("_parts") > 1, F.col(f"_all_{n}")).otherwise(F.col(f"_own_{n}")).alias(n) for n in wholes]
+    return joined.select(*df.columns, *made)
+
+
 def quantiles(df: DataFrame, column: str, wanted: dict[str, float], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row of exact quantiles (linear between neighbours) of a whole column.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.scalar import ratio, unit_price
 from tallyloom.operators import fill
-from tallyloom.operators.ordered import running
+from tallyloom.operators.ordered import running, running_by
 from tallyloom.session import stage
 
 
@@ -158,14 +158,12 @@ def tail_share(
 ) -> DataFrame:
     """Keys of a group whose running share is already at or past ``cut``.
 
-    Rows are pre-summed to one per (group, key) before the window.
+    One row per (group, key) is left before the running sums, and a group of any number of keys
+    is cut into slices.
     """
     totals = df.groupBy(*groups, key).agg(F.sum(amount).alias(amount))
-    w = Window.partitionBy(*groups)
-    down = w.orderBy(F.col(amount).desc(), F.col(key))
-    share = ratio(F.sum(amount).over(down.rowsBetween(Window.unboundedPreceding, 0)),
-                  F.sum(amount).over(w))
-    return totals.withColumn("share", share).filter(F.col("share") >= cut)
+    ranked = running_by(totals, groups, amount, [key], {"_upto": amount}, {"_whole": amount}, descending=True, position=None)
+    return ranked.withColumn("share", ratio("_upto", "_whole")).filter(F.col("share") >= cut).drop("_upto", "_whole")
 
 
 def top_means(
@@ -175,18 +173,20 @@ def top_means(
     """The ``n`` keys with the highest mean per group, one column of keys per group."""
     x = F.coalesce(F.col(value), F.lit(0.0)) if null_as_zero else F.col(value)
     means = df.groupBy(group, key).agg(F.avg(x).alias("mean"))
-    order = [F.col("mean").desc(), F.col(key)]
-    # the best n of each of 64 parts of a group first, so that no task ranks a whole group
-    part = F.pmod(F.xxhash64(key), F.lit(64))
-    few = means.withColumn("_part", part).withColumn(
-        "_in_part", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order))).filter(F.col("_in_part") <= n)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    ranked = few.withColumn("rank", rank).filter(F.col("rank") <= n)
-    return ranked.groupBy("rank").agg(
+    ranked = running_by(means, [group], "mean", [key], descending=True, position="rank").filter(F.col("rank") <= n)
+    return ranked.withColumn("rank", F.col("rank").cast("int")).groupBy("rank").agg(
         *[F.max(F.when(F.col(group) == g, F.col(key))).alias(g) for g in groups]
     )
 
 
+def names(df: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """The distinct values of a column in order, as columns are to be named after them; above ``most`` it is an error."""
+    found = [row[0] for row in df.filter(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(found)
+
+
 def daily_then_monthly(df: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Mean per (key, day) first, then the month: mean of avg, lowest low, highest high."""
     daily = df.groupBy(*keys, day).agg(

@@ -108,10 +108,6 @@ def numbered_files(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), r(F.sum("c_acctbal"), 2).alias("total"))
 
 
-# The brands of the part table.
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-
-
 @query("brand_files", "A9 B13 D6", """
 with w as (
   select cast(date_trunc('week', l_shipdate) as date) as week, p_brand as brand, sum(l_quantity) as sales,
@@ -131,13 +127,13 @@ def brand_files(spark, sf_dir):
         F.sum("l_quantity").alias("sales"), F.max((F.col("l_discount") > 0.09).cast("int")).alias("displ"),
         F.max((F.col("l_tax") > 0.07).cast("int")).alias("coupon"),
         (F.sum("cents") / F.sum("l_quantity")).alias("price"))
-    folder = scratch_path(spark, "brands")
+    brands, folder = pn.names(parts, "brand"), scratch_path(spark, "brands")
     paths = {name: f"{folder}/{name}" for name in ("sales", "displ", "coupon", "price")}
     for name, path in paths.items():
         weekly.groupBy("week").agg(
-            *[F.max(F.when(F.col("brand") == b, F.col(name))).alias(b) for b in BRANDS]
+            *[F.max(F.when(F.col("brand") == b, F.col(name))).alias(b) for b in brands]
         ).write.option("header", True).csv(path)
-    back = readers.brand_files(spark, paths, BRANDS).dropna(subset=["sales"])
+    back = readers.brand_files(spark, paths, brands).dropna(subset=["sales"])
     logs = readers.with_logs(back, ["sales", "price"]).drop("const")
     return logs.withColumns({c: r(c, 6) for c in ("logsales", "logprice")})
 

@@ -21,6 +21,7 @@ def r(column, digits: int = 4):
 
 
 # The part types that stand for products, and a split of them in categories.
+#: The products that SQL text must spell out; the queries take them from the data.
 PRODUCTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -230,8 +231,8 @@ select cast(rank as integer) as rank, max(case when product = 'ECONOMY' then par
        max(case when product = 'STANDARD' then partner end) as "STANDARD"
 from k where rank <= 10 group by rank""")
 def top_mean_partners(spark, sf_dir):
-    return panel.top_means(
-        product_cells(spark, sf_dir), "product", "partner", "quantity", PRODUCTS, 10)
+    cells = stored_product_cells(spark, sf_dir)
+    return panel.top_means(cells, "product", "partner", "quantity", panel.names(cells, "product"), 10)
 
 
 @query("top_mean_partners_zero_filled", "D2 G1", f"""
@@ -270,8 +271,10 @@ with {TRADE_SQL}
 select month, {', '.join(f"avg(case when product = '{p}' then quantity end) as mean_{p.lower()}" for p in PRODUCTS)}
 from product_cells group by month""".replace("avg(", "round(avg(").replace(" end) as", " end), 6) as"))
 def wide_month_table(spark, sf_dir):
-    wide = panel.to_wide(product_cells(spark, sf_dir), "month", "product", "quantity", PRODUCTS)
-    return wide.select("month", *[r(p, 6).alias(f"mean_{p.lower()}") for p in PRODUCTS])
+    cells = stored_product_cells(spark, sf_dir)
+    products = panel.names(cells, "product")
+    wide = panel.to_wide(cells, "month", "product", "quantity", products)
+    return wide.select("month", *[r(p, 6).alias(f"mean_{p.lower()}") for p in products])
 
 
 @query("long_feature_rows", "D6 D19", f"""
