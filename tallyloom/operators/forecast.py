@@ -1,7 +1,7 @@
 """Rolling backtests, grid search and an autoregressive moving-average forecaster.
 
-Spark makes the windows and the (window, config) rows; the forecaster is a vectorised
-helper that sees one short window at a time.
+Spark makes the windows and the (window, config) rows; the forecaster takes all windows of a batch
+that are alike in order and length together, as one stack of least-squares problems.
 """
 
 from __future__ import annotations
@@ -44,79 +44,108 @@ def _lags(order: int, seasonal: int, period: int) -> list[int]:
 
 
 def _back(series: np.ndarray, lags: list[int], start: int) -> list[np.ndarray]:
-    return [series[start - lag : len(series) - lag] for lag in lags]
+    """Lagged columns of all series (rows) from ``start`` on."""
+    return [series[:, start - lag : series.shape[1] - lag] for lag in lags]
 
 
-def _solve(columns: list[np.ndarray], target: np.ndarray) -> np.ndarray | None:
+def _solve(columns: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+    """Least squares of every row, from one stacked decomposition; NaN where it is singular."""
+    n, length = target.shape
     if not columns:
-        return np.zeros(0)
-    x = np.column_stack(columns)
-    if len(x) < x.shape[1] or np.linalg.matrix_rank(x) < x.shape[1]:
-        return None
-    return np.linalg.lstsq(x, target, rcond=None)[0]
-
-
-def fit_forecast(
+        return np.zeros((n, 0))
+    if length < len(columns):
+        return np.full((n, len(columns)), np.nan)
+    u, s, vt = np.linalg.svd(np.stack(columns, axis=2), full_matrices=False)
+    least = s[:, :1] * max(length, len(columns)) * np.finfo(float).eps
+    with np.errstate(divide="ignore", invalid="ignore"):
+        turned = np.einsum("nlk,nl->nk", u, target) / s
+    beta = np.einsum("nkj,nk->nj", vt, turned)
+    beta[(s <= least).any(axis=1)] = np.nan
+    return beta
+
+
+def _filtered(series: np.ndarray, filter_: np.ndarray) -> np.ndarray:
+    """Each row (last axis: time) run through the difference filter, where all its past is there."""
+    length = series.shape[-1] - len(filter_) + 1
+    out = np.zeros((*series.shape[:-1], length))
+    for i, weight in enumerate(filter_):
+        if weight:
+            out += weight * series[..., len(filter_) - 1 - i : len(filter_) - 1 - i + length]
+    return out
+
+
+def fit_forecasts(
     y: np.ndarray, c, horizon: int, x: np.ndarray | None = None, x_next: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Two-step least squares (Hannan and Rissanen): forecasts and in-sample fitted values.
+    """Two-step least squares (Hannan and Rissanen) of many windows (rows) at once: forecasts and fitted values.
 
-    NaN throughout where the window is too short or the regression is singular.
+    ``x`` and ``x_next`` are windows x times x columns. NaN throughout a row whose window is too
+    short, holds a NaN or makes the regression singular.
     """
     p, d, q, sp, sd, sq, m, trend = c
-    none = np.full(horizon, np.nan), np.full(len(y), np.nan)
+    n, size = y.shape
+    out, fitted = np.full((n, horizon), np.nan), np.full((n, size), np.nan)
     filter_ = np.array([1.0])
     for _ in range(d):
         filter_ = np.convolve(filter_, [1.0, -1.0])
     for _ in range(sd):
         filter_ = np.convolve(filter_, np.r_[1.0, np.zeros(m - 1), -1.0])
     lost = len(filter_) - 1
-    if len(y) <= lost + 2 or np.isnan(y).any():
-        return none
-    w = np.convolve(y, filter_, "valid")
+    good = np.flatnonzero(~np.isnan(y).any(axis=1))
+    if size <= lost + 2 or not len(good):
+        return out, fitted
+    y = y[good]
+    w = _filtered(y, filter_)
+    length = w.shape[1]
     both = None
     if x is not None:
-        path = np.vstack([x, x_next])
-        both = np.column_stack([np.convolve(col, filter_, "valid") for col in path.T])
+        path = np.concatenate([x, x_next], axis=1)[good]
+        both = np.moveaxis(_filtered(np.moveaxis(path, 1, 2), filter_), 2, 1)
     ar, ma = _lags(p, sp, m), _lags(q, sq, m)
-    e = np.zeros(len(w))
+    e = np.zeros_like(w)
+    order = 0
     if ma:  # innovations from a long autoregression
-        order = min(max(ar + ma) + 1, len(w) // 3)
-        const = [np.ones(len(w) - order)] if trend == "c" else []
-        long = _solve(_back(w, list(range(1, order + 1)), order) + const, w[order:])
-        if long is None:
-            return none
-        e[order:] = w[order:] - np.column_stack(_back(w, list(range(1, order + 1)), order) + const) @ long
-        start = order + max(ma)
-    else:
-        start = 0
-    start = max([start, *ar, *ma])
-    if start >= len(w):
-        return none
+        order = min(max(ar + ma) + 1, length // 3)
+        long = _back(w, list(range(1, order + 1)), order) + ([np.ones((len(good), length - order))] if trend == "c" else [])
+        beta = _solve(long, w[:, order:])
+        e[:, order:] = w[:, order:] - (np.einsum("nlk,nk->nl", np.stack(long, axis=2), beta) if long else 0.0)
+    start = max([order + max(ma) if ma else 0, *ar, *ma])
+    if start >= length:
+        return out, fitted
     columns = _back(w, ar, start) + _back(e, ma, start)
     if both is not None:
-        columns += list(both[start : len(w)].T)
+        columns += [both[:, start:length, k] for k in range(both.shape[2])]
     if trend == "c":
-        columns.append(np.ones(len(w) - start))
-    beta = _solve(columns, w[start:])
-    if beta is None:
-        return none
-    fitted = np.full(len(y), np.nan)
-    ahead = np.column_stack(columns) @ beta if columns else np.zeros(len(w) - start)
-    carried = y[lost:] - w  # what differencing took away, known one step ahead
-    fitted[lost + start :] = ahead + carried[start:]
-    values, ww, ee = list(y), list(w), list(e)
+        columns.append(np.ones((len(good), length - start)))
+    failed = np.isnan(e).any(axis=1)  # the long autoregression was singular
+    beta = _solve([np.where(failed[:, None], 0.0, col) for col in columns], w[:, start:])
+    beta[failed] = np.nan
+    ahead = np.einsum("nlk,nk->nl", np.stack(columns, axis=2), beta) if columns else np.zeros((len(good), length - start))
+    carried = y[:, lost:] - w  # what differencing took away, known one step ahead
+    inside = np.full((len(good), size), np.nan)
+    inside[:, lost + start :] = ahead + carried[:, start:]
+    nothing = np.zeros((len(good), horizon))
+    values, ww, ee = (np.concatenate([part, nothing], axis=1) for part in (y, w, e))
     for h in range(horizon):
-        row = [ww[-lag] for lag in ar] + [ee[-lag] for lag in ma]
+        row = [ww[:, length + h - lag] for lag in ar] + [ee[:, length + h - lag] for lag in ma]
         if both is not None:
-            row += list(both[len(w) + h])
+            row += [both[:, length + h, k] for k in range(both.shape[2])]
         if trend == "c":
-            row.append(1.0)
-        step = float(np.dot(row, beta)) if row else 0.0
-        values.append(step - sum(filter_[i] * values[-i] for i in range(1, lost + 1)))
-        ww.append(step)
-        ee.append(0.0)
-    return np.array(values[len(y) :]), fitted
+            row.append(np.ones(len(good)))
+        step = (np.stack(row, axis=1) * beta).sum(axis=1) if row else np.zeros(len(good))
+        values[:, size + h] = step - sum(filter_[i] * values[:, size + h - i] for i in range(1, lost + 1))
+        ww[:, length + h] = step
+    out[good], fitted[good] = values[:, size:], inside
+    return out, fitted
+
+
+def fit_forecast(
+    y: np.ndarray, c, horizon: int, x: np.ndarray | None = None, x_next: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``fit_forecasts`` of one window."""
+    more = (None, None) if x is None else (np.asarray(x, float)[None], np.asarray(x_next, float)[None])
+    out, fitted = fit_forecasts(np.asarray(y, float)[None], c, horizon, *more)
+    return out[0], fitted[0]
 
 
 def _order(config) -> tuple:
@@ -128,26 +157,42 @@ def _listed(values: np.ndarray) -> list:
     return [None if np.isnan(v) else float(v) for v in values]
 
 
+#: Numbers of the stacked problems of one decomposition.
+STACK = 1_000_000
+
+
+def _batched(past: pd.Series, config: pd.DataFrame, pick: int, horizon: int, x: pd.Series | None = None,
+             x_next: pd.Series | None = None) -> pd.Series:
+    """Forecasts (0) or fitted values (1) of all rows; rows of the same order and lengths go together."""
+    out: list = [None] * len(past)
+    alike: dict[tuple, list[int]] = {}
+    ahead = [horizon] * len(past) if x_next is None else [len(b) for b in x_next]
+    for i, (y, c) in enumerate(zip(past, config.to_dict("records"))):
+        alike.setdefault((_order(c), len(y), ahead[i]), []).append(i)
+    for (order, size, steps), rows in alike.items():
+        some = max(1, STACK // max(1, size * 8))
+        for at in (rows[k : k + some] for k in range(0, len(rows), some)):
+            y = np.array([past[i] for i in at], dtype=float).reshape(len(at), size)
+            more = () if x is None else (
+                np.array([np.stack(x[i]) for i in at], dtype=float), np.array([np.stack(x_next[i]) for i in at], dtype=float))
+            for i, values in zip(at, fit_forecasts(y, order, steps, *more)[pick]):
+                out[i] = _listed(values)
+    return pd.Series(out, dtype=object)
+
+
 def forecasts(windows: DataFrame, horizon: int, exogenous: bool = False) -> DataFrame:
     """Add ``predicted``: the forecast path of each (window, config) row."""
 
     @F.pandas_udf("array<double>")
     def plain(past: pd.Series, config: pd.DataFrame) -> pd.Series:
-        orders = config.to_dict("records")
-        return pd.Series([
-            _listed(fit_forecast(np.asarray(y, float), _order(c), horizon)[0]) for y, c in zip(past, orders)])
+        return _batched(past, config, 0, horizon)
 
     @F.pandas_udf("array<double>")
     def with_x(past: pd.Series, x: pd.Series, x_next: pd.Series, config: pd.DataFrame) -> pd.Series:
-        orders = config.to_dict("records")
-        return pd.Series([
-            _listed(fit_forecast(np.asarray(y, float), _order(c), len(b), np.stack(a), np.stack(b))[0])
-            for y, a, b, c in zip(past, x, x_next, orders)])
+        return _batched(past, config, 0, horizon, x, x_next)
 
     made = with_x("past", "x_past", "x_future", "config") if exogenous else plain("past", "config")
-    # fits cost far more than moving a short window: spread them over all cores
-    spread = windows.repartition(windows.sparkSession.sparkContext.defaultParallelism, "past", "config")
-    return spread.withColumn("predicted", made)
+    return windows.withColumn("predicted", made)
 
 
 def fitted_values(series: DataFrame) -> DataFrame:
@@ -155,9 +200,7 @@ def fitted_values(series: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def fits(past: pd.Series, config: pd.DataFrame) -> pd.Series:
-        orders = config.to_dict("records")
-        return pd.Series([
-            _listed(fit_forecast(np.asarray(y, float), _order(c), 1)[1]) for y, c in zip(past, orders)])
+        return _batched(past, config, 1, 1)
 
     return series.withColumn("fitted", fits("past", "config"))
 

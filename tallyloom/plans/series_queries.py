@@ -459,6 +459,29 @@ def seasonal_difference_forecasts(spark, sf_dir):
                        r("prediction", 6).alias("prediction"))
 
 
+@query("moving_average_forecasts", "N3 N5 N6", f"""
+with {SERIES_SQL},
+n as (select partner, month, ln(price + 1e-8) as y, row_number() over (partition by partner order by month) as rn,
+             count(*) over (partition by partner) as total from series),
+s as (select partner, month as origin, rn from n where rn > 24 and rn + 5 <= total),
+l as (select s.partner, s.origin, s.rn as pos, a.rn, a.y, b.y as x, d.y as z from s
+      join n a on a.partner = s.partner and a.rn between s.rn - 22 and s.rn - 1
+      join n b on b.partner = a.partner and b.rn = a.rn - 1 join n d on d.partner = a.partner and d.rn = a.rn - 2),
+m as (select partner, origin, regr_sxx(y, x) as xx, regr_sxx(y, z) as zz, regr_sxy(y, x) as xy, regr_sxy(y, z) as zy,
+             regr_sxy(x, z) as xz, avg(y) as my, avg(x) as mx, avg(z) as mz from l group by 1, 2),
+b as (select *, (xy * zz - zy * xz) / (xx * zz - xz * xz) as bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) as bz from m),
+e as (select l.partner, l.origin, pos, rn, y, (y - my) - bx * (x - mx) - bz * (z - mz) as e from l join b using (partner, origin)),
+f as (select e.partner, e.origin, regr_slope(e.y, p.e) as theta, regr_intercept(e.y, p.e) as c from e
+      join e p on p.partner = e.partner and p.origin = e.origin and p.rn = e.rn - 1 group by 1, 2)
+select f.partner, f.origin, h as step, round(c + case when h = 1 then theta * e.e else 0 end, 6) as prediction
+from f join e on e.partner = f.partner and e.origin = f.origin and e.rn = e.pos - 1, (select unnest(range(1, 7)) as h)""")
+def moving_average_forecasts(spark, sf_dir):
+    """Order (0, 0, 1) with a constant: innovations from two lags, then a regression on the last innovation."""
+    windows = win.origins(_logged(spark, sf_dir), KEYS, "month", "price", 24, 6)
+    rows = fc.forecast_rows(fc.forecasts(fc.with_configs(windows, fc.configs([0], [0], [1], trend=["c"])), 6), KEYS)
+    return rows.select("partner", "origin", F.col("step").cast("long").alias("step"), r("prediction", 6).alias("prediction"))
+
+
 @query("partial_autocorrelation_three", "E27", f"""
 with {SERIES_SQL},
 x as (select *, price - avg(price) over (partition by partner) as d,
