@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import choice as ch
+from tallyloom.operators import logittable as lt
 from tallyloom.plans.panel_queries import r
 from tallyloom.plans.registry import query
 from tallyloom.plans.standins import cents, month_of, table
@@ -249,7 +250,8 @@ def logit_fit(spark, sf_dir):
 @query("logit_fit_by_dataset", "A8 J5 J6 J16")
 def logit_fit_by_dataset(spark, sf_dir):
     rows = choice_rows(spark, sf_dir, ["l_returnflag"])
-    return _fit_frame(spark, ch.fit_logit_groups(rows, TERMS, "l_returnflag"))
+    fits = lt.coefficients(lt.fit_logit_table(rows, TERMS, "l_returnflag"), TERMS, "l_returnflag")
+    return fits.withColumnRenamed("l_returnflag", "dataset")
 
 
 @query("independence_test", "J11")
@@ -269,9 +271,44 @@ def dataset_answers(spark, sf_dir):
     wide = stage(choice_table(spark, sf_dir), "occasions")
     rows = ch.occasions(wide, "choice", REGIONS, ATTRIBUTES, [key], weight="n")
     part = ch.occasions(wide.filter(F.col("choice").isin(some)), "choice", some, ATTRIBUTES, [key], weight="n")
-    fits = ch.fit_logit_groups(rows, TERMS, key)
-    subset = ch.fit_logit_groups(part, ch.names(some, ATTRIBUTES), key)
-    return ch.dataset_answers(rows, key, fits, subset, REGIONS, "price", "dis", ["dis", "feature"], "EUROPE")
+    few = ch.names(some, ATTRIBUTES)
+    fits, subset = lt.fit_logit_table(rows, TERMS, key), lt.fit_logit_table(part, few, key)
+    return lt.answers(rows, key, fits, TERMS, subset, few, REGIONS, "price", "dis", ["dis", "feature"], "EUROPE")
+
+
+@query("dataset_constants", "A8 J5 J6 J16", f"""
+with {CHOICE_SQL}, k as (select month, alt, sum(n) as n from chosen group by month, alt),
+b as (select month, n as base from k where alt = 'AFRICA'), t as (select month, sum(n) as n from k group by month)
+select month, 'const_' || alt as term, round(ln(k.n / base), 6) as beta, round(sqrt(1 / k.n + 1 / base), 6) as se,
+       round((select sum(z.n * ln(z.n / t.n)) from k z where z.month = k.month), 3) as loglik
+from k join b using (month) join t using (month)
+where alt <> 'AFRICA' and (select count(*) from k z where z.month = k.month) = 5""")
+def dataset_constants(spark, sf_dir):
+    """Constants of every month's choices: closed forms, months without one of the regions left out."""
+    wide = stage(choice_table(spark, sf_dir), "occasions")
+    whole = wide.filter("n > 0").groupBy("month").agg(F.count_distinct("choice").alias("seen")).filter(F.col("seen") == len(REGIONS))
+    terms = ch.names(REGIONS, [])
+    rows = ch.occasions(wide.join(whole, "month", "left_semi"), "choice", REGIONS, [], ["month"], weight="n")
+    fits = lt.coefficients(lt.fit_logit_table(rows, terms, "month", tolerance=1e-20), terms, "month")
+    return fits.select("month", "term", r("beta", 6).alias("beta"), r("se", 6).alias("se"), r("loglik", 3).alias("loglik"))
+
+
+@query("independence_statistics", "J11 J16", f"""
+with {CHOICE_SQL}, k as (select alt, l_returnflag as flag, sum(n) as n, coalesce(sum(n) filter (month(month) % 2 = 1), 0) as m
+                         from chosen group by 1, 2),
+v as (select flag, sum(n) filter (alt = 'AFRICA') as na, sum(n) filter (alt = 'AMERICA') as nb,
+             sum(m) filter (alt = 'AFRICA') as ma, sum(m) filter (alt = 'AMERICA') as mb from k group by flag)
+select flag, round(pow(ln(mb / ma) - ln(nb / na), 2) / (1 / ma + 1 / mb - 1 / na - 1 / nb), 4) as statistic, 1 as degrees from v""")
+def independence_statistics(spark, sf_dir):
+    """Constants of all five regions against those of two of them in the odd months: a closed form."""
+    key, some = "l_returnflag", REGIONS[:2]
+    wide = stage(choice_table(spark, sf_dir), "occasions")
+    all_terms, few = ch.names(REGIONS, []), ch.names(some, [])
+    full = lt.fit_logit_table(ch.occasions(wide, "choice", REGIONS, [], [key], weight="n"), all_terms, key, tolerance=1e-14)
+    odd = wide.filter(F.col("choice").isin(some) & (F.month("month") % 2 == 1))
+    subset = lt.fit_logit_table(ch.occasions(odd, "choice", some, [], [key], weight="n"), few, key, tolerance=1e-14)
+    found = lt.independence_tests(full, all_terms, subset, few, key)
+    return found.select(F.col(key).alias("flag"), r("statistic").alias("statistic"), "degrees")
 
 
 @query("logit_constants_only", "J5 J6 J7", f"""
