@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,36 +28,87 @@ def bounds(df: DataFrame, x1: str, x2: str) -> Column:
         F.min(x1).alias("a1"), F.max(x1).alias("b1"), F.min(x2).alias("a2"), F.max(x2).alias("b2"))).scalar()
 
 
-def _nodes(span: DataFrame, m: int) -> DataFrame:
-    """The m^2 grid nodes (i, j, g1, g2) of a one-row frame of bounds, in one array."""
-    def axis(lo: str, hi: str) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.col(lo) + (F.col(hi) - F.col(lo)) * i / (m - 1))
+#: Rows whose kernel values are worked out together, and classes summed up at a time.
+DENSITY_ROWS, DENSITY_CLASSES = 2048, 64
+
+
+def _node_sums(x: np.ndarray, y: np.ndarray, g1: np.ndarray, g2: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """Sum over the rows of the kernel at every node.
 
-    rows = F.transform(axis("a1", "b1"), lambda g1, i: F.transform(axis("a2", "b2"), lambda g2, j: F.struct(
-        i.alias("i"), j.alias("j"), g1.alias("g1"), g2.alias("g2"))))
-    return span.select(F.flatten(rows).alias("nodes"))
+    A diagonal bandwidth is a product of two one-dimensional kernels: m + m values a row and one
+    matrix product. Otherwise the rows are turned first and each gives m x m values.
+    """
+    out = np.zeros((len(g1), len(g2)))
+    separable = inverse[0, 1] == 0 and inverse[1, 0] == 0
+    size = DENSITY_ROWS if separable else max(1, DENSITY_ROWS * 64 // out.size)
+    for start in range(0, len(x), size):
+        d1, d2 = g1 - x[start : start + size, None], g2 - y[start : start + size, None]
+        if separable:
+            out += np.exp(-0.5 * (d1 * inverse[0, 0]) ** 2).T @ np.exp(-0.5 * (d2 * inverse[1, 1]) ** 2)
+        else:
+            u1 = d1[:, :, None] * inverse[0, 0] + d2[:, None, :] * inverse[1, 0]
+            u2 = d1[:, :, None] * inverse[0, 1] + d2[:, None, :] * inverse[1, 1]
+            out += np.exp(-0.5 * (u1 * u1 + u2 * u2)).sum(axis=0)
+    return out
 
 
 def grid_density(df: DataFrame, x1: str, x2: str, bandwidth: np.ndarray, m: int, cls: str | None = None) -> DataFrame:
     """Product-kernel density on an m x m grid over the range of the data, per class if asked.
 
-    Each row adds to every node of the fixed grid and the sums fold map-side, so the work is
-    rows x m^2 and the shuffle m^2 rows per task. That work dwarfs a shuffle of the two
-    coordinates, so rows are first spread evenly over the cores.
+    Each task adds up the kernels of its rows on the fixed grid and passes on m x m sums a
+    class; no row is multiplied by the nodes. Rows without both coordinates take no part, a null
+    class is a class, and an empty table has no nodes.
     """
     inverse, det = np.linalg.inv(bandwidth), float(np.linalg.det(bandwidth))
     keys = [cls] if cls else []
-    grid = _nodes(df.agg(F.min(x1).alias("a1"), F.max(x1).alias("b1"), F.min(x2).alias("a2"), F.max(x2).alias("b2")), m)
-    rows = df.select(*keys, F.col(x1).alias("_x"), F.col(x2).alias("_y")).repartition(
-        df.sparkSession.sparkContext.defaultParallelism)
-    placed = rows.select(*keys, "_x", "_y", F.inline(grid.scalar()))
-    d1, d2 = F.col("g1") - F.col("_x"), F.col("g2") - F.col("_y")
-    u1 = d1 * float(inverse[0, 0]) + d2 * float(inverse[1, 0])
-    u2 = d1 * float(inverse[0, 1]) + d2 * float(inverse[1, 1])
-    weight = F.exp(-0.5 * (u1 * u1 + u2 * u2))
-    density = placed.groupBy(*keys, "i", "j", "g1", "g2").agg(F.avg(weight).alias("_mean"))
-    return density.select(*keys, "i", "j", "g1", "g2", (F.col("_mean") / (2 * float(np.pi) * det)).alias("density"))
+    span = df.agg(F.min(x1).alias("a1"), F.max(x1).alias("b1"), F.min(x2).alias("a2"), F.max(x2).alias("b2"))
+    limits = [F.col(f"_span.{c}").cast("double").alias(f"_{c}") for c in ("a1", "b1", "a2", "b2")]
+    rows = df.filter(F.col(x1).isNotNull() & F.col(x2).isNotNull()).select(
+        *keys, F.col(x1).cast("double").alias("_x"), F.col(x2).cast("double").alias("_y"), span.select(F.struct("*")).scalar().alias("_span")
+    ).select(*keys, "_x", "_y", *limits)
+    kind = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*keys).schema) + "i int, j int, _sum double, _n long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[object, np.ndarray] = {}
+        counts: dict[object, int] = {}
+        i, j = (v.ravel().astype(np.int32) for v in np.meshgrid(np.arange(m), np.arange(m), indexing="ij"))
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for c, total in sums.items():
+                named = [pa.array([c] * m * m, class_type)] if cls else []
+                yield pa.RecordBatch.from_arrays(
+                    [*named, pa.array(i), pa.array(j), pa.array(total.ravel()), pa.array(np.full(m * m, counts[c]))],
+                    names=[*keys, "i", "j", "_sum", "_n"])
+
+        class_type = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            class_type = b.column(0).type
+            x, y, a1, b1, a2, b2 = (b.column(len(keys) + k).to_numpy() for k in range(6))
+            steps = np.arange(m) / max(m - 1, 1)
+            g1, g2 = a1[0] + (b1[0] - a1[0]) * steps, a2[0] + (b2[0] - a2[0]) * steps
+            classes, place = [None], np.zeros(b.num_rows, dtype=int)
+            if cls:
+                coded = b.column(0).dictionary_encode(null_encoding="encode")
+                classes, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            for k, c in enumerate(classes):
+                mine = place == k
+                found = _node_sums(x[mine], y[mine], g1, g2, inverse)
+                sums[c] = sums[c] + found if c in sums else found
+                counts[c] = counts.get(c, 0) + int(mine.sum())
+            if len(sums) > DENSITY_CLASSES:
+                yield from out()
+                sums, counts = {}, {}
+        yield from out()
+
+    totals = rows.mapInArrow(run, kind).groupBy(*keys, "i", "j").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+    s = F.col("_s")
+    nodes = totals.withColumn("_s", span.select(F.struct("*")).scalar())
+    return nodes.select(
+        *keys, "i", "j", (s["a1"] + (s["b1"] - s["a1"]) * F.col("i") / max(m - 1, 1)).alias("g1"),
+        (s["a2"] + (s["b2"] - s["a2"]) * F.col("j") / max(m - 1, 1)).alias("g2"),
+        (F.col("_sum") / F.col("_n") / (2 * float(np.pi) * det)).alias("density"))
 
 
 def classify_grid(df: DataFrame, x1: str, x2: str, cls: str, bandwidth: np.ndarray, m: int) -> DataFrame:
