@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalar import normal_density, ratio
-from tallyloom.operators.ordered import running
+from tallyloom.operators.ordered import running, running_by
 from tallyloom.session import stage
 
 
@@ -152,17 +152,19 @@ def classify_rows(df: DataFrame, x1: str, x2: str, cls: str, bandwidth: np.ndarr
 # queries between its points is cut into parts, each with all points of the block.
 
 
-def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int) -> DataFrame:
-    folded = points.groupBy("x").agg(
+def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int, group: list[str] | None = None) -> DataFrame:
+    """Rows of the sorted blocks; lines of different ``group`` values are lines of their own."""
+    group = group or []
+    folded = points.groupBy(*group, "x").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
         F.lit(queries is None).alias("wanted"))
     if queries is not None:
-        asked = queries.select(F.col("x"), F.lit(0.0).alias("n"), F.lit(0.0).alias("sy"), F.lit(0.0).alias("syy"),
+        asked = queries.select(*group, F.col("x"), F.lit(0.0).alias("n"), F.lit(0.0).alias("sy"), F.lit(0.0).alias("syy"),
                                F.lit(True).alias("wanted"))
-        folded = folded.unionByName(asked).groupBy("x").agg(
+        folded = folded.unionByName(asked).groupBy(*group, "x").agg(
             F.sum("n").alias("n"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"), F.max("wanted").alias("wanted"))
-    placed = running(
-        folded, "x", [], {"position": (F.col("n") > 0).cast("long"), "asked": (F.col("n") == 0).cast("long")}, position=None)
+    sums = {"position": (F.col("n") > 0).cast("long"), "asked": (F.col("n") == 0).cast("long")}
+    placed = running_by(folded, group, "x", [], sums, position=None) if group else running(folded, "x", [], sums, position=None)
     placed = placed.withColumn("part", F.floor(F.col("asked") / size)).drop("asked")
     block = F.explode(F.sequence(
         F.floor((F.col("position") - k - 1) / size), F.floor((F.col("position") + k + 1) / size)))
@@ -170,8 +172,8 @@ def _blocks(points: DataFrame, queries: DataFrame | None, k: int, size: int) ->
     copies = placed.withColumn("_home", home).withColumn("block", block)
     copies = copies.withColumn("home", F.col("block") == F.col("_home")).drop("_home")
     copies = stage(copies.filter((F.col("n") > 0) | F.col("home")), "blocks")
-    parts = stage(copies.filter("home").groupBy("block").agg(F.min("part").alias("_from"), F.max("part").alias("_to")), "parts")
-    spread = copies.withColumnRenamed("part", "_own").join(parts, "block").withColumn(
+    parts = stage(copies.filter("home").groupBy(*group, "block").agg(F.min("part").alias("_from"), F.max("part").alias("_to")), "parts")
+    spread = copies.withColumnRenamed("part", "_own").join(parts, [*group, "block"]).withColumn(
         "part", F.explode(F.when(F.col("n") > 0, F.sequence("_from", "_to")).otherwise(F.array("_own"))))
     return spread.withColumn("home", F.col("home") & (F.col("part") == F.col("_own"))).drop("_own", "_from", "_to")
 
@@ -225,15 +227,17 @@ def knn_regression(points: DataFrame, queries: DataFrame, h: float, k: int, bloc
     return out.withColumn("fitted", F.nanvl("fitted", F.lit(None)))
 
 
-def leave_one_out(points: DataFrame, bandwidths: list[float], neighbours: list[int], block: int = 20000) -> DataFrame:
+def leave_one_out(
+    points: DataFrame, bandwidths: list[float], neighbours: list[int], block: int = 20000, group: str | None = None,
+) -> DataFrame:
     """Mean squared leave-one-out error for every (h, k); null where some point has no weight.
 
     The neighbour table is made once, up to the largest k. Only one line per (block, h, k)
-    leaves a task.
+    leaves a task. Rows of different ``group`` values (not null) are scored apart, in the same job.
     """
-    k = max(neighbours)
+    k, keys = max(neighbours), [group] if group else []
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         asked, distance, n, sy = _near(pdf, k)
         own_n, own_y, own_yy = (asked[c].to_numpy() for c in ("n", "sy", "syy"))
         others = np.where(distance == 0, n - 1, n)
@@ -252,12 +256,13 @@ def leave_one_out(points: DataFrame, bandwidths: list[float], neighbours: list[i
                 error = b * b * own_yy - 2 * a * b * own_y + own_n * a * a
                 good = rest > 1e-12 * b
                 value = np.divide(error, rest * rest, out=np.zeros(len(rest)), where=good)
-                rows.append((h, kk, float(value.sum()), float(own_n.sum()), int((~good).sum())))
-        return pd.DataFrame(rows, columns=["bandwidth", "neighbours", "error", "rows", "bad"])
+                rows.append((*key[: len(keys)], h, kk, float(value.sum()), float(own_n.sum()), int((~good).sum())))
+        return pd.DataFrame(rows, columns=[*keys, "bandwidth", "neighbours", "error", "rows", "bad"])
 
-    parts = _blocks(points, None, k, block).groupBy("block", "part").applyInPandas(
-        score, "bandwidth double, neighbours int, error double, rows double, bad int")
-    return parts.groupBy("bandwidth", "neighbours").agg(
+    kind = "".join(f"{g} {points.schema[g].dataType.simpleString()}, " for g in keys)
+    parts = _blocks(points, None, k, block, keys).groupBy(*keys, "block", "part").applyInPandas(
+        score, kind + "bandwidth double, neighbours int, error double, rows double, bad int")
+    return parts.groupBy(*keys, "bandwidth", "neighbours").agg(
         F.when(F.sum("bad") == 0, F.sum("error") / F.sum("rows")).alias("score"))
 
 
@@ -268,14 +273,11 @@ def best_score(scores: DataFrame, columns: list[str], score: str = "score") -> D
 
 
 def single_index(df: DataFrame, x1: str, x2: str, y: str, directions: list[float], h: float, k: int) -> DataFrame:
-    """Leave-one-out error of y on x1 + b x2 for each direction b."""
-    stored = stage(df.select(x1, x2, y), "index")
-    out = None
-    for b in directions:
-        points = stored.select((F.col(x1) + F.lit(float(b)) * F.col(x2)).alias("x"), F.col(y).alias("y"))
-        one = leave_one_out(points, [h], [k]).select(F.lit(float(b)).alias("direction"), "score")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Leave-one-out error of y on x1 + b x2 for each direction b, all directions in one neighbour table."""
+    direction = F.explode(F.array(*[F.lit(float(b)) for b in dict.fromkeys(directions)])).alias("direction")
+    turned = df.select(F.col(x1).alias("_a"), F.col(x2).alias("_b"), F.col(y).alias("y"), direction).select(
+        "direction", (F.col("_a") + F.col("direction") * F.col("_b")).alias("x"), "y")
+    return leave_one_out(turned, [h], [k], group="direction").select("direction", "score")
 
 
 def nearest_with_ties(df: DataFrame, query: str, distance: str, k: int) -> DataFrame:

@@ -46,3 +46,24 @@ def test_no_row_is_multiplied_by_the_nodes(spark):
     df = spark.range(100).selectExpr("cast(id as double) as x", "cast(id as double) as y")
     plan = kn.grid_density(df, "x", "y", np.eye(2), 10)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "RoundRobin" not in plan
+
+
+def test_fifty_directions_in_one_plan(spark):
+    """The plan does not grow with the directions, and each score is that of a search of its own."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 2)).round(2)
+    y = np.sin(x[:, 0] + 0.5 * x[:, 1])
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
+
+    def size(directions):
+        out = kn.single_index(df, "a", "b", "y", directions, 0.5, 5)
+        return out, out._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    directions = [k / 10 for k in range(-25, 25)]
+    (all_of_them, many), (_, one) = size(directions), size([0.5])
+    scores = {r["direction"]: r["score"] for r in all_of_them.collect()}
+    assert many == one and set(scores) == set(directions)
+    for b in (-2.5, 0.0, 0.5, 1.3):
+        line = df.selectExpr(f"a + {b}D * b as x", "y")
+        assert scores[b] == pytest.approx(kn.leave_one_out(line, [0.5], [5]).first()["score"], rel=1e-9)
+    assert min(scores, key=scores.get) == pytest.approx(0.5, abs=0.2)
