@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -41,17 +42,26 @@ class Whitening:
 
 
 def blocked(rows: DataFrame, total: int, width: int) -> BlockMatrix:
-    """Rows (i, y array<double>), missing i being rows of zeros, as a block matrix of ``total`` rows."""
+    """Rows (i, y array<double>), missing i being rows of zeros, as a block matrix of ``total`` rows.
+
+    A product reads its blocks several times, so they are kept; what a lost executor kept is made again.
+    """
     vectors = MLUtils.convertVectorColumnsFromML(rows.select(F.col("i"), array_to_vector("y").alias("y")), "y")
-    return IndexedRowMatrix(vectors, total, width).toBlockMatrix(BLOCK_ROWS, min(width, BLOCK_COLUMNS))
+    return IndexedRowMatrix(vectors, total, width).toBlockMatrix(BLOCK_ROWS, min(width, BLOCK_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _let_go(matrix: BlockMatrix) -> None:
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
 
 def self_product(matrix: BlockMatrix, total: int) -> np.ndarray:
-    """Transpose times the matrix. The long side is cut into splits, so no task gets all its blocks."""
+    """Transpose times the matrix, which is let go. The long side is cut into splits, so no task gets all its blocks."""
     left, right = matrix.transpose()._java_matrix_wrapper._java_model, matrix._java_matrix_wrapper._java_model
     splits = max(1, -(-total // SPLIT_ROWS))
     product = BlockMatrix(left.multiply(right, splits), matrix.colsPerBlock, matrix.colsPerBlock)
-    return product.toLocalMatrix().toArray()
+    local = product.toLocalMatrix().toArray()
+    _let_go(matrix)
+    return local
 
 
 def times(spark: SparkSession, matrix: BlockMatrix, small: np.ndarray) -> DataFrame:
@@ -117,16 +127,17 @@ def whiten(rows: DataFrame, components: int = COMPONENTS) -> DataFrame:
     used = len(found.values)
     if not used:
         return spark.createDataFrame([], kind)
-    projected = times(spark, blocked(_centred(placed, found.n, found.sums), total, width), found.projection)
-    marked = placed.join(firsts.select("i", F.lit(True).alias("first")), "i", "left")
-    out = stage(marked.join(projected, "i"), "projected")
-    error = identity_error(out.filter("first").select("i", "z"), found.n, used, total)
     away = F.transform(
         F.arrays_zip("x", F.array(*[F.lit(s).cast("long") for s in found.sums]).alias("s")),
         lambda p: (F.lit(found.n) * p["x"] - p["s"]).cast("decimal(19,0)"))
     squares = F.aggregate(away, F.lit(0).cast("decimal(38,0)"), lambda acc, v: (acc + v * v).cast("decimal(38,0)"))
+    matrix = blocked(_centred(placed, found.n, found.sums), total, width)
+    marked = placed.join(firsts.select("i", F.lit(True).alias("first")), "i", "left").withColumn("deviation", squares.try_cast("long"))
+    out = stage(marked.join(times(spark, matrix, found.projection), "i").drop("x"), "projected")
+    _let_go(matrix)
+    error = identity_error(out.filter("first").select("i", "z"), found.n, used, total)
     shares = F.array(*[F.lit(float(v / found.trace)) for v in found.values])
-    return out.select("vec_id", squares.try_cast("long").alias("deviation"), F.posexplode("z").alias("at", "whitened")).select(
+    return out.select("vec_id", "deviation", F.posexplode("z").alias("at", "whitened")).select(
         "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(found.n).cast("long").alias("n"), "deviation", "whitened",
         F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
 
