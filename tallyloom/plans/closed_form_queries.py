@@ -186,3 +186,69 @@ def stored_product_panel(spark, sf_dir):
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
     sinks.write_by(cells, path, ["product"])
     return readers.panel(spark, path, "feature string, month date, orders bigint, product string", "F").drop("product")
+
+
+@query("stl_line_and_cycle", "E25 U2", f"""
+with {SERIES_SQL},
+n as (select partner, month, row_number() over (partition by partner order by month) as rn,
+             count(*) over (partition by partner) as total, avg(price) over (partition by partner) as level from series)
+select partner, month, round(level + 0.01 * level * rn, 3) as trend, round(0.1 * level * ((rn * 5) % 12 - 5.5), 3) as seasonal,
+       0.0 as residual
+from n where total >= 24""")
+def stl_line_and_cycle(spark, sf_dir):
+    """A line plus a cycle of twelve values with mean zero comes apart into just these."""
+    from pyspark.sql import Window
+
+    own = Window.partitionBy(*KEYS)  # one short series
+    rn, level = F.row_number().over(own.orderBy("month")), F.avg("price").over(own)
+    series = price_series(spark, sf_dir).select("partner", "month", rn.alias("rn"), level.alias("level"))
+    made = series.withColumn("y", F.col("level") * (1 + 0.01 * F.col("rn") + 0.1 * ((F.col("rn") * 5) % 12 - 5.5)))
+    parts = dc.stl(made, KEYS, "month", "y").filter(F.col("trend").isNotNull())
+    return parts.select("partner", "month", r("trend", 3).alias("trend"), r("seasonal", 3).alias("seasonal"),
+                        F.abs(r("residual", 3)).alias("residual"))
+
+
+@query("additive_lines", "L9", f"""
+with {POINTS_SQL},
+d as (select id, x1, c_nationkey as x3, x2 as y from points join customer on c_custkey = id),
+m as (select regr_sxx(y, x1) as xx, regr_sxx(y, x3) as zz, regr_sxy(y, x1) as xy, regr_sxy(y, x3) as zy,
+             regr_sxy(x1, x3) as xz, avg(y) as my, avg(x1) as mx, avg(x3) as mz from d)
+select id, round(my, 6) as constant, round((xy * zz - zy * xz) / (xx * zz - xz * xz) * (x1 - mx), 6) as g_x1,
+       round((zy * xx - xy * xz) / (xx * zz - xz * xz) * (x3 - mz), 6) as g_x3
+from d, m""")
+def additive_lines(spark, sf_dir):
+    """Without knots and penalty the parts of the additive model are those of a regression on two columns."""
+    data = stage(points(spark, sf_dir).join(
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("double").alias("x3")), "id"), "points")
+    constant, parts = ls.additive_model(data, ["x1", "x3"], "x2", {"x1": [], "x3": []}, lam=0.0)
+    return parts.select("id", r(F.lit(constant), 6).alias("constant"), r("g_x1", 6).alias("g_x1"), r("g_x3", 6).alias("g_x3"))
+
+
+_COMMONER_SQL = """
+with d as (select doc_id as id, quality, cast(contains(text, '!!') as integer) as x from labels join documents using (doc_id)),
+cells as (select x, avg(quality) as p from d group by x)
+select id, x, cast(p > 0.5 as integer) as prediction from d join cells using (x)"""
+
+
+def _on_a_flag(spark, sf_dir, kind: str, h: dict) -> DataFrame:
+    data = stage(labelled_texts(spark, sf_dir, F.contains("text", F.lit("!!"))), "labelled")
+    model = sl.fit_classifier(data, kind, h, 1, 2)
+    return sl.predict(model, data, ["id", "x"]).withColumn("prediction", F.col("prediction").cast("int"))
+
+
+@query("forest_on_a_flag", "N15 N20", _COMMONER_SQL)
+def forest_on_a_flag(spark, sf_dir):
+    """Twenty resampled trees on one 0/1 feature vote for the commoner label of each value."""
+    return _on_a_flag(spark, sf_dir, "forest", {"n_estimators": 20, "depth": 2, "criterion": "entropy", "max_features": None})
+
+
+@query("boosting_on_a_flag", "N16 N20", _COMMONER_SQL)
+def boosting_on_a_flag(spark, sf_dir):
+    """Ten boosted trees on one 0/1 feature predict the commoner label of each value."""
+    return _on_a_flag(spark, sf_dir, "boost", {"n_estimators": 10, "depth": 1, "max_features": None})
+
+
+@query("net_on_a_flag", "N18 N20", _COMMONER_SQL)
+def net_on_a_flag(spark, sf_dir):
+    """A small net on one 0/1 feature predicts the commoner label of each value."""
+    return _on_a_flag(spark, sf_dir, "net", {"hidden": [4], "iterations": 200})
