@@ -84,6 +84,17 @@ def seen_order_of_products(spark, sf_dir):
     return pn.nth_values(parts, "p_type", "p_partkey").withColumnRenamed("p_type_index", "product_index")
 
 
+@query("products_by_number", "B12", """
+with f as (select p_type, min(p_partkey) as first_row from part group by p_type),
+n as (select p_type, dense_rank() over (order by first_row) - 1 as product_index from f)
+select p_partkey, p.p_type, cast(product_index as integer) as product_index
+from part p join n on p.p_type = n.p_type where product_index in (0, 2, 5)""")
+def products_by_number(spark, sf_dir):
+    """The rows of the first, third and sixth product in first-seen order."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return pn.nth_values(parts, "p_type", "p_partkey", [0, 2, 5]).withColumnRenamed("p_type_index", "product_index")
+
+
 @query("basis_terms", "B20", """
 select c_custkey, round(greatest(c_acctbal / 1000 - 3, 0), 6) as up, round(pow(least(c_acctbal / 1000 - 5, 0), 3), 6) as down,
        round(ln(abs(c_acctbal) + 1e-8) / ln(2), 6) as log2, round(pow(2, c_acctbal / 1000 + 1e-8), 5) as power

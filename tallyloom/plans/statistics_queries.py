@@ -386,6 +386,20 @@ def long_run_mean(spark, sf_dir):
     return po.long_run_mean(draws, ["iter"], ["1-URGENT", "2-HIGH", "3-MEDIUM"]).withColumn("value", r("value", 5))
 
 
+@query("long_run_mean_all_terms", "M7", f"""
+with {DRAWS_SQL},
+w as (select iter, max(case when param = '1-URGENT' then value / 10 end) as b0,
+             max(case when param = '2-HIGH' then value / 10 end) as b1, max(case when param = '3-MEDIUM' then value / 10 end) as b2,
+             max(case when param = '4-NOT SPECIFIED' then value / 10 end) as b3, max(case when param = '5-LOW' then value / 10 end) as b4
+      from draws group by iter)
+select cast(iter as integer) as iter, round(b0 / nullif(1 - (b1 + b2 + b3 + b4), 0), 5) as value from w""")
+def long_run_mean_all_terms(spark, sf_dir):
+    """The first priority as the constant, all others as lags."""
+    draws = daily_draws(spark, sf_dir).withColumn("value", F.col("value") / 10)
+    terms = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    return po.long_run_mean(draws, ["iter"], terms).withColumn("value", r("value", 5))
+
+
 @query("value_histogram", "D20", f"""
 with {DRAWS_SQL}, s as (select min(value) as lo, max(value) as hi from draws)
 select param, cast(least(floor((value - lo) / (hi - lo) * 25) + 1, 25) as integer) as bin, count(*) as n
