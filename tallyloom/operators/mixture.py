@@ -1,6 +1,7 @@
 """Gaussian mixtures by EM: densities are column expressions, each step of a fit one aggregation.
 
-All restarts share the step's job. Only sums of size K x d x d reach the driver.
+All restarts share the step's job. Only sums of size K x d x d reach the driver. Fits are
+accelerated by squared extrapolation of the EM map (SQUAREM, Varadhan and Roland 2008).
 """
 
 from __future__ import annotations
@@ -185,6 +186,44 @@ def _starts(df: DataFrame, id: str, xs: list[str], sizes: list[int], restarts: i
     return out
 
 
+def _free(m: Mixture) -> np.ndarray:
+    """The model as numbers without bounds: log weights, means, Cholesky factors with the log of their diagonals."""
+    roots = np.linalg.cholesky(m.sigma)
+    diagonal = np.arange(m.mu.shape[1])
+    roots[:, diagonal, diagonal] = np.log(roots[:, diagonal, diagonal])
+    return np.concatenate([np.log(np.maximum(m.pi, 1e-300)), m.mu.ravel(), roots.ravel()])
+
+
+def _bound(numbers: np.ndarray, k: int, d: int) -> Mixture:
+    """The model that ``_free`` gives these numbers for."""
+    weights, mu, roots = numbers[:k], numbers[k:k + k * d].reshape(k, d), numbers[k + k * d:].reshape(k, d, d).copy()
+    diagonal = np.arange(d)
+    roots[:, diagonal, diagonal] = np.exp(roots[:, diagonal, diagonal])
+    return Mixture(mu, roots @ roots.transpose(0, 2, 1), np.exp(weights - weights.max()))
+
+
+def extrapolated(first: Mixture, second: Mixture, third: Mixture, longest: float) -> tuple[Mixture | None, float]:
+    """The model that three successive steps of EM point to, and the step length used, from 1 to ``longest``.
+
+    At length 1 that is the third model itself. None where a step has no finite extrapolation
+    or leads to a singular covariance.
+    """
+    try:
+        a, b, c = _free(first), _free(second), _free(third)
+    except np.linalg.LinAlgError:
+        return None, 1.0
+    speed, turn = b - a, c - 2 * b + a
+    length = float(np.linalg.norm(speed) / max(np.linalg.norm(turn), 1e-300))
+    length = min(max(length, 1.0), longest)
+    with np.errstate(over="ignore", invalid="ignore"):
+        numbers = a + 2 * length * speed + length * length * turn
+        if length == 1.0 or not np.isfinite(numbers).all():
+            return None, length
+        there = _bound(numbers, *first.mu.shape)
+        fine = np.isfinite(there.sigma).all() and not there.singular
+    return (there if fine else None), length
+
+
 @dataclass
 class Fit:
     model: Mixture
@@ -193,29 +232,63 @@ class Fit:
     converged: bool
 
 
+@dataclass
+class _Climb:
+    """One start on its way: what the next step tries, and the models before it in this cycle."""
+
+    tries: list[Mixture]  # the plain next model, then the extrapolated one
+    trail: list[Mixture]
+    longest: float = 4.0
+    length: float = 1.0
+
+    def taken(self, which: int, after: Mixture, accelerated: bool) -> None:
+        """Go on from the model tried as ``which``, which EM moves to ``after``."""
+        if len(self.tries) == 2 and which == 1 and self.length == self.longest:
+            self.longest *= 4
+        here = self.tries[which]
+        self.tries = [after]
+        if not self.trail:
+            self.trail = [here]
+        else:
+            if accelerated:
+                jump, self.length = extrapolated(self.trail[0], here, after, self.longest)
+                self.tries += [jump] if jump is not None else []
+            self.trail = []
+
+
 def fit_sizes(
     df: DataFrame, id: str, xs: list[str], sizes: list[int], restarts: int = 10, tolerance: float = 1e-4,
-    seed: int = 0, relative: bool = True, limit: int | None = None,
+    seed: int = 0, relative: bool = True, limit: int | None = None, accelerated: bool = True,
+    starts: list[Mixture] | None = None,
 ) -> dict[int, Fit]:
     """Best of several starts for every number of segments; all starts of all sizes share one job per step.
 
-    A start ends at a small simple or relative gain of the likelihood, which EM always reaches,
-    or in a singular covariance. With a ``limit`` of steps a fit may end before; its
-    ``converged`` is false then.
+    After every second step of EM the model that the last three point to is tried beside the
+    plain next one, in the same job, and the likelier of the two goes on: a step never gains
+    less than EM does and the likelihood never falls. A start ends at a small simple or relative
+    gain of the likelihood, or in a singular covariance. With a ``limit`` of steps a fit may end
+    before; its ``converged`` is false then. ``starts`` are used instead of drawn ones.
     """
     data = df.select(id, *xs).persist()
     step = stepper(xs)
     try:
-        starts = _starts(data, id, xs, sizes, restarts, seed)
-        of = {i: k for i, (k, _) in enumerate(starts)}
-        models = {i: m for i, (_, m) in enumerate(starts)}
-        paths: dict[int, list[float]] = {i: [] for i in models}
+        begun = [(m.size, m) for m in starts] if starts else _starts(data, id, xs, sizes, restarts, seed)
+        of = {i: k for i, (k, _) in enumerate(begun)}
+        climbs = {i: _Climb([m], []) for i, (_, m) in enumerate(begun)}
+        paths: dict[int, list[float]] = {i: [] for i in climbs}
         best: dict[int, tuple[float, int, Mixture]] = {}
         ended: set[int] = set()
-        while models and (limit is None or max(map(len, paths.values())) < limit):
-            models = {i: m for i, m in models.items() if not m.singular}
-            moved = step(data, models) if models else {}
-            for i, (value, after) in moved.items():
+        while climbs and (limit is None or max(map(len, paths.values())) < limit):
+            climbs = {i: c for i, c in climbs.items() if not c.tries[0].singular}
+            tried = {2 * i + j: m for i, c in climbs.items() for j, m in enumerate(c.tries)}
+            moved = step(data, tried) if tried else {}
+            for i, climb in list(climbs.items()):
+                found = [(moved[2 * i + j], j) for j in range(len(climb.tries)) if 2 * i + j in moved]
+                found = [((value, after), j) for (value, after), j in found if np.isfinite(value)]
+                if not found:
+                    del climbs[i]
+                    continue
+                (value, after), which = max(found, key=lambda f: f[0][0])
                 gain = math.inf
                 if paths[i]:
                     gain = value - paths[i][-1]
@@ -223,12 +296,12 @@ def fit_sizes(
                         gain = abs(gain / paths[i][-1])
                 paths[i].append(value)
                 if of[i] not in best or value > best[of[i]][0]:
-                    best[of[i]] = (value, i, models[i])
+                    best[of[i]] = (value, i, climb.tries[which])
                 if gain > tolerance:
-                    models[i] = after
+                    climb.taken(which, after, accelerated)
                 else:
                     ended.add(i)
-                    del models[i]
+                    del climbs[i]
         if missing := [k for k in sizes if k not in best]:
             raise ValueError(f"every start ended in a singular covariance for {missing} segments")
         return {k: Fit(m, value, [paths[j] for j in of if of[j] == k], i in ended) for k, (value, i, m) in best.items()}

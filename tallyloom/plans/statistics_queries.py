@@ -40,6 +40,9 @@ points as (
 # The mixture at which single steps are compared with SQL.
 MODEL = mx.Mixture([[1.5, 2.0], [6.5, 3.0]], [[[4.0, 0.2], [0.2, 0.5]], [[6.0, -0.3], [-0.3, 0.8]]], [0.4])
 
+#: Plain steps of EM that the SQL takes; they reach the maximum at every scale the tables come in.
+SQL_STEPS = 1500
+
 MIXTURE_SQL = POINTS_SQL + """,
 comps(k, m1, m2, s11, s12, s22, pi) as (values (0, 1.5, 2.0, 4.0, 0.2, 0.5, 0.4), (1, 6.5, 3.0, 6.0, -0.3, 0.8, 0.6)),
 dens as (
@@ -114,6 +117,49 @@ def mixture_single_segment(spark, sf_dir):
     return fitted.select(*[r(c, 3 if c in ("loglik", "bic") else 6).alias(c) for c in fitted.columns])
 
 
+@query("mixture_two_segments", "K2 K3 K4 K5", f"""
+with recursive {POINTS_SQL.strip()},
+em(step, p0, a0, b0, s0, t0, u0, p1, a1, b1, s1, t1, u1) as (
+  select 0, 0.4::double, 1.5::double, 2.0::double, 4.0::double, 0.2::double, 0.5::double,
+         0.6::double, 6.5::double, 3.0::double, 6.0::double, -0.3::double, 0.8::double
+  union all
+  select step + 1, s / n, sx / s, sy / s, sxx / s - (sx / s) ** 2, sxy / s - sx / s * sy / s, syy / s - (sy / s) ** 2,
+         (n - s) / n, (x - sx) / (n - s), (y - sy) / (n - s), (xx - sxx) / (n - s) - ((x - sx) / (n - s)) ** 2,
+         (xy - sxy) / (n - s) - (x - sx) / (n - s) * (y - sy) / (n - s), (yy - syy) / (n - s) - ((y - sy) / (n - s)) ** 2
+  from (
+    select step, count(*) n, sum(w) s, sum(w * x1) sx, sum(w * x2) sy, sum(w * x1 * x1) sxx, sum(w * x1 * x2) sxy,
+           sum(w * x2 * x2) syy, sum(x1) x, sum(x2) y, sum(x1 * x1) xx, sum(x1 * x2) xy, sum(x2 * x2) yy
+    from (
+      select step, x1, x2, d0 / (d0 + d1) as w
+      from (
+        select step, x1, x2,
+               p0 * exp(-0.5 * (u0 * (x1 - a0) ** 2 - 2 * t0 * (x1 - a0) * (x2 - b0) + s0 * (x2 - b0) ** 2)
+                        / (s0 * u0 - t0 * t0)) / sqrt(s0 * u0 - t0 * t0) as d0,
+               p1 * exp(-0.5 * (u1 * (x1 - a1) ** 2 - 2 * t1 * (x1 - a1) * (x2 - b1) + s1 * (x2 - b1) ** 2)
+                        / (s1 * u1 - t1 * t1)) / sqrt(s1 * u1 - t1 * t1) as d1
+        from em, points where step < {SQL_STEPS}) _d) _w
+    group by step) _s),
+last as (select * from em where step = {SQL_STEPS}),
+l as (
+  select sum(ln((p0 * exp(-0.5 * (u0 * (x1 - a0) ** 2 - 2 * t0 * (x1 - a0) * (x2 - b0) + s0 * (x2 - b0) ** 2)
+                          / (s0 * u0 - t0 * t0)) / sqrt(s0 * u0 - t0 * t0)
+                 + p1 * exp(-0.5 * (u1 * (x1 - a1) ** 2 - 2 * t1 * (x1 - a1) * (x2 - b1) + s1 * (x2 - b1) ** 2)
+                            / (s1 * u1 - t1 * t1)) / sqrt(s1 * u1 - t1 * t1)) / (2 * pi()))) as loglik, count(*) as n
+  from points, last)
+select 0 as k, round(p0, 3) as pi, round(a0, 2) as m1, round(b0, 3) as m2, round(loglik, 2) as loglik,
+       round(11 * ln(n) - 2 * loglik, 2) as bic from last, l
+union all
+select 1, round(p1, 3), round(a1, 2), round(b1, 3), round(loglik, 2), round(11 * ln(n) - 2 * loglik, 2) from last, l""")
+def mixture_two_segments(spark, sf_dir):
+    """The maximum that two segments reach from fixed ones; the SQL takes plain steps of EM, many more of them."""
+    data = stage(points(spark, sf_dir), "points")
+    fit = mx.fit_sizes(data, "id", ["x1", "x2"], [2], tolerance=1e-13, starts=[MODEL])[2]
+    bic = fit.model.parameters() * float(np.log(data.count())) - 2 * fit.value
+    rows = [(k, float(fit.model.pi[k]), *map(float, fit.model.mu[k]), fit.value, bic) for k in range(2)]
+    out = spark.createDataFrame(rows, "k int, pi double, m1 double, m2 double, loglik double, bic double")
+    return out.select("k", *[r(c, d).alias(c) for c, d in (("pi", 3), ("m1", 2), ("m2", 3), ("loglik", 2), ("bic", 2))])
+
+
 @query("mixture_fit", "K4 K5")
 def mixture_fit(spark, sf_dir):
     """Two, three and four segments from ten starts each, to convergence."""

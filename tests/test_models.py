@@ -151,6 +151,46 @@ def test_conditional_mean_of_one_segment_is_the_regression(spark):
     assert got == pytest.approx([2.0, 3.0])
 
 
+def test_extrapolated_steps_reach_the_same_maximum_sooner(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    near = np.vstack([rng.normal([0, 0], 1, (250, 2)), rng.normal([2.2, 1.0], 1.3, (250, 2))])
+    far = np.vstack([rng.normal([0, 0], 1, (250, 2)), rng.normal([4.0, 2.0], 1.3, (250, 2))])
+    start = [mx.Mixture([[-1.0, 0.0], [1.0, 1.0]], [np.eye(2)] * 2, [0.5, 0.5])]
+    df = frame(spark, id=np.arange(500), a=far[:, 0], b=far[:, 1])
+    fit = mx.fit_sizes(df, "id", ["a", "b"], [2], tolerance=1e-8, starts=start)[2]
+    assert fit.converged and len(fit.paths[0]) <= 20
+    assert all(b >= a - 1e-9 for a, b in zip(fit.paths[0], fit.paths[0][1:]))
+    # one more step from the fitted model moves nothing
+    (value, after), = mx.stepper(["a", "b"])(df, {0: fit.model}).values()
+    assert value == pytest.approx(fit.value) and after.mu == pytest.approx(fit.model.mu, abs=5e-3)
+
+    # segments that overlap: hundreds of plain steps, made without a job each
+    def in_numpy(xs):
+        def step(data, models):
+            found = {i: mx._sums(near, m) for i, m in models.items()}
+            return {i: (float(sums[1]), mx._updated(sums, models[i])) for i, sums in found.items()}
+        return step
+
+    monkeypatch.setattr(mx, "stepper", in_numpy)
+    sooner, plain = (mx.fit_sizes(df, "id", ["a", "b"], [2], tolerance=1e-8, starts=start, accelerated=a)[2]
+                     for a in (True, False))
+    assert 4 * len(sooner.paths[0]) <= len(plain.paths[0]) and sooner.value >= plain.value
+    assert all(b >= a - 1e-9 for a, b in zip(sooner.paths[0], sooner.paths[0][1:]))
+
+
+def test_extrapolation_keeps_models_valid():
+    a = mx.Mixture([[0.0, 0.0], [3.0, 3.0]], [np.eye(2), 2 * np.eye(2)], [0.5, 0.5])
+    b = mx.Mixture([[0.1, 0.0], [3.1, 3.0]], [0.9 * np.eye(2), 1.9 * np.eye(2)], [0.45, 0.55])
+    c = mx.Mixture([[0.19, 0.0], [3.19, 3.0]], [0.82 * np.eye(2), 1.82 * np.eye(2)], [0.41, 0.59])
+    there, length = mx.extrapolated(a, b, c, 16.0)
+    assert 1 < length <= 16 and not there.singular and there.pi.sum() == pytest.approx(1)
+    assert there.mu[0, 0] > 0.19 and there.pi[0] < 0.41
+    assert mx._bound(mx._free(a), 2, 2).sigma == pytest.approx(a.sigma)
+    assert mx.extrapolated(a, a, a, 16.0)[0] is None  # nothing moves
+    flat = mx.Mixture([[0.0, 0.0], [3.0, 3.0]], [np.ones((2, 2)), np.eye(2)], [0.5, 0.5])
+    assert mx.extrapolated(flat, b, c, 16.0)[0] is None
+
+
 # ---- splines, kernels
 
 def test_spline_normal_equations(spark):
