@@ -7,7 +7,7 @@ exact quantiles over them are bounded.
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from tallyloom.functions.scalar import ratio
 from tallyloom.operators.leastsq import unpack
 
+#: Numbers that the chains of one step through a batch hold at most.
+MOST_NUMBERS = 4_000_000
+
 
 def interval(draws: DataFrame, keys: list[str], value: str, alpha: float) -> DataFrame:
     """Quantiles alpha, one half and 1 - alpha of the draws per key."""
@@ -101,32 +104,111 @@ def long_run_mean(draws: DataFrame, keys: list[str], params: list[str]) -> DataF
     return wide.select(*keys, ratio(F.col(f"_{params[0]}"), 1 - slope).alias("value"))
 
 
-def _chain(xx, xy, yy, n, draws, rng, bounded, bound, start):
-    """Alternate variance and coefficients; only sums of products are needed."""
-    k = len(xy)
-    beta = start.copy()
+_GOLDEN, _MIX_A, _MIX_B = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+
+def uniforms(keys: np.ndarray, counter: int) -> np.ndarray:
+    """One number inside (0, 1) per key: the ``counter``-th of the stream that the key names (SplitMix64).
+
+    Nothing is kept between calls, so a number depends on its key and counter alone, however
+    the keys are spread over batches and tasks.
+    """
+    with np.errstate(over="ignore"):
+        z = keys.astype(np.uint64) + _GOLDEN * np.uint64(counter + 1)
+        z = (z ^ (z >> np.uint64(30))) * _MIX_A
+        z = (z ^ (z >> np.uint64(27))) * _MIX_B
+    z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(12)).astype(float) + 0.5) * 2.0**-52
+
+
+class Streams:
+    """Counter-based random numbers of many streams at once: each call moves all of them on."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.counter = np.asarray(keys).astype(np.uint64), 0
+
+    def uniform(self, of=slice(None)) -> np.ndarray:
+        self.counter += 1
+        return uniforms(self.keys[of], self.counter)
+
+    def normal(self, of=slice(None)) -> np.ndarray:
+        """Box and Muller's, the cosine alone."""
+        radius = np.sqrt(-2 * np.log(self.uniform(of)))
+        return radius * np.cos(2 * np.pi * self.uniform(of))
+
+    def _until(self, draw, shape: np.ndarray) -> np.ndarray:
+        """``draw`` (rows -> numbers, accepted) for every row until accepted. A round costs each row the same
+        count of numbers, so what a row gets does not depend on its neighbours."""
+        start, out, open_ = self.counter, np.zeros(len(shape)), np.arange(len(shape))
+        while len(open_):
+            value, fine = draw(open_)
+            out[open_[fine]] = value[fine]
+            open_ = open_[~fine]
+        # the next use begins at a place that no number of rounds reaches
+        self.counter = start + 4096
+        return out
+
+    def chi_square(self, freedom: np.ndarray) -> np.ndarray:
+        """Marsaglia and Tsang's gamma numbers, for one degree of freedom or more."""
+        shape = np.asarray(freedom, float) / 2
+        small = shape < 1
+        d = np.where(small, shape + 1, shape) - 1 / 3
+        c = 1 / np.sqrt(9 * d)
+        lift = np.where(small, self.uniform() ** (1 / shape), 1.0)
+
+        def draw(of):
+            x, u = self.normal(of), self.uniform(of)
+            v = (1 + c[of] * x) ** 3
+            with np.errstate(invalid="ignore", divide="ignore"):
+                fine = (v > 0) & (np.log(u) < 0.5 * x * x + d[of] * (1 - v + np.log(v)))
+            return d[of] * v, fine
+
+        return 2 * lift * self._until(draw, shape)
+
+    def normal_above(self, least: np.ndarray) -> np.ndarray:
+        """Standard normal numbers at or above ``least``, however far out: from the normal itself
+        below zero, from a shifted exponential above (Robert 1995)."""
+        least = np.asarray(least, float)
+        far = least > 0
+        rate = np.where(far, (least + np.sqrt(least * least + 4)) / 2, 1.0)
+
+        def draw(of):
+            plain, u, v = self.normal(of), self.uniform(of), self.uniform(of)
+            tail = least[of] - np.log(u) / rate[of]
+            value = np.where(far[of], tail, plain)
+            fine = np.where(far[of], v <= np.exp(-0.5 * (tail - rate[of]) ** 2), plain >= least[of])
+            return value, fine
+
+        return self._until(draw, least)
+
+
+def _chains(xx, xy, yy, n, draws, streams, bounded, bound):
+    """Draws (draw, chain, coefficients and variance) of all chains of a batch in one recursion.
+
+    Variance and coefficients alternate; only sums of products are needed.
+    """
+    chains, k = xy.shape
     free = [i for i in range(k) if i != bounded]
-    cov = np.linalg.inv(xx[np.ix_(free, free)])
+    beta = np.zeros((chains, k))
+    if bounded is not None:
+        beta[:, bounded] = bound + 0.5
+    cov = np.linalg.inv(xx[:, free][:, :, free])
     root = np.linalg.cholesky(cov)
-    normal = NormalDist()
-    out = np.empty((draws, k + 1))
+    out = np.empty((draws, chains, k + 1))
     for i in range(draws):
-        rest = max(yy - 2 * beta @ xy + beta @ xx @ beta, 1e-300)
-        sigma2 = rest / rng.chisquare(n)
-        target = xy[free] - (xx[free, bounded] * beta[bounded] if bounded is not None else 0.0)
-        beta[free] = cov @ target + np.sqrt(sigma2) * (root @ rng.standard_normal(len(free)))
+        rest = yy - 2 * (beta * xy).sum(axis=1) + np.einsum("ca,cab,cb->c", beta, xx, beta)
+        sigma2 = np.maximum(rest, 1e-300) / streams.chi_square(n)
+        target = xy[:, free]
+        noise = np.zeros((chains, 0)) if not free else np.stack([streams.normal() for _ in free], axis=1)
+        if bounded is not None:
+            target = target - xx[:, free, bounded] * beta[:, [bounded]]
+        beta[:, free] = np.einsum("cab,cb->ca", cov, target) + np.sqrt(sigma2)[:, None] * np.einsum("cab,cb->ca", root, noise)
         if bounded is not None:
-            centre = (xy[bounded] - xx[bounded, free] @ beta[free]) / xx[bounded, bounded]
-            spread = math.sqrt(sigma2 / xx[bounded, bounded])
-            # probability above the bound, by erfc so that a far bound stays exact
-            above = 0.5 * math.erfc((bound - centre) / spread / math.sqrt(2))
-            if above > 1e-290:
-                u = max(above * rng.uniform(), 1e-300)
-                value = centre - spread * normal.inv_cdf(min(u, 1 - 1e-16))
-            else:  # so far out the tail is exponential
-                value = bound + spread * spread / (bound - centre) * rng.exponential()
-            beta[bounded] = max(value, bound)
-        out[i, :k], out[i, k] = beta, sigma2
+            scale = xx[:, bounded, bounded]
+            centre = (xy[:, bounded] - (xx[:, bounded, free] * beta[:, free]).sum(axis=1)) / scale
+            spread = np.sqrt(sigma2 / scale)
+            beta[:, bounded] = np.maximum(centre + spread * streams.normal_above((bound - centre) / spread), bound)
+        out[i, :, :k], out[i, :, k] = beta, sigma2
     return out
 
 
@@ -137,36 +219,42 @@ def regression_draws(
     """(keys, chain, iter, param, value) from the one Gram row of each group.
 
     Flat prior; ``bounded`` names a coefficient kept at or above ``bound``. Each (group,
-    chain) has its own seeded generator, so draws do not depend on the partitioning.
+    chain) has its own stream of numbers that are found by counting, so all chains of a batch
+    move together and draws depend neither on batches nor on the partitioning. A group of at
+    most len(xs) rows, or with dependent columns, has no draws.
     """
     k = len(xs)
     limited = xs.index(bounded) if bounded else None
     key_schema = ", ".join(f"{c} {sums.schema[c].dataType.simpleString()}" for c in keys)
-    tagged = sums.withColumns(
-        {"_chain": F.explode(F.sequence(F.lit(0), F.lit(chains - 1))),
-         "_seed": F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**31))})
-    # little data, much work: one chain is a unit, spread over all cores
-    tagged = tagged.repartition(tagged.sparkSession.sparkContext.defaultParallelism, *keys, "_chain")
+    tagged = sums.withColumn("_chain", F.explode(F.sequence(F.lit(0), F.lit(chains - 1)))) \
+        .withColumn("_stream", F.xxhash64(F.lit(seed), *keys, "_chain"))
+    # One small row per chain turns into thousands, so chains are spread by number, not by size.
+    tagged = tagged.repartition(int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_stream")
+    names = [*xs, "sigma2"]
+
+    def together(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        parts = [unpack(row, k) for row in rows.to_dict("records")]
+        whole = [i for i, (xx, _, _, n) in enumerate(parts) if n > k and np.linalg.matrix_rank(xx) == k]
+        if not whole:
+            return
+        rows = rows.iloc[whole]
+        xx, xy, yy, n = (np.array([parts[i][j] for i in whole], dtype=float) for j in range(4))
+        paths = _chains(xx, xy, yy, n, draws, Streams(rows["_stream"].to_numpy(dtype=np.int64)), limited, bound)
+        for at in range(len(whole)):
+            yield pd.DataFrame({
+                **{c: [rows[c].iloc[at]] * (draws * (k + 1)) for c in keys},
+                "chain": rows["_chain"].iloc[at],
+                "iter": np.repeat(np.arange(draws), k + 1),
+                "param": np.tile(names, draws),
+                "value": paths[:, at].ravel(),
+            })
+
+    width = max(1, MOST_NUMBERS // (draws * (k + 1)))
 
     def each(batches):
         for batch in batches:
-            for row in batch.to_dict("records"):
-                xx, xy, yy, n = unpack(row, k)
-                if n <= k or np.linalg.matrix_rank(xx) < k:
-                    continue
-                start = np.zeros(k)
-                if limited is not None:
-                    start[limited] = bound + 0.5
-                rng = np.random.default_rng([int(row["_seed"]), int(row["_chain"])])
-                path = _chain(xx, xy, yy, n, draws, rng, limited, bound, start)
-                names = [*xs, "sigma2"]
-                yield pd.DataFrame({
-                    **{c: [row[c]] * path.size for c in keys},
-                    "chain": row["_chain"],
-                    "iter": np.repeat(np.arange(draws), k + 1),
-                    "param": np.tile(names, draws),
-                    "value": path.ravel(),
-                })
+            for start in range(0, len(batch), width):
+                yield from together(batch.iloc[start:start + width])
 
     return tagged.mapInPandas(each, f"{key_schema}, chain int, iter int, param string, value double")
 
@@ -178,28 +266,26 @@ def forecast_draws(
     """h-step paths of an autoregression for every draw.
 
     ``last`` has the latest len(lags) values of each series as the array ``recent``, newest
-    first. The paths are made row by row of (draw, recent); nothing is grouped in Python.
+    first. All paths of a batch take a step together; each has a stream of its own.
     """
     names = [const, *lags, "sigma2"]
     wide = draws.groupBy(*keys, "chain", "iter").agg(
         *[F.max(F.when(F.col("param") == p, F.col("value"))).alias(f"_{p}") for p in names])
     coefficient = F.array(*[F.col(f"_{p}") for p in names])
     ready = wide.join(last, keys).select(
-        *keys, "chain", "iter", coefficient.alias("c"), "recent",
-        F.pmod(F.xxhash64(F.lit(seed), *keys, "chain", "iter"), F.lit(2**31)).alias("s"))
+        *keys, "chain", "iter", coefficient.alias("c"), "recent", F.xxhash64(F.lit(seed), *keys, "chain", "iter").alias("s"))
 
     @F.pandas_udf("array<double>")
     def path(c: pd.Series, recent: pd.Series, s: pd.Series) -> pd.Series:
-        out = []
-        for beta, past, seed_ in zip(c, recent, s):
-            rng = np.random.default_rng(int(seed_))
-            values, steps = list(past), []
-            for _ in range(horizon):
-                mean = beta[0] + sum(b * v for b, v in zip(beta[1:-1], values))
-                value = mean + math.sqrt(beta[-1]) * rng.standard_normal()
-                steps.append(float(value))
-                values = [value, *values[:-1]]
-            out.append(steps)
-        return pd.Series(out)
+        if not len(c):
+            return pd.Series([], dtype=object)
+        beta, values = np.stack(c.to_numpy()).astype(float), np.stack(recent.to_numpy()).astype(float)
+        streams = Streams(s.to_numpy(dtype=np.int64))
+        steps = []
+        for _ in range(horizon):
+            mean = beta[:, 0] + (beta[:, 1:-1] * values).sum(axis=1)
+            steps.append(mean + np.sqrt(beta[:, -1]) * streams.normal())
+            values = np.column_stack([steps[-1], values[:, :-1]])
+        return pd.Series(list(np.stack(steps, axis=1)))
 
     return ready.select(*keys, "chain", "iter", F.posexplode(path("c", "recent", "s")).alias("step", "value"))

@@ -526,3 +526,30 @@ def autoregression_forecast_draws(spark, sf_dir):
         F.transform(F.array_sort(F.collect_list(F.struct("_r", "y"))), lambda s: s["y"]).alias("recent"))
     paths = po.forecast_draws(kept, last, ["series"], ["y_lag1", "y_lag2"], "const", 2)
     return po.interval(paths, ["series", "step"], "value", 0.1)
+
+
+@query("autoregression_mean_paths", "M8", f"""
+with {DRAWS_SQL},
+ranked as (select param, value, row_number() over (partition by param order by iter desc) as k from draws),
+s as (select param as series, avg(value) / 4 as c, max(case when k = 1 then value end) as v1,
+             max(case when k = 2 then value end) as v2 from ranked group by param),
+a as (select *, c + 0.5 * v1 + 0.25 * v2 as f1 from s),
+b as (select *, c + 0.5 * f1 + 0.25 * v1 as f2 from a),
+d as (select *, c + 0.5 * f2 + 0.25 * f1 as f3 from b)
+select series, cast(k as integer) as step, round(case k when 0 then f1 when 1 then f2 else f3 end, 6) as value
+from d, (select unnest(range(0, 3)) as k) steps""")
+def autoregression_mean_paths(spark, sf_dir):
+    """Paths of draws without variance: the recursion of the means itself."""
+    from pyspark.sql import Window
+
+    draws = daily_draws(spark, sf_dir)
+    newest = F.row_number().over(Window.partitionBy("param").orderBy(F.col("iter").desc()))
+    ranked = draws.withColumn("_r", newest)
+    last = ranked.filter(F.col("_r") <= 2).groupBy(F.col("param").alias("series")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_r", "value"))), lambda s: s["value"]).alias("recent"))
+    terms = F.create_map(F.lit("const"), F.avg("value") / 4, F.lit("y_lag1"), F.lit(0.5), F.lit("y_lag2"), F.lit(0.25),
+                         F.lit("sigma2"), F.lit(0.0))
+    fixed = draws.groupBy(F.col("param").alias("series")).agg(terms.alias("t")).select(
+        "series", F.lit(0).alias("chain"), F.lit(0).alias("iter"), F.explode("t").alias("param", "value"))
+    paths = po.forecast_draws(fixed, last, ["series"], ["y_lag1", "y_lag2"], "const", 3)
+    return paths.select("series", "step", r("value", 6).alias("value"))

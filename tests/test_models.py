@@ -359,6 +359,48 @@ def test_bounded_draws_respect_the_bound(spark):
     assert 1.0 <= low[0] < low[1] < 1.5  # the bound is far above the estimate of 0.4
 
 
+def test_counted_numbers_follow_their_distributions_and_keys():
+    keys = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 40000)
+    u = po.Streams(keys).uniform()
+    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01
+    z = po.Streams(keys).normal()
+    assert abs(z.mean()) < 0.02 and abs(z.std() - 1) < 0.02 and abs((z > 1.96).mean() - 0.025) < 0.004
+    for freedom in (1.0, 2.0, 7.0, 400.0):
+        c = po.Streams(keys).chi_square(np.full(len(keys), freedom))
+        assert abs(c.mean() / freedom - 1) < 0.03 and abs(c.var() / (2 * freedom) - 1) < 0.06
+    for least in (-3.0, -0.5, 0.4, 2.0, 30.0):
+        a = po.Streams(keys).normal_above(np.full(len(keys), least))
+        density = math.exp(-0.5 * least * least) / math.sqrt(2 * math.pi)
+        above = 0.5 * math.erfc(least / math.sqrt(2))
+        assert a.min() >= least and a.mean() == pytest.approx(density / above, abs=0.02)
+    # a stream does not see its neighbours, nor how often they are turned down
+    some = po.Streams(keys[100:105])
+    every = po.Streams(keys)
+    for _ in range(3):
+        assert every.chi_square(np.full(len(keys), 3.0))[100:105] == pytest.approx(some.chi_square(np.full(5, 3.0)))
+        assert every.normal_above(np.full(len(keys), 1.0))[100:105] == pytest.approx(some.normal_above(np.full(5, 1.0)))
+
+
+def test_chains_do_not_depend_on_what_moves_beside_them(spark, monkeypatch):
+    df, _, _ = regression(spark)
+    every = df.withColumn("g", F.explode(F.array(*map(F.lit, "ABCDE")))).withColumn("y", F.col("y") + F.ascii("g"))
+    short = spark.createDataFrame([("S", 1.0, 2.0, 3.0)], "g string, one double, x double, y double")
+    flat = spark.createDataFrame([("F", 1.0, 2.0, float(i)) for i in range(9)], "g string, one double, x double, y double")
+    sums = ls.gram(every.unionByName(short).unionByName(flat), ["one", "x"], "y", ["g"])
+
+    def drawn(sums):
+        out = po.regression_draws(sums, ["one", "x"], ["g"], 40, chains=3, bounded="x", bound=0.3)
+        return {tuple(r)[:4]: r["value"] for r in out.collect()}
+
+    whole = drawn(sums)
+    assert {g for g, *_ in whole} == set("ABCDE") and len(whole) == 5 * 3 * 40 * 3  # too few or dependent rows: no draws
+    assert len({whole[g, c, 39, "x"] for g in "ABCDE" for c in range(3)}) == 15
+    alone = drawn(sums.filter("g = 'C'"))
+    assert all(whole[key] == pytest.approx(value) for key, value in alone.items())
+    monkeypatch.setattr(po, "MOST_NUMBERS", 1)  # one chain after the other
+    assert drawn(sums) == pytest.approx(whole)
+
+
 def test_draw_summaries(spark):
     rng = np.random.default_rng(10)
     v = rng.normal(size=1000)
