@@ -9,6 +9,7 @@ never expanded. Truth is membership with group sizes, never a list of pairs.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
@@ -360,14 +361,50 @@ def duplicate_probability(model, features: DataFrame) -> DataFrame:
     return scored.withColumn("p", vector_to_array("probability")[1]).select(*features.columns, "p")
 
 
-def text_vectors(df: DataFrame, text: str, size: int = 4096) -> DataFrame:
-    """Hashed term weights of the whole text, for blocking where no embedding is given."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-
-    model = Pipeline(stages=[
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[ \n\r\t]+"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=size),
-        IDF(inputCol="_counts", outputCol="vector"),
-    ]).fit(df)
-    return model.transform(df).drop("_words", "_counts")
+def _run_lengths(ids: Column) -> Column:
+    """(term, count) of the equal values of a sorted array, in order; no pass over it is quadratic."""
+    def of(a: Column) -> Column:
+        n = F.size(a)
+        starts = F.filter(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
+                          lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+        ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n))
+        # a filter keeps starts apart from their ends, so both are read by position
+        return F.zip_with(starts, F.slice(ends, F.lit(1), F.size(starts)), lambda i, j: F.struct(
+            F.get(a, i).alias("term"), (j - i).alias("count")))
+
+    return F.transform(F.array(ids), of)[0]
+
+
+def hashed_term(word: Column, size: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(size)).cast("int")
+
+
+def term_counts(df: DataFrame, text: str, size: int = 4096, term: Callable[[Column, int], Column] = hashed_term) -> DataFrame:
+    """Add ``counts``, a (term, count) array sorted by term, of the words of the whole text.
+
+    Words are the lower-case pieces between blanks; each goes to one of ``size`` terms. A null
+    or empty text has no terms. Rows stay rows; nothing is shuffled.
+    """
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \n\r\t]+"), lambda w: w != "")
+    return df.withColumn("counts", _run_lengths(F.array_sort(F.transform(words, lambda w: term(w, size)))))
+
+
+def inverse_frequencies(counted: DataFrame, size: int) -> list[float]:
+    """log((rows + 1) / (rows with the term + 1)) for every term, from one aggregate of at most ``size`` + 1 rows."""
+    held = counted.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("counts.term"))).alias("term"))
+    seen = {row["term"]: row["count"] for row in held.groupBy("term").count().collect()}  # bounded by size
+    rows = seen.get(-1, 0)
+    return [math.log((rows + 1) / (seen.get(t, 0) + 1)) for t in range(size)]
+
+
+def text_vectors(df: DataFrame, text: str, size: int = 4096, term: Callable[[Column, int], Column] = hashed_term) -> DataFrame:
+    """Add ``vector``, a (term, weight) array sorted by term, for blocking where no embedding is given.
+
+    A weight is the count of the term in the whole text times its inverse document frequency;
+    a term of all rows weighs 0. Only the ``size`` frequencies reach the driver, and they
+    travel as one array literal.
+    """
+    counted = term_counts(df, text, size, term)
+    weights = F.lit(inverse_frequencies(counted, size))
+    return counted.withColumn("vector", F.transform("counts", lambda c: F.struct(
+        c["term"].alias("term"), (c["count"] * F.get(weights, c["term"])).alias("weight")))).drop("counts")

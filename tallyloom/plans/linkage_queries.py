@@ -543,12 +543,28 @@ def blocked_pair_totals(spark, sf_dir):
     return lk.pair_totals(signed_vectors(spark, sf_dir, 8), 8, "model", ["brand"], "shop")
 
 
-@query("text_vectors", "I11")
-def text_vectors(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
+def md5_term(word, size: int):
+    """A term that DuckDB can work out as well."""
+    return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % size).cast("int")
+
 
+@query("text_vectors", "I11", r"""
+with words as (
+  select doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \n\r\t]+'), lambda x: x <> '')) as w
+  from documents),
+counts as (select doc_id, ('0x' || substr(md5(w), 1, 8))::bigint % 4096 as term, count(*) as c from words group by 1, 2),
+weights as (select term, ln(((select count(*) from documents) + 1) / (count(*) + 1)) as idf from counts group by term),
+v as (select doc_id, term, c * idf as weight from counts join weights using (term))
+select d.doc_id, count(term) as terms, coalesce(sum(term), 0)::bigint as term_sum, round(coalesce(sum(weight), 0), 5) as weight_sum,
+       round(sqrt(coalesce(sum(weight * weight), 0)), 5) as norm, arg_max(term, (round(weight, 9), -term))::bigint as heaviest
+from documents d left join v on d.doc_id = v.doc_id group by d.doc_id""")
+def text_vectors(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    values = vector_to_array("vector")
-    return lk.text_vectors(docs, "text").select(
-        "doc_id", F.size(F.filter(values, lambda x: x > 0)).alias("terms"),
-        r(F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x["weight"])
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"])
+    ranked = F.transform("vector", lambda x: F.struct(F.round(x["weight"], 9).alias("w"), (-x["term"]).alias("t")))
+    return lk.text_vectors(docs, "text", term=md5_term).select(
+        "doc_id", F.size("vector").cast("long").alias("terms"),
+        F.aggregate("vector", F.lit(0).cast("long"), lambda a, x: a + x["term"]).alias("term_sum"),
+        r(total, 5).alias("weight_sum"), r(F.sqrt(squares), 5).alias("norm"),
+        (-F.array_max(ranked)["t"]).cast("long").alias("heaviest"))

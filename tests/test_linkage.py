@@ -1,3 +1,4 @@
+import math
 from itertools import combinations
 
 import numpy as np
@@ -181,3 +182,26 @@ def test_measures_are_not_empty(spark):
 
     row = load_all()["pair_measures_by_cosine"].build(spark, "/root/testdata/sf0.01").first()
     assert all(row[c] > 0 for c in ("tp", "tn", "fp", "fn"))
+
+
+def test_text_vectors_as_by_hand(spark):
+    """Whole texts, empty and null ones, repeated rows and ids, one word thousands of times."""
+    from collections import Counter
+
+    texts = ["b a a", "A\tb\n c", "", None, "b a a", "z " * 5000 + "y", "  ", "d" * 3000]
+    df = spark.createDataFrame([(7, t) for t in texts], "id int, text string")
+
+    def first_letter(word, size):
+        return F.ascii(word) % size
+
+    got = lk.text_vectors(df, "text", 256, first_letter).collect()
+    assert got[0].asDict().keys() == {"id", "text", "vector"} and len(got) == len(texts)
+    counts = [Counter(ord(w[0]) for w in (t or "").lower().split()) for t in texts]
+    rows = sum(1 for _ in texts)
+    seen = Counter(t for c in counts for t in c)
+    want = {t: {k: n * math.log((rows + 1) / (seen[k] + 1)) for k, n in c.items()} for t, c in zip(texts, counts)}
+    for row in got:
+        terms = [v["term"] for v in row["vector"]]
+        assert terms == sorted(want[row["text"]])
+        assert {v["term"]: v["weight"] for v in row["vector"]} == pytest.approx(want[row["text"]])
+    assert lk.text_vectors(df.limit(0), "text").count() == 0
