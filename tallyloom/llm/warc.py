@@ -194,22 +194,29 @@ class WarcReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
     def records(self, source):
-        """(headers, payload) of the wanted records of one open file."""
+        """(headers, payload) of the wanted records of one open file; a file that ends inside a record is an error."""
         size, at = source.size(), 0
         while at < size:
             source.seek(at)
             first = source.read(4096)
             part = _Member(source, at, first) if first[:2] == b"\x1f\x8b" else _Plain(source, at, first)
-            head = part.until_blank_line()
-            headers = parse_headers(head)
-            payload = None
-            if self.wanted(headers):
-                if self.payload:
-                    block = part.block(int(headers.get("Content-Length", 0)))
-                    self.inflated += 1
-                    payload = self.payload_of(headers, block)
-                yield headers, payload
-            at = part.end(int(headers.get("Content-Length", 0)), len(head))
+            while (head := part.until_blank_line()) is not None:
+                headers = parse_headers(head)
+                length = int(headers.get("Content-Length", 0))
+                payload = None
+                if self.wanted(headers):
+                    if self.payload:
+                        block = part.block(length)
+                        if len(block) < length:
+                            raise ValueError(f"file ends inside the record at byte {at}")
+                        self.inflated += 1
+                        payload = self.payload_of(headers, block)
+                    yield headers, payload
+                if not part.another(length):
+                    break
+            at = part.end()
+            if at > size:
+                raise ValueError("file ends inside its last record")
 
     def payload_of(self, headers: dict[str, str], block: bytes) -> bytes | None:
         if not block and headers.get("WARC-Type") == "revisit":
@@ -234,11 +241,17 @@ class _Plain:
         self.data += extra
         return bool(extra)
 
-    def until_blank_line(self) -> bytes:
-        while (cut := self.data.find(b"\r\n\r\n")) < 0 and self.more():
+    def until_blank_line(self) -> bytes | None:
+        """The record's head; none where only line ends are left."""
+        while (cut := self.data.find(b"\r\n\r\n", len(self.data) - len(self.data.lstrip(b"\r\n")))) < 0 and self.more():
             pass
+        if cut < 0:
+            if self.data.strip(b"\r\n"):
+                raise ValueError(f"file ends inside the head of the record at byte {self.at}")
+            self.next = self.at + len(self.data)
+            return None
         self.body = cut + 4
-        return self.data[:cut]
+        return self.data[:cut].lstrip(b"\r\n")
 
     def block(self, length: int) -> bytes:
         parts, have = [self.data], len(self.data)
@@ -247,12 +260,17 @@ class _Plain:
             have += len(extra)
         return b"".join(parts)[self.body:self.body + length]
 
-    def end(self, length: int, head: int) -> int:
-        return self.at + head + 4 + length + 4
+    def another(self, length: int) -> bool:
+        """False: the next record of a plain file is found by a seek, past the line ends that follow this one."""
+        self.next = self.at + self.body + length
+        return False
+
+    def end(self) -> int:
+        return self.next
 
 
 class _Member:
-    """A record that is a gzip member of its own."""
+    """A gzip member: one record, or several behind each other where no length field says that it is one."""
 
     def __init__(self, source, at: int, first: bytes):
         self.source, self.at = source, at
@@ -281,11 +299,16 @@ class _Member:
                 return out
         return b""
 
-    def until_blank_line(self) -> bytes:
-        while (cut := self.data.find(b"\r\n\r\n")) < 0 and (out := self.step()):
+    def until_blank_line(self) -> bytes | None:
+        """The head of the next record of the member; none where only line ends are left."""
+        while (cut := self.data.find(b"\r\n\r\n", len(self.data) - len(self.data.lstrip(b"\r\n")))) < 0 and (out := self.step()):
             self.data += out
+        if cut < 0:
+            if self.data.strip(b"\r\n") or not self.inflate.eof:
+                raise ValueError(f"file or member ends inside a head, member at byte {self.at}")
+            return None
         self.body = cut + 4
-        return self.data[:cut]
+        return self.data[:cut].lstrip(b"\r\n")
 
     def block(self, length: int) -> bytes:
         parts, have = [self.data], len(self.data)
@@ -295,11 +318,22 @@ class _Member:
         self.data = b"".join(parts)
         return self.data[self.body:self.body + length]
 
-    def end(self, length: int, head: int) -> int:
+    def another(self, length: int) -> bool:
+        """Skip the rest of this record; whether more of the member may follow. What is skipped is not held."""
+        if self.total:
+            return False
+        left = self.body + length
+        while len(self.data) < left:
+            left -= len(self.data)
+            self.data = self.step()
+            if not self.data:
+                raise ValueError(f"file or member ends inside a record, member at byte {self.at}")
+        self.data = self.data[left:]
+        return True
+
+    def end(self) -> int:
         if self.total:
             return self.at + self.total
-        while self.step():
-            pass
         return self.at + self.read_bytes - len(self.inflate.unused_data)
 
 
@@ -324,13 +358,23 @@ def _register(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records of all archives under ``path``; without ``payload`` that column is null and never inflated."""
+    """Records of all archives under ``path``; without ``payload`` that column is null and never inflated.
+
+    That is asked for by ``payload``, not found out from the columns a query selects. Headers a
+    record does not have are null; repeated records stay; no files, or empty ones, give no rows.
+    Foreign files may be plain, hold a gzip member per record, or many records in one member. A
+    file that ends inside a record is an error.
+    """
     _register(spark)
     return spark.read.format("warc").option("payload", str(payload)).load(path)
 
 
 def write(records: DataFrame, path: str) -> None:
-    """Store records; needs the columns of ``SCHEMA`` that are to be written, others are left out."""
+    """Store records; needs the columns of ``SCHEMA`` that are to be written, others are left out.
+
+    A null column is a header that is not written, a null payload an empty block; repeated rows
+    are records of their own. An empty table writes no file.
+    """
     _register(records.sparkSession)
     known = {**{c: "string" for c in HEADER_COLUMNS}, "headers": "map<string,string>", "payload": "binary"}
     records.select(*[F.col(c).cast(t).alias(c) for c, t in known.items() if c in records.columns]) \

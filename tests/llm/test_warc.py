@@ -67,6 +67,40 @@ def test_foreign_files(spark, tmp_path):
     assert warc.read(spark, str(tmp_path), payload=False).count() == 8
 
 
+def test_many_records_in_one_member(spark, tmp_path):
+    """A whole file compressed at once, several such members, line ends between records; nothing is lost."""
+    records = [warc.record({"record_type": t, "record_id": f"<urn:x:{i}>", "payload": p})
+               for i, (t, p) in enumerate([("response", b"a\r\n\r\nb" * 40_000), ("warcinfo", b"i"), ("response", b""), ("response", b"z" * 70_000)])]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(b"".join(records[:3])) + gzip.compress(b"\r\n".join(records[3:])) + warc.member(records[0]))
+    (tmp_path / "c.warc").write_bytes(b"\r\n\r\n".join(records) + b"\r\n")
+    for payload in (True, False):
+        got = warc.read(spark, str(tmp_path), payload).groupBy("record_id").agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.octet_length("payload")).alias("bytes")).collect()
+        assert {r["record_id"]: r["n"] for r in got} == {"<urn:x:0>": 4, "<urn:x:1>": 3, "<urn:x:2>": 3, "<urn:x:3>": 3}
+        if payload:
+            assert {r["record_id"]: r["bytes"] for r in got} == {"<urn:x:0>": 240_000, "<urn:x:1>": 1, "<urn:x:2>": 0, "<urn:x:3>": 70_000}
+    assert warc.read(spark, str(tmp_path)).filter("record_type = 'warcinfo'").count() == 3
+
+
+def test_a_cut_file_is_an_error(tmp_path):
+    whole = warc.record({"record_type": "response", "record_id": "<urn:x:1>", "payload": b"abc" * 100})
+    forms = {"a.warc": whole, "b.warc.gz": gzip.compress(whole + whole), "c.warc.gz": warc.member(whole)}
+    for name, data in forms.items():
+        for cut in (30, len(data) * 2 // 3):
+            path = tmp_path / f"{cut}{name}"
+            path.mkdir()
+            (path / name).write_bytes(data[:cut])
+            for payload in ("true", "false"):
+                reader = warc.WarcReader({"path": str(path), "payload": payload})
+                try:
+                    list(reader.read(reader.partitions()[0]))
+                except ValueError as error:
+                    assert "ends inside" in str(error)
+                else:
+                    raise AssertionError(f"{name} cut at {cut} was read as if whole")
+
+
 def test_digest_is_checked(tmp_path):
     bad = warc.record({"record_type": "response", "record_id": "<urn:x:1>", "payload": b"abc", "payload_digest": "sha1:AAAA"})
     (tmp_path / "a.warc").write_bytes(bad)
