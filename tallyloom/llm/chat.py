@@ -41,9 +41,10 @@ class Mapping:
         return [p for _, paths in self.parts for p in paths]
 
     def fillings(self) -> list[tuple[str, ...]]:
-        """Every set of paths that a record of this layout may fill."""
-        needed = [p for p in self.paths() if p not in self.optional]
-        subsets = chain.from_iterable(combinations(self.optional, n) for n in range(len(self.optional) + 1))
+        """Every set of paths that a record of this layout may fill; turns may be none, or all without role or text."""
+        loose = (*self.optional, *(f"{self.turns[0]}.{f}" for f in self.turns[1:])) if self.turns else self.optional
+        needed = [p for p in self.paths() if p not in loose]
+        subsets = chain.from_iterable(combinations(loose, n) for n in range(len(loose) + 1))
         return [tuple(sorted([*needed, *some])) for some in subsets]
 
 
@@ -59,28 +60,36 @@ MAPPINGS = (
 
 
 def _schema_paths(fields: T.StructType, known: set[str], prefix: str = "") -> list[str]:
+    """The known paths that the schema has, through structs and arrays of structs."""
     out = []
     for f in fields:
         path = prefix + f.name
-        if path not in known:
-            continue
-        out.append(path)
+        if path in known:
+            out.append(path)
         inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
-        if isinstance(inner, T.StructType):
+        if isinstance(inner, T.StructType) and any(k.startswith(path + ".") for k in known):
             out += _schema_paths(inner, known, path + ".")
     return out
 
 
-def _filled(path: str) -> Column:
-    """Whether the record fills the path; a field of array elements counts with its array."""
-    return F.col(path.split(".")[0]).isNotNull()
+def _filled(schema: T.StructType, path: str) -> Column:
+    """Whether the record fills the path: not null at its end; inside an array, in any of the elements."""
+    def look(value: Column, kind: T.DataType, names: list[str]) -> Column:
+        if not names:
+            return value.isNotNull()
+        if isinstance(kind, T.ArrayType):
+            return F.coalesce(F.exists(value, lambda e: look(e, kind.elementType, names)), F.lit(False))
+        return look(value.getField(names[0]), kind[names[0]].dataType, names[1:])
+
+    first, *rest = path.split(".")
+    return look(F.col(first), schema[first].dataType, rest)
 
 
 def fingerprint(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> Column:
     """Hash of the sorted nested paths that a record fills, among those that any mapping names."""
     known = {p for m in mappings for p in m.paths()}
     paths = sorted(_schema_paths(df.schema, known))
-    filled = F.concat_ws("\n", *[F.when(_filled(p), F.lit(p)) for p in paths]) if paths else F.lit("")
+    filled = F.concat_ws("\n", *[F.when(_filled(df.schema, p), F.lit(p)) for p in paths]) if paths else F.lit("")
     return F.xxhash64(filled)
 
 
@@ -94,13 +103,13 @@ def _canonical_role(role: Column) -> Column:
     return F.coalesce(F.element_at(named, low), F.coalesce(role, F.lit("")))
 
 
-def _turns_of(m: Mapping, columns: list[str]) -> Column:
+def _turns_of(m: Mapping, there: set[str]) -> Column:
     if m.turns:
         array, role, text = m.turns
         return F.transform(F.col(array), lambda t: _turn(_canonical_role(t[role]), t[text]))
     turns = []
     for role, paths in m.parts:
-        held = [F.when(F.col(p) != "", F.col(p)) if p in m.optional else F.col(p) for p in paths if p in columns]
+        held = [F.when(F.col(p) != "", F.col(p)) if p in m.optional else F.col(p) for p in paths if p in there]
         if not held:
             continue
         turn = F.array(_turn(F.lit(role), F.concat_ws("\n", *held)))
@@ -111,7 +120,9 @@ def _turns_of(m: Mapping, columns: list[str]) -> Column:
 def canonical(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Add ``fingerprint``, ``layout`` and ``turns`` (array of role and text) to records of mixed layouts.
 
-    A field is filled when it is not null. A record whose fingerprint no mapping has keeps its
+    A field is filled when it is not null, at any depth; a field of array elements when any
+    element fills it. An array without elements, or whose elements fill nothing, is a talk of
+    the first mapping that has it. A record whose fingerprint no mapping has keeps its
     row with a null layout and no turns. Null texts become empty; an empty optional part is left
     out. Repeated records stay. Columns that no mapping names pass through; own columns of the
     three new names are replaced.
@@ -121,13 +132,13 @@ def canonical(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFr
     known = {p for m in mappings for p in m.paths()}
     there = set(_schema_paths(df.schema, known))
     marked = df.withColumn("fingerprint", fingerprint(df, mappings))
-    for m in mappings:
+    for m in reversed(mappings):  # the first that fits wins
         if not {p for p in m.paths() if p not in m.optional} <= there:
             continue
         prints = [F.xxhash64(F.lit("\n".join(f))) for f in m.fillings() if set(f) <= there]
         mine = mark.isin(*prints)
         layout = F.when(mine, F.lit(m.name)).otherwise(layout)
-        turns = F.when(mine, _turns_of(m, df.columns)).otherwise(turns)
+        turns = F.when(mine, _turns_of(m, there)).otherwise(turns)
     return marked.withColumn("layout", layout).withColumn("turns", turns)
 
 
@@ -177,7 +188,7 @@ def formatted(df: DataFrame, learn: Callable[[Column], Column] = lambda role: ro
 
 
 def read_turns(text: Column) -> Column:
-    """Turns (role, text) parsed from a formatted string."""
+    """Turns (role, text) parsed from a formatted string; none for an empty one, null for null."""
     segments = F.filter(F.split(text, r"<\|im_start\|>"), lambda s: s != "")
 
     def turn(s: Column) -> Column:
@@ -189,7 +200,7 @@ def read_turns(text: Column) -> Column:
 
 
 def read_loss(text: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
+    """All text under the loss mask, unescaped, nothing between; empty without spans, null where either is null."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substring(text, s["start"] + 1, s["length"]))), "")
 
 

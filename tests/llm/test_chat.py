@@ -55,3 +55,28 @@ def test_records(spark):
     rows = [(1, 1, "assistant", None), (1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, None, "first"), (None, 0, "user", "x")]
     got = {r["conv_id"]: [tuple(m) for m in r["messages"]] for r in chat.records(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert got == {1: [("", "first"), ("user", "hi"), ("user", "hi"), ("assistant", "")], None: [("user", "x")]}
+
+
+def test_layouts_that_differ_only_inside_a_struct(spark):
+    mappings = (
+        chat.Mapping("pair", parts=(("user", ("data.prompt",)), ("assistant", ("data.completion",)))),
+        chat.Mapping("asked", parts=(("user", ("data.q",)), ("assistant", ("data.a.text",)))),
+        chat.Mapping("talk", turns=("data.talk", "role", "content")),
+        chat.Mapping("said", turns=("data.talk", "who", "said")),
+    )
+    kind = ("id int, data struct<prompt:string,completion:string,q:string,a:struct<text:string,score:int>,"
+            "talk:array<struct<role:string,content:string,who:string,said:string>>>")
+    rows = [
+        (1, ("u", "a", None, None, None)), (2, (None, None, "u", ("a", 1), None)), (3, ("u", None, None, None, None)),
+        (4, (None, None, "u", (None, 1), None)), (5, None), (6, (None, None, None, None, [("human", "u", None, None), ("gpt", None, None, None)])),
+        (7, (None, None, None, None, [(None, None, "human", "u"), (None, None, "gpt", "a")])), (8, (None, None, None, None, [])),
+        (9, ("", "", None, None, None)), (10, ("u", "a", "q", ("a", 1), None))]
+    out = chat.canonical(spark.createDataFrame(rows, kind), mappings)
+    got = {r["id"]: (r["layout"], [tuple(t) for t in r["turns"]]) for r in out.collect()}
+    ua = [("user", "u"), ("assistant", "a")]
+    assert got == {
+        1: ("pair", ua), 2: ("asked", ua), 3: (None, []), 4: (None, []), 5: (None, []),
+        6: ("talk", [("user", "u"), ("assistant", "")]), 7: ("said", ua), 8: ("talk", []),
+        9: ("pair", [("user", ""), ("assistant", "")]), 10: (None, [])}
+    prints = {r["id"]: r["fingerprint"] for r in out.collect()}
+    assert len({prints[i] for i in (1, 2, 3, 4, 6, 7, 8)}) == 7 and prints[1] == prints[9]
