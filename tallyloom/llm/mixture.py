@@ -16,6 +16,8 @@ SHARE = 1.5
 EPOCHS = 2
 #: Rows that one slice of a source holds on average.
 SLICE_ROWS = 4_000
+#: Rows alike that one task turns back into rows at a time.
+COPIES = 4_000
 
 
 def word_count(text: Column) -> Column:
@@ -59,8 +61,11 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights: tu
     the row on the cut is taken in part: ``taken`` words in all, ``epochs`` full repeats.
 
     Null and empty texts have size 0 and are taken 0 times. A null source is a source of its own.
-    Repeated rows are rows of their own; equal keys are ordered by doc_id, then size. A mix
-    without words takes nothing. Columns other than doc_id, text and source are not read.
+    Repeated rows are rows of their own; equal keys are ordered by doc_id, then size. Rows alike
+    in source, doc_id and size take the same place, so they are one row with a count until the
+    cut is known: a place holds no more rows than there are sizes, however often one doc_id or
+    none occurs. A mix without words takes nothing. Columns other than doc_id, text and source
+    are not read.
     """
     sized = stage(docs.select("doc_id", "source", word_count(text_or_empty("text")).alias("size"), F.conv(
         F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long").alias("place")), "sized")
@@ -71,21 +76,34 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights: tu
     # Places are uniform in [0, 16^13), so equal ranges of them hold equal shares of any source.
     placed = sized.join(plan, sized["source"].eqNullSafe(plan["_source"])).drop("_source").withColumn(
         "_slice", F.floor(F.col("place") / F.lit(float(16**13)) * F.col("_slices")))
-    totals = placed.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
+    # Stored: the slices are summed from it, and the rows alike are split again.
+    folded = stage(placed.groupBy("source", "doc_id", "size", "place", "source_size", "target", "_slice").agg(
+        F.count(F.lit(1)).alias("_copies")), "folded")
+    totals = folded.groupBy("source", "_slice").agg(F.sum(F.col("size") * F.col("_copies")).alias("_sum"))
     before = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(F.col("source").alias("_source"), F.col("_slice").alias("_in"),
                            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("source", "_slice").orderBy("place", F.col("doc_id").asc_nulls_last(), "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed.withColumn("_earlier", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    ordered = folded.withColumn("_earlier", F.coalesce(F.sum(F.col("size") * F.col("_copies")).over(inside), F.lit(0)))
     at = ordered.join(starts, ordered["source"].eqNullSafe(starts["_source"]) & (F.col("_slice") == F.col("_in")))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.floor(F.col("target")) - full * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start") - F.col("_earlier")))
-    return at.select("doc_id", "size", "source", "source_size", F.col("target").cast("double").alias("target"),
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start") - F.col("_earlier") - F.col("_copy") * F.col("size")))
+    return _unfolded(at).select("doc_id", "size", "source", "source_size", F.col("target").cast("double").alias("target"),
                      full.alias("epochs"), (full * F.col("size") + part).cast("long").alias("taken"))
 
 
+def _unfolded(folded: DataFrame) -> DataFrame:
+    """One row per copy, numbered in ``_copy`` from 0. More copies than ``COPIES`` go to as many tasks as they fill."""
+    many = F.col("_copies") > COPIES
+    few = folded.filter(~many).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    blocks = folded.filter(many).withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES).cast("long"))))
+    spread = blocks.repartition(int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "doc_id", "size", "_first")
+    last = F.least(F.col("_first") + COPIES, F.col("_copies")) - 1
+    return few.unionByName(spread.withColumn("_copy", F.explode(F.sequence("_first", last))).drop("_first"))
+
+
 MIX_SQL = r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,

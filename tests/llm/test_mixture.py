@@ -47,3 +47,23 @@ def test_cuts_are_exact(spark, monkeypatch):
         assert sum(r["taken"] for r in own) == int(own[0]["target"])
         assert sum(r["taken"] not in (r["epochs"] * r["size"], (r["epochs"] + 1) * r["size"]) for r in own) <= 1
     assert sorted(map(repr, rows)) == sorted(map(repr, mixture.mix(docs.repartition(5)).collect()))
+
+
+def test_rows_without_an_id_are_folded(spark, monkeypatch):
+    """A third of all rows without an id, and one id in thousands of rows: few rows take one place."""
+    monkeypatch.setattr(mixture, "SLICE_ROWS", 50)
+    monkeypatch.setattr(mixture, "COPIES", 7)
+    rows = [(None, "w " * (i % 5), "a") for i in range(500)] + [(3, "x y", "a")] * 400 + [(i, "w " * (i % 9), "b") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    folded = []
+    stored = mixture.stage
+    monkeypatch.setattr(mixture, "stage", lambda df, name: folded.append((name, stored(df, name))) or folded[-1][1])
+    got = mixture.mix(docs).collect()
+    held = dict(folded)["folded"]
+    assert held.groupBy("source", "place").count().agg({"count": "max"}).first()[0] == 5  # one row per size
+    assert len(got) == 1500
+    for source in "ab":
+        own = [r for r in got if r["source"] == source]
+        assert sum(r["taken"] for r in own) == int(own[0]["target"]) and sum(r["size"] for r in own) == own[0]["source_size"]
+        assert sum(r["taken"] not in (r["epochs"] * r["size"], (r["epochs"] + 1) * r["size"]) for r in own) <= 1
+    assert sorted(map(repr, got)) == sorted(map(repr, mixture.mix(docs.repartition(3)).collect()))
