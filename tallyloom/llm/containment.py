@@ -28,8 +28,9 @@ from tallyloom.session import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Most rows of the item table (about 0.5 kB each) that are sent to every task; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 50_000
+#: Most rows and most bytes of the item table that are sent to every task; a larger one is joined by a shuffle.
+#: A row carries the shingles of its item, so long items reach the bytes first.
+BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 64 * 2**20
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def item_table(items: DataFrame, item: str, text: str) -> DataFrame:
 
 def search(
     docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str,
-    threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS,
+    threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(doc_id, item_id, matched, n_shingles, containment) of every item contained in a document.
 
@@ -121,12 +122,15 @@ def search(
     a null key is a key like any other. Other columns are not read. Empty tables give none.
     """
     table = stage(item_table(items, item, item_text), "items")
-    classes = {r["size_class"]: r["count"] for r in table.groupBy("size_class").count().collect()}  # at most 3
+    width = F.lit(64) + 8 * F.size("item_shingles") + F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    classes = {r["size_class"]: (r["rows"], r["bytes"]) for r in table.groupBy("size_class").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).collect()}  # at most 3
+    rows, size = (sum(c[i] for c in classes.values()) for i in (0, 1))
     ready = docs.select(F.col(key).alias("doc_id"), worked_out(shingles(text_or_empty(text))).alias("own"))
     there = _as_array([c for c in CLASSES if c.number in classes] or [CLASSES[0]])
     found = _signatures(ready, "own", there, "width", "run").select("doc_id", "own", "value")
     wanted = table.select("value", "item_id", "item_shingles")
-    if sum(classes.values()) <= broadcast_rows:
+    if rows <= broadcast_rows and size <= broadcast_bytes:
         met = found.join(F.broadcast(wanted), "value")
     else:
         # Only 16 bytes a value travel; the texts are read again for the pairs that collide.

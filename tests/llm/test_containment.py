@@ -50,6 +50,24 @@ def test_search_equals_brute_force(spark, broadcast_rows):
     assert got == brute(whole + long, texts + more) and len(got) == len(found) > 15
 
 
+def test_long_items_are_not_broadcast(spark, monkeypatch):
+    """Few rows of long items reach the bound in bytes; the result is the same by either join."""
+    words = [f"w{i}" for i in range(400)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "a b c d e f g"), (3, None)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "x y z " * 50 + " ".join(words)), (2, "o a b c d e f g"), (None, None)], "doc_id int, text string")
+    sent = []
+    hint = containment.F.broadcast
+    monkeypatch.setattr(containment.F, "broadcast", lambda df: sent.append(df) or hint(df))
+    found = []
+    # item 1 has 393 runs of ten values, each row with its 396 shingles: about 13 MB in 3,930 rows
+    for most, broadcasts in ((containment.BROADCAST_BYTES, True), (1_000_000, False)):
+        sent.clear()
+        out = containment.search(docs, "doc_id", "text", items, "item_id", "text", broadcast_bytes=most)
+        found.append({(r["doc_id"], r["item_id"], r["matched"]) for r in out.collect()})
+        assert bool(sent) == broadcasts
+    assert found[0] == found[1] == {(1, 1, 396), (2, 2, 3)}
+
+
 def test_no_python_and_no_cross_join(spark):
     docs, items = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "benchmark"))
     plan = decontaminate.leaks(docs, items)._jdf.queryExecution().executedPlan().toString()
