@@ -2,9 +2,9 @@
 
 Besides a weight, each term has a short vector; the product of two vectors says what the two
 terms mean together, which a sum of weights cannot. Terms are words and their beginnings, so an
-inflected form that no labelled row has still counts by its stem. The machine is fitted on a
-bounded sample of labelled rows, on the terms that go with the label there, be it alone or only
-together with another term; every text is scored whole.
+inflected form that no labelled row has still counts by its stem; a stem that several words of a
+text share is a further term, as a chance word has it once. The machine is fitted on a bounded sample of labelled rows, on the terms that go with the label there, be it alone or only together with
+another term; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import sample_ids, text_or_empty
+from tallyloom.llm.common import let, sample_ids, text_or_empty
 from tallyloom.session import stage
 
 #: Hashed terms; the last place is the constant term.
@@ -39,11 +39,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Distinct hashes of the lower-case runs of letters of a whole text and of their stems, after the constant term."""
+    """Distinct terms of a whole text, after the constant term: hashes of its words, of their stems, and of each stem
+    that two or more different words share. Words are lower-case runs of letters; a word shorter than a stem has none."""
     words = F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != ""))
     hashed = F.transform(words, lambda w: F.array(
-        F.xxhash64(w), *[F.xxhash64(F.substring(w, 1, k), F.lit(k)) for k in STEMS]))
-    places = F.transform(F.flatten(hashed), lambda h: F.pmod(h, F.lit(TERMS)).cast("int"))
+        F.xxhash64(w), *[F.when(F.length(w) >= k, F.xxhash64(F.substring(w, 1, k), F.lit(k))) for k in STEMS]))
+
+    def with_shared(h: Column) -> Column:
+        shared = F.array_distinct(F.filter(h, lambda x, i: (i > 0) & (x == F.get(h, i - 1))))
+        return F.concat(h, F.transform(shared, lambda x: F.xxhash64(x, F.lit(2))))
+
+    every = let(F.sort_array(F.array_compact(F.flatten(hashed))), with_shared)
+    places = F.transform(every, lambda h: F.pmod(h, F.lit(TERMS)).cast("int"))
     return F.concat(F.array(F.lit(TERMS)), F.array_distinct(places))
 
 
