@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,10 @@ PREDICT_AT = 0.7
 #: Lengths of the beginnings of words; how many standard errors a term must stand out alone, and a pair of terms.
 STEMS = (4, 5, 6)
 LEAST_Z, LEAST_PAIR_Z = 4.0, 6.0
-#: Rows with both, one or the other of a pair that are needed to judge it; tasks that share the pairs.
+#: Rows with both, one or the other of a pair that are needed to judge it.
 LEAST_MET = 5
-PAIR_TASKS = 6
+#: Pairs, counted in every row that has them, that one task looks through; most tasks that share them.
+TASK_PAIRS, MOST_TASKS = 400_000_000, 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -95,20 +97,44 @@ def telling(sample: DataFrame, least_z: float = LEAST_Z) -> list[int]:
     return [r["term"] for r in best.unionAll(paired(sample)).distinct().orderBy("term").collect()]
 
 
-def paired(sample: DataFrame, tasks: int = PAIR_TASKS) -> DataFrame:
+def paired(sample: DataFrame, task_pairs: int = TASK_PAIRS) -> DataFrame:
     """(term): both terms of every pair that says more, or less, than its two terms add up to.
 
-    All pairs are looked at. Each of ``tasks`` groups holds the whole bounded sample and counts the
-    pairs of its own share of the terms.
+    All pairs of terms that enough rows have are looked at. As many tasks as the pairs ask for each read
+    the stored, bounded sample, take the terms that can be in a pair as it comes, and count the pairs of
+    their own share of those terms; no row is copied or shuffled.
     """
-    def run(key: tuple, part: pa.Table) -> pa.Table:
-        lists = part.column("terms").combine_chunks()
-        found = joint(np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets)), part.column("_label").to_numpy(),
-                      key[0].as_py(), tasks)
-        return pa.table({"term": pa.array(found, pa.int32())})
-
-    shared = sample.select("_label", "terms", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("part"))
-    return shared.groupBy("part").applyInArrow(run, "term int")
+    spark = sample.sparkSession
+    counts = sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    often = np.zeros(TERMS + 1, dtype=bool)
+    often[[r["term"] for r in counts.filter(F.col("n") >= 2 * LEAST_MET).select("term").collect()]] = True  # at most TERMS + 1
+    shared = spark.sparkContext.broadcast(often)
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for b in batches:
+            offsets, index = np.asarray(b.column(1).offsets), np.asarray(b.column(1).values)
+            held = shared.value[index]
+            yield b.column(0).to_numpy(), np.diff(np.concatenate([[0], np.cumsum(held)])[offsets]), index[held]
+
+    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, lengths, _ in reduced(batches):
+            yield pa.RecordBatch.from_pydict({"cost": pa.array([float((lengths.astype(float) ** 2).sum() / 2)])})
+
+    rows = sample.select("_label", "terms")
+    cost = rows.mapInArrow(costs, "cost double").agg(F.sum("cost")).first()[0] or 0.0
+    tasks = int(min(MOST_TASKS, 1 + cost // task_pairs))
+
+    def share(part: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got = list(reduced(batches))
+            if got:
+                labels, lengths, index = (np.concatenate(column) for column in zip(*got))
+                del got
+                yield pa.RecordBatch.from_pydict({"term": pa.array(joint(index, lengths, labels, part, tasks), pa.int32())})
+
+        return rows.coalesce(1).mapInArrow(run, "term int")
+
+    return reduce(DataFrame.unionAll, map(share, range(tasks)))
 
 
 def joint(index: np.ndarray, lengths: np.ndarray, labels: np.ndarray, part: int = 0, parts: int = 1,

@@ -146,6 +146,19 @@ def test_joint_terms():
     assert whole.tolist() == [0, 1] and np.unique(np.concatenate(split)).tolist() == [0, 1]
 
 
+def test_pairs_by_any_number_of_tasks(spark):
+    """Pairs found by Spark are those found at once, in one task or in many; an empty sample has none."""
+    rng = np.random.default_rng(9)
+    lists = [np.flatnonzero(rng.random(30) < 0.3).tolist() for _ in range(3000)]
+    labels = [float(rng.random() < 0.05 + 0.8 * (3 in t and 7 in t)) for t in lists]
+    whole = toxicity.joint(np.concatenate(lists).astype(np.int32), np.array([len(t) for t in lists]), np.array(labels))
+    rows = spark.createDataFrame([(float(y), t) for y, t in zip(labels, lists)], "_label double, terms array<int>").repartition(5)
+    for most in (10**9, 40_000, 10):
+        got = toxicity.paired(rows, most)
+        assert sorted({r["term"] for r in got.collect()}) == whole.tolist() == [3, 7]
+    assert toxicity.paired(rows.limit(0)).collect() == []
+
+
 def test_toxicity_held_out(spark):
     rows = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1").collect()
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
