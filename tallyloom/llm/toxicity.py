@@ -33,7 +33,7 @@ LEAST_Z, LEAST_PAIR_Z = 4.0, 6.0
 #: Rows with both, one or the other of a pair that are needed to judge it.
 LEAST_MET = 5
 #: Pairs, counted in every row that has them, that one task looks through; most tasks that share them.
-TASK_PAIRS, MOST_TASKS = 400_000_000, 64
+TASK_PAIRS, MOST_TASKS = 1_200_000_000, 64
 
 
 def held_out(doc_id: Column) -> Column:
