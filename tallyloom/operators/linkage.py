@@ -119,9 +119,16 @@ def class_members(signed: DataFrame, id: str = "id", alike: list[str] | None = N
     return rows.join(folded, [rows[c].eqNullSafe(folded[f"_{c}"]) for c in own]).select("id", "representative", "copies")
 
 
+def _with_sides(pairs: DataFrame, records: DataFrame, id: str = "id") -> DataFrame:
+    """Pairs joined with the columns c of ``records`` by either id, as c_a and c_b."""
+    for x in "ab":
+        pairs = pairs.join(records.select(*[F.col(c).alias(f"id_{x}" if c == id else f"{c}_{x}") for c in records.columns]), f"id_{x}")
+    return pairs
+
+
 def candidate_pairs(
     signed: DataFrame, id: str = "id", same: list[str] | None = None, different: str | None = None,
-    alike: list[str] | None = None, tile: int = TILE,
+    alike: list[str] | None = None, tile: int = TILE, carried: DataFrame | None = None,
 ) -> DataFrame:
     """(id_a, id_b, pairs, same columns): pairs of classes that share a bucket in any band.
 
@@ -131,6 +138,10 @@ def candidate_pairs(
     stands for ``pairs`` pairs of records; a class of several copies comes out as a pair with
     itself. Large buckets are cut into tiles, whose pairs are spread over tasks. Null ``same`` or
     ``different`` values pair with nothing.
+
+    ``carried`` has the id and more columns c of the records, which come out as c_a and c_b, as if
+    the pairs were joined with it by either id. They go with the classes to their buckets, so what
+    is shuffled follows the classes, not the pairs. It is read several times, so it is a stored table.
     """
     same, other = same or [], [different] if different else []
     own = list(dict.fromkeys([*same, *other, *(alike or [])]))
@@ -140,25 +151,30 @@ def candidate_pairs(
     sizes = stage(buckets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "buckets")
     met = buckets.join(sizes, keys).withColumn("_tiles", F.ceil(F.col("_n") / F.lit(tile)).cast("int"))
     met = met.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
-    a = met.withColumn("_ta", F.col("_own")).withColumn("_tb", every).alias("a")
-    b = met.withColumn("_tb", F.col("_own")).withColumn("_ta", every).alias("b")
-    rule = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_ta", "_tb"]])
-    rule = rule & (F.col("a.id") < F.col("b.id"))
+    more = [] if carried is None else [c for c in carried.columns if c != id]
+    if carried is not None:
+        met = met.join(carried.withColumnRenamed(id, "id"), "id")
+    # a class goes to each pair of tiles once; both sides of the join are the same rows, shuffled once
+    tiles = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+    tiles = tiles.withColumns({"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")}).drop("_other")
+    a, b = tiles.alias("a"), tiles.alias("b")
+    rule = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_low", "_high"]])
+    rule = rule & (F.col("a.id") < F.col("b.id")) & ((F.col("a._own") != F.col("b._own")) | (F.col("a._low") == F.col("a._high")))
     if different:
         rule = rule & (F.col(f"a.{different}") != F.col(f"b.{different}"))
     agree = F.zip_with("a.hashes", "b.hashes", lambda x, y: x == y)
     first = F.array_position(agree, True) - 1 == F.col("a.band")
     pairs = a.join(b, rule).filter(first).select(
         F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"),
-        (F.col("a.copies") * F.col("b.copies")).alias("pairs"), *[F.col(f"a.{c}").alias(c) for c in same])
+        (F.col("a.copies") * F.col("b.copies")).alias("pairs"), *[F.col(f"a.{c}").alias(c) for c in same],
+        *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in more])
     if different:
         return pairs
     known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in same], F.lit(True))
     inside = folded.filter((F.col("copies") > 1) & known).select(
         F.col("id").alias("id_a"), F.col("id").alias("id_b"),
         (F.col("copies") * (F.col("copies") - 1) / 2).cast("long").alias("pairs"), *same)
-    return pairs.unionByName(inside)
+    return pairs.unionByName(inside if carried is None else _with_sides(inside, carried, id))
 
 
 def _twice_pairs(n: Column) -> Column:
@@ -230,16 +246,18 @@ def pair_totals(
     ])
 
 
-def label_pairs(pairs: DataFrame, records: DataFrame, truth: str, id: str = "id",
+def label_pairs(pairs: DataFrame, records: DataFrame | None, truth: str, id: str = "id",
                 keep: int | None = None) -> DataFrame:
-    """Add ``label`` 1 where both records have the same truth value; keep 1s, 0s or both."""
-    side = records.select(F.col(id), F.col(truth))
-    labelled = (
-        pairs.join(side.toDF("id_a", "_ta"), "id_a")
-        .join(side.toDF("id_b", "_tb"), "id_b")
-        .withColumn("label", (F.col("_ta") == F.col("_tb")).cast("int"))
-        .drop("_ta", "_tb")
-    )
+    """Add ``label`` 1 where both records have the same truth value; keep 1s, 0s or both.
+
+    Without ``records`` the pairs carry the truth of either side.
+    """
+    both = pairs
+    if records is not None:
+        side = records.select(F.col(id), F.col(truth).alias("_truth"))
+        both = _with_sides(pairs, side, id)
+    a, b = (f"{truth if records is None else '_truth'}_{x}" for x in "ab")
+    labelled = both.withColumn("label", (F.col(a) == F.col(b)).cast("int")).drop(a, b)
     return labelled if keep is None else labelled.filter(F.col("label") == keep)
 
 
@@ -312,17 +330,19 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(common, F.size(a) + F.size(b) - common), F.lit(0.0))
 
 
-def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
+PAIR_SIDE = ["vector", "tokens", "model_id", "length"]
+
+
+def pair_features(pairs: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """Cosine, token overlap, model id equality and length gap of each pair.
 
-    ``records`` has id, vector, tokens, model_id and length.
+    ``records`` has id, vector, tokens, model_id and length. Without it the pairs carry these of
+    either side (``candidate_pairs``), and nothing is joined.
     """
-    side = records.select("id", "vector", "tokens", "model_id", "length")
-    a = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns])
-    b = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns])
-    joined = pairs.join(a, "id_a").join(b, "id_b")
+    joined = pairs if records is None else _with_sides(pairs, records.select("id", *PAIR_SIDE))
+    sides = {f"{c}_{x}" for c in PAIR_SIDE for x in "ab"}
     return joined.select(
-        *pairs.columns,
+        *[c for c in pairs.columns if c not in sides],
         cosine(F.col("vector_a"), F.col("vector_b")).alias("cosine"),
         jaccard(F.col("tokens_a"), F.col("tokens_b")).alias("overlap"),
         F.coalesce((F.col("model_id_a") == F.col("model_id_b")).cast("double"), F.lit(0.0)).alias("same_model"),

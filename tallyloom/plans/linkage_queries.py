@@ -349,10 +349,11 @@ def minhash_values(spark, sf_dir):
 
 
 def _pair_records(spark, sf_dir) -> DataFrame:
-    texts = offers(spark, sf_dir).select(
-        "id", tx.tokens(F.col("title")).alias("tokens"), tx.model_id(F.col("title")).alias("model_id"),
+    # only the texts that a vector has are cut into words, so they are joined whole
+    joined = vectors(spark, sf_dir).select("id", "vector").join(offers(spark, sf_dir).select("id", "title"), "id", "left")
+    return joined.select(
+        "id", "vector", tx.tokens(F.col("title")).alias("tokens"), tx.model_id(F.col("title")).alias("model_id"),
         F.length("title").alias("length"))
-    return vectors(spark, sf_dir).select("id", "vector").join(texts, "id", "left")
 
 
 @query("pair_features", "I10", rf"""
@@ -370,8 +371,9 @@ select l.id_a, l.id_b, round(list_cosine_similarity(a.vector, b.vector), 5) as c
 from linked l join records a on a.id = l.id_a join records b on b.id = l.id_b""")
 def pair_features(spark, sf_dir):
     pairs = lk.candidate_pairs(
-        signed_vectors(spark, sf_dir, 8), same=["brand"], different="shop", alike=["content"]).drop("brand")
-    f = lk.pair_features(pairs, _pair_records(spark, sf_dir))
+        signed_vectors(spark, sf_dir, 8), same=["brand"], different="shop", alike=["content"],
+        carried=stage(_pair_records(spark, sf_dir), "records")).drop("brand")
+    f = lk.pair_features(pairs)
     return f.select("id_a", "id_b", r("cosine", 5).alias("cosine"), r("overlap", 6).alias("overlap"),
                     "same_model", r("length_gap", 6).alias("length_gap"))
 

@@ -205,3 +205,34 @@ def test_text_vectors_as_by_hand(spark):
         assert terms == sorted(want[row["text"]])
         assert {v["term"]: v["weight"] for v in row["vector"]} == pytest.approx(want[row["text"]])
     assert lk.text_vectors(df.limit(0), "text").count() == 0
+
+
+def sides(spark, n):
+    """Records with repeated ids and missing values, as the features of a pair take them."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=4)], None if i % 11 == 0 else [f"w{k}" for k in set(rng.integers(0, 9, 5))],
+             None if i % 7 == 0 else f"m{i % 3}", i % 13, i % 25) for i in [*range(n), 3, 3, 40]]
+    return spark.createDataFrame(rows, "id long, vector array<double>, tokens array<string>, model_id string, length int, model int")
+
+
+@pytest.mark.parametrize("args", [{}, {"same": ["brand"], "different": "shop"}])
+@pytest.mark.parametrize("tile", [lk.TILE, 16])
+def test_carried_columns_are_those_of_a_join(spark, args, tile):
+    """Whatever goes with the classes to their buckets; copies of a class pair with themselves."""
+    df, pdf = table(spark)
+    df = df.unionByName(df.filter("id < 60").withColumn("id", F.col("id") + 500))  # copies
+    records = sides(spark, 600)
+    pairs = lk.candidate_pairs(df, **args, tile=tile)
+    joined = lk.label_pairs(lk.pair_features(pairs, records.drop("model")), df.select("id", "model").distinct(), "model")
+    carried = lk.candidate_pairs(df, **args, tile=tile, carried=records.drop("model").join(df.select("id", "model").distinct(), "id"))
+    features = lk.pair_features(lk.label_pairs(carried, None, "model"))
+    rows = lambda x: sorted(repr(tuple(r)) for r in x.select(*joined.columns).collect())
+    assert rows(features) == rows(joined) and joined.count() > 1000
+
+
+def test_no_shuffle_of_pairs(spark):
+    """Texts and vectors move with the classes: no pair is dealt out by its ids."""
+    df, _ = table(spark)
+    found = lk.pair_features(lk.candidate_pairs(df, same=["brand"], different="shop", carried=sides(spark, 300).drop("model")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan and "hashpartitioning(id_" not in plan
