@@ -380,12 +380,11 @@ def pair_features(spark, sf_dir):
 
 @query("pair_classifier_measures", "I10 I12")
 def pair_classifier_measures(spark, sf_dir):
-    from tallyloom.session import stage
-
     signed = signed_vectors(spark, sf_dir, 8)
     records = vectors(spark, sf_dir)
-    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model", "content"]), records, "model")
-    features = stage(lk.pair_features(labelled, _pair_records(spark, sf_dir)), "features")
+    sides = stage(records.select("id", "model").join(_pair_records(spark, sf_dir), "id"), "records")
+    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model", "content"], carried=sides), None, "model")
+    features = stage(lk.pair_features(labelled).drop("id_a", "id_b"), "features")
     model = lk.fit_pair_classifier(features)
     scored = lk.duplicate_probability(model, features)
     truth = records.groupBy("model").count().agg(
