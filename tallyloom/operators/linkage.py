@@ -405,13 +405,22 @@ def term_counts(df: DataFrame, text: str, size: int = 4096, term: Callable[[Colu
     Words are the lower-case pieces between blanks; each goes to one of ``size`` terms. A null
     or empty text has no terms. Rows stay rows; nothing is shuffled.
     """
+    # sort_array compares in place; array_sort would call a comparing expression for every two terms
+    return df.withColumn("counts", _run_lengths(F.sort_array(_terms(text, size, term))))
+
+
+def _terms(text: str, size: int, term: Callable[[Column, int], Column]) -> Column:
+    """The term of every word of the whole text, in their order."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \n\r\t]+"), lambda w: w != "")
-    return df.withColumn("counts", _run_lengths(F.array_sort(F.transform(words, lambda w: term(w, size)))))
+    return F.transform(words, lambda w: term(w, size))
 
 
-def inverse_frequencies(counted: DataFrame, size: int) -> list[float]:
-    """log((rows + 1) / (rows with the term + 1)) for every term, from one aggregate of at most ``size`` + 1 rows."""
-    held = counted.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("counts.term"))).alias("term"))
+def inverse_frequencies(held: DataFrame, size: int) -> list[float]:
+    """log((rows + 1) / (rows with the term + 1)) for every term, from the distinct ``terms`` of each row.
+
+    One aggregate of at most ``size`` + 1 rows.
+    """
+    held = held.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("terms"))).alias("term"))
     seen = {row["term"]: row["count"] for row in held.groupBy("term").count().collect()}  # bounded by size
     rows = seen.get(-1, 0)
     return [math.log((rows + 1) / (seen.get(t, 0) + 1)) for t in range(size)]
@@ -425,6 +434,7 @@ def text_vectors(df: DataFrame, text: str, size: int = 4096, term: Callable[[Col
     travel as one array literal.
     """
     counted = term_counts(df, text, size, term)
-    weights = F.lit(inverse_frequencies(counted, size))
+    # what a row holds is asked without its counts: nothing is sorted for it
+    weights = F.lit(inverse_frequencies(df.select(F.array_distinct(_terms(text, size, term)).alias("terms")), size))
     return counted.withColumn("vector", F.transform("counts", lambda c: F.struct(
         c["term"].alias("term"), (c["count"] * F.get(weights, c["term"])).alias("weight")))).drop("counts")

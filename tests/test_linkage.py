@@ -236,3 +236,17 @@ def test_no_shuffle_of_pairs(spark):
     found = lk.pair_features(lk.candidate_pairs(df, same=["brand"], different="shop", carried=sides(spark, 300).drop("model")))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" in plan and "hashpartitioning(id_" not in plan
+
+
+def test_term_frequencies_without_comparing_expressions(spark):
+    """Rows with a term, whatever its counts; terms are sorted by value, not by an expression for every two."""
+    rows = [(1, "b a a"), (2, "a  c"), (3, None), (4, ""), (4, "A")]
+    df = spark.createDataFrame(rows, "id int, text string")
+
+    def letter(word, size):
+        return F.ascii(word) - 97
+
+    held = df.select(F.array_distinct(lk._terms("text", 4, letter)).alias("terms"))
+    assert lk.inverse_frequencies(held, 4) == pytest.approx([math.log(6 / 4), math.log(3), math.log(3), math.log(6)])
+    plan = lk.term_counts(df, "text", 4, letter)._jdf.queryExecution().executedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
