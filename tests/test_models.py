@@ -490,3 +490,14 @@ def test_class_measures_zero_division(spark):
     row = rates.class_measures(df, "y", "z").first()
     assert row["accuracy"] == 0.5
     assert row["precision"] == pytest.approx((1 + 1 / 3 + 0) / 3) and row["recall"] == pytest.approx((0.5 + 1 + 0) / 3)
+
+
+def test_rows_are_dealt_evenly_for_fits(spark):
+    """Parts follow rows and cores, not the shuffle setting or the slices the rows came in; few rows stay as they lie."""
+    cores = spark.sparkContext.defaultParallelism
+    assert [sl.training_parts(n, 12) for n in (0, 1, 2_001, 100_000, 600_000, 6_000_000)] == [1, 1, 2, 12, 12, 120]
+    rows = 10 * sl.PART_ROWS
+    one = spark.range(rows).coalesce(1)
+    sizes = sl.evenly(one, rows).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == min(cores, 10) and max(sizes) - min(sizes) <= 2
+    assert sl.evenly(one, sl.PART_ROWS) is one
