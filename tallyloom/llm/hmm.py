@@ -8,8 +8,8 @@ classes times what the words have inside their classes; unknown words have a sha
 Word counts cover all training rows and are shuffled by word. Counts of at most ``TABLE`` frequent
 words are sent to all tasks; the counts of the words of the long tail meet the texts by a join.
 Baum-Welch runs over all training rows: each task adds up expected counts, Spark sums them by
-class, and only the bounded table of classes x states reaches the driver. The first rounds use a
-bounded sample of training rows, only to find a start.
+class, and only the bounded table of classes x states reaches the driver. The first rounds take turns
+on shares of the training rows, so that together they read every row once; the last read all rows.
 """
 
 from __future__ import annotations
@@ -32,8 +32,10 @@ from tallyloom.session import stage
 STATES, OWN, BUCKETS = 8, 32_768, 1024
 #: Words in the table sent to all tasks, and the bytes of the longest: 5 MB as a rule, 20 MB at most.
 TABLE, LONGEST = 262_144, 64
-#: Training rows of the start, its rounds, and the rounds over all training rows.
+#: Least training rows of a share in the start on average, rounds of the start, and the rounds over all training rows.
 START_ROWS, START_ROUNDS, ROUNDS = 1500, 10, 3
+#: Least tasks of a round of the start.
+START_TASKS = 8
 #: A task's counts are passed on beyond so many words; tokens whose recursions run side by side.
 FLUSH, SIDE_BY_SIDE = 400_000, 262_144
 END = b""
@@ -323,15 +325,21 @@ def expected(texts: DataFrame, model: Model) -> Expected:
 
 def trained(texts: DataFrame, share: np.ndarray, states: int = STATES, start_rows: int = START_ROWS,
             start_rounds: int = START_ROUNDS, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all rows of ``texts`` (doc_id, classes), a stored table; a bounded sample gives the start."""
-    place = F.xxhash64("doc_id", F.crc32("classes"))
+    """Baum-Welch over all rows of ``texts`` (doc_id, classes), a stored table.
+
+    The rounds of the start take turns on disjoint shares of the rows, each of ``start_rows`` rows or more on average,
+    at most one share a round: every row counts in the start, and the start as a whole reads the rows about once.
+    """
     total, model = texts.count(), first_model(share, states)
     if not total:
         return model
-    some = texts if total <= 2 * start_rows else texts.filter(place < F.lit(int(-(2**63) + 1.5 * start_rows / total * 2**64)))
-    start = stage(some.select("classes", place.alias("place")).orderBy("place").limit(start_rows), "start").repartition(8)
-    for _ in range(start_rounds):
-        model = improved(expected(start, model), share)
+    shares = max(1, min(start_rounds, total // max(1, start_rows)))
+    place = F.pmod(F.xxhash64("doc_id", F.crc32("classes")), F.lit(shares))
+    # every task gives a table of classes, so a share has tasks by its size
+    tasks = max(START_TASKS, -(-texts.rdd.getNumPartitions() // shares)) if shares > 1 else None
+    for i in range(start_rounds):
+        part = texts.filter(place == i % shares)
+        model = improved(expected(part.coalesce(tasks) if tasks else part, model), share)
     for _ in range(rounds):
         model = improved(expected(texts, model), share)
     return model

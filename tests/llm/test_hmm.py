@@ -129,3 +129,15 @@ def test_odd_rows(spark):
     assert hmm.scores(fixtures.documents(spark, [])).collect() == []
     held = hmm.scores(docs.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 = 1")).collect()
     assert held and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in held)
+
+
+@pytest.mark.parametrize("rows, shares", [(40, 4), (25, 2), (7, 1)])
+def test_start_reads_all_rows(spark, monkeypatch, rows, shares):
+    """The rounds of the start take turns on shares that hold every row once, copies among them."""
+    texts = spark.createDataFrame([(i // 2, bytearray(np.array([i % 3, i % 5], dtype=np.uint16).tobytes())) for i in range(rows)], "doc_id long, classes binary")
+    seen, plain = [], hmm.expected
+    monkeypatch.setattr(hmm, "expected", lambda t, m: (seen.append(sorted((r["doc_id"], bytes(r["classes"])) for r in t.collect())), plain(t, m))[1])
+    hmm.trained(texts, np.full(6, 1 / 6), 2, start_rows=10, start_rounds=4, rounds=1)
+    whole = sorted((r["doc_id"], bytes(r["classes"])) for r in texts.collect())
+    assert sorted(x for part in seen[:shares] for x in part) == whole == seen[4]
+    assert len(seen) == 5 and all(seen[i] == seen[i % shares] for i in range(4))
