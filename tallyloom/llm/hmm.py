@@ -37,7 +37,7 @@ START_ROWS, START_ROUNDS, ROUNDS = 1500, 10, 3
 #: Least tasks of a round of the start.
 START_TASKS = 8
 #: A task's counts are passed on beyond so many words; tokens whose recursions run side by side.
-FLUSH, SIDE_BY_SIDE = 400_000, 262_144
+FLUSH, SIDE_BY_SIDE = 200_000, 131_072
 END = b""
 #: Expected counts every state has beforehand, spread like the classes of all words.
 PRIOR = 100.0
@@ -245,7 +245,7 @@ def log10_chances(model: Model, rows: list[np.ndarray]) -> np.ndarray:
     """log10 likelihood of each sequence by the scaled forward recursion."""
     out = np.zeros(len(rows))
     for held, lay in side_by_side(rows):
-        _, scale, _ = forward(model, lay)
+        scale = forward(model, lay)[1]
         out[held] = np.bincount(lay.owner, weights=np.log10(scale), minlength=len(held))
     return out
 
@@ -258,24 +258,25 @@ class Expected:
         self.first, self.step, self.emit = np.zeros_like(model.first), np.zeros_like(model.step), np.zeros_like(model.emit)
 
     def add(self, rows: list[np.ndarray]) -> None:
-        model = self.model
         for _, lay in side_by_side(rows):
-            chance, scale, emitted = forward(model, lay)
-            after = np.ones_like(chance)
-            emitted /= scale[:, None]
-            for t in range(len(lay.alive) - 2, -1, -1):
-                n, there = lay.alive[t + 1], lay.starts[t + 1]
-                emitted[there:there + n] *= after[there:there + n]
-                after[lay.starts[t]:lay.starts[t] + n] = emitted[there:there + n] @ model.step.T
-            later = np.arange(lay.alive[0], len(scale))
-            times = np.repeat(np.arange(1, len(lay.alive)), lay.alive[1:])
-            earlier = later - lay.starts[times] + lay.starts[times - 1]
-            self.step += model.step * (chance[earlier].T @ emitted[later])
-            chance *= after
-            self.first += chance[:lay.alive[0]].sum(axis=0)
-            for k in range(chance.shape[1]):
-                self.emit[:, k] += np.bincount(lay.codes, weights=chance[:, k], minlength=len(self.emit))
-            self.log10 += float(np.log10(scale).sum())
+            self._add(lay)
+
+    def _add(self, lay: Layout) -> None:
+        model = self.model
+        chance, scale, emitted = forward(model, lay)
+        emitted /= scale[:, None]
+        # backward, in place: what comes after a time is only kept as a factor of its chances and emissions
+        for t in range(len(lay.alive) - 1, 0, -1):
+            n, at, there = lay.alive[t], lay.starts[t - 1], lay.starts[t]
+            now, before = emitted[there:there + n], chance[at:at + n]
+            self.step += model.step * (before.T @ now)
+            after = now @ model.step.T
+            before *= after
+            emitted[at:at + n] *= after
+        self.first += chance[:lay.alive[0]].sum(axis=0)
+        for k in range(chance.shape[1]):
+            self.emit[:, k] += np.bincount(lay.codes, weights=chance[:, k], minlength=len(self.emit))
+        self.log10 += float(np.log10(scale).sum())
 
 
 def improved(found: Expected, share: np.ndarray) -> Model:
@@ -302,7 +303,7 @@ def expected(texts: DataFrame, model: Model) -> Expected:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Expected(sent.value)
         for b in batches:
-            found.add([np.frombuffer(v.as_py(), dtype=np.uint16).astype(np.int64) for v in b.column(0)])
+            found.add([np.frombuffer(v.as_py(), dtype=np.uint16) for v in b.column(0)])
         met = np.flatnonzero(found.emit.any(axis=1))
         # below zero: the first states, the likelihood, then the steps from each state
         rest = np.concatenate([found.first[None], np.full((1, states), found.log10 / states), found.step])
@@ -364,7 +365,7 @@ def scores(docs: DataFrame, states: int = STATES, table: int = TABLE, own: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.frombuffer(v.as_py(), dtype=np.uint16).astype(np.int64) for v in b.column(7)]
+            rows = [np.frombuffer(v.as_py(), dtype=np.uint16) for v in b.column(7)]
             chances = pa.array(log10_chances(sent.value, rows), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns[:7], chances], names=[*b.schema.names[:7], "chance"])
 

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -54,6 +55,20 @@ def test_expected_counts_are_sums_over_paths():
     assert np.allclose(found.first, first) and np.allclose(found.step, step) and np.allclose(found.emit, emit)
 
 
+@pytest.mark.parametrize("run", [lambda m, rows: hmm.Expected(m).add(rows), hmm.log10_chances])
+def test_recursions_hold_two_tables_of_states(run):
+    """However many sequences a task has, only the chances and emissions of those side by side are held."""
+    rng, m = np.random.default_rng(4), model(hmm.STATES, 50)
+    rows = [rng.integers(0, 50, 2000).astype(np.uint16) for _ in range(300)]
+    tracemalloc.start()
+    try:
+        run(m, rows)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 32e6
+
+
 def test_rounds_never_lose_likelihood(spark, monkeypatch):
     monkeypatch.setattr(hmm, "PRIOR", 0.0)
     rng = np.random.default_rng(2)
