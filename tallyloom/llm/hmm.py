@@ -18,6 +18,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -36,8 +37,10 @@ TABLE, LONGEST = 262_144, 64
 START_ROWS, START_ROUNDS, ROUNDS = 1500, 10, 3
 #: Least tasks of a round of the start.
 START_TASKS = 8
-#: A task's counts are passed on beyond so many words; tokens whose recursions run side by side.
-FLUSH, SIDE_BY_SIDE = 200_000, 131_072
+#: A task's counts are passed on beyond so many words.
+FLUSH = 200_000
+#: Tokens whose recursions run side by side; places whose steps are summed at once.
+SIDE_BY_SIDE, BLOCK = 262_144, 16_384
 END = b""
 #: Expected counts every state has beforehand, spread like the classes of all words.
 PRIOR = 100.0
@@ -150,7 +153,7 @@ def encoded(docs: DataFrame, known: Classes) -> DataFrame:
             lengths, known_n, base, inside, coded, rare_words, rare_n, ends = [], [], [], [], [], [], [], [0]
             for text in b.column(3):
                 words = words_of(text.as_py())
-                at = np.array([place(w, -1) for w in words], dtype=np.int64)
+                at = np.fromiter(map(place, words, repeat(-1)), dtype=np.int64, count=len(words))
                 seen = at >= 0
                 code = number[at] if len(number) else np.zeros(len(at), dtype=np.uint16)
                 held = at[seen]
@@ -228,16 +231,15 @@ def side_by_side(rows: list[np.ndarray]) -> Iterator[tuple[list[int], Layout]]:
 
 
 def forward(model: Model, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled chances of the states, the scales, and the emissions at each place of the layout."""
-    emitted = model.emit[lay.codes]
-    chance, scale = np.empty_like(emitted), np.empty(len(emitted))
-    for t, n in enumerate(lay.alive):
-        here = slice(lay.starts[t], lay.starts[t] + n)
-        before = chance[lay.starts[t - 1]:lay.starts[t - 1] + n] @ model.step if t else model.first
-        now = before * emitted[here]
-        total = now.sum(axis=1)
-        scale[here] = total
-        np.divide(now, total[:, None], out=chance[here])
+    """Scaled chances of the states, the scales, and the emissions, a column for each place of the layout."""
+    emitted = np.take(model.emit.T, lay.codes, axis=1)
+    chance, scale, before, step = np.empty_like(emitted), np.empty(len(lay.codes)), None, model.step.T
+    for at, n in zip(lay.starts.tolist(), lay.alive.tolist()):
+        now, total = chance[:, at:at + n], scale[at:at + n]
+        np.multiply(model.first[:, None] if before is None else step @ before[:, :n], emitted[:, at:at + n], out=now)
+        np.add.reduce(now, axis=0, out=total)
+        now /= total
+        before = now
     return chance, scale, emitted
 
 
@@ -264,18 +266,24 @@ class Expected:
     def _add(self, lay: Layout) -> None:
         model = self.model
         chance, scale, emitted = forward(model, lay)
-        emitted /= scale[:, None]
-        # backward, in place: what comes after a time is only kept as a factor of its chances and emissions
-        for t in range(len(lay.alive) - 1, 0, -1):
-            n, at, there = lay.alive[t], lay.starts[t - 1], lay.starts[t]
-            now, before = emitted[there:there + n], chance[at:at + n]
-            self.step += model.step * (before.T @ now)
-            after = now @ model.step.T
-            before *= after
-            emitted[at:at + n] *= after
-        self.first += chance[:lay.alive[0]].sum(axis=0)
-        for k in range(chance.shape[1]):
-            self.emit[:, k] += np.bincount(lay.codes, weights=chance[:, k], minlength=len(self.emit))
+        emitted /= scale
+        # backward, in place: each place's emissions get the factor of what comes after it
+        spans = list(zip(lay.starts.tolist(), lay.alive.tolist()))
+        for (earlier, _), (at, n) in zip(spans[-2::-1], spans[:0:-1]):
+            emitted[:, earlier:earlier + n] *= model.step @ emitted[:, at:at + n]
+        # then the chances of steps and states, from those of the place before
+        steps, begun = np.zeros_like(model.step), int(lay.alive[0])
+        place_before = np.arange(begun, len(scale)) - np.repeat(lay.alive[:-1], lay.alive[1:])
+        for at in range(0, len(place_before), BLOCK):
+            before = np.take(chance, place_before[at:at + BLOCK], axis=1)
+            now = emitted[:, begun + at:begun + at + BLOCK]
+            steps += before @ now.T
+            now *= model.step.T @ before
+        emitted[:, :begun] *= model.first[:, None]
+        self.step += model.step * steps
+        self.first += emitted[:, :begun].sum(axis=1)
+        for k, of_state in enumerate(emitted):
+            self.emit[:, k] += np.bincount(lay.codes, weights=of_state, minlength=len(self.emit))
         self.log10 += float(np.log10(scale).sum())
 
 
