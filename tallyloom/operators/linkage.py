@@ -9,15 +9,18 @@ never expanded. Truth is membership with group sizes, never a list of pairs.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from tallyloom.operators import pairblocks as pb
 from tallyloom.operators.ordered import running
 from tallyloom.session import stage
 
@@ -128,7 +131,7 @@ def _with_sides(pairs: DataFrame, records: DataFrame, id: str = "id") -> DataFra
 
 def candidate_pairs(
     signed: DataFrame, id: str = "id", same: list[str] | None = None, different: str | None = None,
-    alike: list[str] | None = None, tile: int = TILE, carried: DataFrame | None = None,
+    alike: list[str] | None = None, tile: int = TILE, carried: DataFrame | None = None, features: bool = False,
 ) -> DataFrame:
     """(id_a, id_b, pairs, same columns): pairs of classes that share a bucket in any band.
 
@@ -142,6 +145,9 @@ def candidate_pairs(
     ``carried`` has the id and more columns c of the records, which come out as c_a and c_b, as if
     the pairs were joined with it by either id. They go with the classes to their buckets, so what
     is shuffled follows the classes, not the pairs. It is read several times, so it is a stored table.
+
+    With ``features`` the four ``PAIR_FEATURES`` come out in place of the ``PAIR_SIDE`` of either side. They are worked
+    out in blocks where the classes meet (``pairblocks``), so vectors and words leave no bucket.
     """
     same, other = same or [], [different] if different else []
     own = list(dict.fromkeys([*same, *other, *(alike or [])]))
@@ -157,6 +163,8 @@ def candidate_pairs(
     # a class goes to each pair of tiles once; both sides of the join are the same rows, shuffled once
     tiles = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
     tiles = tiles.withColumns({"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")}).drop("_other")
+    if features:
+        return _featured_pairs(tiles, [*keys, "_low", "_high"], same, different, [c for c in more if c not in PAIR_SIDE], folded, carried, id)
     a, b = tiles.alias("a"), tiles.alias("b")
     rule = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_low", "_high"]])
     rule = rule & (F.col("a.id") < F.col("b.id")) & ((F.col("a._own") != F.col("b._own")) | (F.col("a._low") == F.col("a._high")))
@@ -170,11 +178,51 @@ def candidate_pairs(
         *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in more])
     if different:
         return pairs
+    inside = _inside(folded, same)
+    return pairs.unionByName(inside if carried is None else _with_sides(inside, carried, id))
+
+
+def _inside(folded: DataFrame, same: list[str]) -> DataFrame:
+    """Classes of several copies as pairs with themselves."""
     known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in same], F.lit(True))
-    inside = folded.filter((F.col("copies") > 1) & known).select(
+    return folded.filter((F.col("copies") > 1) & known).select(
         F.col("id").alias("id_a"), F.col("id").alias("id_b"),
         (F.col("copies") * (F.col("copies") - 1) / 2).cast("long").alias("pairs"), *same)
-    return pairs.unionByName(inside if carried is None else _with_sides(inside, carried, id))
+
+
+def _featured_pairs(
+    tiles: DataFrame, group: list[str], same: list[str], different: str | None, more: list[str],
+    folded: DataFrame, carried: DataFrame, id: str,
+) -> DataFrame:
+    """The pairs of ``candidate_pairs`` with their features: the rows of a bucket lie together, sorted by id.
+
+    A task holds the rows of a few buckets or of two tiles, and a bounded number of their pairs.
+    """
+    kinds = {f.name: f.dataType for f in tiles.schema}
+    schema = StructType(
+        [StructField(f"id_{x}", kinds["id"]) for x in "ab"] + [StructField("pairs", LongType())]
+        + [StructField(c, kinds[c]) for c in same]
+        + [StructField(f"{c}_{x}", kinds[c]) for x in "ab" for c in more]
+        + [StructField(c, DoubleType()) for c in PAIR_FEATURES])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in pb.whole_groups(batches, group):
+            rows = pb.Rows(t, group, different)
+            for a, b in rows.pairs():
+                at = {"a": pa.array(a), "b": pa.array(b)}
+                columns = [t.column("id").take(at[x]) for x in "ab"] + [pa.array(rows.copies[a] * rows.copies[b])]
+                columns += [t.column(c).take(at["a"]) for c in same]
+                columns += [t.column(c).take(at[x]) for x in "ab" for c in more]
+                columns += [pa.array(x) for x in (
+                    rows.vectors.cosine(a, b), rows.tokens.jaccard(a, b), rows.same_model(a, b), rows.length_gap(a, b))]
+                yield from pa.table(columns, names=schema.names).combine_chunks().to_batches()
+
+    kept = list(dict.fromkeys([*group, "_own", "id", "copies", "hashes", *([different] if different else []), *PAIR_SIDE, *more]))
+    met = tiles.select(*kept).repartition(*group).sortWithinPartitions(*group, "id").mapInArrow(compared, schema)
+    if different:
+        return met
+    inside = pair_features(_with_sides(_inside(folded, same), carried, id))
+    return met.unionByName(inside.select(*schema.names))
 
 
 def _twice_pairs(n: Column) -> Column:
@@ -337,8 +385,10 @@ def pair_features(pairs: DataFrame, records: DataFrame | None = None) -> DataFra
     """Cosine, token overlap, model id equality and length gap of each pair.
 
     ``records`` has id, vector, tokens, model_id and length. Without it the pairs carry these of
-    either side (``candidate_pairs``), and nothing is joined.
+    either side (``candidate_pairs``), and nothing is joined, or they have the features from where they met.
     """
+    if records is None and set(PAIR_FEATURES) <= set(pairs.columns):
+        return pairs
     joined = pairs if records is None else _with_sides(pairs, records.select("id", *PAIR_SIDE))
     sides = {f"{c}_{x}" for c in PAIR_SIDE for x in "ab"}
     return joined.select(
@@ -355,30 +405,56 @@ def pair_features(pairs: DataFrame, records: DataFrame | None = None) -> DataFra
 PAIR_FEATURES = ["cosine", "overlap", "same_model", "length_gap"]
 
 
-def fit_pair_classifier(features: DataFrame, iterations: int = 50):
-    """Class-weighted logistic model of duplicate probability; a row with ``pairs`` counts as that many pairs."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
+#: Newton step of the scaled coefficients that is a fit's last.
+SETTLED = 1e-5
+
+
+def fit_pair_classifier(features: DataFrame, iterations: int = 50, penalty: float = 1e-4):
+    """Class-weighted logistic model of duplicate probability; a row with ``pairs`` counts as that many pairs.
+
+    Newton steps on the objective of MLlib's ``LogisticRegression`` (mean weighted loss, ``penalty`` on the coefficients
+    of features scaled by their deviation, free intercept). Each step reads the features once and gathers a row of sums
+    a task; no copy of them is kept in memory. ``features`` is read some ten times, so it is a stored table.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.common import _py2java
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.wrapper import JavaParams
 
     pairs = F.col("pairs").cast("double") if "pairs" in features.columns else F.lit(1.0)
-    share = F.try_divide(F.sum(F.col("label") * pairs), F.sum(pairs))
-    shares = features.agg(F.struct(share.alias("p")).alias("s")).scalar()["p"]
-    weighted = features.withColumn(
-        "weight",
-        pairs * F.coalesce(F.when(F.col("label") == 1, F.try_divide(F.lit(0.5), shares))
-                   .otherwise(F.try_divide(F.lit(0.5), 1 - shares)), F.lit(1.0)))
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=PAIR_FEATURES, outputCol="features"),
-        LogisticRegression(labelCol="label", weightCol="weight", maxIter=iterations, regParam=1e-4),
-    ]).fit(weighted)
+    rows = features.select(F.col("label").cast("double").alias("label"), pairs.alias("pairs"),
+                           *[F.col(c).cast("double").alias(c) for c in PAIR_FEATURES])
+    sums = {row["label"]: row for row in rows.groupBy("label").agg(  # two rows
+        F.sum("pairs").alias("n"), F.sum(F.col("pairs") * F.col("pairs")).alias("squares"),
+        F.array(*[F.sum(F.col("pairs") * F.col(c)) for c in PAIR_FEATURES]).alias("x"),
+        F.array(*[F.sum(F.col("pairs") * F.col(c) * F.col(c)) for c in PAIR_FEATURES]).alias("xx")).collect()}
+    if not sums or set(sums) - {0.0, 1.0}:
+        raise ValueError(f"labels must be 0 or 1 and there must be pairs: {sorted(map(str, sums))}")
+    if len(sums) == 1:  # as in MLlib: all pairs have the one label
+        coefficients, intercept = np.zeros(len(PAIR_FEATURES)), math.inf if 1.0 in sums else -math.inf
+    else:
+        total = sum(r["n"] for r in sums.values())
+        factor = {y: 0.5 * total / r["n"] for y, r in sums.items()}
+        weight = sum(factor[y] * r["n"] for y, r in sums.items())
+        mean, square = (sum(factor[y] * np.array(r[c]) for y, r in sums.items()) / weight for c in ("x", "xx"))
+        unbiased = weight - sum(factor[y] ** 2 * r["squares"] for y, r in sums.items()) / weight
+        spread = np.maximum(square - mean**2, 0.0) * weight / unbiased if unbiased > 0 else np.zeros(len(mean))
+        spread = np.where(spread > 1e-14 * square, np.sqrt(spread), 0.0)
+        coefficients, intercept = pb.newton(rows, PAIR_FEATURES, factor, weight, mean, spread, penalty, iterations, SETTLED)
+    java = JavaParams._new_java_obj(
+        "org.apache.spark.ml.classification.LogisticRegressionModel", "pair_classifier",
+        _py2java(features.sparkSession.sparkContext, Vectors.dense(coefficients)), float(intercept))
+    return PipelineModel([VectorAssembler(inputCols=PAIR_FEATURES, outputCol="features"), LogisticRegressionModel(java)])
 
 
 def duplicate_probability(model, features: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(features)
-    return scored.withColumn("p", vector_to_array("probability")[1]).select(*features.columns, "p")
+    """Add ``p`` of the fitted logistic model, as an expression on its features."""
+    fitted = model.stages[-1]
+    terms = [F.lit(float(c)) * F.col(x) for c, x in zip(fitted.coefficients, PAIR_FEATURES)]
+    margin = reduce(lambda a, b: a + b, terms) + F.lit(float(fitted.intercept))
+    return features.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
 
 def _run_lengths(ids: Column) -> Column:

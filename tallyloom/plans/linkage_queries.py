@@ -383,7 +383,7 @@ def pair_classifier_measures(spark, sf_dir):
     signed = signed_vectors(spark, sf_dir, 8)
     records = vectors(spark, sf_dir)
     sides = stage(records.select("id", "model").join(_pair_records(spark, sf_dir), "id"), "records")
-    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model", "content"], carried=sides), None, "model")
+    labelled = lk.label_pairs(lk.candidate_pairs(signed, alike=["model", "content"], carried=sides, features=True), None, "model")
     features = stage(lk.pair_features(labelled).drop("id_a", "id_b"), "features")
     model = lk.fit_pair_classifier(features)
     scored = lk.duplicate_probability(model, features)

@@ -3,11 +3,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import rates
 from tallyloom.operators import linkage as lk
+from tallyloom.operators import pairblocks as pb
 
 
 # Threshold to (bands, rows) for signatures of length 512.
@@ -238,6 +240,64 @@ def test_no_shuffle_of_pairs(spark):
     assert "hashpartitioning" in plan and "hashpartitioning(id_" not in plan
 
 
+@pytest.mark.parametrize("args", [{}, {"same": ["brand"], "different": "shop"}])
+@pytest.mark.parametrize("tile", [lk.TILE, 16])
+def test_features_of_blocks_are_those_of_pairs(spark, monkeypatch, args, tile):
+    """Compared where the classes meet, a few rows and pairs at a time: copies, repeated ids and missing values as in the expressions."""
+    monkeypatch.setattr(pb, "ROWS", 50)
+    monkeypatch.setattr(pb, "STEP", 300)
+    df, _ = table(spark)
+    df = df.unionByName(df.filter("id < 60").withColumn("id", F.col("id") + 500))
+    odd = "case when id % 17 = 0 then array(1.0, null, 0.0, 2.0) when id % 19 = 0 then array(0.0, 0.0, 0.0, 0.0) when id % 23 = 0 then array(1.0) when id % 29 = 0 then null else vector end"
+    records = sides(spark, 600).withColumn("vector", F.expr(odd).cast("array<double>"))
+    whole = lk.pair_features(lk.candidate_pairs(df, **args, tile=tile, carried=records))
+    blocks = lk.pair_features(lk.candidate_pairs(df, **args, tile=tile, carried=records, features=True)).select(*whole.columns)
+    rows = lambda x: sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in x.collect())
+    assert rows(blocks) == rows(whole) and len(rows(whole)) > 1000
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("array_intersect") == (0 if args else 2)  # only for pairs of a class with itself
+
+
+def test_common_words_by_hand(monkeypatch):
+    """Any number of words in a group, more than are held at a time too."""
+    monkeypatch.setattr(pb, "WORDS", 4)
+    rng = np.random.default_rng(3)
+    words = [None if i == 5 else [None if w == 7 else f"w{w}" for w in rng.integers(0, most, size)]
+             for i, (most, size) in enumerate([(30, 20)] * 40 + [(2000, 900)] * 30 + [(3, 0)] * 3)]
+    group = np.repeat([0, 1, 2], [40, 30, 3])
+    t = pb.Tokens(pa.array(words, pa.list_(pa.string())), group)
+    a, b = np.array([(i, j) for i in range(73) for j in range(i + 1, 73) if group[i] == group[j]]).T
+    want = [len(set(words[i] or []) & set(words[j] or [])) for i, j in zip(a, b)]
+    assert t.common(a, b).tolist() == want and t.wide.max() > 4
+    share = [0.0 if not words[i] or not words[j] else n / (len(words[i]) + len(words[j]) - n) for i, j, n in zip(a, b, want)]
+    assert t.jaccard(a, b) == pytest.approx(share)
+
+
+def test_classifier_is_that_of_mllib(spark):
+    """The same optimum without a copy of the pairs in memory, one label and a constant feature included."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(8)
+    rows = [(float(x), float(rng.random() * 1e-3), 1.0, float(rng.normal()), int(rng.random() < 0.1 + 0.7 * x), int(rng.integers(1, 30)))
+            for x in rng.random(400)]
+    df = spark.createDataFrame(rows, "cosine double, overlap double, same_model double, length_gap double, label int, pairs long")
+    p = df.agg((F.sum(F.col("label") * F.col("pairs")) / F.sum("pairs")).alias("p")).first()["p"]
+    weighted = df.withColumn("weight", F.col("pairs") * F.when(F.col("label") == 1, 0.5 / p).otherwise(0.5 / (1 - p)))
+    want = Pipeline(stages=[
+        VectorAssembler(inputCols=lk.PAIR_FEATURES, outputCol="features"),
+        LogisticRegression(labelCol="label", weightCol="weight", maxIter=500, tol=1e-13, regParam=1e-4)]).fit(weighted)
+    model = lk.fit_pair_classifier(df)
+    assert model.stages[-1].coefficients.toArray() == pytest.approx(want.stages[-1].coefficients.toArray(), rel=1e-4, abs=1e-6)
+    assert model.stages[-1].intercept == pytest.approx(want.stages[-1].intercept, rel=1e-4)
+    by_mllib = [r["probability"][1] for r in model.transform(df).collect()]
+    assert [r["p"] for r in lk.duplicate_probability(model, df).collect()] == pytest.approx(by_mllib)
+    for label in (0, 1):
+        only = df.filter(F.col("label") == label)
+        assert {r["p"] for r in lk.duplicate_probability(lk.fit_pair_classifier(only), only).collect()} == {float(label)}
+
+
 def test_term_frequencies_without_comparing_expressions(spark):
     """Rows with a term, whatever its counts; terms are sorted by value, not by an expression for every two."""
     rows = [(1, "b a a"), (2, "a  c"), (3, None), (4, ""), (4, "A")]
