@@ -67,3 +67,18 @@ def test_table_changes_no_count(spark, monkeypatch, table):
     whole = sorted(tokencount.token_counts(docs, path()).collect())
     monkeypatch.setattr(tokencount, "frequent_pre_tokens", lambda texts: table)
     assert sorted(tokencount.token_counts(docs, path()).collect()) == whole
+
+
+def test_table_comes_from_all_texts(spark, monkeypatch):
+    """No row is left out of the counts that choose the frequent pre-tokens."""
+    read = []
+    monkeypatch.setattr(tokencount, "frequent_pre_tokens", lambda texts: read.append(texts.distinct().count()) or [])
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    tokencount.token_counts(docs, path())
+    assert read == [30_000]
+
+
+def test_frequent_last(spark):
+    """A pre-token that only the texts of the last of many parts hold is found; ASCII or not."""
+    texts = spark.createDataFrame([("a%d" % i if i < 900 else "été late",) for i in range(1000)], "t string").repartitionByRange(20, "t")
+    assert {"été", " late", "a"} <= set(tokencount.frequent_pre_tokens(texts))
